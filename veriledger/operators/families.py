@@ -42,21 +42,32 @@ def required_if(code: str, when: Condition, *columns: str, holds: Condition | No
     return implies(code, "V1", when, then, needs)
 
 
-def must_hold(code: str, then: Condition, when: Condition | None = None,
-              needs: Sequence[str] = ()) -> Rule:
-    """V2: a range or threshold; a missing value breaks it."""
-    return implies(code, "V2", when or c.always(), then, needs)
+def within(code: str, column: str, test: Condition, when: Condition | None = None,
+           needs: Sequence[str] = ()) -> Rule:
+    """V2: a range or threshold on a value that is not blank."""
+    scope = c.filled(column) if when is None else when & c.filled(column)
+    return implies(code, "V2", scope, test, needs)
 
 
-def range_when_filled(code: str, column: str, then: Condition, needs: Sequence[str] = ()) -> Rule:
-    """V2: the range applies only to a value that is not blank."""
-    return implies(code, "V2", c.filled(column), then, needs)
+def required_within(code: str, when: Condition, column: str, test: Condition, *also_filled: str,
+                    needs: Sequence[str] = ()) -> Rule:
+    """V2: under ``when`` the value is in range; blank breaks the rule too."""
+    return implies(code, "V2", when, c.filled(column, *also_filled) & test, needs)
 
 
-def date_rule(code: str, then: Condition, when: Condition | None = None,
-              needs: Sequence[str] = ()) -> Rule:
-    """V3: order of two dates, or a bound on the year."""
-    return implies(code, "V3", when or c.always(), then, needs)
+def date_rule(code: str, ordered: Condition, when: Condition | None = None, *,
+              required: str | None = None, needs: Sequence[str] = ()) -> Rule:
+    """V3: order of two dates, or a bound on the year.
+
+    A missing date leaves the order unknown, which breaks nothing, unless the date is required.
+    """
+    def broken(s: Scope) -> Column:
+        wrong = true_when(~ordered(s))
+        if required is not None:
+            wrong = wrong | c.blank(required)(s)
+        return wrong if when is None else true_when(when(s)) & wrong
+
+    return Rule(code, "V3", Condition(broken), tuple(needs))
 
 
 def iff_filled(code: str, when: Condition, column: str, needs: Sequence[str] = ()) -> Rule:

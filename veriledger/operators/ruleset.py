@@ -9,7 +9,7 @@ dropped before the broken rules are listed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
@@ -91,6 +91,15 @@ class Pass:
     where: Condition | None = None
 
 
+@dataclass(frozen=True)
+class View:
+    """A frame derived from entities, for rules that reach another entity over several keys."""
+
+    name: str
+    build: Callable[[Tables, Codes], DataFrame]
+    reads: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class RuleSet:
     """The checks of one job on one reported entity."""
@@ -98,6 +107,7 @@ class RuleSet:
     entity: str
     passes: tuple[Pass, ...]
     reconciliations: tuple[Reconciliation, ...] = ()
+    views: tuple[View, ...] = ()
 
     @property
     def codes(self) -> list[str]:
@@ -108,6 +118,17 @@ class RuleSet:
     def rules(self) -> list[Rule]:
         return [r for p in self.passes for r in p.rules]
 
+    @property
+    def reads(self) -> list[str]:
+        """Entities the rules read."""
+        views = {v.name for v in self.views}
+        names = {p.entity for p in self.passes}
+        names |= {l.entity for p in self.passes for l in p.lookups}
+        names |= {e for v in self.views for e in v.reads}
+        for r in self.reconciliations:
+            names |= {r.left, r.right, *(l.entity for l in r.left_lookups)}
+        return sorted(names - views)
+
 
 def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
               small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
@@ -124,9 +145,12 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
     done = {r.code for r in own}
 
     for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on)):
-        spread = skew.measure(rows, on, small_bytes)
-        for lookup in lookups:
-            parent = lookup.one_row_per_key(tables, codes)
+        parents = [(l, l.one_row_per_key(tables, codes)) for l in lookups]
+        spread = skew.FLAT
+        if small_bytes == 0 or not all(skew.is_broadcast_size(p) for _, p in parents):
+            measured = base if set(on) <= set(base.columns) else rows
+            spread = skew.measure(measured, on, small_bytes)
+        for lookup, parent in parents:
             rows = skew.join_parent(rows, parent, lookup.on, "left", spread, keep_salt=True)
             joined.add(lookup.name)
         rows = rows.drop(skew.SALT)
@@ -165,6 +189,9 @@ def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes
 def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None = None,
              small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
     """All violations of a rule set, one long table."""
+    tables = dict(tables)
+    for view in ruleset.views:
+        tables[view.name] = view.build(tables, codes or {})
     parts = [violations(tables, p, ruleset.entity, period, codes, small_bytes)
              for p in ruleset.passes]
     for r in ruleset.reconciliations:

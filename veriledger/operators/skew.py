@@ -31,8 +31,23 @@ SALT = "__salt"
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Size of the optimized plan's output as Spark estimates it from the files read."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Size of the optimized plan's output as Spark estimates it from the files read.
+
+    Spark multiplies the sizes of joined inputs; here a join keeps the rows of its left side, so the
+    sum of the files read is a bound too.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return min(int(plan.stats().sizeInBytes()), read)
+
+
+def is_broadcast_size(df: DataFrame) -> bool:
+    """Spark's own size check: below the session's threshold it broadcasts the side by itself."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= int(
+        conf.autoBroadcastJoinThreshold()
+    )
 
 
 @dataclass(frozen=True)
@@ -123,7 +138,7 @@ def join_parent(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str
     """
     child_keys = [c for c, _ in on]
     if spread is None:
-        spread = measure(child, child_keys)
+        spread = FLAT if is_broadcast_size(parent) else measure(child, child_keys)
     types = {f.name: f.dataType for f in child.schema.fields}
     renamed = parent
     for i, (c, p) in enumerate(on):

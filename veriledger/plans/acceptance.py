@@ -172,20 +172,19 @@ def v1_required_if_lookup(spark, sf):
 
 
 def v2_non_negative(spark, sf):
-    rule = f.range_when_filled("V2", "c_acctbal", c.at_least("c_acctbal", 0))
+    rule = f.within("V2", "c_acctbal", c.at_least("c_acctbal", 0))
     return _broken(table(spark, sf, "customer"), rule).select("c_custkey", "c_acctbal")
 
 
 def v2_between(spark, sf):
-    rule = f.range_when_filled("V2", "l_quantity", c.between("l_quantity", 5, 45))
+    rule = f.within("V2", "l_quantity", c.between("l_quantity", 5, 45))
     return _broken(table(spark, sf, "lineitem"), rule).select(*LINE_KEY, "l_quantity")
 
 
 def v3_date_order(spark, sf):
     lines = table(spark, sf, "lineitem").select(*LINE_KEY, "l_shipdate")
     account = Lookup("ac", "orders", (("l_orderkey", "o_orderkey"),), (latest("o_orderdate"),))
-    rule = f.date_rule("V3", c.not_before("l_shipdate", "ac__o_orderdate"), when=f.found("ac"),
-                       needs=("ac",))
+    rule = f.date_rule("V3", c.not_before("l_shipdate", "ac__o_orderdate"), needs=("ac",))
     tables = {"lineitem": lines, "orders": table(spark, sf, "orders")}
     late = flag_rows(tables, Pass("lineitem", tuple(LINE_KEY), (rule,), (account,)))
     return late.select(*LINE_KEY, "l_shipdate", F.col("ac__o_orderdate").alias("o_orderdate"))
@@ -315,7 +314,7 @@ def v18_other_described(spark, sf):
 # -- reporting ---------------------------------------------------------------------------------
 
 def _summary_rules() -> RuleSet:
-    overdrawn = f.range_when_filled("CN1", "c_acctbal", c.at_least("c_acctbal", 0))
+    overdrawn = f.within("CN1", "c_acctbal", c.at_least("c_acctbal", 0))
     return RuleSet("accounts", (
         Pass("customer", ("c_custkey",), (overdrawn,)),
         Pass("orders", ("o_orderkey",), (f.must_be_reported("RI1", c.always(), "detail"),),
@@ -336,9 +335,9 @@ def violation_summary(spark, sf):
 def gate(spark, sf):
     rules = RuleSet("accounts", (
         Pass("customer", ("c_custkey",),
-             (f.range_when_filled("CN1", "c_acctbal", c.at_least("c_acctbal", 0)),)),
+             (f.within("CN1", "c_acctbal", c.at_least("c_acctbal", 0)),)),
         Pass("orders", ("o_orderkey",),
-             (f.range_when_filled("CN2", "o_totalprice", c.at_least("o_totalprice", 0)),)),
+             (f.within("CN2", "o_totalprice", c.at_least("o_totalprice", 0)),)),
     ))
     tables = {n: table(spark, sf, n) for n in ["customer", "orders"]}
     return report.gate(evaluate(tables, rules, "20240131"))
@@ -357,7 +356,7 @@ def period_export(spark, sf):
     nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
     customers = customers.withColumn("counterparty_id", F.col("c_custkey"))
     rows = join_parent(orders, customers, [("o_custkey", "c_custkey")], "inner")
-    rows = join_parent(rows, nations, [("c_nationkey", "n_nationkey")], "inner")
+    rows = rows.join(nations, rows["c_nationkey"] == nations["n_nationkey"])
     return reshape.in_order(rows, {
         "account_id": "o_orderkey", "counterparty_id": "counterparty_id", "country": "n_name",
         "amount": "o_totalprice"})
