@@ -99,8 +99,8 @@ def reshaped(setting: Setting, job: Job, period: str, rows: DataFrame) -> DataFr
     constants = {"msr_prd_id": period, "ppn_tm": load_time(setting.moment), **job.constants}
     rows = reshape.with_constants(rows, constants)
     rows = tables.align(rows, job.target.schema)
-    fill = {"data_dt": data_date(period, job.cadence), **job.fill}
-    return reshape.fill_missing(rows, fill)
+    rows = reshape.fill_missing(rows, {"data_dt": data_date(period, job.cadence)})
+    return reshape.fill_missing(rows, job.fill) if job.fill else rows
 
 
 def store(setting: Setting, job: Job, period: str, rows: DataFrame) -> None:
@@ -116,6 +116,10 @@ def store(setting: Setting, job: Job, period: str, rows: DataFrame) -> None:
         # other periods only: the period itself is replaced, so a second run stores the same rows
         stored = spark.table(table).filter(F.col(tables.PERIOD) != period)
         rows = keys.skip_stored(rows, stored, job.target.key)
+        # a table cannot be overwritten while it is read, so the new rows are written aside first
+        path = f"{setting.folder}/new/{job.name}/{period}/{setting.run_id}"
+        files.write_chunks(rows, path)
+        rows = files.read_chunks(spark, path, rows.schema)
     tables.replace_period(rows, table, period)
     for name, key in job.dependents.items():
         _fill_dependent(setting, job, period, name, key)

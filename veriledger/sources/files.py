@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.operators.reshape import in_order
@@ -56,7 +57,7 @@ def write_violations(violations: DataFrame, folder: str, run_id: str,
     The rebalance gathers a rule's rows into few files and still splits a rule that holds most rows.
     """
     path = f"{folder.rstrip('/')}/{run_id}"
-    gathered = violations.hint("rebalance", *[violations[c] for c in by])
+    gathered = violations.hint("rebalance", *[F.col(c) for c in by])
     gathered.write.mode("overwrite").partitionBy(*by).option("header", True).option(
         "maxRecordsPerFile", rows_per_file
     ).csv(path)

@@ -18,6 +18,8 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType,
 
     With a location the files outlive the catalog: a new session finds the stored periods again.
     """
+    if spark.catalog.tableExists(table):
+        return
     fields = [f for f in schema.fields if f.name != PERIOD]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     place = f" location '{location}'" if location else ""
@@ -26,6 +28,8 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType,
         f"using parquet partitioned by ({PERIOD}){place}"
     )
     if location:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(location)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
         spark.catalog.recoverPartitions(table)
 
 
