@@ -114,5 +114,17 @@ select o_orderstatus as src_stm, 'CM1' as rule, count(*) as n from orders where
 """,
     "period_export": """
 select o_orderkey as account_id, c_custkey as counterparty_id, n_name as country, o_totalprice as amount from orders join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey where o_orderdate>=timestamp '2001-06-01'
+""",
+    "counterparty_stack": """
+select c_custkey as cntpr_id, c_name as name, c_acctbal as balance, c_mktsegment as segment, 'CMS' as src_stm from customer union all select s_suppkey, s_name, s_acctbal, null, 'TFS' from supplier
+""",
+    "prevalidation_failures": """
+select 'r1' as rule, cast(c_custkey as varchar) as key from customer where c_acctbal<0 union all select 'r2', cast(c_custkey as varchar) from customer where c_mktsegment='MACHINERY'
+""",
+    "violation_list": """
+select 'accounts' as entity, '20240131' as msr_prd_id, 'CN1' as rule, cast(c_custkey as varchar) as key from customer where c_acctbal<0 union all select 'accounts', '20240131', 'RI1', cast(o_orderkey as varchar) from orders o where not exists (select 1 from lineitem l where l.l_orderkey=o.o_orderkey)
+""",
+    "v11_reconcile_sources": """
+with a as (select o_orderstatus, sum(cast(o_totalprice as decimal(18,2))) as l0, sum(case when o_totalprice>100000 then cast(o_totalprice as decimal(18,2)) else 0 end) as l1 from orders group by 1), b as (select case when l_linestatus='O' then 'O' else 'F' end as o_orderstatus, sum(cast(l_extendedprice as decimal(18,2))) as r0, sum(case when l_quantity>10 then cast(l_extendedprice as decimal(18,2)) else 0 end) as r1 from lineitem group by 1), j as (select o_orderstatus, coalesce(l0,0) as l0, coalesce(l1,0) as l1, coalesce(r0,0) as r0, coalesce(r1,0) as r1 from a full join b using (o_orderstatus)) select 'CM1' as rule, o_orderstatus, l0 as left_sum, r0 as right_sum, l0-r0 as difference, l0>=r0 as ok from j union all select 'CM2', o_orderstatus, l1, r1, l1-r1, l1=r1 from j
 """,
 }
