@@ -92,6 +92,20 @@ def test_dependents_are_filled(spark, setting):
         assert spark.table(f"runs.{table}").count() == 2
 
 
+def test_staging_jobs(spark, setting):
+    rows = spark.createDataFrame([("P1", "E1", "x"), ("P2", "E1", "y")],
+                                 "cntpr_id string, ent_id string, name string")
+    result = run_job(setting(), JOBS["stage_counterparty_daily"], "20240331", rows)
+    assert result.passed and result.report is None and result.next_period == "20240401"
+    assert spark.table("runs.stg_ctp").count() == 2 and spark.table("runs.stg_ent").count() == 1
+    assert spark.table("runs.stg_ent_dtl").count() == 2
+    inside = spark.table("runs.stg_ctp").select("ent_id", "cntpr_id")
+    run_job(setting(), JOBS["stage_counterparty_entity"], "20240331", inside)
+    assert spark.table("runs.stg_ctp_ett").count() == 2
+    staged = run_job(setting(), JOBS["p1_monthly_stg_bld"], "20240331", _source(spark, "DER_BLD"))
+    assert staged.next_period == "20240331" and spark.table("runs.stg_bld").count() == 2
+
+
 def test_spaces_and_fillers(spark, setting):
     rows = spark.createDataFrame([("A1", "  ", 5), ("  ", "IN", 6)],
                                  "ac_id string, mvmt_tp string, mvmt_amt_in_baht int")

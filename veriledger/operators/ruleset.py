@@ -144,14 +144,13 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
     rows = base.withColumn(BROKEN, _bits(own, bit, Scope.of(base, codes)))
     done = {r.code for r in own}
 
-    for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on)):
-        parents = [(l, l.one_row_per_key(tables, codes)) for l in lookups]
-        spread = skew.FLAT
-        if small_bytes == 0 or not all(skew.is_broadcast_size(p) for _, p in parents):
-            measured = base if set(on) <= set(base.columns) else rows
-            spread = skew.measure(measured, on, small_bytes)
+    groups = [(on, [(l, l.one_row_per_key(tables, codes)) for l in lookups])
+              for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on))]
+    spreads = _spreads(tables, one, base, groups, small_bytes)
+    for on, parents in groups:
         for lookup, parent in parents:
-            rows = skew.join_parent(rows, parent, lookup.on, "left", spread, keep_salt=True)
+            rows = skew.join_parent(rows, parent, lookup.on, "left", spreads.get(on, skew.FLAT),
+                                    keep_salt=True)
             joined.add(lookup.name)
         rows = rows.drop(skew.SALT)
         ready = [r for r in one.rules if r.code not in done and set(r.needs) <= joined]
@@ -166,6 +165,27 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
     return rows.filter(F.col(BROKEN) != 0)
 
 
+def _spreads(tables: Tables, one: Pass, base: DataFrame, groups, small_bytes: int
+             ) -> dict[tuple[str, ...], skew.Spread]:
+    """Hot keys per join key, for joins whose parents are too large to be broadcast.
+
+    Keys of the base table are measured together. A key that an earlier lookup delivers is measured
+    in the table it comes from, which has the same hot values; rows the lookup misses have NULL.
+    """
+    large = [on for on, parents in groups
+             if small_bytes == 0 or not all(skew.is_broadcast_size(p) for _, p in parents)]
+    own = [on for on in large if set(on) <= set(base.columns)]
+    spreads = dict(zip(own, skew.measure_all(base, own, small_bytes)))
+    delivered = {f"{l.name}__{f.name}": (l.entity, f.of) for l in one.lookups for f in l.facts
+                 if isinstance(f.of, str)}
+    for on in set(large) - set(own):
+        if len(on) == 1 and on[0] in delivered:
+            entity, column = delivered[on[0]]
+            found = skew.measure(tables[entity], [column], small_bytes)
+            spreads[on] = skew.Spread(found.salts_of, skew.estimated_bytes(base) >= small_bytes)
+    return spreads
+
+
 def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes | None = None,
                small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
     """Long form: one row per broken rule and row of the base table."""

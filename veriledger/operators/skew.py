@@ -1,6 +1,6 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A join sends all rows of a key to one task. :func:`measure` counts, in one pass over the key columns,
+A join sends all rows of a key to one task. :func:`measure_all` counts, in one pass over the key columns,
 which keys hold more than ``HOT_SHARE`` of the rows; there can be at most ``1 / HOT_SHARE`` of them.
 The rows of a hot key are then split over several salts and its single parent row is repeated once
 per salt. Rows with a NULL key never match, so they are split without repeating anything.
@@ -88,30 +88,39 @@ def has_null(keys: Sequence[Column]) -> Column:
 def measure(child: DataFrame, keys: Sequence[str], small_bytes: int = SMALL_INPUT_BYTES,
             hot_share: float = HOT_SHARE) -> Spread:
     """Find the hot keys of ``child``. Small inputs are not measured."""
-    if estimated_bytes(child) < small_bytes:
-        return FLAT
-    cols = [F.col(k) for k in keys]
-    missing = has_null(cols)
-    # one row of bounded size: at most MOST_HOT_KEYS hashes
-    row = (
-        child.select(missing.alias("missing"), F.when(~missing, F.xxhash64(*cols)).alias("hashed"))
-        .agg(
-            F.count("*").alias("n"),
-            F.count_if("missing").alias("nulls"),
-            F.expr(f"approx_top_k(hashed, {MOST_HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
-        )
-        .head()
-    )
-    if not row["n"]:
-        return FLAT
+    return measure_all(child, [keys], small_bytes, hot_share)[0]
+
+
+def measure_all(child: DataFrame, key_lists: Sequence[Sequence[str]],
+                small_bytes: int = SMALL_INPUT_BYTES, hot_share: float = HOT_SHARE) -> list[Spread]:
+    """The hot keys of several keys of ``child``, found in one pass that reads only key columns."""
+    if not key_lists or estimated_bytes(child) < small_bytes:
+        return [FLAT] * len(key_lists)
+    hashed, counts = [], [F.count("*").alias("n")]
+    for i, keys in enumerate(key_lists):
+        cols = [F.col(k) for k in keys]
+        hashed.append(F.when(~has_null(cols), F.xxhash64(*cols)).alias(f"h{i}"))
+        counts += [
+            F.count(f"h{i}").alias(f"filled{i}"),
+            F.expr(f"approx_top_k(h{i}, {MOST_HOT_KEYS}, {TRACKED_KEYS})").alias(f"top{i}"),
+        ]
+    # one row of bounded size: at most MOST_HOT_KEYS hashes per key
+    row = child.select(*hashed).agg(*counts).head()
     limit = row["n"] * hot_share
+    if not limit:
+        return [FLAT] * len(key_lists)
+    return [_spread(row[f"top{i}"], row["n"] - row[f"filled{i}"], limit)
+            for i in range(len(key_lists))]
+
+
+def _spread(top, nulls: int, limit: float) -> Spread:
     salts_of: dict[int, list[int]] = {}
-    for item in row["top"]:
+    for item in top:
         if item["item"] is None or item["count"] <= limit:
             continue
         salts = min(MOST_SALTS, 1 << math.ceil(math.log2(item["count"] / limit)))
         salts_of.setdefault(max(salts, 2), []).append(item["item"])
-    return Spread(salts_of, split_nulls=row["nulls"] > limit)
+    return Spread(salts_of, split_nulls=nulls > limit)
 
 
 def add_salt(child: DataFrame, keys: Sequence[str], spread: Spread) -> DataFrame:

@@ -265,6 +265,21 @@ def v11_reconcile_sources(spark, sf):
     return reconcile(table(spark, sf, "orders"), lines, balances, ["o_orderstatus"])
 
 
+def totals_by_day(spark, sf):
+    """Filtered sums of two tables, joined on two keys that have other names on each side."""
+    orders = table(spark, sf, "orders").groupBy(
+        F.col("o_orderdate").alias("ds_dt"), F.col("o_orderstatus").alias("org")).agg(
+        F.sum(amount(F.col("o_totalprice"))).alias("total"),
+        F.sum(F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
+                     amount(F.col("o_totalprice")))).alias("urgent"))
+    lines = table(spark, sf, "lineitem").groupBy(
+        F.col("l_shipdate").alias("data_dt"), F.col("l_linestatus").alias("org_id")).agg(
+        F.sum(amount(F.col("l_extendedprice"))).alias("shipped"))
+    both = join_parent(orders, lines, [("ds_dt", "data_dt"), ("org", "org_id")], "inner")
+    return both.select(F.col("ds_dt").cast("date").alias("ds_dt"), "org",
+                       (F.col("total") - F.col("shipped")).alias("difference"), "urgent")
+
+
 def v12_check_digit(spark, sf):
     return table(spark, sf, "customer").select(
         "c_custkey", thai_id_check(F.lpad(F.col("c_custkey").cast("string"), 13, "1")).alias("ok"))
@@ -370,7 +385,7 @@ QUERIES = {q.__name__: q for q in [
     v1_required_if_lookup, v2_non_negative, v2_between, v3_date_order, v4_iff_blank,
     v5_either_present, v6_ref_integrity, v7_conditional_ref, v8_either_parent,
     v9_must_be_reported, v10_must_not_be_reported, v11_reconcile_ge, v11_reconcile_equal_quarter,
-    v11_reconcile_sources, v12_check_digit, v13_typed_value, v14_sentinel_after_cutoff,
+    v11_reconcile_sources, totals_by_day, v12_check_digit, v13_typed_value, v14_sentinel_after_cutoff,
     v15_code_list, v16_hierarchy, v17_self_reference, v18_other_described, violation_list,
     violation_summary, gate, violation_by_source, period_export,
 ]}

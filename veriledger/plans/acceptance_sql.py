@@ -126,5 +126,8 @@ select 'accounts' as entity, '20240131' as msr_prd_id, 'CN1' as rule, cast(c_cus
 """,
     "v11_reconcile_sources": """
 with a as (select o_orderstatus, sum(cast(o_totalprice as decimal(18,2))) as l0, sum(case when o_totalprice>100000 then cast(o_totalprice as decimal(18,2)) else 0 end) as l1 from orders group by 1), b as (select case when l_linestatus='O' then 'O' else 'F' end as o_orderstatus, sum(cast(l_extendedprice as decimal(18,2))) as r0, sum(case when l_quantity>10 then cast(l_extendedprice as decimal(18,2)) else 0 end) as r1 from lineitem group by 1), j as (select o_orderstatus, coalesce(l0,0) as l0, coalesce(l1,0) as l1, coalesce(r0,0) as r0, coalesce(r1,0) as r1 from a full join b using (o_orderstatus)) select 'CM1' as rule, o_orderstatus, l0 as left_sum, r0 as right_sum, l0-r0 as difference, l0>=r0 as ok from j union all select 'CM2', o_orderstatus, l1, r1, l1-r1, l1=r1 from j
+""",
+    "totals_by_day": """
+select cast(a.d as date) as ds_dt, a.org, a.total-b.shipped as difference, a.urgent from (select o_orderdate as d, o_orderstatus as org, sum(cast(o_totalprice as decimal(18,2))) as total, sum(case when o_orderpriority in ('1-URGENT','2-HIGH') then cast(o_totalprice as decimal(18,2)) end) as urgent from orders group by 1,2) a join (select l_shipdate as d, l_linestatus as org, sum(cast(l_extendedprice as decimal(18,2))) as shipped from lineitem group by 1,2) b on a.d=b.d and a.org=b.org
 """,
 }

@@ -14,6 +14,7 @@ from veriledger.specs.entities import ENTITIES, Entity
 DAILY, MONTHLY = "daily", "monthly"
 WAREHOUSE, STAGING, TEXT, INSIDE, NOTHING = (
     "warehouse", "staging tables", "pipe text", "in-warehouse", "none")
+NO_STEP = "none"
 LOAD, RESHAPE, APPLY, VALIDATE, EXPORT = "load", "reshape", "apply", "validate", "export"
 ALL_STAGES = (LOAD, RESHAPE, APPLY, VALIDATE, EXPORT)
 
@@ -28,7 +29,8 @@ class Job:
 
     ``new_only`` stores only keys that are not stored yet. ``set_from`` names the table and the
     (column, key) that fill a column by key. ``dependents`` are tables filled from the entity after
-    it is stored, with the columns that identify their rows.
+    it is stored, with the columns that identify their rows. ``step`` is how the period moves on when
+    that is not the cadence.
     """
 
     name: str
@@ -45,6 +47,7 @@ class Job:
     set_from: tuple[str, str, str] | None = None
     dependents: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     exports_when_failed: bool = True
+    step: str | None = None
 
     @property
     def target(self) -> Entity:
@@ -146,7 +149,8 @@ JOBS = {j.name: j for j in [
     _job("DER_PVG", MONTHLY, WAREHOUSE, collateral.PVG_MONTHLY),
     _job("DER_BLP", MONTHLY, WAREHOUSE, counterparty.BLP_MONTHLY),
     _job("DER_RTR", MONTHLY, WAREHOUSE, counterparty.RTR_MONTHLY, new_only=True),
-    _job("DER_CPEN", MONTHLY, STAGING, counterparty.CPEN, dependents=_ENTITY_MASTER),
+    _job("DER_CPEN", MONTHLY, STAGING, counterparty.CPEN, dependents=_ENTITY_MASTER,
+         step=DAILY),
     _job("DER_CPDG", MONTHLY, WAREHOUSE, counterparty.CPDG),
     _job("DER_INTR", MONTHLY, WAREHOUSE, interest.INTR),
     _job("DER_REV", MONTHLY, WAREHOUSE, review.REV_MONTHLY),
@@ -159,7 +163,7 @@ JOBS = {j.name: j for j in [
     _job("DER_OTDM", MONTHLY, WAREHOUSE, outstanding.OTDM_P1, "p1_"),
     _job("DER_LND", MONTHLY, WAREHOUSE, collateral.LND_P1, "p1_"),
     _job("DER_BLD", MONTHLY, WAREHOUSE, collateral.BLD_P1, "p1_"),
-    _job("DER_BLD", MONTHLY, WAREHOUSE, None, "p1_stage_", stages=_PASSES_ON),
+    _job("STG_BLD", MONTHLY, WAREHOUSE, None, "p1_", stages=_PASSES_ON, step=NO_STEP),
     _job("DER_BLP", MONTHLY, WAREHOUSE, counterparty.BLP_P1, "p1_"),
     _job("DER_PLP", MONTHLY, WAREHOUSE, counterparty.PLP_P1, "p1_"),
     _job("DER_CPEN", MONTHLY, WAREHOUSE, counterparty.CPEN, "p1_",

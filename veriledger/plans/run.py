@@ -75,7 +75,9 @@ def run_job(setting: Setting, job: Job, period: str, source: DataFrame | None =
     path = None
     if j.EXPORT in job.stages and (passed or job.exports_when_failed):
         path = export(setting, job, period)
-    return Result(passed, counts, path, advance(period, job.cadence) if passed else period, bad)
+    moves = passed and job.step != j.NO_STEP
+    following = advance(period, job.step or job.cadence) if moves else period
+    return Result(passed, counts, path, following, bad)
 
 
 def _prevalidated(setting: Setting, job: Job, period: str, rows: DataFrame,
@@ -127,8 +129,6 @@ def store(setting: Setting, job: Job, period: str, rows: DataFrame) -> None:
 
 def _fill_dependent(setting: Setting, job: Job, period: str, name: str, key: Sequence[str]) -> None:
     stored = tables.read_period(setting.spark, setting.table(job.entity), period)
-    if not set(key) <= set(stored.columns):
-        stored = _frame(setting, name, period)
     schema = ENTITIES[name].schema
     table = setting.table(name)
     tables.create_table(setting.spark, table, schema)

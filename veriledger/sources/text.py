@@ -37,7 +37,8 @@ def read_pipe_text(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     cell neither fails the job nor passes unseen.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.csv(paths, sep=SEPARATOR, schema=as_text, header=False, mode="PERMISSIVE")
+    raw = spark.read.csv(paths, sep=SEPARATOR, schema=as_text, header=False, mode="PERMISSIVE",
+                         escape='"')
     text = raw.select(*[null_words_to_null(F.col(f.name)).alias(f.name) for f in schema.fields])
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
     rows = text.select(*[typed[f.name].alias(f.name) for f in schema.fields])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -149,11 +149,13 @@ ENTITIES = {e.name: e for e in [
     _entity("MAS_ENT_DTL", "Master Entity Detail", "ent_id cntpr_id"),
     _entity("STG_ENT", "Staged Entity", "ent_id"),
     _entity("STG_ENT_DTL", "Staged Entity Detail", "ent_id cntpr_id"),
-    _entity("STG_CTP", "Staged Counterparty", "cntpr_id", "name"),
+    _entity("STG_CTP", "Staged Counterparty", "cntpr_id", "ent_id name"),
     _entity("STG_CTP_ETT", "Staged Counterparty Entity", "ent_id cntpr_id"),
     _entity("STG_CAC", "Staged Credit Account", "ac_id", "loan_type"),
 ]}
 
+ENTITIES["STG_BLD"] = replace(ENTITIES["DER_BLD"], name="STG_BLD", title="Staged Building")
+
 # Words of the report's column names for the short names above.
 REPORT_NAMES = {
     "ac_id": "Account Id",
