@@ -47,7 +47,8 @@ def test_planted_faults(spark, name):
     assert mine == expected
 
 
-@pytest.mark.parametrize("name", ["daily_rli", "monthly_cacd", "monthly_rev"])
+@pytest.mark.parametrize("name", ["daily_cpid", "daily_rli", "monthly_acxac", "monthly_cacd", "monthly_cl",
+                                  "monthly_clp", "monthly_cpdg", "monthly_rev", "p1_monthly_rsk"])
 def test_planted_faults_with_measured_keys(spark, name):
     mine, expected = found(spark, JOBS[name], small_bytes=0)
     assert mine == expected

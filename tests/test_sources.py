@@ -4,7 +4,6 @@ import datetime
 import json
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.functions.periods import advance, data_date, load_time
@@ -14,6 +13,7 @@ from veriledger.operators import families as f
 from veriledger.plans import landing
 from veriledger.plans.jobs import LANDINGS
 from veriledger.sources import control, files, jdbc, tables, text
+from veriledger.sources.shared import shared_folder
 
 MOMENT = datetime.datetime(2024, 1, 31, 18, 0, tzinfo=datetime.timezone.utc)
 OTDD = T.StructType([
@@ -225,11 +225,11 @@ def test_periods():
 def test_shared_folder(spark):
     from types import SimpleNamespace
 
-    assert files.shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d),
                               sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError):
-        files.shared_folder(cluster, "x")
+        shared_folder(cluster, "x")
 
 
 def test_entities_round_trip(spark):
@@ -237,4 +237,12 @@ def test_entities_round_trip(spark):
 
     assert len({json.dumps(sorted(e.schema.names)) for e in ENTITIES.values()}) > 50
     assert list(report_names(ENTITIES["DER_CC"]))[:3] == ["Organization Id", "Data Date", "Account Id"]
-    assert F.lit(1) is not None
+
+
+def test_settings_grow_with_the_input():
+    from veriledger.plans.settings import run_settings
+
+    small, large = run_settings(1 << 30), run_settings(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(large["spark.sql.shuffle.partitions"]) == 81920
+    assert int(large["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])

@@ -21,6 +21,7 @@ from veriledger.operators import skew
 from veriledger.operators.conditions import Condition, Scope
 from veriledger.operators.families import Rule
 from veriledger.operators.reconcile import Reconciliation
+from veriledger.sources.shared import shared_folder
 
 Tables = Mapping[str, DataFrame]
 Codes = Mapping[str, Sequence[str]]
@@ -144,15 +145,23 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
     rows = base.withColumn(BROKEN, _bits(own, bit, Scope.of(base, codes)))
     done = {r.code for r in own}
 
-    groups = [(on, [(l, l.one_row_per_key(tables, codes)) for l in lookups])
-              for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on))]
-    spreads = _spreads(tables, one, base, groups, small_bytes)
-    for on, parents in groups:
-        for lookup, parent in parents:
-            rows = skew.join_parent(rows, parent, lookup.on, "left", spreads.get(on, skew.FLAT),
-                                    keep_salt=True)
-            joined.add(lookup.name)
-        rows = rows.drop(skew.SALT)
+    steps = [_Step(on, [(l, l.one_row_per_key(tables, codes)) for l in lookups])
+             for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on))]
+    large = [s for s in steps if small_bytes == 0 or not s.is_broadcast]
+    if large and skew.estimated_bytes(base) < small_bytes:
+        large = []
+    # reference checks of large tables need no join of whole rows: only keys without a parent do
+    by_missing = [s for s in large if s.is_reference and set(s.on) <= set(base.columns)]
+    spreads = _spreads(tables, one, base, [s for s in large if s not in by_missing])
+    for step in steps:
+        if step in by_missing:
+            rows = _mark_missing(rows, base, step, small_bytes)
+        else:
+            for lookup, parent in step.parents:
+                rows = skew.join_parent(rows, parent, lookup.on, "left",
+                                        spreads.get(step.on, skew.FLAT), keep_salt=True)
+            rows = rows.drop(skew.SALT)
+        joined |= {l.name for l, _ in step.parents}
         ready = [r for r in one.rules if r.code not in done and set(r.needs) <= joined]
         if ready:
             bits = _bits(ready, bit, Scope.of(rows, codes))
@@ -165,24 +174,66 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
     return rows.filter(F.col(BROKEN) != 0)
 
 
-def _spreads(tables: Tables, one: Pass, base: DataFrame, groups, small_bytes: int
+@dataclass(frozen=True)
+class _Step:
+    """Lookups that follow each other and join on the same columns of the base table."""
+
+    on: tuple[str, ...]
+    parents: Sequence[tuple[Lookup, DataFrame]]
+
+    @property
+    def is_broadcast(self) -> bool:
+        return all(skew.is_broadcast_size(p) for _, p in self.parents)
+
+    @property
+    def is_reference(self) -> bool:
+        """One parent, asked only whether it exists. Rows nearly always have it.
+
+        With several parents on one column a row usually has just one of them, so the keys some
+        parent lacks are about as many as the keys.
+        """
+        return len(self.parents) == 1 and not self.parents[0][0].facts
+
+
+def _mark_missing(rows: DataFrame, base: DataFrame, step: _Step, small_bytes: int) -> DataFrame:
+    """Mark which rows have a parent, by way of the keys that have none.
+
+    The distinct keys of the base table are compared with the parent's keys, so neither side has a
+    hot key. The keys without a parent are written down: their number is then known, and Spark joins
+    them back by broadcast when they are few, which leaves the base table unshuffled. When they are
+    many, the hot ones among them are spread.
+    """
+    (lookup, parent), on = step.parents[0], list(step.on)
+    keys = base.select(*on).dropna().distinct()
+    missing = skew.join_parent(keys, parent, lookup.on, "left_anti", skew.FLAT)
+    path = shared_folder(base.sparkSession, "missing")
+    missing.write.parquet(path)
+    name = f"{lookup.name}__missing"
+    stored = base.sparkSession.read.schema(missing.schema).parquet(path).withColumn(name, F.lit(True))
+    spread = skew.FLAT
+    if small_bytes == 0 or not skew.is_broadcast_size(stored):
+        spread = skew.measure(base, on, small_bytes)
+    rows = skew.join_parent(rows, stored, [(c, c) for c in on], "left", spread)
+    known = ~skew.has_null([F.col(c) for c in on]) & F.col(name).isNull()
+    return rows.withColumn(f"{lookup.name}__found", F.when(known, True))
+
+
+def _spreads(tables: Tables, one: Pass, base: DataFrame, steps: Sequence[_Step]
              ) -> dict[tuple[str, ...], skew.Spread]:
-    """Hot keys per join key, for joins whose parents are too large to be broadcast.
+    """Hot keys per join key of large tables.
 
     Keys of the base table are measured together. A key that an earlier lookup delivers is measured
     in the table it comes from, which has the same hot values; rows the lookup misses have NULL.
     """
-    large = [on for on, parents in groups
-             if small_bytes == 0 or not all(skew.is_broadcast_size(p) for _, p in parents)]
-    own = [on for on in large if set(on) <= set(base.columns)]
-    spreads = dict(zip(own, skew.measure_all(base, own, small_bytes)))
+    own = [s.on for s in steps if set(s.on) <= set(base.columns)]
+    spreads = dict(zip(own, skew.measure_all(base, own, small_bytes=0)))
     delivered = {f"{l.name}__{f.name}": (l.entity, f.of) for l in one.lookups for f in l.facts
                  if isinstance(f.of, str)}
-    for on in set(large) - set(own):
+    for on in [s.on for s in steps if s.on not in spreads]:
         if len(on) == 1 and on[0] in delivered:
             entity, column = delivered[on[0]]
-            found = skew.measure(tables[entity], [column], small_bytes)
-            spreads[on] = skew.Spread(found.salts_of, skew.estimated_bytes(base) >= small_bytes)
+            found = skew.measure(tables[entity], [column], small_bytes=0)
+            spreads[on] = skew.Spread(found.salts_of, split_nulls=True)
     return spreads
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from veriledger.functions.periods import load_time
 from veriledger.operators import reshape
@@ -67,4 +66,4 @@ def staged_rows(spark: SparkSession, landings: list[Landing], period: str,
     return reshape.stack_sources({
         l.source: tables.read_period(spark, staging_table(database, l), period).drop("src_stm")
         for l in landings
-    }).withColumn("src_stm", F.col("src_stm"))
+    })

@@ -15,6 +15,7 @@ from veriledger.functions import period_date
 from veriledger.operators import keys, report, reshape
 from veriledger.plans.acceptance import table, violation_list
 from veriledger.sources import files, tables, text
+from veriledger.sources.shared import shared_folder
 
 PERIOD = "20240131"
 
@@ -33,7 +34,7 @@ STORED = T.StructType([
 
 def land_pipe_text(spark, sf):
     """Headerless pipe text by name and period, typed by a schema, then spaces cleared."""
-    folder = files.shared_folder(spark, "landing")
+    folder = shared_folder(spark, "landing")
     # one file name with two parts, as a source delivers large files
     parts = {f"{folder}/orders_{PERIOD}.TXT": "o_orderstatus = 'F'",
              f"{folder}/orders_{PERIOD}.TXT2": "o_orderstatus <> 'F'"}
@@ -66,7 +67,7 @@ class _Stored:
     def __init__(self, spark):
         self.spark = spark
         self.name = f"accounts_{uuid.uuid4().hex}"
-        self.folder = files.shared_folder(spark, "table")
+        self.folder = shared_folder(spark, "table")
 
     def __enter__(self) -> str:
         tables.create_table(self.spark, self.name, STORED, self.folder)
@@ -108,7 +109,7 @@ def append_new_keys(spark, sf):
         text_keys = accounts.withColumn("ac_id", F.col("ac_id").cast("string"))
         new = keys.skip_stored(keys.cast_keys(text_keys, {"ac_id": "bigint"}),
                                stored.rows(), ["ac_id"])
-        chunks = files.shared_folder(spark, "new")
+        chunks = shared_folder(spark, "new")
         files.write_chunks(new.withColumn("amt", -F.col("amt")), chunks)
         tables.append_rows(files.read_chunks(spark, chunks), name)
     return stored.rows()
@@ -134,7 +135,7 @@ def query_parameters(spark, sf):
 
 def parquet_chunks(spark, sf):
     """Files of a limited number of rows, read back by glob."""
-    folder = files.shared_folder(spark, "chunks")
+    folder = shared_folder(spark, "chunks")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     files.write_chunks(lines, folder, rows_per_file=50_000)
     return files.read_chunks(spark, f"{folder}/*.parquet")
@@ -143,7 +144,7 @@ def parquet_chunks(spark, sf):
 def export_report(spark, sf):
     """A period's report as CSV with report column names, read back as text."""
     accounts = _accounts(spark, sf).filter("msr_prd_id = '20001231'")
-    path = files.export_report(accounts, files.shared_folder(spark, "reports"), "20001231",
+    path = files.export_report(accounts, shared_folder(spark, "reports"), "20001231",
                                {"account_id": "ac_id", "amount": "amt"})
     return spark.read.csv(path, header=True, schema="account_id string, amount string")
 
@@ -152,7 +153,7 @@ def violation_files(spark, sf):
     """Violation files by rule and source, counted from the files."""
     violations = violation_list(spark, sf).withColumn(
         "src_stm", F.when(F.col("rule") == "CN1", "CMS").otherwise("TFS"))
-    path = files.write_violations(violations, files.shared_folder(spark, "violations"), "run1")
+    path = files.write_violations(violations, shared_folder(spark, "violations"), "run1")
     return report.by_source(spark.read.csv(path, header=True))
 
 

@@ -1,0 +1,29 @@
+"""Spark settings for a run of a given size."""
+
+from __future__ import annotations
+
+import math
+
+MIB = 1 << 20
+GIB = 1 << 30
+PARTITION_BYTES = 256 * MIB
+# rule runs shuffle keys, flags and the few columns of later rules, not whole rows
+SHUFFLED_SHARE = 0.2
+
+
+def run_settings(input_bytes: int) -> dict[str, str]:
+    """Settings that keep a task's share of scan and shuffle at a few hundred MiB.
+
+    The shuffle starts with enough partitions for the input; adaptive execution merges small ones
+    and splits what is still skewed.
+    """
+    shuffled = math.ceil(input_bytes * SHUFFLED_SHARE / PARTITION_BYTES)
+    scan = 512 * MIB if input_bytes > 10_000 * GIB else 128 * MIB
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": str(max(200, shuffled)),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }

@@ -1,9 +1,7 @@
-"""Files: Parquet in row chunks, period reports, violation files, and the shared scratch folder."""
+"""Files: Parquet in row chunks, period reports, violation files."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,19 +13,6 @@ from veriledger.operators.reshape import in_order
 ROWS_PER_FILE = 5_000_000
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's `spark.checkpoint.dir`.
-
-    Only where that is unset, as on a single machine, a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir names no shared folder")
-        base = tempfile.mkdtemp(prefix="shared-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def write_chunks(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
 

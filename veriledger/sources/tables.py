@@ -56,7 +56,8 @@ def write_period(df: DataFrame, table: str) -> None:
     """Replace the periods that ``df`` holds and leave all others. Running it twice changes nothing.
 
     Each task writes its rows of a period to its own files, without a shuffle; Spark commits the
-    files together, so a lost executor leaves no half-written period.
+    files together, so a lost executor leaves no half-written period. The mode is a session setting
+    because `insertInto` takes no writer option for it.
     """
     spark = df.sparkSession
     columns = spark.table(table).columns

@@ -44,7 +44,7 @@ def read_pipe_text(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     rows = text.select(*[typed[f.name].alias(f.name) for f in schema.fields])
     casts = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     if not casts:
-        return Landed(rows, text.withColumn(BAD_CELLS, F.lit(None).cast("array<string>")).limit(0))
+        return Landed(rows, text.withColumn(BAD_CELLS, F.lit(None).cast("array<string>")).filter("false"))
     bad = {f.name: F.col(f.name).isNotNull() & typed[f.name].isNull() for f in casts}
     names = F.array_compact(F.array(*[F.when(test, F.lit(n)) for n, test in bad.items()]))
     any_bad = F.greatest(*bad.values()) if len(bad) > 1 else next(iter(bad.values()))
