@@ -42,9 +42,9 @@ def bad_rows(flagged: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 def failures(flagged: DataFrame, flags: Sequence[str], key: Sequence[str]) -> DataFrame:
     """Long form: one row per broken rule and row, with the source system if there is one."""
-    names = F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in flags]))
+    names = F.array(*[F.when(F.col(f), F.lit(f)) for f in flags])
     any_flag = F.greatest(*[F.col(f) for f in flags]) if len(flags) > 1 else F.col(flags[0])
     source = F.col("src_stm") if "src_stm" in flagged.columns else F.lit(None).cast("string")
     return flagged.filter(any_flag).select(
         F.explode(names).alias("rule"), key_text(key).alias("key"), source.alias("src_stm")
-    )
+    ).filter(F.col("rule").isNotNull())

@@ -241,12 +241,12 @@ def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes
                small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
     """Long form: one row per broken rule and row of the base table."""
     flagged = flag_rows(tables, one, codes, small_bytes)
-    listed = F.array_compact(
-        F.array(*[
-            F.when(F.col(BROKEN).bitwiseAND(F.lit(1 << i)) != 0, F.lit(r.code))
-            for i, r in enumerate(one.rules)
-        ])
-    )
+    # exploding the gaps too and dropping them stays in generated code; array functions with a
+    # lambda would not
+    listed = F.array(*[
+        F.when(F.col(BROKEN).bitwiseAND(F.lit(1 << i)) != 0, F.lit(r.code))
+        for i, r in enumerate(one.rules)
+    ])
     source = F.col("src_stm") if "src_stm" in flagged.columns else F.lit(None).cast("string")
     return flagged.select(
         F.lit(entity).alias("entity"),
@@ -254,7 +254,7 @@ def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes
         F.explode(listed).alias("rule"),
         key_text(one.key).alias("key"),
         source.alias("src_stm"),
-    )
+    ).filter(F.col("rule").isNotNull())
 
 
 def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None = None,

@@ -17,8 +17,9 @@ PERIOD = "20240131"
 
 
 def entities(spark, sf_dir: str, names, **replaced: str) -> dict[str, DataFrame]:
-    sources = {t: table(spark, sf_dir, t) for t in BASE_TABLES}
     texts = {n: replaced.get(n, ENTITY_SQL[n]) for n in names}
+    sources = {t: table(spark, sf_dir, t) for t in BASE_TABLES
+               if any(f"{{{t}}}" in text for text in texts.values())}
     return {n: spark.sql(text, **{t: df for t, df in sources.items() if f"{{{t}}}" in text})
             for n, text in texts.items()}
 

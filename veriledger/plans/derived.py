@@ -91,7 +91,8 @@ from {events}
 """
 
 _RLI = """
-select case when event_id % 23 = 0 then 'none' else 'T' || cast(event_id as string) end as txn_id,
+select case when event_id % 23 = 0 then 'none' when event_id % 10 = 0 then 'X' || cast(event_id as string)
+    else 'T' || cast(event_id as string) end as txn_id,
   case when event_id % 2 = 0 then 'portfolio_investment' when event_id % 5 = 0 then '  ' end
     as investment_type,
   case when event_id % 3 = 0 then 'bond_instruments' end as instrument_type,
@@ -99,7 +100,7 @@ select case when event_id % 23 = 0 then 'none' else 'T' || cast(event_id as stri
   case when event_id % 6 = 0 then 'x' end as repayment_due_ind,
   case when event_id % 8 = 0 then '' else 'x' end as loan_declaration_type,
   case when event_id % 9 = 0 then cast(ts as date) end as maturity_date
-from {events} where event_id % 10 <> 0
+from {events}
 """
 
 _RSK = """
@@ -120,7 +121,8 @@ from {events}
 """
 
 _CL = """
-select 'L' || cast(c_custkey as string) as credit_line_id,
+select case when c_custkey % 11 = 0 then 'Z' else 'L' end || cast(c_custkey as string)
+    as credit_line_id,
   case when c_custkey % 4 = 0 then 'L' || cast(c_custkey as string)
     else 'L' || cast(c_custkey - c_custkey % 4 as string) end as root_credit_line_id,
   case when c_custkey % 4 = 0 and c_custkey % 40 <> 0 then ' '
@@ -132,7 +134,7 @@ select 'L' || cast(c_custkey as string) as credit_line_id,
   case when c_custkey % 6 = 0 then cast('2024-01-01' as date) else cast('2024-01-02' as date) end
     as effective_date,
   cast(c_acctbal as decimal(18,2)) as line_amount_oc, cast(c_custkey % 4 as int) as level_number
-from {customer} where c_custkey % 11 <> 0
+from {customer}
 """
 
 _BLD = """
@@ -171,9 +173,10 @@ ENTITY_SQL = {
                "where c_mktsegment = 'MACHINERY'",
     "REF_FI_CODE": "select 'B' || cast(n_nationkey as string) as fi_code from {nation} "
                    "where n_regionkey < 3",
-    "DER_APP": "select 'N' || cast(c_custkey as string) as application_id, case when c_nationkey < 12 "
+    "DER_APP": "select case when c_custkey % 10 = 0 then 'M' else 'N' end || cast(c_custkey as string) as "
+               "application_id, case when c_nationkey < 12 "
                "then cast('2023-10-01' as date) else cast('2023-09-30' as date) end "
-               "as application_date from {customer} where c_custkey % 10 <> 0",
+               "as application_date from {customer}",
     "DER_OTDD": "select 'A' || cast(l_orderkey as string) as ac_id, cast('2024-01-31' as date) as "
                 "data_dt, l_returnflag as org_id, cast(l_extendedprice as decimal(18,2)) - 20000 as "
                 "otsnd_amt_in_orig_ccy from {lineitem}",
@@ -201,7 +204,7 @@ ENTITY_SQL = {
     "DER_CLP": "select 'L' || cast(s_suppkey as string) as credit_line_id, 'G' || "
                "cast(s_suppkey as string) as protection_id from {supplier}",
     "DER_PVG": "select 'G' || cast(l_suppkey as string) as pledge_id, 'V' || cast(l_partkey as string) "
-               "as valuation_group_id from {lineitem} where l_linenumber = 1",
+               "as valuation_group_id from {lineitem}",
     "DER_CVG": "select 'V' || cast(p_partkey as string) as valuation_group_id, 'C' || "
                "cast(p_partkey as string) as collateral_id from {part}",
 }
