@@ -58,9 +58,56 @@ def test_planted_faults_with_measured_keys(spark, name):
 def test_every_rule_has_a_fault(name):
     job = JOBS[name]
     covered = {code for codes, _ in FAULTS[name] for code in codes}
-    ledger = {b.code for r in job.rules.reconciliations for b in r.balances if r.right != "DS_FCP"}
+    ledger = {b.code for r in job.rules.reconciliations for a in r.against for b in a.balances
+              if a.entity != "DS_FCP"}
     assert set(job.rules.codes) - ledger == covered
 
 
 def test_all_jobs_with_rules_are_covered():
     assert {j.name for j in JOBS.values() if j.rules} == set(FAULTS)
+
+
+def test_ledgers(spark):
+    """Each of the six balances is off by one in its own period, and holds in a clean one."""
+    import datetime
+    from decimal import Decimal
+
+    from veriledger.specs import codes as k
+    from veriledger.specs.outstanding import OTDM_BALANCES, OTDM_P1
+
+    quarter, other = datetime.date(2024, 3, 31), datetime.date(2024, 2, 29)
+    classes = [a for a, _ in k.CLASS_PAIRS.values()]
+    otdm = [(d, org, cls, Decimal(100), Decimal(30)) for d in (quarter, other)
+            for org in ("TCB", "FCB") for cls in classes]
+    bls = [(d, g, item, Decimal(250)) for d in (quarter, other) for g in ("116002", "116003")
+           for item in ("955010", "955124")]
+    bls += [(quarter, "116008", "955010", Decimal(7)), (quarter, "116002", "955011", Decimal(7))]
+    pvs = [(quarter, g, p, "960080", Decimal(70)) for g in ("116002", "116008")
+           for _, p in k.CLASS_PAIRS.values()]
+    pvs += [(quarter, "116003", "020011", "960080", Decimal(9)), (quarter, "116002", "020011", "1", Decimal(9))]
+
+    def differences(otdm, bls, pvs):
+        tables = {
+            "DER_OTDM": spark.createDataFrame(otdm, "data_dt date, org_id string, ast_and_cntg_clss "
+                                              "string, otsnd_amt_in_baht decimal(18,2), "
+                                              "uern_rev_in_baht decimal(18,2)"),
+            "DS_BLS": spark.createDataFrame(bls, "ds_dt date, fi_rpt_grp_id string, bsh_itm_tp_id "
+                                            "string, bsh_amt decimal(18,2)"),
+            "DS_PVS": spark.createDataFrame(pvs, "ds_dt date, fi_rpt_grp_id string, ast_cl_tp_id "
+                                            "string, prvn_smy_itm_tp_id string, amt decimal(18,2)"),
+        }
+        for view in OTDM_P1.views:
+            tables[view.name] = view.build(tables, {})
+        return OTDM_BALANCES.differences(tables, {}).collect()
+
+    clean = differences(otdm, bls, pvs)
+    assert len(clean) == 24 and all(r["ok"] for r in clean)
+    off = differences(otdm, bls[1:], [*pvs[1:], (quarter, "116002", "020013", "960080", Decimal(1))])
+    broken = {(r["rule"], r["org_id"], r["data_dt"]): r["difference"] for r in off if not r["ok"]}
+    assert broken == {
+        ("CMOTDM003", "TCB", quarter): Decimal(250),
+        ("CMOTDM004", "TCB", quarter): Decimal(70),
+        ("CMOTDM006", "TCB", quarter): Decimal(-1),
+    }
+    alone = differences(otdm[:0], bls, pvs[:0])
+    assert {r["rule"] for r in alone} == {"CMOTDM003"} and not any(r["ok"] for r in alone)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from veriledger.functions.values import amount
 from veriledger.operators import conditions as c
 from veriledger.operators.conditions import Condition, Scope, true_when
+from veriledger.operators.skew import join_parent
 
 
 @dataclass(frozen=True)
@@ -42,51 +43,79 @@ class Balance:
     at_least: bool = False
 
 
+@dataclass(frozen=True)
+class Against:
+    """A table to reconcile with, its grouping columns and the balances to hold."""
+
+    entity: str
+    balances: tuple[Balance, ...]
+    by: tuple[str, ...] = ("data_dt", "org_id")
+
+
 @dataclass(frozen=True)
 class Reconciliation:
-    """Balances between two entities. ``left_lookups`` add columns the left filters read."""
+    """Balances of one entity with others. ``left_lookups`` add columns the left filters read."""
 
     left: str
-    right: str
-    balances: tuple[Balance, ...]
+    against: tuple[Against, ...]
     by: tuple[str, ...] = ("data_dt", "org_id")
-    right_by: tuple[str, ...] = ("data_dt", "org_id")
     left_lookups: tuple = ()
 
+    @property
+    def balances(self) -> list[Balance]:
+        return [b for a in self.against for b in a.balances]
+
+    @property
+    def reads(self) -> set[str]:
+        return {self.left, *(a.entity for a in self.against), *(l.entity for l in self.left_lookups)}
+
     def differences(self, tables: Mapping[str, DataFrame],
                     codes: Mapping[str, Sequence[str]]) -> DataFrame:
-        from veriledger.operators.skew import join_parent
-
         left = tables[self.left]
         for lookup in self.left_lookups:
             left = join_parent(left, lookup.one_row_per_key(tables, codes), lookup.on, "left")
-        return reconcile(left, tables[self.right], self.balances, self.by, self.right_by, codes)
+        rights = [(tables[a.entity], a.balances, a.by) for a in self.against]
+        return reconcile_all(left, rights, self.by, codes)
 
 
 def reconcile(left: DataFrame, right: DataFrame, balances: Sequence[Balance], by: Sequence[str],
               right_by: Sequence[str] | None = None,
               codes: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Reconcile two tables; see :func:`reconcile_all`."""
+    return reconcile_all(left, [(right, balances, right_by or by)], by, codes)
+
+
+def reconcile_all(left: DataFrame,
+                  rights: Sequence[tuple[DataFrame, Sequence[Balance], Sequence[str]]],
+                  by: Sequence[str],
+                  codes: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """One row per rule and group: both totals, their difference and whether the rule holds.
 
-    A group that only one side has is compared with zero.
+    The left table is summed once for all balances. A group that only one side has is compared with
+    zero; a group that neither side of a balance has gives no row for it.
     """
-    right_by = right_by or by
-    a = _totals(left, by, [(f"l{i}", b.left) for i, b in enumerate(balances)], codes)
-    b_ = _totals(right, right_by, [(f"r{i}", b.right) for i, b in enumerate(balances)], codes)
-    for mine, theirs in zip(by, right_by):
-        b_ = b_.withColumnRenamed(theirs, mine)
-    both = a.join(b_, list(by), "full_outer")
+    names = [[f"{i}_{j}" for j in range(len(balances))] for i, (_, balances, _) in enumerate(rights)]
+    left_sides = [(f"l{n}", b.left) for ns, (_, balances, _) in zip(names, rights)
+                  for n, b in zip(ns, balances)]
+    both = _totals(left, by, left_sides, codes).withColumn("l_has", F.lit(True))
+    for i, (right, balances, right_by) in enumerate(rights):
+        sides = [(f"r{n}", b.right) for n, b in zip(names[i], balances)]
+        totals = _totals(right, right_by, sides, codes).withColumn(f"r{i}_has", F.lit(True))
+        for mine, theirs in zip(by, right_by):
+            totals = totals.withColumnRenamed(theirs, mine)
+        both = both.join(totals, list(by), "full_outer")
     zero = F.lit(0).cast("decimal(28,2)")
     rows = F.array(*[
         F.struct(
             F.lit(b.code).alias("rule"),
-            F.coalesce(f"l{i}", zero).alias("left_sum"),
-            F.coalesce(f"r{i}", zero).alias("right_sum"),
+            F.coalesce(f"l{n}", zero).alias("left_sum"),
+            F.coalesce(f"r{n}", zero).alias("right_sum"),
             F.lit(b.at_least).alias("at_least"),
+            F.coalesce("l_has", f"r{i}_has").alias("present"),
         )
-        for i, b in enumerate(balances)
+        for i, (_, balances, _) in enumerate(rights) for n, b in zip(names[i], balances)
     ])
-    long = both.select(*by, F.inline(rows))
+    long = both.select(*by, F.inline(rows)).filter("present")
     difference = F.col("left_sum") - F.col("right_sum")
     holds = (difference == 0) | (F.col("at_least") & (difference > 0))
     return long.select(

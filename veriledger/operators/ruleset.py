@@ -127,7 +127,7 @@ class RuleSet:
         names |= {l.entity for p in self.passes for l in p.lookups}
         names |= {e for v in self.views for e in v.reads}
         for r in self.reconciliations:
-            names |= {r.left, r.right, *(l.entity for l in r.left_lookups)}
+            names |= r.reads
         return sorted(names - views)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +64,8 @@ def reconcile_ledgers(spark, sf):
     tables = entities(spark, sf, ["DER_OTDM", "DS_BLS", "DS_PVS"])
     for view in outstanding.OTDM_P1.views:
         tables[view.name] = view.build(tables, {})
-    parts = [r.differences(tables, {}) for r in outstanding.OTDM_BALANCES]
-    return reduce(DataFrame.unionByName, parts).withColumn("data_dt", F.col("data_dt").cast("string"))
+    differences = outstanding.OTDM_BALANCES.differences(tables, {})
+    return differences.withColumn("data_dt", F.col("data_dt").cast("string"))
 
 
 QUERIES = {q.__name__: q for q in [

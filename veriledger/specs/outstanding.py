@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from veriledger.operators import conditions as c
 from veriledger.operators import families as f
-from veriledger.operators.reconcile import Balance, Reconciliation, Side
+from veriledger.operators.reconcile import Against, Balance, Reconciliation, Side
 from veriledger.operators.ruleset import Pass, RuleSet, View, any_row, latest
 from veriledger.specs import codes as k
 from veriledger.specs.shared import (
@@ -50,7 +50,7 @@ def _outstanding_daily(first_phase: bool) -> RuleSet:
                 Side("fc_amount", c.in_codes("position_item", positions)),
                 at_least=first_phase or not equal)
         for code, (loans, positions, equal) in _POSITIONS.items())
-    positions = Reconciliation("DER_OTDD", "DS_FCP", balances, left_lookups=(classes,))
+    positions = Reconciliation("DER_OTDD", (Against("DS_FCP", balances),), left_lookups=(classes,))
     return RuleSet("DER_OTDD", (Pass("DER_OTDD", ACCOUNT, rules, (cac,)),), (positions,))
 
 
@@ -86,20 +86,22 @@ _NOT_NEGATIVE = {
     "CNOTDM009": "days_past_due",
 }
 
-OTDM_BALANCES = (
-    Reconciliation("DER_OTDM", _BALANCE_SHEET.name, (
+_LEDGER_GROUP = ("ds_dt", "org_id")
+
+OTDM_BALANCES = Reconciliation("DER_OTDM", (
+    Against(_BALANCE_SHEET.name, (
         Balance("CMOTDM003", Side("otsnd_amt_in_baht"),
                 Side("bsh_amt", c.one_of("bsh_itm_tp_id", *k.BALANCE_SHEET_ITEMS))),
-    ), right_by=("ds_dt", "org_id")),
-    Reconciliation("DER_OTDM", _PROVISIONS.name, tuple(
+    ), _LEDGER_GROUP),
+    Against(_PROVISIONS.name, tuple(
         Balance(code,
                 Side("otsnd_amt_in_baht", c.equals("ast_and_cntg_clss", account_class) & _QUARTER_END,
                      minus="uern_rev_in_baht"),
                 Side("amt", c.equals("ast_cl_tp_id", provision_class)
                      & c.equals("prvn_smy_itm_tp_id", k.PROVISION_ITEM)))
         for code, (account_class, provision_class) in k.CLASS_PAIRS.items()
-    ), right_by=("ds_dt", "org_id")),
-)
+    ), _LEDGER_GROUP),
+))
 
 OTDM_P1 = RuleSet("DER_OTDM", (Pass("DER_OTDM", ACCOUNT, (
     *[f.within(code, col, c.at_least(col, 0)) for code, col in _NOT_NEGATIVE.items()],
@@ -123,7 +125,7 @@ OTDM_P1 = RuleSet("DER_OTDM", (Pass("DER_OTDM", ACCOUNT, (
                                              "bill_certifications", "loan_guarantees",
                                              "unconditional_loan_guarantees"))),
     detail(any_row("regulated", c.filled("regulated_product"))),
-)),), OTDM_BALANCES, views=(_BALANCE_SHEET, _PROVISIONS))
+)),), (OTDM_BALANCES,), views=(_BALANCE_SHEET, _PROVISIONS))
 
 
 # conditions on a transaction flow row, as facts of the lookup `txf`
