@@ -132,3 +132,40 @@ def test_older_jobs_export_only_when_passed(spark, setting):
     result = run_job(setting("1", frames(spark, ["DER_CPID"], {"f": {"DER_CPID": None}})),
                      JOBS["daily_cpen"], "20240331", _source(spark, "DER_CPEN", {"f": {}}))
     assert not result.passed and result.report is None and result.counts == {"RICPEN001": 1}
+
+
+def test_from_landed_text_to_report(spark, setting, tmp_path):
+    """Two sources land, are read together, and run as one daily job."""
+    from veriledger.plans import landing
+    from veriledger.plans.jobs import LANDINGS
+
+    (tmp_path / "RV_20240331.TXT").write_text("|2024-03-31|I#clean|2024-03-31|1.5\n")
+    (tmp_path / "RW_20240331.TXT").write_text("007|2024-03-31|none|2024-03-31|bad\n")
+    landed = [landing.land_text(spark, LANDINGS[f"land_intrv_{s}"], str(tmp_path), name, "20240331",
+                                MOMENT, "runs", expected=1)
+              for s, name in (("tfs", "RV"), ("trs", "RW"))]
+    assert [x.rejects.count() for x in landed] == [0, 1]
+    rows = landing.staged_rows(spark, [LANDINGS["land_intrv_tfs"], LANDINGS["land_intrv_trs"]],
+                               "20240331", "runs")
+    result = run_job(setting("1", frames(spark, ["DER_INTR"], {})), JOBS["daily_intrv"], "20240331", rows)
+    assert result.counts == {"RIINTRV001": 1} and not result.passed
+    failed = spark.read.option("header", True).csv(str(tmp_path / "failed" / "daily_intrv" / "1")).head()
+    assert (failed["rule"], failed["key"], failed["src_stm"]) == ("RIINTRV001", "none", "TRS")
+
+
+def test_text_job_with_a_fixed_column_list(spark, setting, tmp_path):
+    from pyspark.sql import types as T
+
+    from veriledger.sources import text
+
+    (tmp_path / "OT_a.TXT1").write_text("|2024-03-31|A#clean|USD|10\n")
+    (tmp_path / "OT_b.TXT2").write_text("007|2024-03-31|A#other|USD|-1\n")
+    schema = T.StructType([T.StructField(n, t) for n, t in [
+        ("org_id", T.StringType()), ("data_dt", T.DateType()), ("ac_id", T.StringType()),
+        ("ccy", T.StringType()), ("otsnd_amt_in_orig_ccy", T.DecimalType(18, 2))]])
+    rows = text.read_pipe_text(spark, text.landed_pattern(str(tmp_path), "OT"), schema).rows
+    parents = frames(spark, ["DER_CAC", "DS_FCP"], {})
+    result = run_job(setting("1", parents), JOBS["p1_daily_otdd"], "20240331", rows)
+    assert {k for k, v in result.counts.items() if v} == {"CNOTDD002"}
+    stored = {r["ac_id"]: (r["org_id"], r["src_stm"]) for r in spark.table("runs.der_otdd").collect()}
+    assert stored == {"A#clean": ("006", "SFTP"), "A#other": ("007", "SFTP")}
