@@ -20,10 +20,10 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1 / 2000
-MOST_HOT_KEYS = int(1 / HOT_SHARE)
+HOT_SHARE = 1 / 10_000
+MOST_HOT_KEYS = 10_000
 TRACKED_KEYS = 20 * MOST_HOT_KEYS
-MOST_SALTS = 1024
+MOST_SALTS = 4096
 # Below this many bytes a third of the input still fits one task, so nothing is measured.
 SMALL_INPUT_BYTES = 1 << 30
 
