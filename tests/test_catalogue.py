@@ -35,6 +35,11 @@ def test_counts():
     assert len(jobs.JOBS) == 62
 
 
+def test_prevalidation_kinds():
+    kinds = [j.prevalidation for j in jobs.JOBS.values()]
+    assert (kinds.count("single"), kinds.count("multiple")) == (13, 7)
+
+
 @pytest.mark.parametrize("name", sorted(LISTED))
 def test_job_has_its_rules(name):
     job = jobs.JOBS[name]

@@ -18,8 +18,9 @@ MOMENT = datetime.datetime(2024, 3, 31, 12, 0, tzinfo=datetime.timezone.utc)
 def setting(spark, tmp_path):
     spark.sql("create database if not exists runs")
 
-    def make(run_id="1", frames_=None):
-        return Setting(spark, str(tmp_path), run_id, MOMENT, "runs", sample_codes(), frames_ or {})
+    def make(run_id="1", frames_=None, organization=None):
+        return Setting(spark, str(tmp_path), run_id, MOMENT, "runs", organization,
+                       sample_codes(), frames_ or {})
 
     yield make
     spark.sql("drop database runs cascade")
@@ -116,6 +117,15 @@ def test_spaces_and_fillers(spark, setting):
     assert stored[0]["data_dt"] == datetime.date(2024, 3, 31)
 
 
+def test_stamped_rows_get_the_organisation_and_date(spark, setting):
+    rows = spark.createDataFrame([(" E1 ", "P1"), ("  ", "P1")], "ent_id string, cntpr_id string")
+    parents = frames(spark, ["DER_CPID"], {})
+    run_job(setting("1", parents, "042"), JOBS["daily_cpen"], "20240331", rows)
+    stored = spark.table("runs.der_cpen").collect()
+    assert {(r["ent_id"], r["org_id"], str(r["data_dt"])) for r in stored} == {
+        ("E1", "042", "2024-03-31"), (None, "042", "2024-03-31")}
+
+
 def test_empty_report(spark, setting):
     result = run_job(setting(), JOBS["monthly_cc"], "20240331")
     rows = spark.read.option("header", True).csv(result.report).collect()

@@ -27,6 +27,7 @@ Tables = Mapping[str, DataFrame]
 Codes = Mapping[str, Sequence[str]]
 
 BROKEN = "__broken"
+MOST_RULES = 62
 VIOLATION_COLUMNS = ["entity", "msr_prd_id", "rule", "key", "src_stm"]
 
 
@@ -135,6 +136,8 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
               small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
     """The rows that break at least one rule, with one bit per broken rule in ``__broken``."""
     codes = codes or {}
+    if len(one.rules) > MOST_RULES:
+        raise ValueError(f"a pass holds at most {MOST_RULES} rules, one per bit")
     bit = {r.code: i for i, r in enumerate(one.rules)}
     base = tables[one.entity]
     if one.where is not None:
@@ -207,7 +210,7 @@ def _mark_missing(rows: DataFrame, base: DataFrame, step: _Step, small_bytes: in
     keys = base.select(*on).dropna().distinct()
     missing = skew.join_parent(keys, parent, lookup.on, "left_anti", skew.FLAT)
     path = shared_folder(base.sparkSession, "missing")
-    missing.write.parquet(path)
+    missing.hint("rebalance", *[F.col(c) for c in on]).write.parquet(path)
     name = f"{lookup.name}__missing"
     stored = base.sparkSession.read.schema(missing.schema).parquet(path).withColumn(name, F.lit(True))
     spread = skew.FLAT

@@ -27,6 +27,7 @@ MISSING_FIELD = "999999999"
 class Job:
     """One pipeline.
 
+    ``stamped`` rows all get the organisation and data date of the run.
     ``new_only`` stores only keys that are not stored yet. ``set_from`` names the table and the
     (column, key) that fill a column by key. ``dependents`` are tables filled from the entity after
     it is stored, with the columns that identify their rows. ``step`` is how the period moves on when
@@ -43,6 +44,7 @@ class Job:
     clear: tuple[str, ...] = ()
     constants: Mapping[str, object] = field(default_factory=dict)
     fill: Mapping[str, object] = field(default_factory=dict)
+    stamped: bool = False
     new_only: bool = False
     set_from: tuple[str, str, str] | None = None
     dependents: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
@@ -117,7 +119,7 @@ JOBS = {j.name: j for j in [
     _job("DER_BRD", DAILY, STAGING, outstanding.BRD_DAILY, prevalidation=_MULTIPLE),
     _job("DER_RDA", DAILY, STAGING, outstanding.RDA_DAILY),
     _job("DER_CPEN", DAILY, WAREHOUSE, counterparty.CPEN, clear=("ent_id", "cntpr_id"),
-         fill={"org_id": DEFAULT_ORG}, exports_when_failed=False),
+         stamped=True, exports_when_failed=False),
     _job("DER_INTP", DAILY, STAGING, interest.INTP_DAILY, prevalidation=_MULTIPLE),
     _job("DER_INTR", DAILY, STAGING, interest.INTR, prevalidation=_MULTIPLE),
     _job("DER_INTRV", DAILY, STAGING, interest.INTRV_DAILY),
@@ -135,17 +137,19 @@ JOBS = {j.name: j for j in [
     _job("DER_SHM", MONTHLY, WAREHOUSE, account.SHM_MONTHLY),
     _job("DER_ACXAC", MONTHLY, WAREHOUSE, account.ACXAC_MONTHLY),
     _job("DER_PLC", MONTHLY, WAREHOUSE, account.PLC_MONTHLY, prevalidation=_SINGLE),
-    _job("DER_CL", MONTHLY, WAREHOUSE, credit_line.CL_MONTHLY, set_from=_FROM_MAPPING_CL),
+    _job("DER_CL", MONTHLY, WAREHOUSE, credit_line.CL_MONTHLY, prevalidation=_SINGLE,
+         set_from=_FROM_MAPPING_CL),
     _job("DER_CLLT", MONTHLY, WAREHOUSE, credit_line.CLLT_MONTHLY),
-    _job("DER_CLP", MONTHLY, WAREHOUSE, credit_line.CLP_MONTHLY),
-    _job("DER_COLP", MONTHLY, WAREHOUSE, credit_line.COLP_MONTHLY),
+    _job("DER_CLP", MONTHLY, WAREHOUSE, credit_line.CLP_MONTHLY, prevalidation=_SINGLE),
+    _job("DER_COLP", MONTHLY, WAREHOUSE, credit_line.COLP_MONTHLY, prevalidation=_SINGLE),
     _job("DER_OVD", MONTHLY, WAREHOUSE, credit_line.OVD_MONTHLY),
     _job("DER_AGF", MONTHLY, WAREHOUSE, clear=("ac_id", "mvmt_tp"),
-         fill={"org_id": DEFAULT_ORG, "data_dt": FILLER_DATE}, exports_when_failed=False),
+         stamped=True, fill={"org_id": DEFAULT_ORG, "data_dt": FILLER_DATE},
+         exports_when_failed=False),
     _job("DER_COL", MONTHLY, WAREHOUSE, collateral.COL_MONTHLY, new_only=True),
     _job("DER_RER", MONTHLY, WAREHOUSE, collateral.RER_MONTHLY),
     _job("DER_CVG", MONTHLY, WAREHOUSE, collateral.CVG_MONTHLY),
-    _job("DER_GE", MONTHLY, WAREHOUSE, collateral.GE_MONTHLY),
+    _job("DER_GE", MONTHLY, WAREHOUSE, collateral.GE_MONTHLY, prevalidation=_SINGLE),
     _job("DER_PVG", MONTHLY, WAREHOUSE, collateral.PVG_MONTHLY),
     _job("DER_BLP", MONTHLY, WAREHOUSE, counterparty.BLP_MONTHLY),
     _job("DER_RTR", MONTHLY, WAREHOUSE, counterparty.RTR_MONTHLY, new_only=True),

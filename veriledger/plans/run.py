@@ -33,13 +33,14 @@ VIOLATION_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class Setting:
-    """Where a run reads and writes. ``frames`` stand in for catalog tables by entity name."""
+    """Where a run reads and writes, and for whom. ``frames`` stand in for catalog tables by entity name."""
 
     spark: SparkSession
     folder: str
     run_id: str
     moment: datetime
     database: str = "default"
+    organization: str | None = None
     codes: Mapping[str, Sequence[str]] = field(default_factory=dict)
     frames: Mapping[str, DataFrame] = field(default_factory=dict)
 
@@ -100,8 +101,12 @@ def reshaped(setting: Setting, job: Job, period: str, rows: DataFrame) -> DataFr
         rows = reshape.clear_spaces(rows, job.clear)
     constants = {"msr_prd_id": period, "ppn_tm": load_time(setting.moment), **job.constants}
     rows = reshape.with_constants(rows, constants)
+    if job.stamped:
+        constants = {"data_dt": data_date(period, job.cadence)}
+        if setting.organization is not None:
+            constants["org_id"] = setting.organization
+        rows = reshape.with_constants(rows, constants)
     rows = tables.align(rows, job.target.schema)
-    rows = reshape.fill_missing(rows, {"data_dt": data_date(period, job.cadence)})
     return reshape.fill_missing(rows, job.fill) if job.fill else rows
 
 
@@ -143,8 +148,9 @@ def validate(setting: Setting, job: Job, period: str) -> dict[str, int]:
     frames = {e: _frame(setting, e, period) for e in job.rules.reads}
     broken = ruleset.evaluate(frames, job.rules, period, setting.codes)
     path = f"{setting.folder}/violations/{job.name}/{period}/{setting.run_id}"
-    broken.select(*[c for c in VIOLATION_SCHEMA.names if c != "run_id"]).write.mode(
-        "overwrite").parquet(path)
+    broken = broken.select(*[c for c in VIOLATION_SCHEMA.names if c != "run_id"])
+    # violations are few and lie in many tasks: gather them, so that they become few files
+    broken.hint("rebalance", F.col("key")).write.mode("overwrite").parquet(path)
     stored = spark.read.schema(VIOLATION_SCHEMA).parquet(path)
     # one row, one number per rule of the job
     counts = report.rule_counts(stored, job.rules.codes).head().asDict()
