@@ -29,3 +29,30 @@ def test_runs_without_sql(spark, name):
 def test_entry(spark):
     rows = {r["rule"]: r["n"] for r in entry.entry(spark).collect()}
     assert rows == {"CN1": 11, "RI1": 27}
+
+
+@pytest.mark.parametrize("name,rules", [
+    ("rules_account_detail", "account.CACD_MONTHLY"),
+    ("rules_credit_line", "credit_line.CL_MONTHLY"),
+    ("rules_related_loan", "outstanding.RLI_DAILY"),
+    ("rules_risk", "review.RSK_P1"),
+])
+def test_paths_for_large_inputs_match_sql(spark, con, name, rules):
+    """Measured keys, salts and missing keys, forced on the small tables and without broadcasts."""
+    from veriledger.operators.ruleset import evaluate
+    from veriledger.plans import catalogue_queries as q
+    from veriledger.specs.codes import sample_codes
+
+    module, attribute = rules.split(".")
+    rule_set = getattr(importlib.import_module(f"veriledger.specs.{module}"), attribute)
+
+    def query(spark, sf_dir):
+        tables = q.entities(spark, sf_dir, rule_set.reads)
+        return evaluate(tables, rule_set, q.PERIOD, sample_codes(), small_bytes=0).select("rule", "key")
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert compare(spark, con, name, query, entry.oracle_sql()[name], SF) > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
