@@ -54,14 +54,17 @@ def extended(df: DataFrame, column: str, fields: list[T.StructField], work: Call
     """
     names = [f.name for f in fields]
     kept = [c for c in without(df, names) if keep is None or c in keep]
-    source = df.select(quoted(column).cast("string").alias("_text"), *[quoted(c) for c in kept])
     schema = T.StructType([df.schema[c] for c in kept] + fields)
+    source = df.select(*[quoted(c) for c in kept])
+    at = kept.index(column) if column in kept and df.schema[column].dataType == T.StringType() else len(kept)
+    if at == len(kept):
+        source = df.select(*[quoted(c) for c in kept], quoted(column).cast("string").alias("_text"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             if batch.num_rows:
-                made = work(batch.column(0))
-                arrays = [batch.column(i + 1) for i in range(len(kept))] + [made[n] for n in names]
+                made = work(batch.column(at))
+                arrays = [*batch.columns[:len(kept)], *[made[n] for n in names]]
                 yield pa.RecordBatch.from_arrays(arrays, names=kept + names)
 
     return source.mapInArrow(run, schema)

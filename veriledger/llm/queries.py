@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.llm import bpe, decontaminate, shards
+from veriledger.llm import bpe, decontaminate, jaccard, shards
 from veriledger.llm.frames import table
 
 
@@ -20,6 +20,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_shards, op2_decontamination, op8_byte_bpe)}
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_shards, op2_decontamination, op8_byte_bpe, op9_jaccard)}
 
 ORACLE_SQL: dict[str, str] = {}
