@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriledger.llm.frames import extended, pieces, quoted
+from veriledger.llm.frames import extended, pieces, quoted, slices
 from veriledger.llm.words import NOT_ALNUM, Words, split
 
 WINDOW = 13
@@ -322,7 +322,7 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, column: str = "t
     schema = "item string, length long, doc string, at long, place long"
 
     def run(parts):
-        for batch in parts:
+        for batch in (s for whole in parts for s in slices(whole, 1)):
             words = split(batch.column(1), NOT_ALNUM, True)
             for a, b in pieces(np.diff(words.rows), SHARD_WORDS):
                 part = _shard(words, a, b)

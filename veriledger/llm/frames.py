@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,27 +30,26 @@ def without(df: DataFrame, names) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
-def quoted(name: str):
-    return F.col(f"`{name.replace('`', '``')}`")
+#: Bytes of text that a task works on at once; a longer text is worked on by itself.
+SLICE_BYTES = 8 << 20
 
 
-def batches(work: Callable[[pa.RecordBatch], dict], names: list[str]):
-    """A function for mapInArrow that gives a batch of the named columns for each batch."""
+def quoted(name: str):
+    return F.col(f"`{name.replace('`', '``')}`")
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            if batch.num_rows:
-                made = work(batch)
-                yield pa.RecordBatch.from_arrays([made[n] for n in names], names=names)
 
-    return run
+def slices(batch: pa.RecordBatch, texts: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts, column `texts`, are of a bounded size together."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_pylist()
+    for start, end in pieces(sizes, SLICE_BYTES):
+        yield batch.slice(start, end - start)
 
 
 def extended(df: DataFrame, column: str, fields: list[T.StructField], work: Callable[[pa.Array], dict],
              keep: list[str] | None = None) -> DataFrame:
     """The rows with columns made from one text column, in the same tasks.
 
-    `work` gets the texts of a batch and gives an Arrow array per field. `keep` names the columns that
+    `work` gets some texts and gives an Arrow array per field. `keep` names the columns that
     stay (all, unless given); one that has the name of a new column gives way to it.
     """
     names = [f.name for f in fields]
@@ -61,8 +61,8 @@ def extended(df: DataFrame, column: str, fields: list[T.StructField], work: Call
         source = df.select(*[quoted(c) for c in kept], quoted(column).cast("string").alias("_text"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            if batch.num_rows:
+        for whole in parts:
+            for batch in slices(whole, at):
                 made = work(batch.column(at))
                 arrays = [*batch.columns[:len(kept)], *[made[n] for n in names]]
                 yield pa.RecordBatch.from_arrays(arrays, names=kept + names)

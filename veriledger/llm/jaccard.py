@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.llm.components import components
-from veriledger.llm.frames import extended, quoted, stored
+from veriledger.llm.frames import extended, quoted, slices, stored
 from veriledger.llm.words import BLANKS, SPREAD, grams, hashes, split, spread
 
 SHINGLE = 4
@@ -148,7 +148,7 @@ def _tile_rows(size: int, percent: int):
         bands = Bands(percent)
         for batch in parts:
             nodes, keys, seen = [], [], set()
-            for shingles in shingle_sets(batch.column(0), size):
+            for shingles in (s for part in slices(batch, 0) for s in shingle_sets(part.column(0), size)):
                 node = node_of(shingles)
                 if node is None or node in seen:
                     continue

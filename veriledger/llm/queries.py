@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.llm import bpe, decontaminate, jaccard, shards
+from veriledger.llm import bpe, decontaminate, jaccard, secrets, shards
 from veriledger.llm.frames import table
 
 
@@ -16,6 +16,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,7 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_shards, op2_decontamination, op8_byte_bpe, op9_jaccard)}
+QUERIES = {f.__name__: f for f in (
+    op1_shards, op2_decontamination, op5_secrets, op8_byte_bpe, op9_jaccard)}
 
 ORACLE_SQL: dict[str, str] = {}
