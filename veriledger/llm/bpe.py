@@ -26,12 +26,26 @@ from veriledger.llm.frames import extended
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 #: Pieces and pairs of tokens that a task remembers at most; beyond that it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 _PACKED = T.StructField("token_ids", T.BinaryType())
 _BYTES = T.StructField("decoded", T.BinaryType())
 
 
+class _Pieces(dict):
+    """Pieces with their tokens as little-endian 32-bit numbers, encoded when first asked for."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        packed = np.array(self.vocabulary.tokens_of(piece.encode()), "<u4").tobytes()
+        self[piece] = packed
+        return packed
+
+
 class Vocabulary:
     """Ranks of a tiktoken file and the pieces encoded with them."""
 
@@ -41,8 +55,9 @@ class Vocabulary:
         self.tokens = {v: k for k, v in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._broken = {t for p, t in self.ranks.items() if self.merged(p) != [t]}
+        self._pairs: dict[int, bool] = {}
+        self._pieces = _Pieces(self)
 
     def merged(self, piece: bytes) -> list[int]:
         """Tokens by merging the lowest rank first, as the pair test needs them."""
@@ -58,7 +73,7 @@ class Vocabulary:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether two tokens stay apart when their bytes are encoded together."""
-        pair = (left, right)
+        pair = left << 32 | right
         known = self._pairs.get(pair)
         if known is None:
             if len(self._pairs) >= REMEMBERED:
@@ -67,18 +82,16 @@ class Vocabulary:
             self._pairs[pair] = known
         return known
 
-    def packed(self, piece: str) -> bytes:
-        """A piece's tokens as little-endian 32-bit numbers."""
-        known = self._pieces.get(piece)
-        if known is None:
-            if len(self._pieces) >= REMEMBERED:
-                self._pieces.clear()
-            known = np.array(PrefixTable(self, piece.encode()).ids(), "<u4").tobytes()
-            self._pieces[piece] = known
-        return known
+    def stands_alone(self, token: int) -> bool:
+        """Whether a token's bytes encode to it when they are all there is."""
+        return token not in self._broken
+
+    def tokens_of(self, piece: bytes) -> list[int]:
+        whole = self.ranks.get(piece)
+        return PrefixTable(self, piece).ids() if whole is None else [whole]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.packed, self.pattern.findall(text)))
+        return b"".join(map(self._pieces.__getitem__, self.pattern.findall(text)))
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
@@ -94,29 +107,26 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         """Lengthens the piece: known prefixes keep their tokens."""
         v, last, at = self.vocabulary, self.last, len(self.piece)
+        rank, pairs, longest = v.ranks.get, v._pairs, v.longest
         piece = self.piece = self.piece + more
         for end in range(at + 1, len(piece) + 1):
-            for size in range(min(end, v.longest), 0, -1):
-                token = v.ranks.get(piece[end - size:end])
+            for left in range(max(0, end - longest), end):
+                token = rank(piece[left:end])
                 if token is None:
                     continue
-                left = end - size
-                if left == 0 or v.may_follow(last[left - 1], token):
-                    # A token standing alone is valid only if its own bytes encode to it.
-                    if size > 1 and left == 0 and not self._whole(token):
-                        continue
+                if left == 0:
+                    fits = v.stands_alone(token)
+                else:
+                    before = last[left - 1]
+                    fits = pairs.get(before << 32 | token)
+                    if fits is None:
+                        fits = v.may_follow(before, token)
+                if fits:
                     last.append(token)
                     break
             else:
                 raise ValueError("a byte has no token")
 
-    def _whole(self, token: int) -> bool:
-        v = self.vocabulary
-        known = v._pairs.get((token, -1))
-        if known is None:
-            known = v._pairs[(token, -1)] = v.merged(v.tokens[token]) == [token]
-        return known
-
     def replace(self, start: int, end: int, new: bytes) -> None:
         """Replaces bytes start to end; prefixes before the edit keep their tokens."""
         rest = self.piece[end:]
