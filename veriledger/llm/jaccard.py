@@ -8,11 +8,12 @@ agree on whole ranges meet, however common a single shingle is. A set also enter
 that its larger partners may be in.
 
 In a tile the pairs pass two tests. Hashed bitmaps of the sets bound the overlap from above by bit counts;
-what passes is decided by intersecting the sorted sets. Links are found in two rounds. The first tests every
-node against the smallest node of its tiles and joins what is linked to components, which settles groups
-of copies of any size without testing their pairs. The second tests, in the tiles that still hold several
-components, the pairs between different ones. Large tiles are cut into blocks and each pair of blocks is a
-task's work, so no tile is gathered whole.
+what passes is decided by intersecting the sorted sets. Links are found in rounds. The first tests every node against the
+smallest node of its tiles and joins what is linked to components; in the tiles that still hold several
+components, the next rounds test the nodes against a few others. That settles groups of copies of any size
+without testing their pairs. The last round tests all pairs of different components that still share a
+tile. There, large tiles are cut into blocks and each pair of blocks is a task's work, so no tile is
+gathered whole.
 
 Words are maximal runs of characters other than ASCII white space, A-Z lower-cased. Shingles and nodes are
 64-bit hashes. Null or empty texts have no shingles and no links.
@@ -25,7 +26,7 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +43,9 @@ BAND_RATIO = 1.5
 #: Bits of a bitmap for each shingle of a set, at least.
 BITS = 8
 
+#: Nodes that a tile's others are tested against in a round, and rounds before all pairs are.
+HEADS, ROUNDS = 4, 3
+
 #: Nodes of a tile, or of a block of a larger tile, that are tested against each other at once.
 TILE_NODES = 2048
 
@@ -360,34 +364,62 @@ class Join:
         tiles = self.tiles()
         profiles = self.profiles(tiles)
         starts = tiles.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-        links = self.verified(starts, profiles, bounded=False)
-        labels = stored(components(links), "labels")
-
-        labelled = (tiles.select("key", "node").distinct().join(labels, "node", "left")
-                    .withColumn("label", F.coalesce("label", "node")))
-        mixed = (labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                             F.count("*").alias("nodes"))
-                 .filter("low <> high").select("key", F.ceil(F.col("nodes") / TILE_NODES).alias("blocks")))
-        block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-        spread_out = (labelled.join(mixed, "key").withColumn("block", block)
-                      .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-                      .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                              "node", "label", "block")
-                      .join(profiles.select("node", "n", "bits"), "node"))
-        pairs = (spread_out.select("key", "i", "j", "node", "label", "block", "n", "bits")
-                 .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-                 .mapInArrow(_across(self.percent), "a long, b long").distinct())
-        more = self.verified(stored(pairs, "pairs"), profiles, bounded=True)
-        if more.isEmpty():
-            return labels
-        ends = more
-        for c in ("a", "b"):
-            ends = (ends.join(labels.toDF(c, "label"), c, "left").withColumn(c, F.coalesce("label", c))
-                    .drop("label"))
-        joined = stored(components(ends), "labels")
-        merged = labels.join(joined.toDF("label", "top"), "label", "left").select(
-            "node", F.coalesce("top", "label").alias("label"))
-        return stored(merged.union(joined.join(labels, "node", "left_anti")), "labels")
+        labels = stored(components(self.verified(starts, profiles, bounded=False)), "labels")
+        # Tiles of two nodes are done.
+        tiles = tiles.select("key", "node").distinct()
+        counts = tiles.groupBy("key").agg(F.count("*").alias("nodes")).filter("nodes > 2")
+        tiles = stored(tiles.join(counts, "key"), "tiles")
+        for number in range(ROUNDS):
+            pairs = self.to_heads(self.mixed(tiles, labels), number)
+            links = self.verified(pairs, profiles, bounded=False)
+            # The heads of a smaller tile have met all of it.
+            tiles = tiles.filter(F.col("nodes") > HEADS + 1)
+            if links.isEmpty():
+                break
+            labels = merged(labels, links)
+        links = self.verified(stored(self.across(self.mixed(tiles, labels), profiles), "pairs"), profiles,
+                              bounded=True)
+        return labels if links.isEmpty() else merged(labels, links)
+
+    @staticmethod
+    def mixed(tiles: DataFrame, labels: DataFrame) -> DataFrame:
+        """The rows of tiles that hold several components, with each node's label."""
+        labelled = tiles.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        several = (labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                   .filter("low <> high").select("key"))
+        return stored(labelled.join(several, "key", "left_semi"), "mixed")
+
+    @staticmethod
+    def to_heads(rows: DataFrame, number: int) -> DataFrame:
+        """Distinct pairs of a node and one of its tile's heads, a few nodes that differ by round."""
+        order = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(number)), "node")
+        heads = (rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= HEADS)
+                 .select("key", F.col("node").alias("head"), F.col("label").alias("other")))
+        return (rows.join(heads, "key").filter("label <> other")
+                .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
+
+    def across(self, rows: DataFrame, profiles: DataFrame) -> DataFrame:
+        """Distinct pairs of different components of a tile that their bound allows."""
+        blocks = F.ceil(F.col("nodes") / TILE_NODES)
+        both = (rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+                .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                        "node", "label", "block")
+                .join(profiles.select("node", "n", "bits"), "node"))
+        return (both.select("key", "i", "j", "node", "label", "block", "n", "bits")
+                .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+                .mapInArrow(_across(self.percent), "a long, b long").distinct())
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links between nodes."""
+    ends = links
+    for c in ("a", "b"):
+        ends = ends.join(labels.toDF(c, "label"), c, "left").withColumn(c, F.coalesce("label", c)).drop("label")
+    joined = stored(components(ends), "labels")
+    moved = labels.join(joined.toDF("label", "top"), "label", "left").select(
+        "node", F.coalesce("top", "label").alias("label"))
+    return stored(moved.union(joined.join(labels, "node", "left_anti")), "labels")
 
 
 def profiled(df: DataFrame, column: str = "text", size: int = SHINGLE, keep=None) -> DataFrame:
