@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.llm import bpe, decontaminate, jaccard, rules, secrets, shards
+from veriledger.llm import bpe, decontaminate, jaccard, kneser_ney, rules, secrets, shards
 from veriledger.llm.frames import table
 
 
@@ -16,6 +16,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,6 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_shards, op2_decontamination, op4_quality_rules, op5_secrets, op8_byte_bpe, op9_jaccard)}
+    op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op8_byte_bpe, op9_jaccard)}
 
 ORACLE_SQL: dict[str, str] = {}
