@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.llm import bpe, decontaminate, jaccard, kneser_ney, rules, secrets, shards
+from veriledger.llm import bpe, chunks, decontaminate, jaccard, kneser_ney, rules, secrets, shards
 from veriledger.llm.frames import table
 
 
@@ -36,7 +36,11 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op8_byte_bpe, op9_jaccard)}
+    op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op8_byte_bpe, op9_jaccard, op10_chunks)}
 
 ORACLE_SQL: dict[str, str] = {}
