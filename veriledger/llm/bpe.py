@@ -25,8 +25,9 @@ from veriledger.llm.frames import extended
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
-#: Pieces and pairs of tokens that a task remembers at most; beyond that it starts anew.
-REMEMBERED = 200_000
+#: Pieces, prefixes and pairs of tokens that a task remembers at most; beyond that it starts anew. Pieces up
+#: to SHARED_BYTES share the last tokens of their common prefixes; longer ones have tables of their own.
+REMEMBERED, SHARED_BYTES = 300_000, 64
 
 _PACKED = T.StructField("token_ids", T.BinaryType())
 _BYTES = T.StructField("decoded", T.BinaryType())
@@ -55,12 +56,22 @@ class Vocabulary:
         self.tokens = {v: k for k, v in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
-        self._broken = {t for p, t in self.ranks.items() if self.merged(p) != [t]}
+        self._split = {p: self._halves(p) for p in self.ranks if len(p) > 1}
+        # Tokens that merging does not reach, or whose parts it does not reach in the order of ranks.
+        self._broken = set()
+        for part in sorted(self._split, key=len):
+            halves = self._split[part]
+            if halves is None or any(h not in self.ranks or self.ranks[h] in self._broken
+                                     or self.ranks[h] > self.ranks[part] for h in halves):
+                self._broken.add(self.ranks[part])
+        self._left: dict[int, list] = {}
+        self._right: dict[int, list] = {}
+        self._last: dict[bytes, int] = {}
         self._pairs: dict[int, bool] = {}
         self._pieces = _Pieces(self)
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Tokens by merging the lowest rank first, as the pair test needs them."""
+    def merged(self, piece: bytes) -> list[bytes]:
+        """Parts by merging the lowest rank first, leftmost first, until no two parts merge."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
         while len(parts) > 1:
             found = [(r, i) for i in range(len(parts) - 1)
@@ -69,26 +80,112 @@ class Vocabulary:
                 break
             _, i = min(found)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The two parts that merge into a token last; none for a token that merging does not reach."""
+        rank = self.ranks[token]
+        parts = [token[i:i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            found = [(r, i) for i in range(len(parts) - 1)
+                     if (r := self.ranks.get(parts[i] + parts[i + 1])) is not None and r < rank]
+            if not found:
+                return None
+            _, i = min(found)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        return parts[0], parts[1]
+
+    def _edge(self, token: int, right: bool) -> list[tuple[bytes, float]]:
+        """What lies at a token's edge while it is merged: from the byte to the token, each part with the
+        rank at which it becomes the next."""
+        edges = self._right if right else self._left
+        if token not in edges:
+            part, path = self.tokens[token], []
+            until = float("inf")
+            while True:
+                path.append((part, until))
+                if len(part) == 1:
+                    break
+                until = self.ranks[part]
+                part = self._split[part][1 if right else 0]
+            edges[token] = path[::-1]
+        return edges[token]
 
     def may_follow(self, left: int, right: int) -> bool:
-        """Whether two tokens stay apart when their bytes are encoded together."""
+        """Whether two tokens stay apart when their bytes are encoded together.
+
+        The parts at their common edge grow in the order of their ranks; the tokens stay apart if at no
+        time the two parts that meet there merge before either grows. A part's rank is above its halves',
+        and of equal ranks the leftmost goes first.
+        """
         pair = left << 32 | right
         known = self._pairs.get(pair)
         if known is None:
             if len(self._pairs) >= REMEMBERED:
                 self._pairs.clear()
-            known = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+            if left in self._broken or right in self._broken:
+                whole = self.tokens[left] + self.tokens[right]
+                known = self.merged(whole) == [self.tokens[left], self.tokens[right]]
+            else:
+                known = self._apart(self._edge(left, True), self._edge(right, False))
             self._pairs[pair] = known
         return known
 
+    def _apart(self, left: list, right: list) -> bool:
+        i = j = 0
+        while True:
+            (x, x_until), (y, y_until) = left[i], right[j]
+            rank = self.ranks.get(x + y)
+            if rank is not None and rank < x_until and rank <= y_until:
+                return False
+            if x_until <= y_until:
+                if x_until == float("inf"):
+                    return True
+                i += 1
+            else:
+                j += 1
+
     def stands_alone(self, token: int) -> bool:
         """Whether a token's bytes encode to it when they are all there is."""
-        return token not in self._broken
+        return token not in self._broken or self.merged(self.tokens[token]) == [self.tokens[token]]
 
     def tokens_of(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
-        return PrefixTable(self, piece).ids() if whole is None else [whole]
+        if whole is not None:
+            return [whole]
+        if len(piece) > SHARED_BYTES:
+            return PrefixTable(self, piece).ids()
+        last = self._last
+        if len(last) + len(piece) > REMEMBERED:
+            last.clear()
+        own: list[int] = []
+        while len(own) < len(piece) and (token := last.get(piece[:len(own) + 1])) is not None:
+            own.append(token)
+        rank, pairs = self.ranks.get, self._pairs.get
+        for end in range(len(own) + 1, len(piece) + 1):
+            for left in range(end - 1, -1, -1):
+                token = rank(piece[left:end])
+                if token is None:
+                    continue
+                if left:
+                    before = own[left - 1]
+                    fits = pairs(before << 32 | token)
+                    if fits is None:
+                        fits = self.may_follow(before, token)
+                else:
+                    fits = self.stands_alone(token)
+                if fits:
+                    own.append(token)
+                    last[piece[:end]] = token
+                    break
+            else:
+                raise ValueError("a byte has no token")
+        found, end = [], len(piece)
+        while end:
+            token = own[end - 1]
+            found.append(token)
+            end -= len(self.tokens[token])
+        return found[::-1]
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self.pattern.findall(text)))
@@ -220,10 +317,21 @@ def decode(df: DataFrame, column: str = "token_ids", path: str | None = None, ke
     return df.mapInArrow(run, schema)
 
 
+def round_trip(df: DataFrame, column: str = "text", path: str | None = None, keep=None) -> DataFrame:
+    """Adds `token_ids` and `decoded`, the bytes decoded from them, in one pass."""
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def work(texts: pa.Array) -> dict:
+        v = vocabulary(path)
+        ids = [v.encode(t or "") for t in texts.to_pylist()]
+        return {"token_ids": pa.array(ids, pa.binary()), "decoded": pa.array(map(v.decode, ids), pa.binary())}
+
+    return extended(df, column, [_PACKED, _BYTES], work, keep)
+
+
 def digests(df: DataFrame, column: str = "text", path: str | None = None) -> DataFrame:
     """Per document its number of tokens and digests of the ids and of the bytes decoded from them."""
-    coded = decode(encode(df, column, path, keep=["doc_id"]), path=path)
-    return coded.select(
+    return round_trip(df, column, path, keep=["doc_id"]).select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
