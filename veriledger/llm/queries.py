@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.llm import bpe, chunks, decontaminate, jaccard, kneser_ney, rules, secrets, shards, toxicity
+from veriledger.llm import bpe, chunks, decontaminate, html_text, jaccard, kneser_ney, rules, secrets, shards, toxicity
 from veriledger.llm.frames import table
 
 
@@ -32,6 +32,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.pages(table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op6_toxicity, op8_byte_bpe, op9_jaccard, op10_chunks)}
+    op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op6_toxicity, op7_html_text,
+    op8_byte_bpe, op9_jaccard, op10_chunks)}
 
 ORACLE_SQL: dict[str, str] = {}
