@@ -44,7 +44,7 @@ BAND_RATIO = 1.5
 BITS = 8
 
 #: Nodes that a tile's others are tested against in a round, and rounds before all pairs are.
-HEADS, ROUNDS = 4, 3
+HEADS, ROUNDS = 3, 3
 
 #: Nodes of a tile, or of a block of a larger tile, that are tested against each other at once.
 TILE_NODES = 2048
@@ -383,16 +383,19 @@ class Join:
 
     @staticmethod
     def mixed(tiles: DataFrame, labels: DataFrame) -> DataFrame:
-        """The rows of tiles that hold several components, with each node's label."""
-        labelled = tiles.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        """The rows of tiles that hold several components, with each node's label and its component's size."""
+        sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+        labelled = tiles.join(labels.join(sizes, "label"), "node", "left").withColumns(
+            {"label": F.coalesce("label", "node"), "size": F.coalesce("size", F.lit(1))})
         several = (labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .filter("low <> high").select("key"))
         return stored(labelled.join(several, "key", "left_semi"), "mixed")
 
     @staticmethod
     def to_heads(rows: DataFrame, number: int) -> DataFrame:
-        """Distinct pairs of a node and one of its tile's heads, a few nodes that differ by round."""
-        order = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(number)), "node")
+        """Distinct pairs of a node and one of its tile's heads: a few nodes of its largest components, which
+        differ by round."""
+        order = Window.partitionBy("key").orderBy(F.desc("size"), F.xxhash64("node", F.lit(number)), "node")
         heads = (rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= HEADS)
                  .select("key", F.col("node").alias("head"), F.col("label").alias("other")))
         return (rows.join(heads, "key").filter("label <> other")
