@@ -10,8 +10,8 @@ that its larger partners may be in.
 In a tile the pairs pass two tests. Hashed bitmaps of the sets bound the overlap from above by bit counts;
 what passes is decided by intersecting the sorted sets. Links are found in rounds. The first tests every node against the
 smallest node of its tiles and joins what is linked to components; in the tiles that still hold several
-components, the next rounds test the nodes against a few others. That settles groups of copies of any size
-without testing their pairs. The last round tests all pairs of different components that still share a
+components, the second tests the nodes against a few of the largest ones. That settles groups of copies of
+any size without testing their pairs. The last round tests all pairs of different components that still share a
 tile. There, large tiles are cut into blocks and each pair of blocks is a task's work, so no tile is
 gathered whole.
 
@@ -43,8 +43,8 @@ BAND_RATIO = 1.5
 #: Bits of a bitmap for each shingle of a set, at least.
 BITS = 8
 
-#: Nodes that a tile's others are tested against in a round, and rounds before all pairs are.
-HEADS, ROUNDS = 3, 3
+#: Nodes that a tile's others are tested against before all pairs are.
+HEADS = 3
 
 #: Nodes of a tile, or of a block of a larger tile, that are tested against each other at once.
 TILE_NODES = 2048
@@ -369,17 +369,11 @@ class Join:
         tiles = tiles.select("key", "node").distinct()
         counts = tiles.groupBy("key").agg(F.count("*").alias("nodes")).filter("nodes > 2")
         tiles = stored(tiles.join(counts, "key"), "tiles")
-        for number in range(ROUNDS):
-            pairs = self.to_heads(self.mixed(tiles, labels), number)
-            links = self.verified(pairs, profiles, bounded=False)
-            # The heads of a smaller tile have met all of it.
-            tiles = tiles.filter(F.col("nodes") > HEADS + 1)
-            if links.isEmpty():
-                break
-            labels = merged(labels, links)
-        links = self.verified(stored(self.across(self.mixed(tiles, labels), profiles), "pairs"), profiles,
-                              bounded=True)
-        return labels if links.isEmpty() else merged(labels, links)
+        labels = merged(labels, self.verified(self.to_heads(self.mixed(tiles, labels)), profiles, bounded=False))
+        # The heads of a smaller tile have met all of it.
+        tiles = tiles.filter(F.col("nodes") > HEADS + 1)
+        pairs = stored(self.across(self.mixed(tiles, labels), profiles), "pairs")
+        return merged(labels, self.verified(pairs, profiles, bounded=True))
 
     @staticmethod
     def mixed(tiles: DataFrame, labels: DataFrame) -> DataFrame:
@@ -392,10 +386,9 @@ class Join:
         return stored(labelled.join(several, "key", "left_semi"), "mixed")
 
     @staticmethod
-    def to_heads(rows: DataFrame, number: int) -> DataFrame:
-        """Distinct pairs of a node and one of its tile's heads: a few nodes of its largest components, which
-        differ by round."""
-        order = Window.partitionBy("key").orderBy(F.desc("size"), F.xxhash64("node", F.lit(number)), "node")
+    def to_heads(rows: DataFrame) -> DataFrame:
+        """Distinct pairs of a node and one of its tile's heads: a few nodes of its largest components."""
+        order = Window.partitionBy("key").orderBy(F.desc("size"), "node")
         heads = (rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= HEADS)
                  .select("key", F.col("node").alias("head"), F.col("label").alias("other")))
         return (rows.join(heads, "key").filter("label <> other")
@@ -416,6 +409,8 @@ class Join:
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The labels after more links between nodes."""
+    if links.isEmpty():
+        return labels
     ends = links
     for c in ("a", "b"):
         ends = ends.join(labels.toDF(c, "label"), c, "left").withColumn(c, F.coalesce("label", c)).drop("label")
