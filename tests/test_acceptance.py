@@ -38,7 +38,7 @@ def test_entry(spark):
     ("rules_risk", "review.RSK_P1"),
 ])
 def test_paths_for_large_inputs_match_sql(spark, con, name, rules):
-    """Measured keys, salts and missing keys, forced on the small tables and without broadcasts."""
+    """Joins as they are for large tables, without broadcasts."""
     from veriledger.operators.ruleset import evaluate
     from veriledger.plans import catalogue_queries as q
     from veriledger.specs.codes import sample_codes
@@ -48,7 +48,7 @@ def test_paths_for_large_inputs_match_sql(spark, con, name, rules):
 
     def query(spark, sf_dir):
         tables = q.entities(spark, sf_dir, rule_set.reads)
-        return evaluate(tables, rule_set, q.PERIOD, sample_codes(), small_bytes=0).select("rule", "key")
+        return evaluate(tables, rule_set, q.PERIOD, sample_codes()).select("rule", "key")
 
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

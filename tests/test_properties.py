@@ -45,15 +45,15 @@ def child(spark, n_clean, faults, hot):
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(n_clean=st.integers(0, 400), hot=st.booleans(), large=st.booleans(),
+@given(n_clean=st.integers(0, 400), hot=st.booleans(),
        faults=st.tuples(*[st.integers(0, 40)] * 4))
-def test_planted_faults_come_out(spark, n_clean, hot, large, faults):
+def test_planted_faults_come_out(spark, n_clean, hot, faults):
     parents = [(f"P{i}", "open") for i in range(50)] + [("P0", "open"), ("CLOSED", "closed")]
     tables = {
         "child": child(spark, n_clean, faults, hot),
         "parent": spark.createDataFrame(parents, "id string, status string"),
     }
-    found = evaluate(tables, RULES, "20240131", small_bytes=0 if large else 1 << 80)
+    found = evaluate(tables, RULES, "20240131")
     counts = report.rule_counts(found, RULES.codes).head()
     assert tuple(counts[r] for r in ("V1", "V2", "V6", "V10")) == faults
     gate = report.gate(found).head()

@@ -237,12 +237,3 @@ def test_entities_round_trip(spark):
 
     assert len({json.dumps(sorted(e.schema.names)) for e in ENTITIES.values()}) > 50
     assert list(report_names(ENTITIES["DER_CC"]))[:3] == ["Organization Id", "Data Date", "Account Id"]
-
-
-def test_settings_grow_with_the_input():
-    from veriledger.plans.settings import run_settings
-
-    small, large = run_settings(1 << 30), run_settings(100 << 40)
-    assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(large["spark.sql.shuffle.partitions"]) == 81920
-    assert int(large["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])

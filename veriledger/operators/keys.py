@@ -7,31 +7,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.operators.skew import Spread, join_parent
+from veriledger.operators.skew import join_parent
 
 
 def cast_keys(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
 
 
-def skip_stored(new: DataFrame, stored: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]],
-                spread: Spread | None = None) -> DataFrame:
+def skip_stored(new: DataFrame, stored: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]]) -> DataFrame:
     """The rows of ``new`` whose key is not in ``stored`` (keys cast to the types of ``new``)."""
-    return without_parent(new, stored, on, spread)
+    return without_parent(new, stored, on)
 
 
-def without_parent(child: DataFrame, parent: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]],
-                   spread: Spread | None = None) -> DataFrame:
+def without_parent(child: DataFrame, parent: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]]) -> DataFrame:
     """Child rows that have no parent row. A NULL key has no parent."""
     pairs = _pairs(on)
-    return join_parent(child, _distinct(parent, pairs), pairs, "left_anti", spread)
+    return join_parent(child, _distinct(parent, pairs), pairs, "left_anti")
 
 
-def with_parent(child: DataFrame, parent: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]],
-                spread: Spread | None = None) -> DataFrame:
+def with_parent(child: DataFrame, parent: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]]) -> DataFrame:
     """Child rows that have a parent row."""
     pairs = _pairs(on)
-    return join_parent(child, _distinct(parent, pairs), pairs, "left_semi", spread)
+    return join_parent(child, _distinct(parent, pairs), pairs, "left_semi")
 
 
 def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:

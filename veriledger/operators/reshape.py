@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriledger.functions import blanks
-from veriledger.operators.skew import Spread, join_parent
+from veriledger.operators.skew import join_parent
 
 
 def stack_sources(sources: Mapping[str, DataFrame], column: str = "src_stm") -> DataFrame:
@@ -51,8 +51,7 @@ def in_order(df: DataFrame, columns: Sequence[str] | Mapping[str, str]) -> DataF
 
 
 def set_from(df: DataFrame, mapping: DataFrame, on: Sequence[tuple[str, str]],
-             columns: Mapping[str, str], default: Mapping[str, object] | None = None,
-             spread: Spread | None = None) -> DataFrame:
+             columns: Mapping[str, str], default: Mapping[str, object] | None = None) -> DataFrame:
     """Set columns of ``df`` from another table by key: column -> column of ``mapping``.
 
     Rows without a match keep their value, or get the default when the column is new. When the
@@ -64,7 +63,7 @@ def set_from(df: DataFrame, mapping: DataFrame, on: Sequence[tuple[str, str]],
     reduced = mapping.groupBy(*keys).agg(
         *[F.max(theirs).alias(values[c]) for c, theirs in columns.items()]
     )
-    joined = join_parent(df, reduced, on, "left", spread)
+    joined = join_parent(df, reduced, on, "left")
     new = {}
     for c in columns:
         options = [F.col(values[c])]

@@ -1,10 +1,10 @@
 """Evaluate all rules of an entity in one pass over its table.
 
-The table is read once. Every rule becomes one bit of a number; rules that look at other entities get
-their bit after a left join to that entity, reduced to one row per key before it is joined. Joins on
-the same key follow each other, so the table is shuffled once per distinct key, not once per rule,
-and only keys, the number and the columns of later rules travel. Rows whose number is zero are
-dropped before the broken rules are listed.
+Every rule becomes one bit of a number, so the table is scanned once for all of them. Rules that look at other
+entities get their bit after a left join to that entity, reduced to one row per key. Entities that are
+looked up by the same columns are put together before, so the table is shuffled once per distinct key, not
+once per rule, and only keys, the number and the columns of later rules travel. Rows whose number is zero
+are dropped before the broken rules are listed.
 """
 
 from __future__ import annotations
@@ -21,13 +21,12 @@ from veriledger.operators import skew
 from veriledger.operators.conditions import Condition, Scope
 from veriledger.operators.families import Rule
 from veriledger.operators.reconcile import Reconciliation
-from veriledger.sources.shared import shared_folder
 
 Tables = Mapping[str, DataFrame]
 Codes = Mapping[str, Sequence[str]]
 
 BROKEN = "__broken"
-MOST_RULES = 62
+WORD_BITS = 63
 VIOLATION_COLUMNS = ["entity", "msr_prd_id", "rule", "key", "src_stm"]
 
 
@@ -132,12 +131,13 @@ class RuleSet:
         return sorted(names - views)
 
 
-def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
-              small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
-    """The rows that break at least one rule, with one bit per broken rule in ``__broken``."""
+def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None) -> DataFrame:
+    """The rows that break at least one rule, with one bit per broken rule in ``__broken``.
+
+    A number holds 63 bits; further rules go on in ``__broken1``, ``__broken2`` and so on.
+    """
     codes = codes or {}
-    if len(one.rules) > MOST_RULES:
-        raise ValueError(f"a pass holds at most {MOST_RULES} rules, one per bit")
+    words = range(word_count(one.rules))
     bit = {r.code: i for i, r in enumerate(one.rules)}
     base = tables[one.entity]
     if one.where is not None:
@@ -145,109 +145,44 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None,
 
     joined: set[str] = set()
     own = [r for r in one.rules if not r.needs]
-    rows = base.withColumn(BROKEN, _bits(own, bit, Scope.of(base, codes)))
+    rows = base.withColumns({word(w): _bits(own, bit, Scope.of(base, codes), w) for w in words})
     done = {r.code for r in own}
 
-    steps = [_Step(on, [(l, l.one_row_per_key(tables, codes)) for l in lookups])
-             for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on))]
-    large = [s for s in steps if small_bytes == 0 or not s.is_broadcast]
-    if large and skew.estimated_bytes(base) < small_bytes:
-        large = []
-    # reference checks of large tables need no join of whole rows: only keys without a parent do
-    by_missing = [s for s in large if s.is_reference and set(s.on) <= set(base.columns)]
-    spreads = _spreads(tables, one, base, [s for s in large if s not in by_missing])
-    for step in steps:
-        if step in by_missing:
-            rows = _mark_missing(rows, base, step, small_bytes)
-        else:
-            for lookup, parent in step.parents:
-                rows = skew.join_parent(rows, parent, lookup.on, "left",
-                                        spreads.get(step.on, skew.FLAT), keep_salt=True)
-            rows = rows.drop(skew.SALT)
-        joined |= {l.name for l, _ in step.parents}
+    for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on)):
+        lookups = list(lookups)
+        parents = [skew.with_key_names(l.one_row_per_key(tables, codes), rows, l.on) for l in lookups]
+        # Lookups on the same columns are put together first, so the base table is shuffled once for them.
+        names = [f"__k{i}" for i in range(len(on))]
+        parent = reduce(lambda a, b: a.join(b, names, "full_outer"), parents)
+        rows = skew.join_named(rows, parent, on, "left")
+        joined |= {l.name for l in lookups}
         ready = [r for r in one.rules if r.code not in done and set(r.needs) <= joined]
         if ready:
-            bits = _bits(ready, bit, Scope.of(rows, codes))
-            rows = rows.withColumn(BROKEN, F.col(BROKEN).bitwiseOR(bits))
+            rows = rows.withColumns({
+                word(w): F.col(word(w)).bitwiseOR(_bits(ready, bit, Scope.of(rows, codes), w)) for w in words})
             done |= {r.code for r in ready}
 
     left = [r.code for r in one.rules if r.code not in done]
     if left:
         raise ValueError(f"rules {left} need lookups that the pass does not have")
-    return rows.filter(F.col(BROKEN) != 0)
-
-
-@dataclass(frozen=True)
-class _Step:
-    """Lookups that follow each other and join on the same columns of the base table."""
+    return rows.filter(reduce(lambda a, b: a | b, [F.col(word(w)) != 0 for w in words]))
 
-    on: tuple[str, ...]
-    parents: Sequence[tuple[Lookup, DataFrame]]
 
-    @property
-    def is_broadcast(self) -> bool:
-        return all(skew.is_broadcast_size(p) for _, p in self.parents)
-
-    @property
-    def is_reference(self) -> bool:
-        """One parent, asked only whether it exists. Rows nearly always have it.
+def word(number: int) -> str:
+    return f"{BROKEN}{number or ''}"
 
-        With several parents on one column a row usually has just one of them, so the keys some
-        parent lacks are about as many as the keys.
-        """
-        return len(self.parents) == 1 and not self.parents[0][0].facts
 
+def word_count(rules: Sequence[Rule]) -> int:
+    return max(1, -(-len(rules) // WORD_BITS))
 
-def _mark_missing(rows: DataFrame, base: DataFrame, step: _Step, small_bytes: int) -> DataFrame:
-    """Mark which rows have a parent, by way of the keys that have none.
 
-    The distinct keys of the base table are compared with the parent's keys, so neither side has a
-    hot key. The keys without a parent are written down: their number is then known, and Spark joins
-    them back by broadcast when they are few, which leaves the base table unshuffled. When they are
-    many, the hot ones among them are spread.
-    """
-    (lookup, parent), on = step.parents[0], list(step.on)
-    keys = base.select(*on).dropna().distinct()
-    missing = skew.join_parent(keys, parent, lookup.on, "left_anti", skew.FLAT)
-    path = shared_folder(base.sparkSession, "missing")
-    missing.hint("rebalance", *[F.col(c) for c in on]).write.parquet(path)
-    name = f"{lookup.name}__missing"
-    stored = base.sparkSession.read.schema(missing.schema).parquet(path).withColumn(name, F.lit(True))
-    spread = skew.FLAT
-    if small_bytes == 0 or not skew.is_broadcast_size(stored):
-        spread = skew.measure(base, on, small_bytes)
-    rows = skew.join_parent(rows, stored, [(c, c) for c in on], "left", spread)
-    known = ~skew.has_null([F.col(c) for c in on]) & F.col(name).isNull()
-    return rows.withColumn(f"{lookup.name}__found", F.when(known, True))
-
-
-def _spreads(tables: Tables, one: Pass, base: DataFrame, steps: Sequence[_Step]
-             ) -> dict[tuple[str, ...], skew.Spread]:
-    """Hot keys per join key of large tables.
-
-    Keys of the base table are measured together. A key that an earlier lookup delivers is measured
-    in the table it comes from, which has the same hot values; rows the lookup misses have NULL.
-    """
-    own = [s.on for s in steps if set(s.on) <= set(base.columns)]
-    spreads = dict(zip(own, skew.measure_all(base, own, small_bytes=0)))
-    delivered = {f"{l.name}__{f.name}": (l.entity, f.of) for l in one.lookups for f in l.facts
-                 if isinstance(f.of, str)}
-    for on in [s.on for s in steps if s.on not in spreads]:
-        if len(on) == 1 and on[0] in delivered:
-            entity, column = delivered[on[0]]
-            found = skew.measure(tables[entity], [column], small_bytes=0)
-            spreads[on] = skew.Spread(found.salts_of, split_nulls=True)
-    return spreads
-
-
-def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes | None = None,
-               small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
+def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes | None = None) -> DataFrame:
     """Long form: one row per broken rule and row of the base table."""
-    flagged = flag_rows(tables, one, codes, small_bytes)
+    flagged = flag_rows(tables, one, codes)
     # exploding the gaps too and dropping them stays in generated code; array functions with a
     # lambda would not
     listed = F.array(*[
-        F.when(F.col(BROKEN).bitwiseAND(F.lit(1 << i)) != 0, F.lit(r.code))
+        F.when(F.col(word(i // WORD_BITS)).bitwiseAND(F.lit(1 << i % WORD_BITS)) != 0, F.lit(r.code))
         for i, r in enumerate(one.rules)
     ])
     source = F.col("src_stm") if "src_stm" in flagged.columns else F.lit(None).cast("string")
@@ -260,14 +195,12 @@ def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes
     ).filter(F.col("rule").isNotNull())
 
 
-def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None = None,
-             small_bytes: int = skew.SMALL_INPUT_BYTES) -> DataFrame:
+def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None = None) -> DataFrame:
     """All violations of a rule set, one long table."""
     tables = dict(tables)
     for view in ruleset.views:
         tables[view.name] = view.build(tables, codes or {})
-    parts = [violations(tables, p, ruleset.entity, period, codes, small_bytes)
-             for p in ruleset.passes]
+    parts = [violations(tables, p, ruleset.entity, period, codes) for p in ruleset.passes]
     for r in ruleset.reconciliations:
         failed = r.differences(tables, codes or {}).filter(~F.col("ok"))
         parts.append(failed.select(
@@ -281,12 +214,16 @@ def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None
 
 
 def key_text(columns: Sequence[str]) -> Column:
-    """Key columns as one text, NULL parts as empty text."""
+    """Key columns as one text, NULL parts as empty text; in a key of several parts, a bar or backslash
+    inside a part has a backslash before it, so different keys never read alike."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat_ws("|", *[F.regexp_replace(p, r"([|\\])", r"\\$1") for p in parts])
 
 
-def _bits(rules: Sequence[Rule], bit: Mapping[str, int], scope: Scope) -> Column:
-    flags = [F.when(r.broken(scope), F.lit(1 << bit[r.code])).otherwise(F.lit(0)).cast("long")
-             for r in rules]
+def _bits(rules: Sequence[Rule], bit: Mapping[str, int], scope: Scope, number: int) -> Column:
+    """The bits of one word that the rules set."""
+    flags = [F.when(r.broken(scope), F.lit(1 << bit[r.code] % WORD_BITS)).otherwise(F.lit(0)).cast("long")
+             for r in rules if bit[r.code] // WORD_BITS == number]
     return reduce(lambda a, b: a.bitwiseOR(b), flags, F.lit(0).cast("long"))

@@ -1,164 +1,54 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A join sends all rows of a key to one task. :func:`measure_all` counts, in one pass over the key columns,
-which keys hold more than ``HOT_SHARE`` of the rows; there can be at most ``1 / HOT_SHARE`` of them.
-The rows of a hot key are then split over several salts and its single parent row is repeated once
-per salt. Rows with a NULL key never match, so they are split without repeating anything.
-
-The salt is taken from the map partition a row is read in: a re-run of a lost task gives the same
-salts, which a random or row-counting salt would not promise after a shuffle.
+A join sends all rows of a key to one task, unless adaptive execution splits that task's input. It can do so
+only where both sides were shuffled for the join itself: a parent that was reduced to one row per key is
+shuffled by the key for that, and a join on the key alone would take the rows as they lie. So the join is on
+the key and a number derived from it. Both sides are then shuffled for the join, and a partition that a hot key
+or the NULL keys make large is split into as many tasks as its size asks for, its few parent rows repeated for
+each. This holds at every size, nothing is measured beforehand, and building a join starts no job. The reduced
+parent is shuffled once more, by rows that are one per key.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1 / 10_000
-MOST_HOT_KEYS = 10_000
-TRACKED_KEYS = 20 * MOST_HOT_KEYS
-MOST_SALTS = 4096
-# Below this many bytes a third of the input still fits one task, so nothing is measured.
-SMALL_INPUT_BYTES = 1 << 30
-
-SALT = "__salt"
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Size of the optimized plan's output as Spark estimates it from the files read.
-
-    Spark multiplies the sizes of joined inputs; here a join keeps the rows of its left side, so the
-    sum of the files read is a bound too.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
-    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return min(int(plan.stats().sizeInBytes()), read)
-
-
-def is_broadcast_size(df: DataFrame) -> bool:
-    """Spark's own size check: below the session's threshold it broadcasts the side by itself."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= int(
-        conf.autoBroadcastJoinThreshold()
-    )
-
-
-@dataclass(frozen=True)
-class Spread:
-    """How many salts each hot key gets, as sets of key hashes by number of salts."""
+#: The derived number only has to be a function of the key.
+PARTS = 1 << 20
 
-    salts_of: Mapping[int, Sequence[int]] = field(default_factory=dict)
-    split_nulls: bool = False
 
-    @property
-    def is_flat(self) -> bool:
-        return not self.salts_of and not self.split_nulls
+def has_null(keys: Sequence[Column]) -> Column:
+    return reduce(or_, [k.isNull() for k in keys])
 
-    def _salt_count(self, keys: Sequence[Column]) -> Column:
-        count = F.lit(1)
-        for salts, hashes in self.salts_of.items():
-            count = F.when(F.xxhash64(*keys).isin(list(hashes)), salts).otherwise(count)
-        return count
 
-    def child_salt(self, keys: Sequence[Column]) -> Column:
-        count = self._salt_count(keys)
-        if self.split_nulls:
-            count = F.when(has_null(keys), MOST_SALTS).otherwise(count)
-        return F.pmod(F.spark_partition_id(), count)
+def _part(keys: Sequence[Column]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PARTS))
 
-    def parent_salts(self, keys: Sequence[Column]) -> Column:
-        """All salts a parent row has to be present under."""
-        return F.sequence(F.lit(0), self._salt_count(keys) - 1)
 
+def with_key_names(parent: DataFrame, child: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """The parent with its keys named ``__k0``, ``__k1``, ... and of the child's types, so both hash alike."""
+    types = {f.name: f.dataType for f in child.schema.fields}
+    for i, (c, p) in enumerate(on):
+        parent = parent.withColumn(f"__k{i}", F.col(p).try_cast(types[c])).drop(p)
+    return parent
 
-FLAT = Spread()
 
+def join_named(child: DataFrame, parent: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join ``child`` to a parent of :func:`with_key_names`, which has one row per key.
 
-def has_null(keys: Sequence[Column]) -> Column:
-    return reduce(or_, [k.isNull() for k in keys])
+    ``how`` keeps or tests child rows: left, inner, left_semi or left_anti.
+    """
+    named = [f"__k{i}" for i in range(len(keys))]
+    pairs = [F.col(c) == F.col(p) for c, p in zip(keys, named)]
+    pairs.append(_part([F.col(c) for c in keys]) == _part([F.col(p) for p in named]))
+    return child.join(parent, reduce(and_, pairs), how).drop(*named)
 
 
-def measure(child: DataFrame, keys: Sequence[str], small_bytes: int = SMALL_INPUT_BYTES,
-            hot_share: float = HOT_SHARE) -> Spread:
-    """Find the hot keys of ``child``. Small inputs are not measured."""
-    return measure_all(child, [keys], small_bytes, hot_share)[0]
-
-
-def measure_all(child: DataFrame, key_lists: Sequence[Sequence[str]],
-                small_bytes: int = SMALL_INPUT_BYTES, hot_share: float = HOT_SHARE) -> list[Spread]:
-    """The hot keys of several keys of ``child``, found in one pass that reads only key columns."""
-    if not key_lists or estimated_bytes(child) < small_bytes:
-        return [FLAT] * len(key_lists)
-    hashed, counts = [], [F.count("*").alias("n")]
-    for i, keys in enumerate(key_lists):
-        cols = [F.col(k) for k in keys]
-        hashed.append(F.when(~has_null(cols), F.xxhash64(*cols)).alias(f"h{i}"))
-        counts += [
-            F.count(f"h{i}").alias(f"filled{i}"),
-            F.expr(f"approx_top_k(h{i}, {MOST_HOT_KEYS}, {TRACKED_KEYS})").alias(f"top{i}"),
-        ]
-    # one row of bounded size: at most MOST_HOT_KEYS hashes per key
-    row = child.select(*hashed).agg(*counts).head()
-    limit = row["n"] * hot_share
-    if not limit:
-        return [FLAT] * len(key_lists)
-    return [_spread(row[f"top{i}"], row["n"] - row[f"filled{i}"], limit)
-            for i in range(len(key_lists))]
-
-
-def _spread(top, nulls: int, limit: float) -> Spread:
-    salts_of: dict[int, list[int]] = {}
-    for item in top:
-        if item["item"] is None or item["count"] <= limit:
-            continue
-        salts = min(MOST_SALTS, 1 << math.ceil(math.log2(item["count"] / limit)))
-        salts_of.setdefault(max(salts, 2), []).append(item["item"])
-    return Spread(salts_of, split_nulls=nulls > limit)
-
-
-def add_salt(child: DataFrame, keys: Sequence[str], spread: Spread) -> DataFrame:
-    """Add the salt column, unless nothing is hot."""
-    if spread.is_flat:
-        return child
-    return child.withColumn(SALT, spread.child_salt([F.col(k) for k in keys]))
-
-
-def repeat_parent(parent: DataFrame, keys: Sequence[str], spread: Spread) -> DataFrame:
-    """Repeat the parent rows of hot keys once per salt. ``parent`` has one row per key."""
-    if spread.is_flat:
-        return parent
-    return parent.withColumn(SALT, F.explode(spread.parent_salts([F.col(k) for k in keys])))
-
-
-def join_parent(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]], how: str,
-                spread: Spread | None = None, keep_salt: bool = False) -> DataFrame:
-    """Join ``child`` to ``parent`` (one row per key) on pairs of (child column, parent column).
-
-    ``how`` keeps or tests child rows: left, left_semi or left_anti. Parent keys take the type of the
-    child's, so that both sides hash alike. ``keep_salt`` leaves the salt on the result, for a next
-    join on the same keys that then needs no new shuffle.
-    """
-    child_keys = [c for c, _ in on]
-    if spread is None:
-        spread = FLAT if is_broadcast_size(parent) else measure(child, child_keys)
-    types = {f.name: f.dataType for f in child.schema.fields}
-    renamed = parent
-    for i, (c, p) in enumerate(on):
-        renamed = renamed.withColumn(f"__k{i}", F.col(p).try_cast(types[c])).drop(p)
-    parent_keys = [f"__k{i}" for i in range(len(on))]
-    renamed = repeat_parent(renamed, parent_keys, spread)
-    left = child if SALT in child.columns else add_salt(child, child_keys, spread)
-    pairs = list(zip(child_keys, parent_keys))
-    if not spread.is_flat:
-        renamed = renamed.withColumnRenamed(SALT, "__parent_salt")
-        pairs.append((SALT, "__parent_salt"))
-    condition = reduce(and_, [F.col(c) == F.col(p) for c, p in pairs])
-    joined = left.join(renamed, condition, how)
-    return joined.drop("__parent_salt", *parent_keys, *([] if keep_salt else [SALT]))
+def join_parent(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]], how: str) -> DataFrame:
+    """Join ``child`` to ``parent`` (one row per key) on pairs of (child column, parent column)."""
+    return join_named(child, with_key_names(parent, child, on), [c for c, _ in on], how)
