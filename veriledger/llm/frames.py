@@ -38,18 +38,18 @@ def quoted(name: str):
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def slices(batch: pa.RecordBatch, texts: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, texts: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in parts whose texts, column `texts`, are of a bounded size together."""
     sizes = pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_pylist()
-    for start, end in pieces(sizes, SLICE_BYTES):
+    for start, end in pieces(sizes, most):
         yield batch.slice(start, end - start)
 
 
 def extended(df: DataFrame, column: str, fields: list[T.StructField], work: Callable[[pa.Array], dict],
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, most: int = SLICE_BYTES) -> DataFrame:
     """The rows with columns made from one text column, in the same tasks.
 
-    `work` gets some texts and gives an Arrow array per field. `keep` names the columns that
+    `work` gets some texts, of `most` bytes or a single one, and gives an Arrow array per field. `keep` names the columns that
     stay (all, unless given); one that has the name of a new column gives way to it.
     """
     names = [f.name for f in fields]
@@ -62,7 +62,7 @@ def extended(df: DataFrame, column: str, fields: list[T.StructField], work: Call
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in parts:
-            for batch in slices(whole, at):
+            for batch in slices(whole, at, most):
                 made = work(batch.column(at))
                 arrays = [*batch.columns[:len(kept)], *[made[n] for n in names]]
                 yield pa.RecordBatch.from_arrays(arrays, names=kept + names)

@@ -35,6 +35,9 @@ BEGIN = 2
 #: The signs of a word's first, second, ... repetition; later ones share the last.
 AGAIN, MOST_AGAIN = 0xE000, 16
 
+#: Bytes of text that are spelled at once; a symbol takes some hundred bytes on the way.
+AT_ONCE = 2 << 20
+
 #: n-grams of a shard, whose table takes 24 to 48 MB.
 SHARD_GRAMS = 1 << 20
 
@@ -105,7 +108,7 @@ def _places(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 def _count(parts):
     """The distinct n-grams of a task's texts with how many of each are in texts to train on."""
     keys, numbers, words = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, ORDER), np.uint32))
-    for batch in (s for whole in parts for s in slices(whole, 0)):
+    for batch in (s for whole in parts for s in slices(whole, 0, AT_ONCE)):
         row, starts = symbols(batch.column(0))
         places, counts = _places(starts, len(row))
         if not len(places):
@@ -283,7 +286,7 @@ def scored(df: DataFrame, costs: Costs, column: str = "text", keep=None) -> Data
         ends = np.concatenate([[0], np.cumsum(counts)])
         return {"n_scored": pa.array(counts), "cost": pa.array(sums[ends[1:]] - sums[ends[:-1]])}
 
-    return extended(df, column, _FIELDS, work, keep)
+    return extended(df, column, _FIELDS, work, keep, AT_ONCE)
 
 
 def _drawn(mean):
