@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from worlds import frames
 
 from veriledger.operators import conditions as c
@@ -37,10 +38,10 @@ def test_passing_run_advances_and_repeats(spark, setting):
     assert first.passed and first.next_period == "20240401"
     assert set(first.counts) == set(job.rules.codes)
     again = run_job(setting("2", parents), job, "20240331", _source(spark, "DER_CAC"))
-    assert again.passed and spark.table("runs.der_cac").count() == 2
+    assert again.passed and spark.table("runs.der_cac_d").count() == 2
     report = spark.read.option("header", True).csv(again.report)
     assert report.count() == 2 and "Account Id" in report.columns
-    row = spark.table("runs.der_cac").head()
+    row = spark.table("runs.der_cac_d").head()
     assert row["ppn_tm"] == datetime.datetime(2024, 3, 31, 19, 0)
 
 
@@ -64,7 +65,7 @@ def test_prevalidation_counts_and_passes_rows_on(spark, setting, tmp_path):
     assert result.prevalidation == {"P1": 0, "P2": 2}
     path = str(tmp_path / "prevalidation" / "daily_cac" / "20240331" / "3")
     assert spark.read.option("header", True).csv(path).count() == 2
-    assert "P1" not in spark.table("runs.der_cac").columns
+    assert "P1" not in spark.table("runs.der_cac_d").columns
 
 
 def test_entity_id_comes_from_the_mapping(spark, setting):
@@ -90,17 +91,17 @@ def test_dependents_are_filled(spark, setting):
     run_job(setting("1", frames(spark, ["DER_CPID"], {})), JOBS["p1_monthly_cpen"], "20240331",
             _source(spark, "DER_CPEN"))
     for table in ("mas_ent", "mas_ent_dtl", "stg_ent", "stg_ent_dtl"):
-        assert spark.table(f"runs.{table}").count() == 2
+        assert spark.table(f"runs.p1_{table}").count() == 2
 
 
 def test_staging_jobs(spark, setting):
     rows = spark.createDataFrame([("P1", "E1", "x"), ("P2", "E1", "y")],
                                  "cntpr_id string, ent_id string, name string")
     result = run_job(setting(), JOBS["stage_counterparty_daily"], "20240331", rows)
-    assert result.passed and result.report is None and result.next_period == "20240401"
-    assert spark.table("runs.stg_ctp").count() == 2 and spark.table("runs.stg_ent").count() == 1
-    assert spark.table("runs.stg_ent_dtl").count() == 2
-    inside = spark.table("runs.stg_ctp").select("ent_id", "cntpr_id")
+    assert result.passed and result.report is None and result.next_period == "20240331"
+    assert spark.table("runs.stg_ctp_d").count() == 2 and spark.table("runs.stg_ent_d").count() == 1
+    assert spark.table("runs.stg_ent_dtl_d").count() == 2
+    inside = spark.table("runs.stg_ctp_d").select("ent_id", "cntpr_id")
     run_job(setting(), JOBS["stage_counterparty_entity"], "20240331", inside)
     assert spark.table("runs.stg_ctp_ett").count() == 2
     staged = run_job(setting(), JOBS["p1_monthly_stg_bld"], "20240331", _source(spark, "DER_BLD"))
@@ -121,7 +122,7 @@ def test_stamped_rows_get_the_organisation_and_date(spark, setting):
     rows = spark.createDataFrame([(" E1 ", "P1"), ("  ", "P1")], "ent_id string, cntpr_id string")
     parents = frames(spark, ["DER_CPID"], {})
     run_job(setting("1", parents, "042"), JOBS["daily_cpen"], "20240331", rows)
-    stored = spark.table("runs.der_cpen").collect()
+    stored = spark.table("runs.der_cpen_d").collect()
     assert {(r["ent_id"], r["org_id"], str(r["data_dt"])) for r in stored} == {
         ("E1", "042", "2024-03-31"), (None, "042", "2024-03-31")}
 
@@ -150,11 +151,11 @@ def test_from_landed_text_to_report(spark, setting, tmp_path):
     from veriledger.plans.jobs import LANDINGS
 
     (tmp_path / "RV_20240331.TXT").write_text("|2024-03-31|I#clean|2024-03-31|1.5\n")
-    (tmp_path / "RW_20240331.TXT").write_text("007|2024-03-31|none|2024-03-31|bad\n")
-    landed = [landing.land_text(spark, LANDINGS[f"land_intrv_{s}"], str(tmp_path), name, "20240331",
-                                MOMENT, "runs", expected=1)
-              for s, name in (("tfs", "RV"), ("trs", "RW"))]
-    assert [x.rejects.count() for x in landed] == [0, 1]
+    (tmp_path / "RW_20240331.TXT").write_text("007|2024-03-31|none|2024-03-31|2\n007|2024-03-31|R|2024-03-31|bad\n")
+    loads = [landing.land_text(spark, LANDINGS[f"land_intrv_{s}"], str(tmp_path), name, "20240331",
+                               MOMENT, n, "runs")
+             for s, name, n in (("tfs", "RV", 1), ("trs", "RW", 2))]
+    assert [(x.kept, x.rejected) for x in loads] == [(1, 0), (1, 1)]
     rows = landing.staged_rows(spark, [LANDINGS["land_intrv_tfs"], LANDINGS["land_intrv_trs"]],
                                "20240331", "runs")
     result = run_job(setting("1", frames(spark, ["DER_INTR"], {})), JOBS["daily_intrv"], "20240331", rows)
@@ -177,5 +178,37 @@ def test_text_job_with_a_fixed_column_list(spark, setting, tmp_path):
     parents = frames(spark, ["DER_CAC", "DS_FCP"], {})
     result = run_job(setting("1", parents), JOBS["p1_daily_otdd"], "20240331", rows)
     assert {k for k, v in result.counts.items() if v} == {"CNOTDD002"}
-    stored = {r["ac_id"]: (r["org_id"], r["src_stm"]) for r in spark.table("runs.der_otdd").collect()}
+    stored = {r["ac_id"]: (r["org_id"], r["src_stm"]) for r in spark.table("runs.p1_der_otdd_d").collect()}
     assert stored == {"A#clean": ("006", "SFTP"), "A#other": ("007", "SFTP")}
+
+
+def test_jobs_of_one_entity_keep_their_own_rows(spark, setting):
+    """A daily and a monthly job of the same period, with different accounts."""
+    parents = frames(spark, ["DER_CPEN"], {})
+    daily = _source(spark, "DER_CAC").withColumn("ac_id", F.concat(F.lit("D"), "ac_id"))
+    run_job(setting("1", parents), JOBS["daily_cac"], "20240331", daily)
+    run_job(setting("2", parents), JOBS["monthly_cac"], "20240331", _source(spark, "DER_CAC"))
+    assert {r["ac_id"][0] for r in spark.table("runs.der_cac_d").collect()} == {"D"}
+    assert {r["ac_id"][0] for r in spark.table("runs.der_cac").collect()} == {"A"}
+
+
+def test_no_two_jobs_store_into_one_table():
+    from collections import Counter
+
+    from veriledger.plans.jobs import APPLY
+
+    stored = Counter(j.table(e) for j in JOBS.values() if APPLY in j.stages for e in (j.entity, *j.dependents))
+    assert max(stored.values()) == 1
+    assert JOBS["daily_cac"].table("DER_CAC") == "DER_CAC_D" and JOBS["monthly_cac"].table("DER_CAC") == "DER_CAC"
+    assert JOBS["p1_daily_otdd"].sources("DER_CAC")[0] == "DER_CAC_D"
+    assert JOBS["p1_monthly_otdm"].sources("DER_CACD") == ["P1_DER_CACD", "DER_CACD"]
+
+
+# How a period moves on where that is not the job's cadence.
+STEPS = {"p1_daily_otdd": "monthly", "p1_daily_cpen": "monthly", "monthly_blp": "daily", "monthly_cpdg": "daily",
+         "monthly_cpen": "daily", "p1_monthly_stg_bld": "none", "stage_counterparty_daily": "none",
+         "copy_from_source": "none"}
+
+
+def test_steps():
+    assert {n: j.step for n, j in JOBS.items() if j.step} == STEPS

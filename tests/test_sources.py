@@ -37,14 +37,25 @@ def folder(tmp_path):
 def test_pipe_text(spark, folder):
     landed = text.read_pipe_text(spark, text.landed_pattern(folder, "OTDD", "20240131"), OTDD)
     rows = {r["ac_id"]: r for r in landed.rows.collect()}
-    assert set(rows) == {"0001", "0002", "0003"}
+    assert set(rows) == {"0001", "0002"}
     assert rows["0001"]["org_id"] == "006" and str(rows["0001"]["otsnd_amt_in_orig_ccy"]) == "10.50"
     assert rows["0002"]["org_id"] is None and rows["0002"]["otsnd_amt_in_orig_ccy"] is None
-    assert rows["0003"]["ccy"] == "  "
     rejects = landed.rejects.collect()
-    assert [(r["ac_id"], r[text.BAD_CELLS]) for r in rejects] == [("0003", ["otsnd_amt_in_orig_ccy"])]
+    assert [(r["record"], r["reasons"]) for r in rejects] == [
+        ("007|2024-01-31|0003|  |bad", "otsnd_amt_in_orig_ccy")]
+    assert rejects[0]["file"].endswith("OTDD_20240131.TXT.2")
     everything = text.read_pipe_text(spark, text.landed_pattern(folder, "OTDD"), OTDD)
-    assert everything.rows.count() == 4
+    assert everything.rows.count() == 3
+
+
+def test_records_of_another_length_are_rejected_whole(spark, tmp_path):
+    (tmp_path / "OTDD_20240131.TXT").write_text(
+        "006|2024-01-31|0001|USD|1\n006|2024-01-31|0002|USD|1|EXTRA\n006|2024-01-31\n006|bad|0004|USD|x\n")
+    landed = text.read_pipe_text(spark, text.landed_pattern(str(tmp_path), "OTDD", "20240131"), OTDD)
+    assert [r["ac_id"] for r in landed.rows.collect()] == ["0001"]
+    assert sorted((r["record"], r["reasons"]) for r in landed.rejects.collect()) == [
+        ("006|2024-01-31", text.WRONG_NUMBER), ("006|2024-01-31|0002|USD|1|EXTRA", text.WRONG_NUMBER),
+        ("006|bad|0004|USD|x", "data_dt, otsnd_amt_in_orig_ccy")]
 
 
 def test_text_only_schema_has_no_rejects(spark, folder):
@@ -53,9 +64,19 @@ def test_text_only_schema_has_no_rejects(spark, folder):
     assert landed.rows.count() == 3 and landed.rejects.count() == 0
 
 
-def _land(spark, name, folder, file_name, period, expected=None):
-    return landing.land_text(spark, LANDINGS[name], folder, file_name, period, MOMENT,
-                             expected=expected)
+def _land(spark, name, folder, file_name, period, expected=1):
+    return landing.land_text(spark, LANDINGS[name], folder, file_name, period, MOMENT, expected)
+
+
+def test_rejects_are_stored(spark, tmp_path):
+    (tmp_path / "RV_20240430.TXT").write_text(
+        "006|2024-04-30|R1|2024-04-30|1.5\n006|2024-04-30|R1|2024-04-30|x\n006\n")
+    for _ in range(2):
+        load = _land(spark, "land_intrv_tfs", str(tmp_path), "RV", "20240430", 3)
+        assert (load.kept, load.rejected) == (1, 2)
+    stored = spark.table("default.der_intrv_tfs_rejects").filter("msr_prd_id = '20240430'").collect()
+    assert sorted((r["record"], r["reasons"]) for r in stored) == [
+        ("006", text.WRONG_NUMBER), ("006|2024-04-30|R1|2024-04-30|x", "rate_value")]
 
 
 def test_land_and_stack(spark, tmp_path):
@@ -226,10 +247,9 @@ def test_shared_folder(spark):
     from types import SimpleNamespace
 
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
-    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d),
-                              sparkContext=SimpleNamespace(master="yarn"))
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d))
     with pytest.raises(ValueError):
-        shared_folder(cluster, "x")
+        shared_folder(unset, "x")
 
 
 def test_entities_round_trip(spark):

@@ -32,7 +32,7 @@ select l_orderkey, l_linenumber, l_partkey from lineitem l where not exists (sel
 select l_orderkey, l_linenumber, count(*) as n from lineitem group by l_orderkey, l_linenumber having count(*)>1
 """,
     "record_count_control": """
-select a.src, a.n, b.expected, a.n=b.expected as ok from (select o_orderstatus as src, count(*) as n from orders group by 1) a join (select o_orderstatus as src, count(distinct o_orderkey) as expected from orders group by 1) b on a.src=b.src
+select coalesce(a.src, b.src) as src, coalesce(a.n, 0) as n, coalesce(b.expected, 0) as expected, coalesce(a.n, 0)=coalesce(b.expected, 0) as ok from (select o_orderstatus as src, count(*) as n from orders group by 1) a full join (select l_linestatus as src, count(*) as expected from lineitem where l_linenumber=1 group by 1) b on a.src=b.src
 """,
     "prevalidation_flags": """
 select c_custkey, c_acctbal<0 as r1, c_mktsegment='MACHINERY' as r2 from customer
@@ -95,7 +95,7 @@ select o_orderkey from orders where o_orderdate>=timestamp '2000-10-01' and o_or
 select p_partkey, p_type from part p where not exists (select 1 from (values ('PROMO'),('SMALL'),('LARGE')) v(t) where v.t=p.p_type)
 """,
     "v16_hierarchy": """
-with h as (select c_custkey as id, nullif(c_custkey//10, c_custkey) as parent, case when c_custkey<10 then 0 else 1 end as lvl from customer where c_custkey%3<>0 or c_custkey<10) select id from h where (parent is null and lvl<>0) or (parent is not null and not exists (select 1 from h p where p.id=h.parent))
+with h as (select c_custkey as id, case when c_custkey<10 then null when c_custkey%10=3 then -c_custkey else c_custkey//10 end as parent, case when c_custkey<5 then 0 when c_custkey%10=7 then null else 1 end as lvl from customer) select id from h where (parent is null and coalesce(lvl, -1)<>0) or (parent is not null and not exists (select 1 from h p where p.id=h.parent))
 """,
     "v17_self_reference": """
 select o_orderkey, o_custkey from orders where o_orderkey%1000=o_custkey%1000
@@ -113,7 +113,7 @@ select sum(n)=0 as passed, sum(n) as violations from (select count(*) as n from
 select o_orderstatus as src_stm, 'CM1' as rule, count(*) as n from orders where o_orderpriority='4-NOT SPECIFIED' group by o_orderstatus
 """,
     "period_export": """
-select o_orderkey as account_id, c_custkey as counterparty_id, n_name as country, o_totalprice as amount from orders join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey where o_orderdate>=timestamp '2001-06-01'
+select o_orderkey as account_id, c_custkey as counterparty_id, n_name as country, o_totalprice as amount from orders join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey where last_day(cast(o_orderdate as date))=date '2001-06-30'
 """,
     "counterparty_stack": """
 select c_custkey as cntpr_id, c_name as name, c_acctbal as balance, c_mktsegment as segment, 'CMS' as src_stm from customer union all select s_suppkey, s_name, s_acctbal, null, 'TFS' from supplier

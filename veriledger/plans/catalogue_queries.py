@@ -7,23 +7,23 @@ from pyspark.sql import functions as F
 
 from veriledger.operators.ruleset import RuleSet, evaluate
 from veriledger.plans.acceptance import table
-from veriledger.plans.derived import BASE_TABLES, ENTITY_SQL, RESIDENTIAL_CACD
+from veriledger.plans.derived import BASE_TABLES, ENTITY_SQL
 from veriledger.specs import account, collateral, counterparty, credit_line, outstanding, review
 from veriledger.specs.codes import sample_codes
 
 PERIOD = "20240131"
 
 
-def entities(spark, sf_dir: str, names, **replaced: str) -> dict[str, DataFrame]:
-    texts = {n: replaced.get(n, ENTITY_SQL[n]) for n in names}
+def entities(spark, sf_dir: str, names) -> dict[str, DataFrame]:
+    texts = {n: ENTITY_SQL[n] for n in names}
     sources = {t: table(spark, sf_dir, t) for t in BASE_TABLES
                if any(f"{{{t}}}" in text for text in texts.values())}
     return {n: spark.sql(text, **{t: df for t, df in sources.items() if f"{{{t}}}" in text})
             for n, text in texts.items()}
 
 
-def _violations(spark, sf_dir: str, rules: RuleSet, **replaced: str) -> DataFrame:
-    tables = entities(spark, sf_dir, rules.reads, **replaced)
+def _violations(spark, sf_dir: str, rules: RuleSet) -> DataFrame:
+    tables = entities(spark, sf_dir, rules.reads)
     return evaluate(tables, rules, PERIOD, sample_codes()).select("rule", "key")
 
 
@@ -56,7 +56,7 @@ def rules_risk(spark, sf):
 
 
 def rules_building(spark, sf):
-    return _violations(spark, sf, collateral.BLD_P1, DER_CACD=RESIDENTIAL_CACD)
+    return _violations(spark, sf, collateral.BLD_P1)
 
 
 def reconcile_ledgers(spark, sf):

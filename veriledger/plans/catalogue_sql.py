@@ -1,6 +1,6 @@
 """DuckDB text of the catalogue queries: one plain query per rule, written from the rule's sentence."""
 
-from veriledger.plans.derived import BASE_TABLES, ENTITY_SQL, RESIDENTIAL_CACD
+from veriledger.plans.derived import BASE_TABLES, ENTITY_SQL
 
 
 def _with(names: dict[str, str], body: str) -> str:
@@ -206,7 +206,7 @@ _RISK = _with(
     }))
 
 _BUILDING = _with(
-    {"bld": ENTITY_SQL["DER_BLD"], "col": ENTITY_SQL["DER_COL"], "cacd": RESIDENTIAL_CACD,
+    {"bld": ENTITY_SQL["DER_BLD"], "col": ENTITY_SQL["DER_COL"], "cacd": ENTITY_SQL["DER_CACD"],
      "clp": ENTITY_SQL["DER_CLP"], "pvg": ENTITY_SQL["DER_PVG"], "cvg": ENTITY_SQL["DER_CVG"]},
     _union("bld b", "collateral_id", {
         "CMBLD001": f"country = 'TH' and (({bl('dopa_location')} and {bl('dol_location')}) or "

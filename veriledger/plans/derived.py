@@ -46,7 +46,8 @@ select case when l_partkey % 50 = 0 then 'none' else 'A' || cast(l_orderkey as s
   case when l_linenumber = 1 then null else 'R' || cast(l_partkey % 30 as string) end
     as product_program_id,
   case l_returnflag when 'A' then 'commercial_purposes' when 'R' then 'consumption_purposes'
-    else case when l_linenumber % 2 = 0 then 'other_purposes' end end as account_purpose,
+    else case when l_quantity > 45 then 'residential_purchase_purposes'
+      when l_linenumber % 2 = 0 then 'other_purposes' end end as account_purpose,
   case when l_linestatus = 'O' then 'x' else '' end as lending_business_type,
   case when l_linenumber = 3 then null else '0' end as revolving_flag,
   case when l_linenumber = 4 then '' else '0' end as refinance_flag,
@@ -208,9 +209,5 @@ ENTITY_SQL = {
     "DER_CVG": "select 'V' || cast(p_partkey as string) as valuation_group_id, 'C' || "
                "cast(p_partkey as string) as collateral_id from {part}",
 }
-# accounts that bought a residence, by credit line: a smaller detail table for the building rules
-RESIDENTIAL_CACD = ("select 'L' || cast(s_suppkey as string) as credit_line_id, "
-                    "case when s_acctbal > 9000 then 'residential_purchase_purposes' else 'other' end "
-                    "as account_purpose from {supplier}")
 
 BASE_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")

@@ -16,6 +16,7 @@ WAREHOUSE, STAGING, TEXT, INSIDE, NOTHING = (
     "warehouse", "staging tables", "pipe text", "in-warehouse", "none")
 NO_STEP = "none"
 LOAD, RESHAPE, APPLY, VALIDATE, EXPORT = "load", "reshape", "apply", "validate", "export"
+LINES = ("p1_", "rerun_")
 ALL_STAGES = (LOAD, RESHAPE, APPLY, VALIDATE, EXPORT)
 
 # Organisation of rows that name none, and the filler of fields a source lacks.
@@ -55,6 +56,28 @@ class Job:
     def target(self) -> Entity:
         return ENTITIES[self.entity]
 
+    @property
+    def line(self) -> str:
+        """The line of jobs it belongs to: the first phase's, a hand-run copy's, or the current ones."""
+        return next((p for p in LINES if self.name.startswith(p)), "")
+
+    def table(self, entity: str) -> str:
+        """The table it stores an entity in: the entity's, unless several jobs write it."""
+        if len(WRITERS.get(entity, ())) < 2:
+            return entity
+        daily = "_D" if self.cadence == DAILY else ""
+        return f"{self.line.upper()}{entity}{daily}"
+
+    def sources(self, entity: str) -> list[str]:
+        """The tables its rules may read an entity from, the nearest first: of its own line and cadence,
+        of its line, of the current line."""
+        writers = WRITERS.get(entity, ())
+        if self.name in writers:
+            return [self.table(entity)]
+        others = sorted((JOBS[n] for n in writers), key=lambda j: (
+            j.line != self.line, bool(j.line), j.cadence != self.cadence, j.name))
+        return list(dict.fromkeys(j.table(entity) for j in others)) or [entity]
+
 
 @dataclass(frozen=True)
 class Landing:
@@ -151,17 +174,17 @@ JOBS = {j.name: j for j in [
     _job("DER_CVG", MONTHLY, WAREHOUSE, collateral.CVG_MONTHLY),
     _job("DER_GE", MONTHLY, WAREHOUSE, collateral.GE_MONTHLY, prevalidation=_SINGLE),
     _job("DER_PVG", MONTHLY, WAREHOUSE, collateral.PVG_MONTHLY),
-    _job("DER_BLP", MONTHLY, WAREHOUSE, counterparty.BLP_MONTHLY),
+    _job("DER_BLP", MONTHLY, WAREHOUSE, counterparty.BLP_MONTHLY, step=DAILY),
     _job("DER_RTR", MONTHLY, WAREHOUSE, counterparty.RTR_MONTHLY, new_only=True),
     _job("DER_CPEN", MONTHLY, STAGING, counterparty.CPEN, dependents=_ENTITY_MASTER,
          step=DAILY),
-    _job("DER_CPDG", MONTHLY, WAREHOUSE, counterparty.CPDG),
+    _job("DER_CPDG", MONTHLY, WAREHOUSE, counterparty.CPDG, step=DAILY),
     _job("DER_INTR", MONTHLY, WAREHOUSE, interest.INTR),
     _job("DER_REV", MONTHLY, WAREHOUSE, review.REV_MONTHLY),
     # first phase
     _job("DER_OTDD", DAILY, TEXT, outstanding.OTDD_P1, "p1_", fill={"org_id": DEFAULT_ORG},
-         constants={"src_stm": "SFTP"}),
-    _job("DER_CPEN", DAILY, WAREHOUSE, counterparty.CPEN, "p1_"),
+         constants={"src_stm": "SFTP"}, step=MONTHLY),
+    _job("DER_CPEN", DAILY, WAREHOUSE, counterparty.CPEN, "p1_", step=MONTHLY),
     _job("DER_PRT", MONTHLY, WAREHOUSE, None, "p1_", stages=(LOAD, RESHAPE, APPLY, EXPORT)),
     _job("DER_CACD", MONTHLY, WAREHOUSE, account.CACD_P1, "p1_"),
     _job("DER_OTDM", MONTHLY, WAREHOUSE, outstanding.OTDM_P1, "p1_"),
@@ -178,10 +201,17 @@ JOBS = {j.name: j for j in [
     # a second, hand-run copy of one pipeline
     _job("DER_CPID", DAILY, WAREHOUSE, counterparty.CPID_RERUN, "rerun_"),
     # tables built from other tables, without checks
-    Job("stage_counterparty_daily", "STG_CTP", DAILY, WAREHOUSE, stages=_PASSES_ON,
+    Job("stage_counterparty_daily", "STG_CTP", DAILY, WAREHOUSE, stages=_PASSES_ON, step=NO_STEP,
         dependents={"STG_ENT": ("ent_id",), "STG_ENT_DTL": ("ent_id", "cntpr_id")}),
     Job("stage_counterparty", "STG_CTP", MONTHLY, INSIDE, stages=(APPLY,)),
     Job("stage_counterparty_entity", "STG_CTP_ETT", MONTHLY, INSIDE, stages=(APPLY,)),
     Job("stage_credit_account", "STG_CAC", MONTHLY, INSIDE, stages=(APPLY,)),
-    Job("copy_from_source", "STG_CAC", DAILY, WAREHOUSE, stages=_PASSES_ON),
+    Job("copy_from_source", "STG_CAC", DAILY, WAREHOUSE, stages=_PASSES_ON, step=NO_STEP),
 ]}
+
+#: The jobs that store an entity, as their target or a dependent.
+WRITERS: dict[str, tuple[str, ...]] = {}
+for _writer in JOBS.values():
+    if APPLY in _writer.stages:
+        for _entity in (_writer.entity, *_writer.dependents):
+            WRITERS[_entity] = (*WRITERS.get(_entity, ()), _writer.name)

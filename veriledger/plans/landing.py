@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veriledger.functions.periods import load_time
 from veriledger.operators import reshape
 from veriledger.plans.jobs import Landing
 from veriledger.sources import tables, text
+from veriledger.sources.control import check_counts
+from veriledger.sources.shared import remove_folder, shared_folder
 from veriledger.specs.entities import ENTITIES
 
 LOAD_COLUMNS = ("msr_prd_id", "src_stm", "ppn_tm")
 
+REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("file", "record", "reasons", "msr_prd_id")])
+
 
 class CountMismatch(ValueError):
     """The files hold another number of records than the control total says."""
@@ -30,17 +37,52 @@ def file_schema(landing: Landing):
     return type(schema)([f for f in schema.fields if f.name not in added])
 
 
+@dataclass(frozen=True)
+class Load:
+    """How many records were stored and how many rejected; ``rejects`` are the stored ones of the period."""
+
+    kept: int
+    rejected: int
+    rejects: DataFrame
+
+
 def land_text(spark: SparkSession, landing: Landing, folder: str, file_name: str, period: str,
-              moment: datetime, database: str = "default", expected: int | None = None) -> text.Landed:
-    """Read the files of a period, check their number of records and replace the period."""
+              moment: datetime, expected: int, database: str = "default") -> Load:
+    """Read the files of a period, check their number of records and replace the period.
+
+    The files are parsed once, into the shared folder; the records are counted and stored from there.
+    Rejected records go to a table beside the source's, with their file and reasons.
+    """
     pattern = text.landed_pattern(folder, file_name, period)
-    landed = text.read_pipe_text(spark, pattern, file_schema(landing))
-    if expected is not None:
-        found = landed.rows.count()
-        if found != expected:
-            raise CountMismatch(f"{file_name} {period}: {found} records, expected {expected}")
-    store(landing, landed.rows, period, moment, database)
-    return landed
+    aside = shared_folder(spark, "landed")
+    parsed = text.read_pipe_text(spark, pattern, file_schema(landing)).records
+    parsed.write.parquet(aside)
+    try:
+        landed = text.Landed(spark.read.schema(parsed.schema).parquet(aside))
+        check(landed.records, file_name, period, expected)
+        store(landing, landed.rows, period, moment, database)
+        rejects = store_rejects(landing, landed.rejects, period, database)
+        rejected = rejects.count()
+        return Load(expected - rejected, rejected, rejects)
+    finally:
+        remove_folder(spark, aside)
+
+
+def check(records: DataFrame, file_name: str, period: str, expected: int) -> None:
+    """Holds the number of records, rejected ones too, against the control total."""
+    name = F.lit(file_name).alias("file_name")
+    control = records.sparkSession.range(1).select(name, F.lit(expected).cast("long").alias("expected"))
+    counts = check_counts(records.select(name), control, "file_name").head()
+    if not counts["ok"]:
+        raise CountMismatch(f"{file_name} {period}: {counts['n']} records, expected {expected}")
+
+
+def store_rejects(landing: Landing, rejects: DataFrame, period: str, database: str) -> DataFrame:
+    spark = rejects.sparkSession
+    table = f"{staging_table(database, landing)}_rejects"
+    tables.create_table(spark, table, REJECTS)
+    tables.replace_period(rejects, table, period)
+    return tables.read_period(spark, table, period)
 
 
 def land_query(landing: Landing, rows: DataFrame, period: str, moment: datetime,

@@ -32,24 +32,46 @@ STORED = T.StructType([
 ])
 
 
-def land_pipe_text(spark, sf):
-    """Headerless pipe text by name and period, typed by a schema, then spaces cleared."""
+def _landed(spark, sf) -> text.Landed:
+    """Orders as headerless pipe text of two files; some records have a cell too many or too few, or an
+    amount that is none."""
     folder = shared_folder(spark, "landing")
     # one file name with two parts, as a source delivers large files
     parts = {f"{folder}/orders_{PERIOD}.TXT": "o_orderstatus = 'F'",
              f"{folder}/orders_{PERIOD}.TXT2": "o_orderstatus <> 'F'"}
-    unset = F.col("o_orderpriority") == "4-NOT SPECIFIED"
+    key = F.col("o_orderkey")
+    priority = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", " ").otherwise(F.col("o_orderpriority"))
+    amount = F.when(key % 50 == 2, "bad").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    start = F.concat_ws(text.SEPARATOR, F.lpad(key.cast("string"), 12, "0"),
+                        F.col("o_orderdate").cast("date").cast("string"), amount)
+    line = (F.when(key % 50 == 0, F.concat_ws(text.SEPARATOR, start, priority, F.lit("EXTRA")))
+            .when(key % 50 == 1, start).otherwise(F.concat_ws(text.SEPARATOR, start, priority)))
     orders = table(spark, sf, "orders")
     for path, test in parts.items():
-        rows = orders.filter(test).select(
-            F.lpad(F.col("o_orderkey").cast("string"), 12, "0"),
-            F.col("o_orderdate").cast("date"),
-            F.col("o_totalprice").cast("decimal(18,2)"),
-            F.when(unset, " ").otherwise(F.col("o_orderpriority")),
-        )
-        rows.write.csv(path, sep=text.SEPARATOR, header=False)
-    landed = text.read_pipe_text(spark, text.landed_pattern(folder, "orders", PERIOD), ACCOUNT)
-    return reshape.clear_spaces(landed.rows, ["priority"])
+        orders.filter(test).select(line).write.text(path)
+    return text.read_pipe_text(spark, text.landed_pattern(folder, "orders", PERIOD), ACCOUNT)
+
+
+def land_pipe_text(spark, sf):
+    """Headerless pipe text by name and period, typed by a schema, then spaces cleared: the records taken."""
+    return reshape.clear_spaces(_landed(spark, sf).rows, ["priority"])
+
+
+def land_pipe_text_rejects(spark, sf):
+    """The records that were not taken, whole, with the reasons and the file."""
+    rejects = _landed(spark, sf).rejects
+    return rejects.select("record", "reasons", F.regexp_extract("file", "orders_[0-9]+[.](TXT2?)", 1).alias("part"))
+
+
+def land_loose_pattern(spark, sf):
+    """A fixed column list and files named loosely, without a period."""
+    folder = shared_folder(spark, "landing")
+    rows = table(spark, sf, "orders")
+    columns = ["o_orderkey", "o_orderstatus"]
+    for name, test in {"OT_a.TXT1": "o_orderstatus = 'F'", "OT_b.TXT": "o_orderstatus <> 'F'"}.items():
+        rows.filter(test).select(F.concat_ws(text.SEPARATOR, *columns)).write.text(f"{folder}/{name}")
+    schema = T.StructType([T.StructField("ac_id", T.LongType()), T.StructField("status", T.StringType())])
+    return text.read_pipe_text(spark, text.landed_pattern(folder, "OT"), schema).rows
 
 
 def _accounts(spark, sf) -> DataFrame:
@@ -172,7 +194,7 @@ def period_dates(spark, sf):
 
 
 QUERIES = {q.__name__: q for q in [
-    land_pipe_text, replace_periods, one_period, append_new_keys, staging_insert_select,
+    land_pipe_text, land_pipe_text_rejects, land_loose_pattern, replace_periods, one_period, append_new_keys, staging_insert_select,
     query_parameters, parquet_chunks, export_report, violation_files, rule_counts, period_dates,
 ]}
 
@@ -182,7 +204,17 @@ _ACCOUNTS = ("(select o_orderkey as ac_id, cast(o_totalprice as decimal(18,2)) a
 ROUNDTRIP_SQL = {
     "land_pipe_text": "select lpad(cast(o_orderkey as varchar), 12, '0') as ac_id, "
                       "cast(o_orderdate as date) as data_dt, cast(o_totalprice as decimal(18,2)) as amt, "
-                      "nullif(o_orderpriority, '4-NOT SPECIFIED') as priority from orders",
+                      "nullif(o_orderpriority, '4-NOT SPECIFIED') as priority from orders "
+                      "where o_orderkey % 50 > 2",
+    "land_pipe_text_rejects": "select lpad(cast(o_orderkey as varchar), 12, '0') || '|' || "
+                              "cast(cast(o_orderdate as date) as varchar) || '|' || case when o_orderkey % 50 = 2 "
+                              "then 'bad' else cast(cast(o_totalprice as decimal(18,2)) as varchar) end || case when "
+                              "o_orderkey % 50 = 1 then '' else '|' || case o_orderpriority when '4-NOT SPECIFIED' "
+                              "then ' ' else o_orderpriority end end || case when o_orderkey % 50 = 0 then "
+                              "'|EXTRA' else '' end as record, case when o_orderkey % 50 = 2 then 'amt' else "
+                              "'number of cells' end as reasons, case o_orderstatus when 'F' then 'TXT' else 'TXT2' "
+                              "end as part from orders where o_orderkey % 50 <= 2",
+    "land_loose_pattern": "select o_orderkey as ac_id, o_orderstatus as status from orders",
     "replace_periods": f"select ac_id, amt, msr_prd_id from {_ACCOUNTS} where msr_prd_id <> '19981231' "
                        "or o_orderstatus = 'F'",
     "one_period": f"select ac_id, amt, msr_prd_id from {_ACCOUNTS} where msr_prd_id = '19991231'",

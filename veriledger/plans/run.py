@@ -44,8 +44,8 @@ class Setting:
     codes: Mapping[str, Sequence[str]] = field(default_factory=dict)
     frames: Mapping[str, DataFrame] = field(default_factory=dict)
 
-    def table(self, entity: str) -> str:
-        return f"{self.database}.{entity.lower()}"
+    def table(self, name: str) -> str:
+        return f"{self.database}.{name.lower()}"
 
 
 @dataclass(frozen=True)
@@ -113,11 +113,11 @@ def reshaped(setting: Setting, job: Job, period: str, rows: DataFrame) -> DataFr
 def store(setting: Setting, job: Job, period: str, rows: DataFrame) -> None:
     """Replace the period in the entity's table, then fill the tables that depend on it."""
     spark = setting.spark
-    table = setting.table(job.entity)
+    table = setting.table(job.table(job.entity))
     tables.create_table(spark, table, job.target.schema)
     if job.set_from is not None:
         mapping, column, key = job.set_from
-        other = _frame(setting, mapping, period).filter(F.col(key).isNotNull())
+        other = _frame(setting, job, mapping, period).filter(F.col(key).isNotNull())
         rows = reshape.set_from(rows, other, [(key, key)], {column: column})
     if job.new_only:
         # other periods only: the period itself is replaced, so a second run stores the same rows
@@ -133,9 +133,9 @@ def store(setting: Setting, job: Job, period: str, rows: DataFrame) -> None:
 
 
 def _fill_dependent(setting: Setting, job: Job, period: str, name: str, key: Sequence[str]) -> None:
-    stored = tables.read_period(setting.spark, setting.table(job.entity), period)
+    stored = tables.read_period(setting.spark, setting.table(job.table(job.entity)), period)
     schema = ENTITIES[name].schema
-    table = setting.table(name)
+    table = setting.table(job.table(name))
     tables.create_table(setting.spark, table, schema)
     rows = stored.select("org_id", "data_dt", *key).distinct()
     rows = reshape.with_constants(rows, {"ppn_tm": load_time(setting.moment)})
@@ -145,7 +145,7 @@ def _fill_dependent(setting: Setting, job: Job, period: str, name: str, key: Seq
 def validate(setting: Setting, job: Job, period: str) -> dict[str, int]:
     """Store the violations of the run and count them per rule."""
     spark = setting.spark
-    frames = {e: _frame(setting, e, period) for e in job.rules.reads}
+    frames = {e: _frame(setting, job, e, period) for e in job.rules.reads}
     broken = ruleset.evaluate(frames, job.rules, period, setting.codes)
     path = f"{setting.folder}/violations/{job.name}/{period}/{setting.run_id}"
     broken = broken.select(*[c for c in VIOLATION_SCHEMA.names if c != "run_id"])
@@ -170,13 +170,15 @@ def export(setting: Setting, job: Job, period: str) -> str:
         row = [EMPTY_REPORT_DATE if c == "data_dt" else None for c in names.values()]
         rows = files.empty_report(setting.spark, schema, row)
     else:
-        rows = tables.read_period(setting.spark, setting.table(job.entity), period)
+        rows = tables.read_period(setting.spark, setting.table(job.table(job.entity)), period)
     return files.export_report(rows, f"{setting.folder}/reports/{job.name}", period, names)
 
 
-def _frame(setting: Setting, entity: str, period: str) -> DataFrame:
+def _frame(setting: Setting, job: Job, entity: str, period: str) -> DataFrame:
     """Rows the rules of a period see: the period's, or all up to it for entities stored once."""
     if entity in setting.frames:
         return setting.frames[entity]
+    names = [setting.table(n) for n in job.sources(entity)]
+    name = next((n for n in names if setting.spark.catalog.tableExists(n)), names[0])
     read = tables.read_until if ENTITIES[entity].once else tables.read_period
-    return read(setting.spark, setting.table(entity), period)
+    return read(setting.spark, name, period)

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's `spark.checkpoint.dir`.
-
-    Only where that is unset, as on a single machine, a temporary folder takes its place.
-    """
+    """A fresh folder under the cluster's `spark.checkpoint.dir`, which must be set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir names no shared folder")
-        base = tempfile.mkdtemp(prefix="shared-")
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder that was written to and is read no more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

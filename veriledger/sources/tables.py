@@ -55,9 +55,9 @@ def query(spark: SparkSession, text: str, values: Mapping[str, object] | None =
 def write_period(df: DataFrame, table: str) -> None:
     """Replace the periods that ``df`` holds and leave all others. Running it twice changes nothing.
 
-    Each task writes its rows of a period to its own files, without a shuffle; Spark commits the
-    files together, so a lost executor leaves no half-written period. The mode is a session setting
-    because `insertInto` takes no writer option for it.
+    Rows are rebalanced by period, so a period gets files of a good size and not one per task; a large
+    period is split over several tasks. Spark commits the files together, so a lost executor leaves no
+    half-written period. The mode is a session setting because `insertInto` takes no writer option for it.
     """
     spark = df.sparkSession
     columns = spark.table(table).columns
@@ -65,7 +65,8 @@ def write_period(df: DataFrame, table: str) -> None:
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        df.select(*columns).write.insertInto(table, overwrite=True)
+        rows = df.select(*columns).hint("rebalance", F.col(PERIOD))
+        rows.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(mode, before)
 
@@ -82,7 +83,7 @@ def replace_period(df: DataFrame, table: str, period: str) -> None:
     # the period is stated, so this overwrites exactly this partition, empty or not
     spark.sql(
         f"insert overwrite table {table} partition ({PERIOD} = '{period}') select * from {{rows}}",
-        rows=df.select(*columns),
+        rows=df.select(*columns).hint("rebalance"),
     )
 
 

@@ -12,15 +12,30 @@ from pyspark.sql import types as T
 from veriledger.functions.blanks import null_words_to_null
 
 SEPARATOR = "|"
-BAD_CELLS = "__bad_cells"
+
+# Columns beside the schema's: what is wrong with a record, the record as it was, and its file.
+REASONS, RECORD, FILE = "__reasons", "__record", "__file"
+WRONG = "__wrong"
+WRONG_NUMBER = "number of cells"
 
 
 @dataclass(frozen=True)
 class Landed:
-    """Typed rows, and the rows with a cell that could not be read (with the names of the cells)."""
+    """All records of some files: typed, with the reasons why one cannot be taken."""
+
+    records: DataFrame
+
+    @property
+    def rows(self) -> DataFrame:
+        """The records that were read in full."""
+        return self.records.filter(F.size(REASONS) == 0).drop(REASONS, RECORD, FILE)
 
-    rows: DataFrame
-    rejects: DataFrame
+    @property
+    def rejects(self) -> DataFrame:
+        """File, record and reasons of the others."""
+        return self.records.filter(F.size(REASONS) > 0).select(
+            F.col(FILE).alias("file"), F.col(RECORD).alias("record"),
+            F.array_join(REASONS, ", ").alias("reasons"))
 
 
 def landed_pattern(folder: str, name: str, period: str | None = None) -> str:
@@ -33,22 +48,24 @@ def read_pipe_text(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     """Read files by glob with the types of ``schema``.
 
     Cells are read as text first: missing-value words and empty cells become NULL and text keys keep
-    leading zeros. A cell that does not cast is NULL in ``rows`` and named in ``rejects``, so one bad
-    cell neither fails the job nor passes unseen.
+    leading zeros. A record with too many or too few cells, or with a cell that does not cast, is kept
+    whole with its file and reasons, and is not among the rows: nothing is cut, padded or set to NULL.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.csv(paths, sep=SEPARATOR, schema=as_text, header=False, mode="PERMISSIVE",
-                         escape='"')
-    text = raw.select(*[null_words_to_null(F.col(f.name)).alias(f.name) for f in schema.fields])
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
-    rows = text.select(*[typed[f.name].alias(f.name) for f in schema.fields])
-    casts = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
-    if not casts:
-        return Landed(rows, text.withColumn(BAD_CELLS, F.lit(None).cast("array<string>")).filter("false"))
-    bad = {f.name: F.col(f.name).isNotNull() & typed[f.name].isNull() for f in casts}
-    names = F.array_compact(F.array(*[F.when(test, F.lit(n)) for n, test in bad.items()]))
-    any_bad = F.greatest(*bad.values()) if len(bad) > 1 else next(iter(bad.values()))
-    return Landed(rows, text.filter(any_bad).withColumn(BAD_CELLS, names))
+    as_text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields],
+                            T.StructField(WRONG, T.StringType())])
+    lines = spark.read.text(paths).select(F.col("value").alias(RECORD), F.col("_metadata.file_path").alias(FILE))
+    # Spark fills the last column for a line with another number of cells.
+    cells = F.from_csv(RECORD, as_text.simpleString()[len("struct<"):-1].replace(":", " "), {
+        "sep": SEPARATOR, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": WRONG})
+    raw = lines.filter(F.trim(RECORD) != "").select(RECORD, FILE, cells.alias("c")).select(RECORD, FILE, "c.*")
+    cells = {f.name: null_words_to_null(F.col(f.name)) for f in schema.fields}
+    typed = {f.name: cells[f.name].try_cast(f.dataType) for f in schema.fields}
+    wrong = F.col(WRONG).isNotNull()
+    reasons = [F.when(wrong, F.lit(WRONG_NUMBER))]
+    reasons += [F.when(~wrong & cells[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f.name))
+                for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    return Landed(raw.select(*[typed[f.name].alias(f.name) for f in schema.fields],
+                             F.array_compact(F.array(*reasons)).alias(REASONS), RECORD, FILE))
 
 
 def table_schema(spark: SparkSession, table: str, without: Sequence[str] = ()) -> T.StructType:
