@@ -68,11 +68,10 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         nth = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1
         found = np.union1d(found, np.repeat(found[:-1], extra) + nth * LONGEST)
     for _ in range(3):  # no character is parted
-        inner = found[:-1]
-        parted = np.zeros(len(found), bool)
-        parted[:-1] = (data[inner] & 0xC0) == 0x80
-        found = found + parted
-    return np.unique(found)
+        parted = found < len(data)
+        parted[parted] = (data[found[parted]] & 0xC0) == 0x80
+        found = np.unique(found + parted)
+    return found
 
 
 def rows_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -71,7 +71,8 @@ class SuffixArray:
         key = np.zeros(n, np.int64)
         for j in range(self.width):
             key <<= self.bits
-            key[:n - j] |= self.tokens[j:n]
+            if j < n:
+                key[:n - j] |= self.tokens[j:n]
         order = np.argsort(key)
         self.keys = key[order]
         group = _groups(self.keys, np.arange(n))

@@ -12,8 +12,8 @@ Trusted text has label 1. One trusted document in five, by the checksum of its i
 and sets the thresholds. A short text's mean is drawn towards its language's mean, as chance moves it more.
 
 Null and empty texts have no perplexity and are not kept. A null language is a language of its own; one
-with too few trusted documents takes the threshold of all. Without trusted documents nothing is known and
-every text that is not empty is kept.
+with too few trusted documents takes the threshold of all. Without trusted documents, or without a
+trusted document to set a threshold, every text that is not empty is kept.
 """
 
 from __future__ import annotations
@@ -343,6 +343,7 @@ class Classifier:
         found = scored(rows, self.costs, self.column, [*kept, "_language"])
         own = _sent(self.limits.filter("language is not null").toDF("_language", "_mean", "_limit"))
         other = self.limits.filter("language is null").select("mean", "limit").first()
+        other = other or {"mean": 0.0, "limit": float("inf")}  # no trusted document is held out
         mean = F.coalesce("_mean", F.lit(other["mean"]))
         limit = F.coalesce("_limit", F.lit(other["limit"]))
         good = (F.col("n_scored") > 0) & (_drawn(mean) <= limit)

@@ -8,9 +8,11 @@ too, and the one that weighs most counts. A word of letters alone, no one
 three times in a row, is its own only path. Runs of single signs are one word that was spaced out.
 
 What marks a text as toxic is learnt from labelled documents: the restored words and their beginnings that
-toxic texts have far more often, weighted by a logistic regression. Labelled documents for the regression
-are at most LABELLED, by the smallest hashes of their ids, each text once; everything else covers all rows.
-Labels of held-out documents, one in five by the checksum of the id, are never read.
+toxic texts have far more often. A feature weighs what its log-odds surely are, the estimate less some
+standard errors, so a few chance counts weigh little; a word weighs as its heaviest feature, and a text as its
+distinct words together. At most LABELLED labelled documents are learnt
+from, by the smallest hashes of their ids, each text once; everything else covers all rows. Labels of
+held-out documents, one in five by the checksum of the id, are never read.
 
 Null and empty texts have no words and get the score of a text without toxic words. Without labels of both
 kinds every text gets the smoothed share of toxic labels.
@@ -39,6 +41,9 @@ LABELLED = 20_000
 BEGINNINGS = (4, 5, 6, 7)
 LEAST_TOXIC, LEAST_RATIO, LEAST_G, FEATURES = 3, 4.0, 20.0, 20_000
 
+#: Standard errors that are taken off a feature's log-odds.
+SURE = 1.64
+
 # Letters that signs stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¢": "c"}
@@ -264,17 +269,17 @@ class Scorer:
         texts = df.select(quoted(key).alias("_id"), quoted(column).cast("string").alias("text"))
         chosen = stored(texts.join(F.broadcast(own), "_id").select("text", "_toxic"), "labelled")
         words = stored(self._words(chosen.groupBy(F.xxhash64("text").alias("h"), "text").agg(
-            F.max("_toxic").alias("toxic"))), "features")
+            F.max("_toxic").alias("toxic"))), "words")
         totals = {r["toxic"]: r["n"] for r in words.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         toxic, clean = totals.get(1, 0), totals.get(0, 0)
         share = (toxic + 1) / (toxic + clean + 2)
-        self.bias = math.log(share / (1 - share))
+        self.bias, self.weights = math.log(share / (1 - share)), {}
         if toxic and clean:
-            self._fit(words, toxic, clean)
+            self._fit(words)
         self.scores = context.broadcast(self.weights)
 
     def _words(self, rows: DataFrame) -> DataFrame:
-        """Per labelled text its distinct features."""
+        """Per labelled text its distinct restored words."""
         sent = self.sent
 
         def work(texts: pa.Array) -> dict:
@@ -282,38 +287,19 @@ class Scorer:
             made = [set() for _ in range(len(texts))]
             for t, w in set(zip(text.tolist(), word.tolist())):
                 if names[w]:
-                    made[t].update(features(names[w][0]))
-            return {"features": pa.array([sorted(m) for m in made], pa.list_(pa.string()))}
-
-        return extended(rows, "text", [T.StructField("features", T.ArrayType(T.StringType()))], work, ["toxic"])
-
-    def _fit(self, words: DataFrame, toxic: int, clean: int) -> None:
-        # How much likelier the counts are if toxic texts have the feature at a rate of their own.
-        a, b = F.col("a"), F.col("b")
-        rate = (a + b) / F.lit(float(toxic + clean))
-        g = 2 * (a * F.log((a / toxic) / rate) + F.when(b > 0, b * F.log((b / clean) / rate)).otherwise(0.0))
-        counts = words.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(
-            F.sum(F.col("toxic").cast("double")).alias("a"), F.sum(1.0 - F.col("toxic")).alias("b"))
-        chosen = [r["f"] for r in counts.filter(
-            (a >= LEAST_TOXIC) & (a / toxic >= LEAST_RATIO * b / clean)).withColumn("g", g)
-            .filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "f").limit(FEATURES).select("f").collect()]
-        if not chosen:
-            return
-        place = {f: i for i, f in enumerate(chosen)}
-        allowed = df_of(words.sparkSession, chosen)
-        rows, columns, y = [], [], []
-        numbered = words.withColumn("n", F.monotonically_increasing_id())
-        hits = (numbered.select("n", F.explode("features").alias("f")).join(F.broadcast(allowed), "f")
-                .groupBy("n").agg(F.collect_list("f").alias("fs")))
-        # At most LABELLED rows, each with the chosen features alone.
-        for r in numbered.select("n", "toxic").join(hits, "n", "left").orderBy("n").collect():
-            for f in r["fs"] or ():
-                rows.append(len(y))
-                columns.append(place[f])
-            y.append(r["toxic"])
-        weights, self.bias = regression(np.array(rows, np.int64), np.array(columns, np.int64),
-                                        np.array(y, float), len(chosen))
-        self.weights = {f: float(w) for f, w in zip(chosen, weights)}
+                    made[t].add(names[w][0])
+            return {"words": pa.array([sorted(m) for m in made], pa.list_(pa.string()))}
+
+        return extended(rows, "text", [T.StructField("words", T.ArrayType(T.StringType()))], work, ["h", "toxic"])
+
+    def _fit(self, words: DataFrame) -> None:
+        """Weights from all labelled texts. How far they are to be trusted is seen on texts that they were
+        not learnt from: each half's weights judge the other, and a regression on that scales them."""
+        halves = [words.filter(F.pmod("h", F.lit(2)) == i) for i in (0, 1)]
+        pairs = [p for i in (0, 1) for p in evidence(halves[1 - i], learnt(halves[i]))]
+        scale, bias = line(np.array([e for e, _ in pairs]), np.array([float(t) for _, t in pairs]))
+        self.bias = float(bias)
+        self.weights = {f: float(scale * w) for f, w in learnt(words).items()}
 
     def scored(self, df: DataFrame, column: str = "text", keep=None) -> DataFrame:
         """The rows with `score`, from 0 to 1, likelier toxic the higher; a column of that name gives way."""
@@ -322,7 +308,7 @@ class Scorer:
         def work(texts: pa.Array) -> dict:
             weights = scores.value
             text, word, names = _words_of(texts, _restorer(sent))
-            heavy = np.array([max((sum(weights.get(f, 0.0) for f in features(w)) for w in ways), default=0.0)
+            heavy = np.array([max((weight_of(w, weights) for w in ways), default=0.0)
                               for ways in names])
             total = np.full(len(texts), bias)
             some = np.flatnonzero(heavy[word] != 0) if len(word) else np.empty(0, np.int64)
@@ -334,24 +320,61 @@ class Scorer:
         return extended(df, column, [T.StructField("score", T.DoubleType())], work, keep)
 
 
-def df_of(spark, names: list[str]) -> DataFrame:
-    return spark.createDataFrame(pa.table({"f": pa.array(names, pa.string())}))
-
-
-def regression(rows: np.ndarray, columns: np.ndarray, y: np.ndarray, size: int,
-               ridge: float = 0.1, rounds: int = 1500) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression with a ridge, by gradient steps of adapted length."""
-    w, bias = np.zeros(size), 0.0
-    seen, seen_bias = np.full(size, 1e-8), 1e-8
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-(bias + np.bincount(rows, w[columns], len(y)))))
-        error = p - y
-        gradient = np.bincount(columns, error[rows], size) + ridge * w
-        seen += gradient ** 2
-        seen_bias += error.sum() ** 2
-        w = np.maximum(w - 0.3 * gradient / np.sqrt(seen), 0)
-        bias -= 0.3 * error.sum() / math.sqrt(seen_bias)
-    return w, bias
+def learnt(words: DataFrame) -> dict[str, float]:
+    """The features that set toxic texts apart, with their weights."""
+    totals = {r["toxic"]: r["n"] for r in words.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = totals.get(1, 0), totals.get(0, 0)
+    if not toxic or not clean:
+        return {}
+    word = F.explode("words").alias("w")
+    beginnings = [F.when(F.length("w") > n, F.substring("w", 1, n)) for n in BEGINNINGS]
+    every = words.select("h", "toxic", word).select(
+        "h", "toxic", F.explode(F.array(F.concat(F.lit("="), "w"), *beginnings)).alias("f")).filter("f is not null")
+    a, b = F.col("a"), F.col("b")
+    counts = every.distinct().groupBy("f").agg(F.sum(F.col("toxic").cast("double")).alias("a"),
+                                               F.sum(1.0 - F.col("toxic")).alias("b"))
+    # How much likelier the counts are if toxic texts have the feature at a rate of their own.
+    rate = (a + b) / F.lit(float(toxic + clean))
+    g = 2 * (a * F.log((a / toxic) / rate) + F.when(b > 0, b * F.log((b / clean) / rate)).otherwise(0.0))
+    odds = F.log(((a + 0.5) / (toxic + 1)) / ((b + 0.5) / (clean + 1)))
+    surely = odds - SURE * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    chosen = (counts.filter((a >= LEAST_TOXIC) & (a / toxic >= LEAST_RATIO * b / clean))
+              .withColumn("g", g).withColumn("weight", surely)
+              .filter((F.col("g") >= LEAST_G) & (F.col("weight") > 0))
+              .orderBy(F.desc("g"), "f").limit(FEATURES))
+    return {r["f"]: r["weight"] for r in chosen.select("f", "weight").collect()}
+
+
+def weight_of(word: str, weights: dict[str, float]) -> float:
+    return max(weights.get(f, 0.0) for f in features(word))
+
+
+def evidence(words: DataFrame, weights: dict[str, float]) -> list[tuple[float, int]]:
+    """Per labelled text, so of a bounded number, the sum of its words' weights, and its label."""
+
+    def run(parts):
+        for batch in parts:
+            sums = [sum(weight_of(w, weights) for w in own) for own in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.float64()), batch.column(1)], names=["e", "toxic"])
+
+    found = words.select("words", "toxic").mapInArrow(run, "e double, toxic int")
+    return sorted((r["e"], r["toxic"]) for r in found.collect())
+
+
+def line(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[float, float]:
+    """Slope and bias of a logistic regression on one number, by Newton's method; the slope is not negative."""
+    slope, bias = 1.0, math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(slope * x + bias, -30, 30)))
+        error, weight = p - y, p * (1 - p)
+        gradient = np.array([error @ x + ridge * (slope - 1), error.sum()])
+        curve = np.array([[weight @ (x * x) + ridge, weight @ x], [weight @ x, weight.sum() + 1e-9]])
+        step = np.linalg.solve(curve, gradient)
+        step *= min(1.0, 1.0 / max(abs(step).max(), 1e-12))
+        slope, bias = slope - step[0], bias - step[1]
+        if abs(step).max() < 1e-9:
+            break
+    return max(slope, 0.0), bias
 
 
 def scores(df: DataFrame, labels: DataFrame) -> DataFrame:
