@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.llm import bpe, chunks, decontaminate, html_text, jaccard, kneser_ney, rules, secrets, shards, toxicity
+from veriledger.llm import bpe, chunks, decontaminate, html_text, jaccard, kneser_ney, oracle, rules, secrets, shards, toxicity
 from veriledger.llm.frames import table
 
 
@@ -52,4 +52,8 @@ QUERIES = {f.__name__: f for f in (
     op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op6_toxicity, op7_html_text,
     op8_byte_bpe, op9_jaccard, op10_chunks)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": oracle.decontamination(),
+    "op5_secrets": oracle.secret_scan(),
+    "op9_jaccard": oracle.jaccard(),
+}
