@@ -31,6 +31,14 @@ def test_entry(spark):
     assert rows == {"CN1": 11, "RI1": 27}
 
 
+def test_every_rule_of_the_account_sets_is_broken_somewhere(con):
+    from veriledger.plans import account_queries
+
+    for name, (rules, sql) in account_queries.RULES.items():
+        broken = {r[0] for r in con.execute(f"select distinct rule from ({sql})").fetchall()}
+        assert broken == set(rules.codes), name
+
+
 @pytest.mark.parametrize("name,rules", [
     ("rules_account_detail", "account.CACD_MONTHLY"),
     ("rules_credit_line", "credit_line.CL_MONTHLY"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,49 +16,51 @@ from veriledger.specs.codes import sample_codes
 PERIOD = "20240131"
 
 
-def entities(spark, sf_dir: str, names) -> dict[str, DataFrame]:
-    texts = {n: ENTITY_SQL[n] for n in names}
+def entities(spark, sf_dir: str, names, more: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """The derived entities by name; ``more`` adds to those of the catalogue."""
+    known = {**ENTITY_SQL, **(more or {})}
+    texts = {n: known[n] for n in names}
     sources = {t: table(spark, sf_dir, t) for t in BASE_TABLES
                if any(f"{{{t}}}" in text for text in texts.values())}
     return {n: spark.sql(text, **{t: df for t, df in sources.items() if f"{{{t}}}" in text})
             for n, text in texts.items()}
 
 
-def _violations(spark, sf_dir: str, rules: RuleSet) -> DataFrame:
-    tables = entities(spark, sf_dir, rules.reads)
+def violations_of(spark, sf_dir: str, rules: RuleSet, more: Mapping[str, str] | None = None) -> DataFrame:
+    tables = entities(spark, sf_dir, rules.reads, more)
     return evaluate(tables, rules, PERIOD, sample_codes()).select("rule", "key")
 
 
 def rules_credit_account(spark, sf):
-    return _violations(spark, sf, account.CAC_DAILY)
+    return violations_of(spark, sf, account.CAC_DAILY)
 
 
 def rules_account_detail(spark, sf):
-    return _violations(spark, sf, account.CACD_MONTHLY)
+    return violations_of(spark, sf, account.CACD_MONTHLY)
 
 
 def rules_counterparty_id(spark, sf):
-    return _violations(spark, sf, counterparty.CPID_DAILY)
+    return violations_of(spark, sf, counterparty.CPID_DAILY)
 
 
 def rules_credit_line(spark, sf):
-    return _violations(spark, sf, credit_line.CL_MONTHLY)
+    return violations_of(spark, sf, credit_line.CL_MONTHLY)
 
 
 def rules_outstanding_daily(spark, sf):
-    return _violations(spark, sf, outstanding.OTDD_DAILY)
+    return violations_of(spark, sf, outstanding.OTDD_DAILY)
 
 
 def rules_related_loan(spark, sf):
-    return _violations(spark, sf, outstanding.RLI_DAILY)
+    return violations_of(spark, sf, outstanding.RLI_DAILY)
 
 
 def rules_risk(spark, sf):
-    return _violations(spark, sf, review.RSK_P1)
+    return violations_of(spark, sf, review.RSK_P1)
 
 
 def rules_building(spark, sf):
-    return _violations(spark, sf, collateral.BLD_P1)
+    return violations_of(spark, sf, collateral.BLD_P1)
 
 
 def reconcile_ledgers(spark, sf):

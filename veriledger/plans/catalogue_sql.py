@@ -3,13 +3,13 @@
 from veriledger.plans.derived import BASE_TABLES, ENTITY_SQL
 
 
-def _with(names: dict[str, str], body: str) -> str:
+def with_entities(names: dict[str, str], body: str) -> str:
     plain = {t: t for t in BASE_TABLES}
     ctes = ",\n".join(f"{alias} as ({text.format(**plain)})" for alias, text in names.items())
     return f"with {ctes}\n{body}"
 
 
-def _union(base: str, key: str, rules: dict[str, str]) -> str:
+def union_of_rules(base: str, key: str, rules: dict[str, str]) -> str:
     return "\nunion all\n".join(
         f"select '{rule}' as rule, {key} as key from {base} where {test}"
         for rule, test in rules.items())
@@ -23,9 +23,9 @@ def bl(column: str) -> str:
 
 
 _FIXED = "c.term_type = 'fixed_term' and c.loan_type <> 'contingent_loans'"
-_CREDIT_ACCOUNT = _with(
+_CREDIT_ACCOUNT = with_entities(
     {"cac": ENTITY_SQL["DER_CAC"], "cpen": ENTITY_SQL["DER_CPEN"]},
-    _union("cac c", "ac_id", {
+    union_of_rules("cac c", "ac_id", {
         "CNCAC001": "share_lending_total_baht <= 0",
         "CNCAC002": "contract_amount_oc < 0",
         "CMCAC001": "c.term_type = 'fixed_term' and (maturity_date is null "
@@ -48,10 +48,10 @@ _CREDIT_ACCOUNT = _with(
 
 _NOT_CONTINGENT = "c.loan_type <> 'contingent_loans'"
 _DETAIL_JOINED = "cacd d left join cac c on c.ac_id = d.ac_id"
-_ACCOUNT_DETAIL = _with(
+_ACCOUNT_DETAIL = with_entities(
     {"cac": ENTITY_SQL["DER_CAC"], "cacd": ENTITY_SQL["DER_CACD"], "cl": ENTITY_SQL["DER_CL"],
      "prt": ENTITY_SQL["DER_PRT"], "ppg": ENTITY_SQL["DER_PPG"]},
-    _union(_DETAIL_JOINED, "d.ac_id", {
+    union_of_rules(_DETAIL_JOINED, "d.ac_id", {
         "CNCACD001": "open_date < contract_date",
         "CMCACD002": "loan_type = 'contingent_loans' and (notional_oc is null or notional_oc <= 0 "
                      "or notional_baht is null or notional_baht <= 0)",
@@ -87,10 +87,10 @@ _SUM = " + ".join(f"{14 - i} * cast(substr(id_no, {i}, 1) as int)" for i in rang
 _BAD_ID = (f"(id_no is null or not regexp_full_match(id_no, '[0-9]{{13}}') or "
            f"case when regexp_full_match(id_no, '[0-9]{{13}}') then (11 - ({_SUM}) % 11) % 10 <> "
            "cast(substr(id_no, 13, 1) as int) else false end)")
-_COUNTERPARTY_ID = _with(
+_COUNTERPARTY_ID = with_entities(
     {"cpid": ENTITY_SQL["DER_CPID"], "jcp": ENTITY_SQL["DER_JCP"], "ocp": ENTITY_SQL["DER_OCP"],
      "fi": ENTITY_SQL["REF_FI_CODE"], "app": ENTITY_SQL["DER_APP"]},
-    _union("cpid c", "cntpr_id", {
+    union_of_rules("cpid c", "cntpr_id", {
         "CNCPID001": f"id_type = 'personal_id' and {_BAD_ID}",
         "CNCPID002": f"id_type = 'tax_id' and {_BAD_ID}",
         "CNCPID003": f"id_type = 'juristic_id' and {_BAD_ID}",
@@ -104,9 +104,9 @@ _COUNTERPARTY_ID = _with(
                      "date '2023-10-01')",
     }))
 
-_CREDIT_LINE = _with(
+_CREDIT_LINE = with_entities(
     {"cl": ENTITY_SQL["DER_CL"], "cpen": ENTITY_SQL["DER_CPEN"], "app": ENTITY_SQL["DER_APP"]},
-    _union("cl c", "credit_line_id", {
+    union_of_rules("cl c", "credit_line_id", {
         "CNCL001": "effective_date < approve_date",
         "CNCL002": "line_amount_oc < 0",
         "CMCL001": "case when root_credit_line_id = credit_line_id then not "
@@ -134,9 +134,9 @@ select '{rule}' as rule, cast(a.data_dt as varchar) || '|' || a.org_id as key fr
 
 
 _BARRED = "('baht_loans', 'credit_card_loans', 'contingent_loans', 'offshore_branch_loans')"
-_OUTSTANDING_DAILY = _with(
+_OUTSTANDING_DAILY = with_entities(
     {"cac": ENTITY_SQL["DER_CAC"], "otdd": ENTITY_SQL["DER_OTDD"], "fcp": ENTITY_SQL["DS_FCP"]},
-    _union("otdd o", "ac_id", {
+    union_of_rules("otdd o", "ac_id", {
         "CNOTDD001": "exists (select 1 from cac c where c.ac_id = o.ac_id and c.loan_type in "
                      f"{_BARRED})",
         "CNOTDD002": "otsnd_amt_in_orig_ccy < 0",
@@ -157,9 +157,9 @@ def _iff(condition: str, column: str) -> str:
 
 
 _LENT = "c.loan_type <> 'overdraft'"
-_RELATED_LOAN = _with(
+_RELATED_LOAN = with_entities(
     {"cac": ENTITY_SQL["DER_CAC"], "txf": ENTITY_SQL["DER_TXF"], "rli": ENTITY_SQL["DER_RLI"]},
-    _union("rli r left join txf t on t.txn_id = r.txn_id left join cac c on c.ac_id = t.ac_id",
+    union_of_rules("rli r left join txf t on t.txn_id = r.txn_id left join cac c on c.ac_id = t.ac_id",
            "r.txn_id", {
                "CMRLI001": _iff(f"purpose = 'debt_instrument_purposes' and {_LENT}",
                                 "investment_type"),
@@ -177,7 +177,7 @@ _RELATED_LOAN = _with(
                "CMRLI010": _iff("mvmt_tp = 'increasing_loan' and purpose = 'borrowing_purposes' and "
                                 f"{_LENT}", "loan_declaration_type"),
                "RIRLI001": "t.txn_id is null",
-           }) + "\nunion all\n" + _union(
+           }) + "\nunion all\n" + union_of_rules(
         "txf t left join cac c on c.ac_id = t.ac_id", "t.txn_id", {
             "CMRLI011": "purpose in ('portfolio_purposes', 'borrowing_purposes', 'lending_purposes') "
                         f"and {_LENT} and not exists (select 1 from rli r where r.txn_id = t.txn_id)",
@@ -189,10 +189,10 @@ def _missing(kind: str, parent: str, column: str) -> str:
             f"p.{column} = r.reference_id)")
 
 
-_RISK = _with(
+_RISK = with_entities(
     {"rsk": ENTITY_SQL["DER_RSK"], "cac": ENTITY_SQL["DER_CAC"], "cl": ENTITY_SQL["DER_CL"],
      "cpid": ENTITY_SQL["DER_CPID"], "cpen": ENTITY_SQL["DER_CPEN"]},
-    _union("rsk r", "reference_id", {
+    union_of_rules("rsk r", "reference_id", {
         "CNRSK001": "assessment_date > data_dt",
         "CMRSK001": "risk_measure in ('Internal Credit Rating', 'B-SCORE') and "
                     f"{bl('model_reference')}",
@@ -205,10 +205,10 @@ _RISK = _with(
         "RIRSK004": _missing("entity", "cpen", "ent_id"),
     }))
 
-_BUILDING = _with(
+_BUILDING = with_entities(
     {"bld": ENTITY_SQL["DER_BLD"], "col": ENTITY_SQL["DER_COL"], "cacd": ENTITY_SQL["DER_CACD"],
      "clp": ENTITY_SQL["DER_CLP"], "pvg": ENTITY_SQL["DER_PVG"], "cvg": ENTITY_SQL["DER_CVG"]},
-    _union("bld b", "collateral_id", {
+    union_of_rules("bld b", "collateral_id", {
         "CMBLD001": f"country = 'TH' and (({bl('dopa_location')} and {bl('dol_location')}) or "
                     "coalesce(n_floors, 0) <= 0 or coalesce(area_utilization, 0) <= 0)",
         "CMBLD002": f"country = 'TH' and {bl('developer_type')} and exists (select 1 from cvg join pvg "
@@ -248,7 +248,7 @@ def _provision(rule: str, account_class: str, provision_class: str) -> str:
         {"TCB": "116002", "FCB": "116008"})
 
 
-_LEDGERS = _with(
+_LEDGERS = with_entities(
     {"otdm": ENTITY_SQL["DER_OTDM"], "bls": ENTITY_SQL["DS_BLS"], "pvs": ENTITY_SQL["DS_PVS"]},
     "union all".join([
         _balance("CMOTDM003", "sum(otsnd_amt_in_baht)", "bls",

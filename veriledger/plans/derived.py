@@ -11,7 +11,8 @@ select 'A' || cast(o_orderkey as string) as ac_id, 'E' || cast(o_custkey as stri
   case when o_orderkey % 3 = 0 then 'THB' else 'USD' end as ccy,
   case o_orderkey % 11 when 0 then 'contingent_loans' when 1 then 'bills_of_exchange'
     when 2 then 'baht_loans' when 3 then 'overdraft' when 4 then 'first_payment_loans'
-    when 5 then 'onshore_lending' when 6 then 'foreign_bill_outward' else 'loans' end as loan_type,
+    when 5 then 'onshore_lending' when 6 then 'foreign_bill_outward' when 7 then 'reverse_mortgage'
+    else 'loans' end as loan_type,
   case o_orderpriority when '1-URGENT' then 'fixed_term' when '2-HIGH' then 'fixed_term'
     when '4-NOT SPECIFIED' then ' ' else 'open_term' end as term_type,
   case o_orderstatus when 'F' then 'closed_status' else 'open' end as account_status,
@@ -35,7 +36,12 @@ select 'A' || cast(o_orderkey as string) as ac_id, 'E' || cast(o_custkey as stri
     as principal_freq,
   cast(o_orderkey % 3 as int) as n_interest,
   case when o_orderkey % 12 = 0 then null else cast(o_orderkey % 12 - 2 as int) end
-    as interest_freq
+    as interest_freq,
+  case when o_orderkey % 9 = 0 then cast(0 as decimal(18,2)) when o_orderkey % 9 = 1 then null
+    else cast(o_totalprice as decimal(18,2)) end as share_lending_total_oc,
+  case o_orderkey % 5 when 0 then 'lead_manager_loans' when 1 then ' ' when 2 then null else 'participant' end
+    as syndication_role,
+  '20240131' as msr_prd_id
 from {orders}
 """
 
@@ -47,6 +53,7 @@ select case when l_partkey % 50 = 0 then 'none' else 'A' || cast(l_orderkey as s
     as product_program_id,
   case l_returnflag when 'A' then 'commercial_purposes' when 'R' then 'consumption_purposes'
     else case when l_quantity > 45 then 'residential_purchase_purposes'
+      when l_quantity > 40 then 'mortgage_purposes' when l_quantity > 35 then 'other_mortgage_purposes'
       when l_linenumber % 2 = 0 then 'other_purposes' end end as account_purpose,
   case when l_linestatus = 'O' then 'x' else '' end as lending_business_type,
   case when l_linenumber = 3 then null else '0' end as revolving_flag,
