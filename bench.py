@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Each query writes its whole result to Spark's no-op sink, so nothing is collected and no column is
-pruned away. The median of the timed runs counts; the first run, which warms the JVM, does not.
+pruned away. The median of the timed runs counts; the first run, which warms the JVM, does not. A query
+whose first run takes longer than LONG_SECONDS is timed once more only.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+LONG_SECONDS = 8
 
 
 def session() -> SparkSession:
@@ -75,8 +77,8 @@ def main() -> None:
     queries = importlib.import_module("__spark_entry__").queries()
     seconds = {}
     for name, query in queries.items():
-        timed(query, spark)
-        seconds[name] = round(statistics.median(timed(query, spark) for _ in range(RUNS)), 4)
+        runs = 1 if timed(query, spark) > LONG_SECONDS else RUNS
+        seconds[name] = round(statistics.median(timed(query, spark) for _ in range(runs)), 4)
     rule_set = rule_set_seconds(spark)
     spark.stop()
     print(json.dumps({

@@ -137,6 +137,12 @@ def in_list(code: str, when: Condition, then: Condition, needs: Sequence[str] =
     return implies(code, "V15", when, then, needs)
 
 
+def in_list_table(code: str, when: Condition, listed: str, needs: Sequence[str] = ()) -> Rule:
+    """V15 for a list that a table or view holds: a lookup of the list by the value finds it, so the list
+    is joined as any parent and Spark broadcasts it by its own size check."""
+    return implies(code, "V15", when, found(listed), (listed, *needs))
+
+
 def hierarchy(code: str, then: Condition, when: Condition | None = None,
               needs: Sequence[str] = ()) -> Rule:
     """V16: root, parent and level of a row agree, or its parent is a row of the same table."""

@@ -308,6 +308,16 @@ def v15_code_list(spark, sf):
     return _broken(table(spark, sf, "part"), rule).select("p_partkey", "p_type")
 
 
+def v15_list_from_table(spark, sf):
+    """Values that a table lists: a large part must be of a brand and type that some small part is of."""
+    parts = table(spark, sf, "part").selectExpr("p_partkey", "p_size", "p_brand || p_type as kind")
+    listed = parts.filter("p_size < 10").select(F.col("kind").alias("value"))
+    rule = f.in_list_table("LISTED", c.sql("p_size > 40"), "kinds")
+    kinds = Lookup("kinds", "listed", (("kind", "value"),))
+    return flag_rows({"parts": parts, "listed": listed}, Pass("parts", ("p_partkey",), (rule,), (kinds,))).select(
+        "p_partkey", "kind")
+
+
 def v16_hierarchy(spark, sf):
     # a tenth of the customers has a parent that does not exist, another no level
     lines = table(spark, sf, "customer").selectExpr(
@@ -397,6 +407,6 @@ QUERIES = {q.__name__: q for q in [
     v5_either_present, v6_ref_integrity, v7_conditional_ref, v8_either_parent,
     v9_must_be_reported, v10_must_not_be_reported, v11_reconcile_ge, v11_reconcile_equal_quarter,
     v11_reconcile_sources, totals_by_day, v12_check_digit, v13_typed_value, v14_sentinel_after_cutoff,
-    v15_code_list, v16_hierarchy, v17_self_reference, v18_other_described, violation_list,
+    v15_code_list, v15_list_from_table, v16_hierarchy, v17_self_reference, v18_other_described, violation_list,
     violation_summary, gate, violation_by_source, period_export,
 ]}

@@ -93,6 +93,9 @@ select o_orderkey from orders where o_orderdate>=timestamp '2000-10-01' and o_or
 """,
     "v15_code_list": """
 select p_partkey, p_type from part p where not exists (select 1 from (values ('PROMO'),('SMALL'),('LARGE')) v(t) where v.t=p.p_type)
+""",
+    "v15_list_from_table": """
+select p_partkey, p_brand || p_type as kind from part where p_size > 40 and p_brand || p_type not in (select p_brand || p_type from part where p_size < 10)
 """,
     "v16_hierarchy": """
 with h as (select c_custkey as id, case when c_custkey<10 then null when c_custkey%10=3 then -c_custkey else c_custkey//10 end as parent, case when c_custkey<5 then 0 when c_custkey%10=7 then null else 1 end as lvl from customer) select id from h where (parent is null and coalesce(lvl, -1)<>0) or (parent is not null and not exists (select 1 from h p where p.id=h.parent))

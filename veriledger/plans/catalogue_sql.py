@@ -122,15 +122,14 @@ _CREDIT_LINE = with_entities(
 
 
 def _position(rule: str, loans: str, positions: str, equal: bool) -> str:
-    broken = "a.s <> b.s" if equal else "a.s < b.s"
+    broken = "<>" if equal else "<"
     return f"""
-select '{rule}' as rule, cast(a.data_dt as varchar) || '|' || a.org_id as key from
-  (select o.data_dt, o.org_id, coalesce(sum(case when c.loan_type = '{loans}'
-     then otsnd_amt_in_orig_ccy end), 0) as s from otdd o left join cac c on c.ac_id = o.ac_id
-   group by o.data_dt, o.org_id) a
-  join (select data_dt, org_id, coalesce(sum(case when position_item = '{positions}'
-     then fc_amount end), 0) as s from fcp group by data_dt, org_id) b
-  on a.data_dt = b.data_dt and a.org_id = b.org_id where {broken}"""
+select '{rule}' as rule, cast(data_dt as varchar) || '|' || org_id as key from
+  (select o.data_dt, o.org_id, sum(case when c.loan_type = '{loans}' then otsnd_amt_in_orig_ccy end) as s
+   from otdd o left join cac c on c.ac_id = o.ac_id group by o.data_dt, o.org_id) a
+  full join (select data_dt, org_id, sum(case when position_item = '{positions}' then fc_amount end) as s
+   from fcp group by data_dt, org_id) b
+  using (data_dt, org_id) where coalesce(a.s, 0) {broken} coalesce(b.s, 0)"""
 
 
 _BARRED = "('baht_loans', 'credit_card_loans', 'contingent_loans', 'offshore_branch_loans')"

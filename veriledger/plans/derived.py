@@ -9,9 +9,10 @@ from __future__ import annotations
 _CAC = """
 select 'A' || cast(o_orderkey as string) as ac_id, 'E' || cast(o_custkey as string) as ent_id,
   case when o_orderkey % 3 = 0 then 'THB' else 'USD' end as ccy,
-  case o_orderkey % 11 when 0 then 'contingent_loans' when 1 then 'bills_of_exchange'
+  case o_orderkey % 13 when 0 then 'contingent_loans' when 1 then 'bills_of_exchange'
     when 2 then 'baht_loans' when 3 then 'overdraft' when 4 then 'first_payment_loans'
     when 5 then 'onshore_lending' when 6 then 'foreign_bill_outward' when 7 then 'reverse_mortgage'
+    when 8 then 'offshore_lending' when 9 then 'foreign_bill_inward' when 10 then 'overdraft_from_deposit'
     else 'loans' end as loan_type,
   case o_orderpriority when '1-URGENT' then 'fixed_term' when '2-HIGH' then 'fixed_term'
     when '4-NOT SPECIFIED' then ' ' else 'open_term' end as term_type,
@@ -112,8 +113,8 @@ from {events}
 """
 
 _RSK = """
-select case event_id % 5 when 0 then 'A' || cast(event_id as string)
-    when 1 then 'L' || cast(user_id as string) when 2 then 'P' || cast(user_id as string)
+select case event_id % 5 when 0 then 'A' || cast(event_id * 3 as string)
+    when 1 then 'L' || cast(user_id as string) when 2 then 'P' || cast(user_id * 50 as string)
     else 'E' || cast(user_id as string) end as reference_id,
   case event_id % 5 when 0 then 'reference_account' when 1 then 'reference_credit_line'
     when 2 then 'reference_counterparty' when 3 then 'reference_entity' else 'other' end
@@ -121,7 +122,7 @@ select case event_id % 5 when 0 then 'A' || cast(event_id as string)
   case event_id % 6 when 0 then 'DSR' when 1 then 'Internal Credit Rating'
     when 2 then 'Watch List Flag' when 3 then 'B-SCORE' when 4 then 'DSCR' else 'Grade' end
     as risk_measure,
-  case when event_id % 4 = 0 then ' ' else 'm' end as model_reference,
+  case when event_id % 4 = 1 then ' ' else 'm' end as model_reference,
   case when event_id % 3 = 0 then 'n/a' when event_id % 6 = 2 then cast(event_id % 4 as string)
     else cast(value as string) end as risk_value,
   cast(ts as date) as assessment_date, cast('2024-01-02' as date) as data_dt
@@ -185,12 +186,16 @@ ENTITY_SQL = {
                "application_id, case when c_nationkey < 12 "
                "then cast('2023-10-01' as date) else cast('2023-09-30' as date) end "
                "as application_date from {customer}",
-    "DER_OTDD": "select 'A' || cast(l_orderkey as string) as ac_id, cast('2024-01-31' as date) as "
+    # one organisation has outstanding amounts alone, one positions alone
+    "DER_OTDD": "select case when l_partkey % 53 = 0 then 'none' else 'A' || cast(l_orderkey as string) end "
+                "as ac_id, cast('2024-01-31' as date) as "
                 "data_dt, l_returnflag as org_id, cast(l_extendedprice as decimal(18,2)) - 20000 as "
                 "otsnd_amt_in_orig_ccy from {lineitem}",
-    "DS_FCP": "select cast('2024-01-31' as date) as data_dt, l_returnflag as org_id, case l_linenumber "
+    "DS_FCP": "select cast('2024-01-31' as date) as data_dt, case l_returnflag when 'R' then 'X' else "
+              "l_returnflag end as org_id, case l_linenumber "
               "when 1 then 'onshore_lending_positions' when 2 then 'bill_outward_positions' "
-              "when 3 then 'overdraft_positions' else 'none' end as position_item, "
+              "when 3 then 'overdraft_positions' when 4 then 'offshore_lending_positions' "
+              "when 5 then 'bill_inward_positions' else 'none' end as position_item, "
               "cast(l_tax as decimal(18,2)) as fc_amount from {lineitem}",
     "DER_OTDM": "select case l_linenumber % 2 when 0 then 'TCB' else 'FCB' end as org_id, "
                 "cast(l_shipdate as date) as data_dt, '200080000' || cast(l_linenumber as string) as "
