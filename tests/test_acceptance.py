@@ -31,10 +31,10 @@ def test_entry(spark):
     assert rows == {"CN1": 11, "RI1": 27}
 
 
-def test_every_rule_of_the_account_sets_is_broken_somewhere(con):
-    from veriledger.plans import account_queries
+def test_every_rule_of_these_sets_is_broken_somewhere(con):
+    from veriledger.plans import account_queries, party_queries
 
-    for name, (rules, sql) in account_queries.RULES.items():
+    for name, (rules, sql) in {**account_queries.RULES, **party_queries.RULES}.items():
         broken = {r[0] for r in con.execute(f"select distinct rule from ({sql})").fetchall()}
         assert broken == set(rules.codes), name
 

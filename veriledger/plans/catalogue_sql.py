@@ -247,18 +247,18 @@ def _provision(rule: str, account_class: str, provision_class: str) -> str:
         {"TCB": "116002", "FCB": "116008"})
 
 
+LEDGER_DIFFERENCES = "union all".join([
+    _balance("CMOTDM003", "sum(otsnd_amt_in_baht)", "bls",
+             "sum(bsh_amt) filter (bsh_itm_tp_id in ('955010', '955015', '955030', '955051', "
+             "'955070', '955124'))", {"TCB": "116002", "FCB": "116003"}),
+    _provision("CMOTDM004", "2000800001", "020011"),
+    _provision("CMOTDM005", "2000800002", "020012"),
+    _provision("CMOTDM006", "2000800003", "020013"),
+    _provision("CMOTDM007", "2000800004", "020014"),
+    _provision("CMOTDM008", "2000800005", "020015"),
+])
 _LEDGERS = with_entities(
-    {"otdm": ENTITY_SQL["DER_OTDM"], "bls": ENTITY_SQL["DS_BLS"], "pvs": ENTITY_SQL["DS_PVS"]},
-    "union all".join([
-        _balance("CMOTDM003", "sum(otsnd_amt_in_baht)", "bls",
-                 "sum(bsh_amt) filter (bsh_itm_tp_id in ('955010', '955015', '955030', '955051', "
-                 "'955070', '955124'))", {"TCB": "116002", "FCB": "116003"}),
-        _provision("CMOTDM004", "2000800001", "020011"),
-        _provision("CMOTDM005", "2000800002", "020012"),
-        _provision("CMOTDM006", "2000800003", "020013"),
-        _provision("CMOTDM007", "2000800004", "020014"),
-        _provision("CMOTDM008", "2000800005", "020015"),
-    ]))
+    {"otdm": ENTITY_SQL["DER_OTDM"], "bls": ENTITY_SQL["DS_BLS"], "pvs": ENTITY_SQL["DS_PVS"]}, LEDGER_DIFFERENCES)
 
 CATALOGUE_SQL = {
     "rules_credit_account": _CREDIT_ACCOUNT,
