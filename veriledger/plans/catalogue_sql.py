@@ -121,7 +121,7 @@ _CREDIT_LINE = with_entities(
     }))
 
 
-def _position(rule: str, loans: str, positions: str, equal: bool) -> str:
+def position_rule(rule: str, loans: str, positions: str, equal: bool) -> str:
     broken = "<>" if equal else "<"
     return f"""
 select '{rule}' as rule, cast(data_dt as varchar) || '|' || org_id as key from
@@ -143,11 +143,11 @@ _OUTSTANDING_DAILY = with_entities(
                      "'closed_status')",
         "RIOTDD001": "not exists (select 1 from cac c where c.ac_id = o.ac_id)",
     }) + "\nunion all" + "\nunion all".join([
-        _position("CMOTDD001", "onshore_lending", "onshore_lending_positions", False),
-        _position("CMOTDD002", "offshore_lending", "offshore_lending_positions", False),
-        _position("CMOTDD003", "overdraft_from_deposit", "overdraft_positions", True),
-        _position("CMOTDD004", "foreign_bill_inward", "bill_inward_positions", False),
-        _position("CMOTDD005", "foreign_bill_outward", "bill_outward_positions", True),
+        position_rule("CMOTDD001", "onshore_lending", "onshore_lending_positions", False),
+        position_rule("CMOTDD002", "offshore_lending", "offshore_lending_positions", False),
+        position_rule("CMOTDD003", "overdraft_from_deposit", "overdraft_positions", True),
+        position_rule("CMOTDD004", "foreign_bill_inward", "bill_inward_positions", False),
+        position_rule("CMOTDD005", "foreign_bill_outward", "bill_outward_positions", True),
     ]))
 
 

@@ -16,7 +16,8 @@ select 'A' || cast(o_orderkey as string) as ac_id, 'E' || cast(o_custkey as stri
     else 'loans' end as loan_type,
   case o_orderpriority when '1-URGENT' then 'fixed_term' when '2-HIGH' then 'fixed_term'
     when '4-NOT SPECIFIED' then ' ' else 'open_term' end as term_type,
-  case o_orderstatus when 'F' then 'closed_status' else 'open' end as account_status,
+  case o_orderstatus when 'F' then 'closed_status' when 'P' then 'inactive_or_closed_status' else 'open' end
+    as account_status,
   case o_orderkey % 7 when 0 then '' when 1 then 'unknown_term_unit' else 'M' end
     as principal_freq_unit,
   case o_orderkey % 5 when 0 then null when 1 then 'unknown_term_unit' else 'M' end
@@ -59,7 +60,9 @@ select case when l_partkey % 50 = 0 then 'none' else 'A' || cast(l_orderkey as s
   case when l_linestatus = 'O' then 'x' else '' end as lending_business_type,
   case when l_linenumber = 3 then null else '0' end as revolving_flag,
   case when l_linenumber = 4 then '' else '0' end as refinance_flag,
-  '0' as employee_flag, '0' as related_lending_flag, '0' as interbank_flag,
+  '0' as employee_flag, '0' as related_lending_flag,
+  case when l_linenumber = 1 then null else '0' end as interbank_flag,
+  cast(case when l_quantity = 4 then null else l_quantity * 3 - 20 end as decimal(9,4)) as original_eir,
   case when l_linenumber = 5 then null else '0' end as digital_loan_flag,
   case when l_linenumber = 6 then null else '0' end as bridge_loan_flag,
   case when l_linenumber = 2 then 'unclassified' when l_linenumber = 7 then ' ' else 'TH' end

@@ -7,9 +7,16 @@ from pyspark.sql import DataFrame
 
 from veriledger.operators.ruleset import RuleSet
 from veriledger.plans.catalogue_queries import violations_of
-from veriledger.plans.catalogue_sql import LEDGER_DIFFERENCES, bl, union_of_rules, with_entities
+from veriledger.plans.catalogue_sql import (
+    CATALOGUE_SQL,
+    LEDGER_DIFFERENCES,
+    bl,
+    position_rule,
+    union_of_rules,
+    with_entities,
+)
 from veriledger.plans.derived import ENTITY_SQL
-from veriledger.specs import collateral, counterparty, credit_line, outstanding
+from veriledger.specs import account, collateral, counterparty, credit_line, outstanding, review
 
 
 def _party(missing: int) -> str:
@@ -98,6 +105,19 @@ from {{customer}}""",
                 "cast(c_custkey as string) end as cntpr_id from {customer}",
     "DER_CPDG": f"select 'D' || cast(c_nationkey as string) as debtor_group_id, {_party(19)} from {{customer}}",
     "DER_DG": "select 'D' || cast(n_nationkey as string) as debtor_group_id from {nation} where n_regionkey < 4",
+    "DER_REV": """
+select cast(ts as date) as review_date, cast('2024-01-02' as date) as data_dt,
+  case event_id % 4 when 0 then 'reference_account' when 1 then 'reference_credit_line'
+    when 2 then 'reference_counterparty' else 'reference_entity' end as reference_type,
+  case event_id % 4 when 0 then 'A' when 1 then 'L' when 2 then 'P' else 'E' end || cast(event_id * 2 as string)
+    as reference_id
+from {events}""",
+    "DER_BRD": """
+select case when event_id % 9 = 0 then 'none' else 'T' || cast(event_id as string) end as txn_id,
+  case when event_id % 3 = 0 then 'approval_document' else 'x' end as bot_doc_tp,
+  case when event_id % 4 = 0 then null else cast(ts as date) end as bot_doc_date
+from {events}""",
+    "DER_RDA": "select 'T' || cast(event_id * 2 as string) as txn_id from {events}",
     "DER_CACD": """
 select 'A' || cast(l_orderkey as string) as ac_id, case l_returnflag when 'A' then 'commercial_purposes' when 'R' then
     'consumption_purposes' else 'other_purposes' end as account_purpose,
@@ -265,11 +285,69 @@ RULES: dict[str, tuple[RuleSet, str]] = {
 }
 
 
-def _query(rules: RuleSet):
+RULES |= {
+    "rules_review": (review.REV_MONTHLY, _sql(union_of_rules(
+        "rev x", "cast(review_date as varchar) || '|' || reference_id", {
+            "CNREV001": "review_date > data_dt",
+            **{f"RIREV{i:03}": f"reference_type = 'reference_{kind}' and "
+                               f"{_absent('x', parent, column, 'reference_id')}"
+               for i, (kind, parent, column) in enumerate((
+                   ("account", "cac", "ac_id"), ("credit_line", "cl", "credit_line_id"),
+                   ("counterparty", "cpid", "cntpr_id"), ("entity", "cpen", "ent_id")), 1)},
+        }), "DER_REV", "DER_CAC", "DER_CL", "DER_CPID", "DER_CPEN")),
+    "rules_flow_document": (outstanding.BRD_DAILY, _sql(union_of_rules("brd x", "txn_id", {
+        "CMBRD001": "bot_doc_tp = 'approval_document' and bot_doc_date is null",
+        "RIBRD001": _absent("x", "txf", "txn_id"),
+    }), "DER_BRD", "DER_TXF")),
+    "rules_flow_detail": (outstanding.RDA_DAILY, _sql(union_of_rules("rda x", "txn_id", {
+        "RIRDA001": _absent("x", "txf", "txn_id")}), "DER_RDA", "DER_TXF")),
+}
+
+# First-phase and repeated jobs, over the catalogue's entities.
+_BARRED = "('baht_loans', 'credit_card_loans', 'contingent_loans', 'offshore_branch_loans')"
+_SAME_DETAIL = ("CNCACD001", "CMCACD002", "CMCACD004", "CMCACD006", "CMCACD007", "CMCACD009", "RICACD001", "RICACD002",
+                "RICACD003", "RICACD004")
+_FLAGS = ("revolving_flag", "refinance_flag", "employee_flag", "related_lending_flag")
+_CATALOGUE = {n: ENTITY_SQL[f"DER_{n.upper()}"] for n in ("cac", "cacd", "otdd")}
+FIRST_RULES: dict[str, tuple[RuleSet, str]] = {
+    "rules_outstanding_first": (outstanding.OTDD_P1, with_entities(
+        {"cac": _CATALOGUE["cac"], "otdd": _CATALOGUE["otdd"], "fcp": ENTITY_SQL["DS_FCP"]},
+        union_of_rules("otdd x left join cac c on c.ac_id = x.ac_id", "x.ac_id", {
+            "CNOTDD001": f"c.loan_type in {_BARRED}",
+            "CNOTDD002": "otsnd_amt_in_orig_ccy < 0",
+            "CNOTDD003": "c.account_status = 'inactive_or_closed_status'",
+            "RIOTDD001": "c.ac_id is null",
+        }) + "".join(_AND_MORE + position_rule(code, loans, positions, False) for code, (loans, positions) in {
+            "CMOTDD001": ("onshore_lending", "onshore_lending_positions"),
+            "CMOTDD002": ("offshore_lending", "offshore_lending_positions"),
+            "CMOTDD003": ("overdraft_from_deposit", "overdraft_positions"),
+            "CMOTDD004": ("foreign_bill_inward", "bill_inward_positions"),
+            "CMOTDD005": ("foreign_bill_outward", "bill_outward_positions"),
+        }.items()))),
+    "rules_account_detail_first": (account.CACD_P1, f"select rule, key from ({CATALOGUE_SQL['rules_account_detail']}) "
+                                   f"where rule in {_SAME_DETAIL}" + _AND_MORE + "select rule, key from (" + with_entities(
+        {"cac": _CATALOGUE["cac"], "cacd": _CATALOGUE["cacd"]},
+        union_of_rules("cacd d left join cac c on c.ac_id = d.ac_id", "d.ac_id", {
+            "CMCACD003": f"c.term_type = 'fixed_term' and {_NOT_CONTINGENT} and principal_freq_unit <> "
+                         "'unknown_term_unit' and interest_freq_unit <> 'unknown_term_unit' and revolving_flag = '0' and "
+                         "(frst_pymt_amt_in_orig_ccy is null or frst_pymt_amt_in_orig_ccy <= 0)",
+            "CMCACD005": f"{_NOT_CONTINGENT} and ({' or '.join(bl(c) for c in _FLAGS)} or original_eir is null or not "
+                         "(original_eir between 0 and 100))",
+            "CMCACD008": f"(({_NOT_CONTINGENT} and account_purpose = 'commercial_purposes') or account_purpose = "
+                         f"'other_purposes') and {bl('interbank_flag')}",
+        })) + ")"),
+    "rules_counterparty_id_rerun": (counterparty.CPID_RERUN, f"select rule, key from "
+                                    f"({CATALOGUE_SQL['rules_counterparty_id']}) where rule <> 'CMCPID003'"),
+}
+
+
+def _query(rules: RuleSet, more=None):
     def query(spark, sf_dir: str) -> DataFrame:
-        return violations_of(spark, sf_dir, rules, DERIVED)
+        return violations_of(spark, sf_dir, rules, more)
     return query
 
 
-QUERIES = {name: _query(rules) for name, (rules, _) in RULES.items()}
+QUERIES = {name: _query(rules, DERIVED) for name, (rules, _) in RULES.items()}
+QUERIES |= {name: _query(rules) for name, (rules, _) in FIRST_RULES.items()}
+RULES |= FIRST_RULES
 PARTY_SQL = {name: sql for name, (_, sql) in RULES.items()}
