@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriledger.llm.frames import extended
+from veriledger.llm.frames import extended, stored
 from veriledger.llm.words import BLANKS, grams, hashes, split, utf8
 
 # The symbols that are counted.
@@ -209,19 +209,24 @@ def posterior(model: Model) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def judged(df: DataFrame, column: str = "text", keep=None) -> DataFrame:
-    """The rows with the measures, `posterior`, `base_failed` and `kept`.
-
-    The rules' accuracies come from the patterns of votes of all rows; an empty table gives none.
-    """
-    rows = measured(df, column, keep)
+def weighed(rows: DataFrame) -> DataFrame:
+    """Measured rows with `posterior`, `base_failed` and `kept`. The rules' shares of votes are fitted to
+    all rows; no rows give none."""
     counts = rows.groupBy(pattern().alias("p")).agg(F.count("*").alias("n"))
     model = fit([(r["p"], r["n"]) for r in counts.collect()])
     return (rows.withColumn("posterior", posterior(model)).withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)))
 
 
+def judged(df: DataFrame, column: str = "text", keep=None) -> DataFrame:
+    """The rows with the measures, `posterior`, `base_failed` and `kept`; the texts are measured twice, once
+    for the fit."""
+    return weighed(measured(df, column, keep))
+
+
 def verdicts(df: DataFrame) -> DataFrame:
-    return judged(df, keep=["doc_id"]).select(
+    """Per document the base measures and the verdict; the few numbers a text are measured once and kept
+    aside for the fit."""
+    return weighed(stored(measured(df, keep=["doc_id"]), "measures")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "posterior")
