@@ -239,16 +239,15 @@ class _Restorer:
         return word
 
 
-_RESTORERS: dict[str, _Restorer] = {}
+_LAST: list = []
 
 
 def _restorer(sent) -> _Restorer:
-    """The restorer of a broadcast model, kept while the worker lives."""
-    key = str(sent._jbroadcast) if getattr(sent, "_jbroadcast", None) else str(id(sent.value))
-    if key not in _RESTORERS:
-        _RESTORERS.clear()
-        _RESTORERS[key] = _Restorer(Characters(sent.value))
-    return _RESTORERS[key]
+    """The restorer of a broadcast model, kept until another model comes to the worker."""
+    counts = sent.value
+    if not _LAST or _LAST[0] is not counts:
+        _LAST[:] = [counts, _Restorer(Characters(counts))]
+    return _LAST[1]
 
 
 def held_out(key: Column) -> Column:
