@@ -239,15 +239,15 @@ class _Restorer:
         return word
 
 
-_LAST: list = []
+_HELD: list = []
 
 
 def _restorer(sent) -> _Restorer:
     """The restorer of a broadcast model, kept until another model comes to the worker."""
     counts = sent.value
-    if not _LAST or _LAST[0] is not counts:
-        _LAST[:] = [counts, _Restorer(Characters(counts))]
-    return _LAST[1]
+    if not _HELD or _HELD[0] is not counts:
+        _HELD[:] = [counts, _Restorer(Characters(counts))]
+    return _HELD[1]
 
 
 def held_out(key: Column) -> Column:
