@@ -36,7 +36,10 @@ BEGIN = 2
 AGAIN, MOST_AGAIN = 0xE000, 16
 
 #: Bytes of text that are spelled at once; a symbol takes some hundred bytes on the way.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
+
+#: n-grams of slices that wait to be merged into a task's table.
+PENDING = 500_000
 
 #: n-grams of a shard, whose table takes 24 to 48 MB.
 SHARD_GRAMS = 1 << 20
@@ -107,7 +110,7 @@ def _places(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(parts):
     """The distinct n-grams of a task's texts with how many of each are in texts to train on."""
-    keys, numbers, words = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, ORDER), np.uint32))
+    found: list[tuple] = []
     for batch in (s for whole in parts for s in slices(whole, 0, AT_ONCE)):
         row, starts = symbols(batch.column(0))
         places, counts = _places(starts, len(row))
@@ -118,21 +121,30 @@ def _count(parts):
         by = np.argsort(key)
         key = key[by]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        number = np.add.reduceat(trained[by], first)
         at = places[by[first]]
-        word = row[at[:, None] + np.arange(ORDER)].astype(np.uint32)
-        keys, numbers, words = (np.concatenate([keys, key[first]]), np.concatenate([numbers, number]),
-                                np.concatenate([words, word]))
-        by = np.argsort(keys, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], keys[by][1:] != keys[by][:-1]]))
-        keys, numbers, words = keys[by[first]], np.add.reduceat(numbers[by], first), words[by[first]]
-    for a in range(0, len(keys), 100_000):
+        words = row[at[:, None] + np.arange(ORDER)].astype(np.uint32)
+        found.append((key[first], np.add.reduceat(trained[by], first), words))
+        if sum(len(f[0]) for f in found[1:]) > PENDING:
+            found = [_merged(found)]
+    if not found:
+        return
+    _, numbers, words = _merged(found)
+    for a in range(0, len(numbers), 100_000):
         text = words[a:a + 100_000].tobytes().decode("utf-32-le")
         yield pa.RecordBatch.from_arrays(
             [pa.array([text[i:i + ORDER] for i in range(0, len(text), ORDER)]),
              pa.array(numbers[a:a + 100_000])], names=["gram", "n"])
 
 
+def _merged(found: list[tuple]) -> tuple:
+    """Counts of several slices as one, by key."""
+    keys, numbers, words = (np.concatenate(c) for c in zip(*found))
+    by = np.argsort(keys, kind="stable")
+    keys = keys[by]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(numbers[by], first), words[by[first]]
+
+
 def trusted(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """The ids whose labels all say good, with `held_out` for one in five."""
     return (labels.filter(quoted(key).isNotNull()).groupBy(quoted(key).alias("_id"))
