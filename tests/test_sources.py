@@ -229,7 +229,6 @@ def test_prevalidation(spark):
     assert prevalidate.base_columns(flagged, rules).columns == df.columns
     shares = {r["rule"]: (r["bad"], r["n"]) for r in prevalidate.shares(flagged, ["R1", "R2"]).collect()}
     assert shares == {"R1": (2, 3), "R2": (1, 3)}
-    assert prevalidate.bad_rows(flagged, ["R1", "R2"]).head()["share"] == 1.0
     failed = prevalidate.failures(flagged, ["R1", "R2"], ["id"]).collect()
     assert sorted(tuple(r) for r in failed) == [("R1", "1", "CMS"), ("R1", "3", "TFS"), ("R2", "2", "TFS")]
 

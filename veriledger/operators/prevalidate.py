@@ -33,13 +33,6 @@ def shares(flagged: DataFrame, flags: Sequence[str], by: Sequence[str] = ()) ->
     return long.select(*by, "rule", "bad", "n", F.try_divide("bad", F.col("n").cast("double")).alias("share"))
 
 
-def bad_rows(flagged: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """Rows with at least one flag, rows in all, and their share."""
-    any_flag = F.greatest(*[F.col(f) for f in flags]) if len(flags) > 1 else F.col(flags[0])
-    counts = flagged.agg(F.count_if(any_flag).alias("bad"), F.count("*").alias("n"))
-    return counts.withColumn("share", F.try_divide("bad", F.col("n").cast("double")))
-
-
 def failures(flagged: DataFrame, flags: Sequence[str], key: Sequence[str]) -> DataFrame:
     """Long form: one row per broken rule and row, with the source system if there is one."""
     names = F.array(*[F.when(F.col(f), F.lit(f)) for f in flags])

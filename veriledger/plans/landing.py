@@ -37,6 +37,14 @@ def file_schema(landing: Landing):
     return type(schema)([f for f in schema.fields if f.name not in added])
 
 
+def delivered_schema(spark: SparkSession, landing: Landing, database: str):
+    """The columns of a source's file: those of its stored table, or of the entity before the first load."""
+    table = staging_table(database, landing)
+    if not spark.catalog.tableExists(table):
+        return file_schema(landing)
+    return text.table_schema(spark, table, (*LOAD_COLUMNS, *landing.placeholders))
+
+
 @dataclass(frozen=True)
 class Load:
     """How many records were stored and how many rejected; ``rejects`` are the stored ones of the period."""
@@ -55,7 +63,7 @@ def land_text(spark: SparkSession, landing: Landing, folder: str, file_name: str
     """
     pattern = text.landed_pattern(folder, file_name, period)
     aside = shared_folder(spark, "landed")
-    parsed = text.read_pipe_text(spark, pattern, file_schema(landing)).records
+    parsed = text.read_pipe_text(spark, pattern, delivered_schema(spark, landing, database)).records
     parsed.write.parquet(aside)
     try:
         landed = text.Landed(spark.read.schema(parsed.schema).parquet(aside))
