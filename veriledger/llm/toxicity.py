@@ -59,6 +59,7 @@ QUOTES = "\"'()[]{}<>«»“”„"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 PLAIN = re.compile(f"[a-z{_FIRST}-{_LAST}]+")
 TRIPLE = re.compile(r"(.)\1\1")
+RUN = re.compile(r"(.)\1+")
 DECORATION = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
 EDGES = "\"'()[]{}<>.,;:!?«»“”„…¿¡*#%&"
 
@@ -75,7 +76,7 @@ def _letter(sign: str) -> bool:
 
 def squeezed(word: str) -> str:
     """The word with each run of one letter as a single letter, as words are compared."""
-    return re.sub(r"(.)\1+", r"\1", word)
+    return RUN.sub(r"\1", word) if RUN.search(word) else word
 
 
 class Characters:
@@ -231,6 +232,13 @@ class _Restorer:
         self.characters, self.known = characters, {}
 
     def __call__(self, token: str) -> tuple[str, ...]:
+        bare = token.lower().strip(EDGES)
+        if PLAIN.fullmatch(bare):  # its own only path, and not worth the memory
+            run = RUN.search(bare)
+            if run is None:
+                return (bare,)
+            if not TRIPLE.search(bare, run.start()):
+                return (squeezed(bare),)
         word = self.known.get(token)
         if word is None:
             if len(self.known) >= REMEMBERED:
@@ -306,8 +314,10 @@ class Scorer:
 
         def work(texts: pa.Array) -> dict:
             weights = scores.value
+            # Only a word that begins like a feature can weigh anything.
+            starts = {f.removeprefix("=")[:BEGINNINGS[0]] for f in weights}
             text, word, names = _words_of(texts, _restorer(sent))
-            heavy = np.array([max((weight_of(w, weights) for w in ways), default=0.0)
+            heavy = np.array([max((weight_of(w, weights) for w in ways if w[:BEGINNINGS[0]] in starts), default=0.0)
                               for ways in names])
             total = np.full(len(texts), bias)
             some = np.flatnonzero(heavy[word] != 0) if len(word) else np.empty(0, np.int64)
