@@ -67,7 +67,7 @@ EDGES = "\"'()[]{}<>.,;:!?«»“”„…¿¡*#%&"
 PATHS, BEST = 3, 8
 
 #: Restored words that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def _letter(sign: str) -> bool:
@@ -93,7 +93,7 @@ class Characters:
             for gram, n in self.counts[size - 1].items():
                 self.after[size - 1][gram[:-1]] += n
                 self.kinds[size - 1][gram[:-1]] += 1
-        self.cost = lru_cache(maxsize=1 << 18)(self._cost)
+        self.cost = lru_cache(maxsize=1 << 16)(self._cost)
 
     def _cost(self, two: str, sign: str) -> float:
         p = 1 / 220
