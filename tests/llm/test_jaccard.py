@@ -76,6 +76,16 @@ def test_against_brute_force(spark, rng, monkeypatch, tile_nodes):
     assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
 
 
+def test_three_nodes_of_one_batch(spark, rng):
+    """Tiles whose nodes all lie in one batch: two others may be linked where neither is to the smallest."""
+    rows = []
+    for i in range(0, 3000, 3):
+        w = [f"w{i}x{k}" for k in range(11)]
+        rows += [(i, " ".join(w)), (i + 1, " ".join([*w, f"x{i}"])), (i + 2, " ".join([*w, f"z{i}"]))]
+    rng.shuffle(rows)
+    assert run(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)) == brute(rows)
+
+
 def test_documents(spark, documents):
     assert run(spark.createDataFrame(documents, "doc_id long, text string")) == brute(documents)
 

@@ -145,7 +145,8 @@ def _profile(texts: pa.Array, size: int) -> dict:
 
 def _tile_rows(size: int, percent: int):
     """For a batch of texts: one row per key for its smallest node, and one for each other node, which
-    is known to share its tile. `at` is what a row is shuffled by, so only the former meet by key."""
+    is known to share its tile. `at` is what a row is shuffled by, so only the former meet by key. A smallest
+    node's head is null if it is alone, and the node itself if the batch has others of its tile."""
     names = ["at", "key", "node", "head"]
 
     def run(parts):
@@ -172,8 +173,9 @@ def _tile_rows(size: int, percent: int):
             head = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
             key, node, head, first = key[fresh], node[fresh], head[fresh], first[fresh]
             at = np.where(first, key, spread(key.view(np.uint64) ^ node.view(np.uint64)).view(np.int64))
+            alone = first & np.append(first[1:], True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(key), pa.array(node), pa.array(head, mask=first)], names=names)
+                [pa.array(at), pa.array(key), pa.array(node), pa.array(head, mask=alone)], names=names)
 
     return run
 
@@ -184,14 +186,16 @@ def _live(parts):
     written = False  # whether the first node of the last key is written
     for batch in parts:
         key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        head = batch.column(2)
-        known = head.is_valid().to_numpy(zero_copy_only=False)
+        given = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        head = batch.column(2).fill_null(0).to_numpy()
+        known = given & (head != node)
         rest = np.flatnonzero(~known)
-        k, n = key[rest], node[rest]
-        out = [(key[known], node[known], head.filter(head.is_valid()).to_numpy())]
+        k, n, followed = key[rest], node[rest], given[rest]
+        out = [(key[known], node[known], head[known])]
         if len(k):
             if k[0] == last_key:
                 k, n = np.concatenate([[last_key], k]), np.concatenate([[last_node], n])
+                followed = np.concatenate([[False], followed])
                 carried = True
             else:
                 carried = False
@@ -200,7 +204,7 @@ def _live(parts):
             begin = np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))
             lead = n[begin]
             other = n != lead
-            several = np.add.reduceat(other, np.flatnonzero(first)) > 0
+            several = np.add.reduceat(other | followed, np.flatnonzero(first)) > 0
             live = np.repeat(several, np.diff(np.append(np.flatnonzero(first), len(k))))
             # The carried first row stands for its key; it is not to be written twice.
             show = live & (other | first)
