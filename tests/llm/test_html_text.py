@@ -35,6 +35,27 @@ def test_layout(page, text):
     assert h.rendered(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<style>@media print{.nav{display:none}}</style><p class=nav>n", "n"),
+    ("<style>@media (max-width:600px){.side{display:none}} .no{display:none}</style><p class=side>s<p class=no>x", "s"),
+    ("<style>@media screen and (min-width: 40em){.x{display:none}}</style><p class=x>x<p>y", "y"),
+    ("<style>@keyframes k{from{visibility:hidden}p{display:none}}@import 'a;b{';</style><p>y", "y"),
+    ("<style>.tab{display:none} .tab.active{display:block}</style><p class=tab>a<p class='tab active'>b", "b"),
+    ("<style>.tab.active{display:block} .tab{display:none}</style><p class=tab>a<p class='tab active'>b", "b"),
+    ("<style>.a{display:none}.a{display:block}</style><p class=a>a", "a"),
+    ("<style>.a{display:none!important}.a{display:block}</style><p class=a>a<p class=a style='display:block'>b<p>c", "c"),
+    ("<style>.t{display:none}#w > .t{display:block} .t[data-on='1']{display:block}</style>"
+     "<div id=w><p class=t>a</p><div><p class=t>b</p></div></div><p class=t data-on=1>c", "a\n\nc"),
+    ("<style>.m{visibility:hidden}.m .v{visibility:visible}</style><div class=m>h<i class=v>v</i></div>", "v"),
+    ("<style>.h{display:block}</style><p hidden class=h>a<p hidden>b", "a"),
+    ("<p title=it's>one</p><p>it's two", "one\n\nit's two"),
+    ("<img alt=\"5\" tall\">one<p>two", "5one\n\ntwo"),
+    ("<a href=x\"y>one</a> <a href='p>q' title=\"r>s\">two</a> <b \">three", "one two three"),
+])
+def test_shown_by_rules_and_stray_quotes(page, text):
+    assert h.rendered(page) == text
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()

@@ -4,7 +4,9 @@ aligned columns.
 A page is cut into tags and text, built into a tree with the tags that HTML leaves out (paragraphs, list
 items, table parts, head and body end where the next element ends them), and rendered. What a browser does not
 show is left out: head, scripts, styles, templates, hidden elements, closed details and dialogs, and what inline
-styles or the page's own simple style rules (by tag, class or id) hide.
+styles or the page's own style rules hide. Rules cascade as in a browser: by importance, specificity and order;
+selectors of tags, classes, ids, attributes, descendants and children count, others hide and show nothing. Of the
+blocks that begin with @, those count that a screen of VIEWPORT pixels surely reads.
 
 Each page is worked on alone, whole, in time proportional to its length but for cells that span. Null is a page
 without text; broken markup never fails. Elements nested deeper than DEEPEST are laid out as if they were not
@@ -46,14 +48,25 @@ BARRIERS = set("applet caption html table td th marquee object template button".
 SPECIAL = BLOCKS | TABLE_PARTS | BARRIERS
 
 _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<other>[!?][^>]*>?)|/(?P<end>[a-zA-Z][^\s/>]*)[^>]*>?"
-                  r"|(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+                  r"|(?P<start>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)"
+                  r"|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+)*+)>?)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>\"'][^\s>]*+))?+)?+")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"^([a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)$")
-_HIDES = re.compile(r"(?:^|;)\s*display\s*:\s*none|(?:^|;)\s*visibility\s*:\s*(?:hidden|collapse)", re.I)
-_SHOWS = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible", re.I)
-_GONE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_CSS = re.compile(r"\"(?:\\.|[^\"\\\n])*+\"?|'(?:\\.|[^'\\\n])*+'?|[{};]", re.S)
+_COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+|\[\s*[\w-]+\s*(?:=\s*(?:\"[^\"]*\"|'[^']*'|[\w-]+)\s*)?\])*)")
+_PART = re.compile(r"([.#])([\w-]+)|\[\s*([\w-]+)\s*(=)?\s*[\"']?(.*?)[\"']?\s*\]")
+_SET = re.compile(r"^\s*(display|visibility)\s*:\s*([a-z][a-z -]*?)\s*(!\s*important)?\s*$", re.I)
+_WIDTH = re.compile(r"\(\s*(min|max)-width\s*:\s*([\d.]+)\s*(px|em|rem)\s*\)")
+
+#: Pixels of the screen that a page's style rules are read for.
+VIEWPORT = 1280
+
+
+SEEN = {"visible", "hidden", "collapse"}
+
+#: A rule: its selector as compounds from the outermost on, each with whether it must be the next one's parent, its
+#: place among the rules, and what it declares.
+Rule = tuple[list, int, dict]
 
 
 class Node:
@@ -69,7 +82,7 @@ class Tree:
     def __init__(self, page: str):
         self.root = Node("html", {})
         self.open = [self.root]
-        self.rules: list[tuple[str, frozenset, str]] = []
+        self.rules: list[Rule] = []
         self._build(page.replace("\r\n", "\n").replace("\0", ""))
 
     def _build(self, page: str) -> None:
@@ -169,14 +182,26 @@ class Tree:
         return end.end() if end else len(page)
 
     def _style(self, text: str) -> None:
-        for m in _RULE.finditer(re.sub(r"/\*.*?\*/", "", text, flags=re.S)):
-            if _HIDES.search(m[2]):
-                for selector in m[1].split(","):
-                    simple = _SIMPLE.match(selector.strip())
-                    if simple and selector.strip():
-                        parts = re.findall(r"([.#])([\w-]+)", simple[2])
-                        ids = next((v for k, v in parts if k == "#"), "")
-                        self.rules.append(((simple[1] or "").lower(), frozenset(v for k, v in parts if k == "."), ids))
+        """Reads rules; a block that the text does not end is ended by it."""
+        text = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", " ", text, flags=re.S)
+        blocks, at = [(True, None, [])], 0  # whether it counts, the selectors of a rule, its declarations
+        for m in _CSS.finditer(text + "}" * text.count("{")):
+            if m[0][0] not in "{};":
+                continue
+            part, at = text[at:m.start()], m.end()
+            counts, selectors, declared = blocks[-1]
+            if m[0] == "{":
+                counts = counts and selectors is None  # what is nested in a rule is relative to it
+                at_rule = part.lstrip().startswith("@")
+                blocks.append((counts and (not at_rule or _read(part)), None if at_rule else part, []))
+                continue
+            declared.append(part)
+            if m[0] == "}" and len(blocks) > 1:
+                blocks.pop()
+                if counts and selectors is not None and (own := _declared(declared)):
+                    for selector in selectors.split(","):
+                        if chain := _chain(selector.strip()):
+                            self.rules.append((chain, len(self.rules), own))
 
     def _imply(self, tag: str) -> None:
         """Ends the elements that a start tag ends, and starts those it needs."""
@@ -292,31 +317,145 @@ class Lines:
             self.blank = bool(self.done)
 
 
+def _declared(parts: list[str]) -> dict[str, tuple[bool, str]]:
+    """`display` and `visibility` of declarations, each with whether it is important."""
+    found = {}
+    for part in parts:
+        if m := _SET.match(part):
+            name, important = m[1].lower(), bool(m[3])
+            if important or not found.get(name, (False,))[0]:
+                found[name] = important, m[2].lower()
+    return found
+
+
+def _read(prelude: str) -> bool:
+    """Whether a screen surely reads the block of an @-rule."""
+    name, _, rest = re.sub(r"\s+", " ", prelude.strip().lower().replace("(", " (", 1)).partition(" ")
+    if name == "@media":
+        return any(_matches(q.strip()) for q in rest.split(","))
+    return name == "@layer" or name == "@supports" and "not" not in rest
+
+
+def _matches(query: str) -> bool:
+    if query in ("", "not print", "not speech"):
+        return True
+    for part in re.split(r"\s+and\s+", query):
+        if m := _WIDTH.fullmatch(part):
+            pixels = float("0" + m[2].rstrip(".")) * (1 if m[3] == "px" else 16) if m[2].count(".") < 2 else -1
+            if pixels < 0 or (pixels > VIEWPORT if m[1] == "min" else pixels < VIEWPORT):
+                return False
+        elif part not in ("all", "screen", "only screen", "only all"):
+            return False
+    return True
+
+
+def _chain(selector: str) -> list | None:
+    """A selector's compounds (tag, classes, ids, attributes, whether the next is its child); none if it has others."""
+    chain = []
+    parts = re.findall(r"\[[^\]]*\]|[>+~]|\s+|[^\s>+~\[]+", re.sub(r"\s*([>+~])\s*", r"\1", selector))
+    compounds, child = [""], [False]
+    for part in parts:
+        if part in ("+", "~"):
+            return None
+        if part == ">" or part.isspace():
+            child[-1] = part == ">"
+            compounds.append("")
+            child.append(False)
+        else:
+            compounds[-1] += part
+    for text, parent in zip(compounds, child):
+        m = _COMPOUND.fullmatch(text)
+        if not m or not text:
+            return None
+        own = _PART.findall(m[2])
+        chain.append(((m[1] or "*").lower(), frozenset(v for k, v, *_ in own if k == "."),
+                      frozenset(v for k, v, *_ in own if k == "#"),
+                      frozenset((a.lower(), v if e else None) for k, _, a, e, v in own if not k), parent))
+    return chain
+
+
+def _fits(compound: tuple, tag: str, attrs: dict[str, str]) -> bool:
+    of, classes, ids, others, _ = compound
+    return (of in ("*", tag) and (not classes or classes <= set(attrs.get("class", "").split()))
+            and (not ids or ids == {attrs.get("id", "")})
+            and all(a in attrs and (v is None or attrs[a] == v) for a, v in others))
+
+
+def _applies(chain: list, node: Node, above: tuple | None) -> bool:
+    """Whether a selector is one of an element, given what holds it as (tag, attributes, what holds that)."""
+    if not _fits(chain[-1], node.tag, node.attrs):
+        return False
+    if len(chain) == 1:
+        return True
+    holding = []
+    while above:
+        holding.append(above[:2])
+        above = above[2]
+    ever, last = [False] * len(chain), [False] * len(chain)  # compounds up to one end in any holder, in the last
+    for tag, attrs in reversed(holding):
+        last = [(i == 0 or (last if chain[i - 1][4] else ever)[i - 1]) and _fits(c, tag, attrs)
+                for i, c in enumerate(chain[:-1])]
+        ever = [a or b for a, b in zip(ever, last)]
+    return (last if chain[-2][4] else ever)[len(chain) - 2]
+
+
+def cascaded(rules: list[Rule], node: Node) -> dict[str, str]:
+    """What the rules of an element and its own style set `display` and `visibility` to."""
+    best = {}
+    for chain, nth, declared in rules:
+        weight = (False, sum(len(c[2]) for c in chain), sum(len(c[1]) + len(c[3]) for c in chain),
+                  sum(c[0] != "*" for c in chain), nth)
+        for name, (important, value) in declared.items():
+            best[name] = max(best.get(name, ((False,), "")), ((important, *weight), value))
+    if style := node.attrs.get("style"):
+        for name, (important, value) in _declared(style.split(";")).items():
+            best[name] = max(best.get(name, ((False,), "")), ((important, True), value))
+    return {name: value for name, (_, value) in best.items()}
+
+
+def styles(tree: Tree) -> dict[int, dict[str, str]]:
+    """Of each element, by its identity, what is set; none without rules."""
+    if not tree.rules:
+        return {}
+    by = {}  # rules by an id, class or tag of what they are for
+    for rule in tree.rules:
+        tag, classes, ids, _, _ = rule[0][-1]
+        by.setdefault(("#", min(ids)) if ids else (".", min(classes)) if classes else ("", tag), []).append(rule)
+    found, open_ = {}, [(tree.root, None)]
+    while open_:
+        node, above = open_.pop()
+        a = node.attrs
+        keys = [("", "*"), ("", node.tag), ("#", a.get("id")), *((".", c) for c in set(a.get("class", "").split()))]
+        found[id(node)] = cascaded([r for k in keys for r in by.get(k, ()) if _applies(r[0], node, above)], node)
+        own = (node.tag, a, above)
+        if node is tree.root:  # it stands for the body too
+            own = ("body", a, own)
+        open_ += [(c, own) for c in node.children if isinstance(c, Node)]
+    return found
+
+
 class Renderer:
     def __init__(self, tree: Tree):
-        self.rules = tree.rules
-        self.lines = self._block(tree.root, True, False)
+        self.styles = styles(tree)
+        hidden = self._style(tree.root).get("display") == "none"
+        self.lines = [] if hidden else self._block(tree.root, True, False)
 
     def _hidden(self, node: Node) -> bool:
         """Whether an element and all it holds is not shown."""
         a = node.attrs
-        if node.tag in UNSEEN or "hidden" in a or _GONE.search(a.get("style", "")):
-            return True
-        if node.tag == "dialog" and "open" not in a:
+        if node.tag in UNSEEN or node.tag == "input" and a.get("type", "").lower() == "hidden":
             return True
-        return node.tag == "input" and a.get("type", "").lower() == "hidden"
+        if display := self._style(node).get("display"):
+            return display == "none"
+        return "hidden" in a or node.tag == "dialog" and "open" not in a
 
     def _seen(self, node: Node, seen: bool) -> bool:
-        style = node.attrs.get("style", "")
-        if _SHOWS.search(style):
-            return True
-        if _HIDES.search(style):
-            return False
-        if self.rules:
-            classes, own = set(node.attrs.get("class", "").split()), node.attrs.get("id", "")
-            if any((not t or t == node.tag) and c <= classes and (not i or i == own) for t, c, i in self.rules):
-                return False
-        return seen
+        visibility = self._style(node).get("visibility", "inherit")
+        return visibility not in ("hidden", "collapse") if visibility in SEEN else seen
+
+    def _style(self, node: Node) -> dict[str, str]:
+        found = self.styles.get(id(node))
+        return cascaded([], node) if found is None else found
 
     def _block(self, node: Node, seen: bool, kept: bool) -> list[str]:
         lines = Lines()
