@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from odd import ODD_TEXTS
 
 from veriledger.llm import chunks as c
@@ -66,6 +67,39 @@ def test_planted_passages(spark, rng, documents):
         assert r["first_doc_id"] < r["doc_id"] and span in text[r["first_doc_id"]].encode()
 
 
+def found(a, b):
+    """The bytes of the longest span of `b` whose rows `a` has too."""
+    _, _, _, have = c.rows_of(pa.array([a]))
+    _, begins, ends, digests = c.rows_of(pa.array([b]))
+    most = begin = end = 0
+    for x, y in zip(begins[np.isin(digests, have)].tolist(), ends[np.isin(digests, have)].tolist()):
+        begin, end = (begin, max(end, y)) if x <= end and end else (x, y)
+        most = max(most, end - begin)
+    return most
+
+
+def test_every_passage_of_51_words(rng, documents):
+    """Passages of the documents' own words, put into different places of different texts."""
+    words = [w for _, t in documents for w in (t or "").split()]
+    lost = 0
+    for n in range(1000):
+        k = rng.randrange(len(words) - 51)
+        passage = " ".join(words[k:k + 51])
+        a, b = (" ".join([*rng.choices(words, k=rng.randint(1, 60)), passage, *rng.choices(words, k=40)])
+                for _ in range(2))
+        lost += found(a, b) < c.LEAST
+    assert lost == 0
+
+
+@pytest.mark.parametrize("turn", ["a", "no ", "go on ", "buy now ", "cheap pills ", "click here to win "])
+def test_stretches_of_a_short_period(rng, turn):
+    """One in the middle of different texts is found wherever it begins."""
+    for _ in range(50):
+        stretch = turn * 20 + turn * (200 // len(turn))
+        a, b = (f"{rng.getrandbits(rng.randint(100, 900)):x} {stretch} {rng.getrandbits(300):x}" for _ in range(2))
+        assert found(a, b) >= c.LEAST
+
+
 def brute(rows):
     """Spans from the rows of chunks of all texts, in dictionaries."""
     lowest = -(1 << 63)

@@ -1,19 +1,18 @@
 """Passages that several documents share, found by content-defined chunks.
 
-A gear hash rolls over the bytes of a text and cuts it where the hash of the last few bytes is small, so a
-cut depends on the bytes around it alone: text that is inserted moves the cuts after it along, and they
-are found again. A chunk is known by its digest. Chunks of a few words repeat by chance, so what is compared
-is the digest of several chunks in a row; where such a row of chunks is also in a document with a smaller
-id, it is a repeat. Repeats that touch make a span, and spans of a least length are reported.
+A gear hash rolls over the bytes of a text, and of every WINDOW places in a row the one with the smallest
+hash, the last of equal ones, is a cut, amid the bytes hashed. So a cut depends on the bytes around it alone: text that is inserted
+moves the cuts after it along, and they are found again. No chunk is longer than a window, and a stretch that
+repeats with a short period is cut once a turn, wherever it begins. Chunks of a few words repeat by chance, so
+what is compared is the digest of a row of chunks, which has at least ROW bytes; where such a row is also in a
+document with a smaller id, it is a repeat. Repeats that touch make a span, and spans of a least length are
+reported. Of a passage that two documents share, the cuts agree but for half of ROLLED bytes and a window at either
+end; what little is the same beyond it by chance does not lengthen a row.
 
 Rows are shuffled by digest, each with an id and two offsets. Of equal digests in one slice of texts only the
 smallest id's row meets those of other slices; the others are known repeats and are spread, so a passage
 that a third of all documents share fills no task.
 
-A stretch that repeats with a short period, such as one word over and over, has the same few cuts at every
-turn or none but those forced by length, which depend on where the stretch begins; such a stretch is found
-where whole copies begin alike.
-
 Offsets are bytes of the UTF-8 text, end exclusive, and never part a character. Null and empty texts, and
 texts shorter than a row of chunks, have no spans. Rows that share an id, or have none, are one document's:
 what only they repeat is not reported.
@@ -27,14 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veriledger.llm.frames import pieces, quoted, slices
-from veriledger.llm.words import SPREAD, grams, spread, utf8
+from veriledger.llm.words import SPREAD, spread, utf8
 
-#: Bytes that a cut depends on, the share of places that are cuts by their hash, the bytes after a cut in
-#: which there is no other, and the bytes after which a chunk is cut anyway.
-ROLLED, CUT_SHARE, GAP, LONGEST = 16, 1 / 14, 6, 256
+#: Bytes that a hash depends on, places of which one is a cut, and bytes of the longest chunk: a text's first
+#: is longer, and a character is not parted.
+ROLLED, WINDOW = 16, 24
+LONGEST = ROLLED + WINDOW + 3
 
-#: Chunks whose digests are compared together, and bytes of a span that is reported.
-ROW, LEAST = 4, 120
+#: Least bytes of a row of chunks, whose digest is compared, and of a span that is reported.
+ROW, LEAST = 64, 120
 
 #: Bytes of text that are chunked at once.
 AT_ONCE = 2 << 20
@@ -55,18 +55,21 @@ def gear(data: np.ndarray) -> np.ndarray:
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where chunks of the texts begin, with the end of the last; texts are cut apart."""
-    small = np.flatnonzero((gear(data) >> np.uint32(16)) < int(CUT_SHARE * 65536)) + 1
-    small = small[small < len(data)]
-    since = small - offsets[np.searchsorted(offsets, small, "right") - 1]
-    small = small[since > ROLLED]  # a cut must not depend on the text before
-    alone = np.ones(len(small), bool)
-    alone[1:] = small[1:] - small[:-1] > GAP
-    found = np.union1d(small[alone], offsets)
-    lengths = np.diff(found)
-    extra = np.maximum(lengths - 1, 0) // LONGEST
-    if extra.any():
-        nth = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1
-        found = np.union1d(found, np.repeat(found[:-1], extra) + nth * LONGEST)
+    # Of equal hashes the last is smallest. A window must not depend on the text before or after.
+    least = gear(data).astype(np.uint64) << np.uint64(32) | np.arange(len(data), 0, -1, dtype=np.uint64)
+    size = 1
+    while size < WINDOW:
+        more = min(size, WINDOW - size)
+        least = np.minimum(least[:-more], least[more:])
+        size += more
+    opens, ends = offsets[:-1] + ROLLED - 1, offsets[1:] - WINDOW + 1
+    some = opens < ends
+    within = np.zeros(len(data) + 1, np.int8)
+    np.add.at(within, opens[some], 1)
+    np.add.at(within, ends[some], -1)
+    least = least[np.cumsum(within, dtype=np.int8)[:len(least)] > 0]
+    place = len(data) - (least & np.uint64(0xFFFFFFFF)).astype(np.int64) + 1 - ROLLED // 2
+    found = np.union1d(place[np.append(True, place[1:] != place[:-1])] if len(place) else place, offsets)
     for _ in range(3):  # no character is parted
         parted = found < len(data)
         parted[parted] = (data[found[parted]] & 0xC0) == 0x80
@@ -75,7 +78,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def rows_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each row of ROW chunks: the text's place, begin and end in it, and the digest."""
+    """Of each row of chunks, the fewest that have ROW bytes: the text's place, begin and end in it, and the digest."""
     data, offsets = utf8(texts)
     if not len(data):
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
@@ -83,14 +86,24 @@ def rows_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     begins, ends = at[:-1], at[1:]
     place = np.arange(len(data), dtype=np.uint64) - np.repeat(begins, ends - begins).astype(np.uint64)
     digests = np.add.reduceat(spread(data.astype(np.uint64) + place * SPREAD), begins)
-    together = grams(digests, ROW)
+    # Sums of the digests, each times a power of an odd number, give every row's in one step.
+    powers, inverse = (np.multiply.accumulate(np.append(np.uint64(1), np.full(len(digests), b, np.uint64)))
+                       for b in (SPREAD, np.uint64(pow(int(SPREAD), -1, 1 << 64))))
+    sums = np.append(np.uint64(0), np.cumsum(digests * powers[:-1]))
     text = np.searchsorted(offsets, begins, "right") - 1
-    first = np.arange(len(together))
-    last = first + ROW - 1
-    whole = text[first] == text[last]
-    first, last = first[whole], last[whole]
-    start = offsets[text[first]]
-    return text[first], begins[first] - start, ends[last] - start, together[whole]
+    first = np.flatnonzero(begins + ROW <= offsets[text + 1])
+    last = np.searchsorted(at, begins[first] + ROW)
+    # The last row of a text is there up to the text's end too.
+    final = first[np.append(text[first][1:] != text[first][:-1], True)] if len(first) else first
+    first = np.append(first, final)
+    last = np.append(last, np.searchsorted(at, offsets[text[final] + 1]))
+    by = np.argsort(first, kind="stable")
+    first, last = first[by], last[by]
+    new = np.append(True, (first[1:] != first[:-1]) | (last[1:] != last[:-1]))[:len(first)]
+    first, last = first[new], last[new]
+    text = text[first]
+    start = offsets[text]
+    return text, at[first] - start, at[last] - start, spread((sums[last] - sums[first]) * inverse[first])
 
 
 def _rows(parts):
