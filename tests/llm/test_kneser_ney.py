@@ -104,6 +104,27 @@ def test_scores_against_brute_force(spark, monkeypatch, shard):
         assert r["n_scored"] == len(s) - ORDER + 1 and r["cost"] == pytest.approx(cost, rel=1e-4)
 
 
+@pytest.mark.parametrize("shard,sent", [(10, 1), (20, 2), (1, 1)])
+def test_bounded_tables_are_sent(spark, monkeypatch, shard, sent):
+    """However many n-grams there are, few are sent to the tasks, and the costs are those of all."""
+    rows = [(i, t, "en") for i, t in enumerate([*TEXTS * 3, None, "", "xyz" * 30, "xyz" * 30])]
+    labels = [(i, 1 if i % 6 < 4 else 0, 0) for i, _, _ in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+    def costs(own):
+        assert sum(int((p.value[0] != 0).sum()) for p in own.costs.parts) <= k.SENT_SHARDS * k.SHARD_GRAMS
+        return sorted((r["doc_id"], r["n_scored"], round(r["cost"], 3)) for r in
+                      k.scored(docs, own.costs, keep=["doc_id"]).collect())
+
+    every = costs(k.Classifier(docs, marks))
+    monkeypatch.setattr(k, "SHARD_GRAMS", shard)
+    monkeypatch.setattr(k, "SENT_SHARDS", sent)
+    few = costs(k.Classifier(docs, marks))
+    assert [r[:2] for r in few] == [r[:2] for r in every]
+    assert [r[2] for r in few] == pytest.approx([r[2] for r in every], rel=1e-4, abs=1e-3)
+
+
 def test_held_out_accuracy(spark):
     """On documents whose labels only set thresholds, nearly all good ones are kept and most others not."""
     sf = SF.replace("0.001", "0.01")

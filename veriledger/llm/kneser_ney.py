@@ -4,9 +4,10 @@ trusted text, held against a quantile of trusted text of its language.
 The model is over characters. A word that repeats the word before it is spelled, with the space before it,
 as one sign that tells how often it was repeated, so running on is as unlikely as it is in trusted text. The n-grams of all
 documents are counted, with how often each is in trusted training text; shuffled joins of the counts with
-their contexts and with the next lower order give every n-gram its probability. The n-grams are then cut
-into shards of a bounded number, each a hash table of its own, and tasks look their texts' n-grams up in
-them, so a text is read without a shuffle.
+their contexts and with the next lower order give every n-gram its probability. The n-grams that trusted text has
+most often are then cut into at most SENT_SHARDS hash tables, and tasks look their texts' n-grams up in
+them. If there are more n-grams, what a text has of the others is counted and joined with their table, so what is
+sent to tasks does not grow with the input.
 
 Trusted text has label 1. One trusted document in five, by the checksum of its id, stays out of training
 and sets the thresholds. A short text's mean is drawn towards its language's mean, as chance moves it more.
@@ -22,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,12 @@ PENDING = 500_000
 #: n-grams of a shard, whose table takes 24 to 48 MB.
 SHARD_GRAMS = 1 << 20
 
+#: Shards that are sent to all tasks; other n-grams are joined.
+SENT_SHARDS = 4
+
+#: Counts in trusted text from which n-grams are not told apart when the most frequent ones are taken.
+FREQUENT = 1 << 12
+
 #: Languages and trusted ids up to which a table is sent to all tasks; beyond, the join is shuffled.
 SENT_ROWS = 4_000_000
 
@@ -177,8 +185,8 @@ def discounts(of: dict[int, int]) -> list[float]:
 
 
 def probabilities(grams_: DataFrame) -> DataFrame | None:
-    """`gram` and `p`, the interpolated probability of its last symbol after the others; none if no
-    n-gram is of trusted text."""
+    """`gram`, `p`, the interpolated probability of its last symbol after the others, and `n`, its count; none
+    if no n-gram is of trusted text."""
     orders = _orders(grams_)
     tables = [t.filter("n > 0").groupBy(F.least("n", F.lit(5)).alias("n")).agg(F.count("*").alias("c"))
               .withColumn("order", F.lit(i + 1)) for i, t in enumerate(orders)]
@@ -202,11 +210,11 @@ def probabilities(grams_: DataFrame) -> DataFrame | None:
         own = F.when(F.col("n") > 0, (F.col("n") - taken) / F.col("total")).otherwise(0.0)
         left = F.coalesce("left", F.lit(1.0))
         if lower is None:
-            lower = stored(rows.select("gram", (own + left / vocabulary).alias("p")), "orders")
+            lower = stored(rows.select("gram", (own + left / vocabulary).alias("p"), "n"), "orders")
         else:
             rows = rows.withColumn("end", F.expr("substring(gram, 2)"))
-            lower = stored(rows.join(lower.toDF("end", "q"), "end").select(
-                "gram", (own + left * F.col("q")).alias("p")), "orders")
+            lower = stored(rows.join(lower.toDF("end", "q", "_"), "end").select(
+                "gram", (own + left * F.col("q")).alias("p"), "n"), "orders")
     return lower
 
 
@@ -216,27 +224,46 @@ def _keyed(parts):
         row = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
         key = grams(row, ORDER)[::ORDER] if len(row) else row
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(-np.log(batch.column(1).to_numpy()))], names=["key", "cost"])
+            [pa.array(key.view(np.int64)), pa.array(-np.log(batch.column(1).to_numpy())), batch.column(2)],
+            names=["key", "cost", "n"])
 
 
 class Costs:
-    """The negative log-probabilities of n-grams, in hash tables cut by the keys' remainder."""
+    """The negative log-probabilities of n-grams: of the most frequent ones in hash tables cut by the keys'
+    remainder, of the others, if there are more, as the table `rest`."""
 
     def __init__(self, grams_: DataFrame):
         model = probabilities(grams_)
-        self.parts = []
+        self.parts, self.rest = [], None
         if model is None:
             return
-        keyed = model.mapInArrow(_keyed, "key long, cost double")
-        count = max(1, math.ceil(grams_.count() / SHARD_GRAMS))
+        keyed = model.mapInArrow(_keyed, "key long, cost double, n long")
+        least, sent = self._sent_from(grams_)
+        if least:
+            self.rest = stored(keyed.filter(F.col("n") < least).select("key", "cost"), "costs")
+        count = max(1, math.ceil(sent / SHARD_GRAMS))
         shard = F.pmod(F.col("key"), F.lit(count))
-        table = stored(keyed.withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard", "key"),
-                       "costs")
+        table = stored(keyed.filter(F.col("n") >= least).withColumn("shard", shard).repartition("shard")
+                       .sortWithinPartitions("shard", "key"), "costs") if sent else None
         context = grams_.sparkSession.sparkContext
         for i in range(count):  # the driver holds one shard at a time
-            rows = table.filter(F.col("shard") == i).select("key", "cost").toArrow()
-            keys = rows["key"].to_numpy().view(np.uint64)
-            self.parts.append(context.broadcast(_table(keys, rows["cost"].to_numpy())))
+            keys, costs = np.empty(0, np.uint64), np.empty(0)
+            if sent:
+                rows = table.filter(F.col("shard") == i).select("key", "cost").toArrow()
+                keys, costs = rows["key"].to_numpy().view(np.uint64), rows["cost"].to_numpy()
+            self.parts.append(context.broadcast(_table(keys, costs)))
+
+    @staticmethod
+    def _sent_from(grams_: DataFrame) -> tuple[int, int]:
+        """The least count that n-grams in the sent tables have, and how many these are; 0 if all are sent."""
+        most = SENT_SHARDS * SHARD_GRAMS
+        counts = grams_.groupBy(F.least("n", F.lit(FREQUENT)).alias("n")).agg(F.count("*").alias("c"))
+        least, sent = 1 << 62, 0
+        for r in sorted(counts.collect(), key=lambda r: -r["n"]):  # FREQUENT + 1 rows at most
+            if sent + r["c"] > most:
+                return least, sent
+            least, sent = r["n"], sent + r["c"]
+        return 0, sent
 
 
 def _table(keys: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,45 +287,85 @@ def _place(keys: np.ndarray, size: int) -> np.ndarray:
     return (keys >> np.uint64(16)).astype(np.int64) & (size - 1)
 
 
-def _lookup(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+def _lookup(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys' costs, 0 for those that the table lacks, and which it has."""
     own, values = table
     keys = np.where(keys == 0, np.uint64(1), keys)
     place = _place(keys, len(own))
-    waiting = np.flatnonzero(own[place] != keys)
+    waiting = np.flatnonzero((own[place] != keys) & (own[place] != 0))
     while len(waiting):
         at = (place[waiting] + 1) & (len(own) - 1)
         place[waiting] = at
-        waiting = waiting[own[at] != keys[waiting]]
-    return values[place]
+        waiting = waiting[(own[at] != keys[waiting]) & (own[at] != 0)]
+    return values[place], own[place] == keys
 
 
 _FIELDS = [T.StructField("n_scored", T.LongType()), T.StructField("cost", T.DoubleType())]
 
 
+def _looked_up(parts: list, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How many n-grams each text has, and of each n-gram the key, the cost and whether a sent table has it."""
+    row, starts = symbols(texts)
+    places, counts = _places(starts, len(row))
+    key = grams(row, ORDER)[places]
+    if len(parts) == 1:
+        return counts, key, *_lookup(parts[0].value, key)
+    cost, known = np.empty(len(key), np.float32), np.empty(len(key), bool)
+    shard = (key.view(np.int64) % len(parts)).astype(np.int64)
+    by = np.argsort(shard, kind="stable")
+    ends = np.searchsorted(shard[by], np.arange(len(parts) + 1))
+    for i, part in enumerate(parts):
+        own = by[ends[i]:ends[i + 1]]
+        cost[own], known[own] = _lookup(part.value, key[own])
+    return counts, key, cost, known
+
+
+def _digests(texts: pa.Array) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(t or "") for t in texts.to_pylist()], np.uint64).view(np.int64)
+
+
+def _rare(parts: list):
+    """Of each text's n-grams that no sent table has: the text's digest, the key and how many it has."""
+
+    def run(batches):
+        for batch in (s for whole in batches for s in slices(whole, 0, AT_ONCE)):
+            own, at = np.unique(_digests(batch.column(0)), return_index=True)  # a text once
+            counts, key, _, known = _looked_up(parts, batch.column(0).take(pa.array(at)))
+            text = np.repeat(own, counts)[~known]
+            key = key[~known].view(np.int64)
+            by = np.lexsort((key, text))
+            text, key = text[by], key[by]
+            first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (key[1:] != key[:-1]))[:len(text)])
+            n = np.diff(np.append(first, len(text)))
+            yield pa.RecordBatch.from_arrays([pa.array(text[first]), pa.array(key[first]), pa.array(n, pa.int64())],
+                                             names=["digest", "key", "n"])
+
+    return run
+
+
 def scored(df: DataFrame, costs: Costs, column: str = "text", keep=None) -> DataFrame:
     """The rows with `n_scored`, a text's characters, and `cost`, the sum of their negative
     log-probabilities; the costs must be of n-grams that hold the texts' own."""
     parts = costs.parts
 
     def work(texts: pa.Array) -> dict:
-        row, starts = symbols(texts)
-        places, counts = _places(starts, len(row))
-        key = grams(row, ORDER)[places]
-        cost = np.empty(len(key), np.float32)
-        if len(parts) == 1:
-            cost = _lookup(parts[0].value, key)
-        else:
-            shard = (key.view(np.int64) % len(parts)).astype(np.int64)
-            by = np.argsort(shard, kind="stable")
-            ends = np.searchsorted(shard[by], np.arange(len(parts) + 1))
-            for i, part in enumerate(parts):
-                own = by[ends[i]:ends[i + 1]]
-                cost[own] = _lookup(part.value, key[own])
+        counts, _, cost, _ = _looked_up(parts, texts)
         sums = np.concatenate([[0.0], np.cumsum(cost, dtype=np.float64)])
         ends = np.concatenate([[0], np.cumsum(counts)])
         return {"n_scored": pa.array(counts), "cost": pa.array(sums[ends[1:]] - sums[ends[:-1]])}
 
-    return extended(df, column, _FIELDS, work, keep, AT_ONCE)
+    if costs.rest is None:
+        return extended(df, column, _FIELDS, work, keep, AT_ONCE)
+    rare = df.select(quoted(column).cast("string").alias("text")).mapInArrow(
+        _rare(parts), "digest long, key long, n long")
+    # Copies of a text are counted once. The join splits keys that many texts have.
+    sums = (rare.groupBy("digest", "key").agg(F.first("n").alias("n")).join(costs.rest, "key")
+            .groupBy("digest").agg(F.sum(F.col("n") * F.col("cost")).alias("_rest")))
+    found = extended(df, column, [*_FIELDS, T.StructField("_digest", T.LongType())],
+                     lambda texts: work(texts) | {"_digest": pa.array(_digests(texts))}, keep, AT_ONCE)
+    whole = (F.col("cost") + F.coalesce("_rest", F.lit(0.0))).alias("cost")
+    return found.join(sums, found["_digest"] == sums["digest"], "left").select(
+        *[whole if c == "cost" else quoted(c) for c in found.columns if c != "_digest"])
 
 
 def _drawn(mean):
