@@ -43,6 +43,52 @@ select doc_id, len(g) as n_shingles, min(r.b) as component_id from g join r on r
 """
 
 
+def hard_negatives() -> str:
+    return """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c as (select vec_id, label, unnest(v) as x, unnest(range(len(v))) as i from e),
+s as (select a.vec_id as anchor, b.vec_id as id, a.label = b.label as same, cast(sum(a.x * b.x) as bigint) as score
+  from c a join c b using (i) where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id group by a.vec_id, b.vec_id, a.label, b.label),
+p as (select anchor, id, score from s where same qualify row_number() over (partition by anchor order by score desc, id) <= 5),
+n as (select p.anchor, p.id as positive_id, p.score as positive_score, s.id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor, p.id order by s.score desc, s.id) as rank
+  from p join s on s.anchor = p.anchor and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select anchor as anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score
+from n where rank <= 5
+"""
+
+
+def centroids(count: int = 16, rounds: int = 3) -> str:
+    """Each round's assignment and means are parts of one statement."""
+    parts = [f"""
+with kept as (select row_number() over () as r, vec_id,
+    list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+x as (select r, unnest(v) as x, unnest(range(64)) as i from kept),
+f as (select row_number() over (order by sha256('1:' || vec_id), v) - 1 as c, v from kept where vec_id is not null
+  qualify c < {count}),
+c0 as (select c, unnest(v) as x, unnest(range(64)) as i from f)"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+a{k} as (select r, c, d from (select x.r, c.c, cast(sum((x.x - c.x) * (x.x - c.x)) as bigint) as d
+    from x join c{k} c using (i) group by x.r, c.c) qualify row_number() over (partition by r order by d, c) = 1)""")
+        if k < rounds:
+            parts.append(f"""
+m{k} as (select c, i, sum(x) as t, count(*) as n from x join a{k} using (r) group by c, i),
+c{k + 1} as (select c, cast((t - ((t % n) + n) % n) // n as bigint) as x, i from m{k}
+  union all select c, x, i from c{k} where c not in (select c from m{k}))""")
+    return ",".join(parts) + f""",
+h as (select c, sha256(string_agg(cast(x as varchar), ',' order by i)) as centroid_sha256 from c{rounds} group by c),
+t as (select c, cast(sum(d) as bigint) as cluster_inertia from a{rounds} group by c)
+select vec_id, cast(c as int) as cluster, d as distance, cluster_inertia,
+  (select cast(sum(d) as bigint) from a{rounds}) as inertia, centroid_sha256
+from kept join a{rounds} using (r) join h using (c) join t using (c)
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

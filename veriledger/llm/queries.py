@@ -3,8 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from veriledger.llm import bpe, chunks, decontaminate, html_text, jaccard, kneser_ney, oracle, rules, secrets, shards, toxicity
+from pyspark.sql import functions as F
+
+from veriledger.llm import (
+    bpe,
+    centroids,
+    chunks,
+    decontaminate,
+    hard_negatives,
+    html_text,
+    jaccard,
+    kneser_ney,
+    oracle,
+    rules,
+    secrets,
+    shards,
+    toxicity,
+)
 from veriledger.llm.frames import table
 
 
@@ -48,12 +63,23 @@ def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings").withColumn("label", label), "key % 100 = 0")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings")).withColumnRenamed("key", "vec_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op6_toxicity, op7_html_text,
-    op8_byte_bpe, op9_jaccard, op10_chunks)}
+    op8_byte_bpe, op9_jaccard, op10_chunks, op11_hard_negatives, op13_centroids)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": oracle.decontamination(),
     "op5_secrets": oracle.secret_scan(),
     "op9_jaccard": oracle.jaccard(),
+    "op11_hard_negatives": oracle.hard_negatives(),
+    "op13_centroids": oracle.centroids(),
 }
