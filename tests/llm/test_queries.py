@@ -30,4 +30,4 @@ def test_all_are_registered():
     entry = importlib.import_module("__spark_entry__")
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))

@@ -2,7 +2,9 @@
 
 Each round first ties every larger neighbour of a node, then every smaller one, to the smallest node
 it sees. Rounds grow with the logarithm of the longest chain; every round is two grouped minima and two
-joins over edges, so no component is ever gathered in one place.
+joins over edges. In the last rounds most edges of a component hang on one node: minima are taken before rows are
+shuffled, and the joins are such that adaptive execution splits that node's edges among tasks. So no component is
+ever gathered in one place.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriledger.llm.frames import stored
+from veriledger.operators.skew import join_parent
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -31,10 +34,10 @@ def components(links: DataFrame) -> DataFrame:
     while mark[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.join(least, "u").filter("v > u")
+        large = (join_parent(both, least, [("u", "u")], "inner").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (join_parent(large, least, [("u", "u")], "inner").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
         edges = stored(small, "edges")
         before, mark = mark, _mark(edges)

@@ -25,6 +25,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,9 @@ from pyspark.sql import types as T
 
 from veriledger.llm.components import components
 from veriledger.llm.frames import extended, quoted, slices, stored
+from veriledger.llm.wanted import Wanted
 from veriledger.llm.words import BLANKS, SPREAD, grams, hashes, split, spread
+from veriledger.operators.skew import join_parent
 
 SHINGLE = 4
 PERCENT = 85
@@ -137,10 +140,14 @@ def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values).view(np.int64))
 
 
-def _profile(texts: pa.Array, size: int) -> dict:
+def _profile(texts: pa.Array, size: int, sought: Wanted | None = None) -> dict:
+    """Each set's size and node; no node for one that is not sought."""
     sets = shingle_sets(texts, size)
-    return {"n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-            "node": pa.array([node_of(s) for s in sets], pa.int64())}
+    nodes = pa.array([node_of(s) for s in sets], pa.int64())
+    if sought:
+        found = sought.may_hold(nodes.fill_null(0).to_numpy())
+        nodes = pc.if_else(pa.array(found), nodes, None)
+    return {"n_shingles": pa.array([len(s) for s in sets], pa.int64()), "node": nodes}
 
 
 def _tile_rows(size: int, percent: int):
@@ -345,9 +352,11 @@ class Join:
     def profiles(self, tiles: DataFrame) -> DataFrame:
         """Text, size and bitmap of each node of a tile."""
         size = self.size
-        wanted = tiles.select("node").union(tiles.select("head")).distinct()
-        texts = extended(self.texts, "text", _FIELDS, lambda t: _profile(t, size)).filter("node is not null")
-        own = texts.join(wanted, "node", "left_semi").groupBy("node").agg(
+        wanted = stored(tiles.select("node").union(tiles.select("head")).distinct(), "wanted")
+        sought = Wanted(wanted, "node")
+        # Texts that no tile holds are dropped where they are read.
+        texts = extended(self.texts, "text", _FIELDS, lambda t: _profile(t, size, sought)).filter("node is not null")
+        own = join_parent(texts, wanted, [("node", "node")], "left_semi").groupBy("node").agg(
             F.first("n_shingles").alias("n"), F.first("text").alias("text"))
         return stored(extended(own, "text", [T.StructField("bits", T.BinaryType())], _with_bits(size)), "profiles")
 
@@ -372,7 +381,7 @@ class Join:
         # Tiles of two nodes are done.
         tiles = tiles.select("key", "node").distinct()
         counts = tiles.groupBy("key").agg(F.count("*").alias("nodes")).filter("nodes > 2")
-        tiles = stored(tiles.join(counts, "key"), "tiles")
+        tiles = stored(join_parent(tiles, counts, [("key", "key")], "inner"), "tiles")
         labels = merged(labels, self.verified(self.to_heads(self.mixed(tiles, labels)), profiles, bounded=False))
         # The heads of a smaller tile have met all of it.
         tiles = tiles.filter(F.col("nodes") > HEADS + 1)
@@ -383,11 +392,12 @@ class Join:
     def mixed(tiles: DataFrame, labels: DataFrame) -> DataFrame:
         """The rows of tiles that hold several components, with each node's label and its component's size."""
         sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
-        labelled = tiles.join(labels.join(sizes, "label"), "node", "left").withColumns(
+        sized = stored(join_parent(labels, sizes, [("label", "label")], "inner"), "sized")
+        labelled = tiles.join(sized, "node", "left").withColumns(
             {"label": F.coalesce("label", "node"), "size": F.coalesce("size", F.lit(1))})
         several = (labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .filter("low <> high").select("key"))
-        return stored(labelled.join(several, "key", "left_semi"), "mixed")
+        return stored(join_parent(labelled, several, [("key", "key")], "left_semi"), "mixed")
 
     @staticmethod
     def to_heads(rows: DataFrame) -> DataFrame:
@@ -395,7 +405,7 @@ class Join:
         order = Window.partitionBy("key").orderBy(F.desc("size"), "node")
         heads = (rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= HEADS)
                  .select("key", F.col("node").alias("head"), F.col("label").alias("other")))
-        return (rows.join(heads, "key").filter("label <> other")
+        return (join_parent(rows, heads, [("key", "key")], "inner").filter("label <> other")
                 .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
 
     def across(self, rows: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -434,11 +444,9 @@ def node_components(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     true for one node of each component, of those that have the smallest key."""
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min(key).alias("first"))
     linked = stored(nodes.join(labels, "node"), "linked")
-    least = linked.groupBy("label").agg(F.min("first").alias("component_id"))
-    picked = linked.join(least, "label").filter(F.col("first").eqNullSafe(F.col("component_id")))
-    chosen = picked.groupBy("label").agg(F.min("node").alias("pick"))
-    own = (linked.join(least, "label").join(chosen, "label")
-           .select("node", "component_id", (F.col("node") == F.col("pick")).alias("chosen")))
+    facts = linked.groupBy("label").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("best"))
+    own = join_parent(linked, facts, [("label", "label")], "inner").select(
+        "node", F.col("best.first").alias("component_id"), (F.col("node") == F.col("best.node")).alias("chosen"))
     alone = nodes.join(labels, "node", "left_anti").select(
         "node", F.col("first").alias("component_id"), F.lit(True).alias("chosen"))
     return own.union(alone)
@@ -453,7 +461,7 @@ def classes(df: DataFrame, key: str = "doc_id", column: str = "text", size: int
     """
     rows = stored(profiled(df, column, size, keep=[key]), "rows")
     nodes = node_components(rows, Join(df, column, size, percent).run(), key)
-    filled = rows.filter("node is not null").join(nodes.drop("chosen"), "node").select(
+    filled = join_parent(rows.filter("node is not null"), nodes.drop("chosen"), [("node", "node")], "inner").select(
         key, "n_shingles", "component_id")
     return filled.union(rows.filter("node is null").select(key, "n_shingles", F.col(key).alias("component_id")))
 

@@ -30,16 +30,16 @@ from d left join n using (doc_id) left join s using (doc_id)
 """
 
 
-def jaccard() -> str:
+def jaccard(percent: int = 85, more: str = "") -> str:
     return rf"""
 with recursive w as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
 g as (select doc_id, case when len(w) >= 4 then list_distinct(list_transform(range(1, len(w) - 2),
     lambda i: array_to_string(w[i:i + 3], ' '))) when len(w) > 0 then [array_to_string(w, ' ') || ' '] else [] end as g from w),
 e as (select doc_id, len(g) as n, unnest(g) as s from g),
 l as (select a.doc_id as a, b.doc_id as b from e a join e b on a.s = b.s and a.doc_id <> b.doc_id
-  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
 r as (select doc_id as a, doc_id as b from g union select r.a, l.b from r join l on r.b = l.a)
-select doc_id, len(g) as n_shingles, min(r.b) as component_id from g join r on r.a = doc_id group by doc_id, len(g)
+select doc_id, len(g) as n_shingles, min(r.b) as component_id{more} from g join r on r.a = doc_id group by doc_id, len(g)
 """
 
 

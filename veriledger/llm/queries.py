@@ -18,6 +18,7 @@ from veriledger.llm import (
     rules,
     secrets,
     shards,
+    superminhash,
     toxicity,
 )
 from veriledger.llm.frames import table
@@ -68,18 +69,23 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(table(spark, sf_dir, "embeddings").withColumn("label", label), "key % 100 = 0")
 
 
+def op12_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.report(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings")).withColumnRenamed("key", "vec_id")
 
 
 QUERIES = {f.__name__: f for f in (
     op1_shards, op2_decontamination, op3_kneser_ney, op4_quality_rules, op5_secrets, op6_toxicity, op7_html_text,
-    op8_byte_bpe, op9_jaccard, op10_chunks, op11_hard_negatives, op13_centroids)}
+    op8_byte_bpe, op9_jaccard, op10_chunks, op11_hard_negatives, op12_superminhash, op13_centroids)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": oracle.decontamination(),
     "op5_secrets": oracle.secret_scan(),
     "op9_jaccard": oracle.jaccard(),
     "op11_hard_negatives": oracle.hard_negatives(),
+    "op12_superminhash": oracle.jaccard(80, ", doc_id = min(r.b) as kept"),
     "op13_centroids": oracle.centroids(),
 }
