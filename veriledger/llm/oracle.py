@@ -110,17 +110,25 @@ def secret_scan() -> str:
         f"select doc_id, {rank} as rank, kind, start, stop from {_matches(kind, pattern, group, least)}"
         for rank, (kind, pattern, group, least) in enumerate(secrets.FORMS))
     bound = "case " + " ".join(
-        f"when regexp_matches(value, {_quoted(p)}) then {secrets.most_score(bits)}" for _, p, bits in secrets.CLASSES
+        "when " + " and ".join([f"regexp_matches(value, {_quoted(p)})" for p in holds]
+                               + [f"not regexp_matches(value, {_quoted(p)})" for p in lacks])
+        + f" then {secrets.most_score(bits)}" for _, holds, lacks, bits in secrets.CLASSES
     ) + " end"
-    allowed = " or ".join(f"regexp_matches(value, {_quoted(p)})" for p in secrets.ALLOWED)
+    allowed = " or ".join([f"regexp_matches(value, {_quoted(p)})" for p in secrets.ALLOWED]
+                          + [f"not regexp_matches(value, {_quoted(secrets.UNLIKE_WORDS)})"])
     size = secrets.WINDOW
     return f"""
 with t as (select doc_id, coalesce(text, '') as t from documents),
 known as ({known}),
-c as (select doc_id, start, stop, value, {bound} as most
-  from {_matches("candidate", secrets.CANDIDATE, 0, size)} c
-  where not exists (select 1 from known k where k.doc_id = c.doc_id and k.start < c.stop and c.start < k.stop)
-    and not ({allowed})),
+run as (select *, exists (select 1 from known k where k.doc_id = c.doc_id and k.start < c.stop and c.start < k.stop) as cut
+  from {_matches("candidate", secrets.CANDIDATE, 0, size)} c),
+open as (select doc_id, start, p, value, p - row_number() over (partition by doc_id, start order by p) as island
+  from (select doc_id, start, value, unnest(range(start, stop)) as p from run where cut) r
+  where not exists (select 1 from known k where k.doc_id = r.doc_id and k.start <= r.p and r.p < k.stop)),
+piece as (select doc_id, start, value from run where not cut
+  union all select doc_id, cast(min(p) as bigint), any_value(value)[min(p) - start + 1:max(p) - start + 1]
+  from open group by doc_id, start, island having count(*) >= {size}),
+c as (select doc_id, start, value, {bound} as most from piece where not ({allowed})),
 x as (select doc_id, start, most, i, value[i + 1:i + {size}] as w
   from (select *, unnest(range(0, length(value) - {size} + 1)) as i from c where most is not null)),
 scored as (select doc_id, start, i, most, list_sum(list_transform(list_distinct(string_split(w, '')),

@@ -3,8 +3,11 @@
 Known forms are found by patterns. Beyond them, every run of token characters is a candidate of a class
 (hexadecimal, letters with digits, letters only), and a window slides over it. The window's character
 counts change by the character that enters and the one that leaves, and with them the Shannon entropy;
-windows that reach the class's entropy make a span. Allow-listed candidates and those that touch a known
-form make none.
+windows that reach the class's entropy make a span. Known forms are cut out of candidates; each piece that is
+long enough is a candidate of its own. Allow-listed candidates make no span.
+
+Every test of a candidate looks for single characters, pairs or fixed words, so its time grows with the length only and
+no candidate, however long, needs the stack.
 
 All of it is column expressions over one row at a time: no shuffle, and a lost task is simply run again.
 Null is the empty text, which has no spans. Offsets count code points.
@@ -13,6 +16,8 @@ Null is the empty text, which has no spans. Offsets count code points.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,19 +31,22 @@ FORMS = [
     ("hex", r"[0-9a-f]+", 0, 24),
 ]
 
-#: What makes a candidate, and the classes it may have with the least entropy of a window in bits.
+#: What makes a candidate, and the classes it may have: what it must hold, what it must not, and the least entropy of
+#: a window in bits.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 CLASSES = [
-    ("hexadecimal", r"^[0-9A-Fa-f]*[A-Fa-f][0-9A-Fa-f]*$", 3.0),
-    ("mixed", r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]", 3.7),
-    ("letters", r"[a-z].*[A-Z]|[A-Z].*[a-z]", 4.1),
+    ("hexadecimal", ["[A-Fa-f]"], ["[^0-9A-Fa-f]"], 3.0),
+    ("mixed", ["[0-9]", "[A-Za-z]"], [], 3.7),
+    ("letters", ["[a-z]", "[A-Z]"], [], 4.1),
 ]
 
-#: Candidates that are no secrets: UUIDs, words joined by marks, runs of the alphabet, stand-ins.
+#: What words joined by marks never hold: digits, and capitals that do not begin a word. Candidates without are no secrets.
+UNLIKE_WORDS = r"[0-9]|[A-Za-z][A-Z]"
+
+#: Other candidates that are no secrets: UUIDs, runs of the alphabet, stand-ins.
 ALLOWED = [
-    r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",
-    r"^[A-Za-z]?[a-z]*(?:[-_/=+]+[A-Za-z]?[a-z]*)*$",
+    r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
     r"(?i)abcdefgh|01234567|12345678|example|sample|dummy|placeholder|changeme",
 ]
 
@@ -49,6 +57,9 @@ SCORES = [0, *[round(UNIT * n * math.log2(n)) for n in range(1, WINDOW + 1)]]
 #: Character codes of candidates, from the first one on.
 FIRST_CODE, CODES = 0x2B, 0x7A - 0x2B + 1
 
+#: Matches of a text that are listed at once; lists of these are then put together.
+LISTED = 512
+
 
 def most_score(bits: float) -> int:
     """The sum of scores up to which a window has so many bits."""
@@ -67,7 +78,8 @@ def _count(spans: Column, kind: str) -> Column:
 def _spans(text: Column, pattern: str, least: int, extra: Column | None = None) -> Column:
     """Start, end and value of the pattern's matches, leftmost first, whose value is long enough.
 
-    Parts between matches and the matches take turns, so their lengths give the offsets.
+    Parts between matches and the matches take turns, so their lengths give the offsets. A list is copied when it
+    grows, so matches are listed by the few hundred.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("part"), found.alias("match"),
@@ -82,7 +94,13 @@ def _spans(text: Column, pattern: str, least: int, extra: Column | None = None)
         return F.struct(F.coalesce(end, start).alias("at"),
                         F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
+    def block(acc, number):
+        part = F.aggregate(F.slice(pairs, number * LISTED + 1, LISTED), F.struct(acc["at"].alias("at"), empty.alias("spans")), step)
+        return F.struct(part["at"].alias("at"), F.concat(acc["spans"], part["spans"]).alias("spans"))
+
+    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / LISTED).cast("int"))
+    spans = F.aggregate(blocks, start, block, lambda acc: acc["spans"])
     return F.when(text.rlike(pattern), spans).otherwise(empty)
 
 
@@ -118,11 +136,35 @@ def _windows(value: Column, most: Column) -> Column:
 def _bound_of(value: Column) -> Column:
     """The bound of a candidate's class; null if it has no class or is allow-listed."""
     bound = F.lit(None).cast("int")
-    for _, pattern, bits in reversed(CLASSES):
-        bound = F.when(value.rlike(pattern), F.lit(most_score(bits))).otherwise(bound)
+    for _, holds, lacks, bits in reversed(CLASSES):
+        fits = reduce(and_, [value.rlike(p) for p in holds] + [~value.rlike(p) for p in lacks])
+        bound = F.when(fits, F.lit(most_score(bits))).otherwise(bound)
     for pattern in ALLOWED:
         bound = F.when(~value.rlike(pattern), bound)
-    return bound
+    return F.when(value.rlike(UNLIKE_WORDS), bound)
+
+
+def _uncovered(candidates: Column, known: Column) -> Column:
+    """The pieces of the candidates that no known form covers, if long enough."""
+    piece = "array<struct<start:int,value:string>>"
+
+    def pieces(c):
+        over = F.array_sort(F.filter(known, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"])))
+        last = F.struct(c["end"].alias("start"), F.lit(0).alias("rank"), c["end"].alias("end"), F.lit("").alias("kind"))
+
+        def step(acc, k):
+            own = F.struct(acc["at"].alias("start"),
+                           F.substring(c["value"], acc["at"] - c["start"] + 1, k["start"] - acc["at"]).alias("value"))
+            return F.struct(F.greatest(acc["at"], k["end"]).alias("at"),
+                            F.when(k["start"] - acc["at"] >= WINDOW, F.concat(acc["pieces"], F.array(own)))
+                            .otherwise(acc["pieces"]).alias("pieces"))
+
+        start = F.struct(c["start"].alias("at"), F.expr("array()").cast(piece).alias("pieces"))
+        cut = F.aggregate(F.concat(over, F.array(last)), start, step, lambda acc: acc["pieces"])
+        whole = F.array(F.struct(c["start"].alias("start"), c["value"].alias("value"))).cast(piece)
+        return F.when(F.size(over) > 0, cut).otherwise(whole)
+
+    return F.flatten(F.transform(candidates, pieces))
 
 
 def scanned(df: DataFrame, column: str = "text", keep=None) -> DataFrame:
@@ -145,10 +187,8 @@ def scanned(df: DataFrame, column: str = "text", keep=None) -> DataFrame:
         known.append(_named(_spans(text, pattern, least, value), rank, kind))
     rows = rows.withColumn("_known", F.concat(*known))
     rows = rows.withColumn("_candidates", _spans(text, CANDIDATE, WINDOW))
-    clear = F.filter("_candidates", lambda c: ~F.exists(
-        "_known", lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"])))
     judged = F.filter(
-        F.transform(clear, lambda c: F.struct(c["start"].alias("start"), c["value"].alias("value"),
+        F.transform(_uncovered(F.col("_candidates"), F.col("_known")), lambda c: F.struct(c["start"].alias("start"), c["value"].alias("value"),
                                               _bound_of(c["value"]).alias("bound"))),
         lambda c: c["bound"].isNotNull())
     found = F.transform(judged, lambda c: F.struct(c["start"].alias("start"),
