@@ -123,7 +123,7 @@ known as ({known}),
 run as (select *, exists (select 1 from known k where k.doc_id = c.doc_id and k.start < c.stop and c.start < k.stop) as cut
   from {_matches("candidate", secrets.CANDIDATE, 0, size)} c),
 open as (select doc_id, start, p, value, p - row_number() over (partition by doc_id, start order by p) as island
-  from (select doc_id, start, value, unnest(range(start, stop)) as p from run where cut) r
+  from (select doc_id, start, value, unnest(range(cast(start as bigint), cast(stop as bigint))) as p from run where cut) r
   where not exists (select 1 from known k where k.doc_id = r.doc_id and k.start <= r.p and r.p < k.stop)),
 piece as (select doc_id, start, value from run where not cut
   union all select doc_id, cast(min(p) as bigint), any_value(value)[min(p) - start + 1:max(p) - start + 1]
