@@ -135,3 +135,17 @@ def test_ledgers(spark):
     }
     alone = differences(otdm[:0], bls, pvs[:0])
     assert {r["rule"] for r in alone} == {"CMOTDM003"} and not any(r["ok"] for r in alone)
+
+
+@pytest.mark.parametrize("name", ["rules_outstanding_monthly", "rules_account_detail", "rules_credit_account",
+                                  "rules_flexible_payment"])
+def test_generated_methods_are_compiled(spark, name):
+    """The JVM interprets methods of more than 8000 bytes; the largest rule sets stay below that."""
+    from __spark_entry__ import SMOKE_DIR, queries
+
+    violations = queries()[name](spark, SMOKE_DIR)
+    violations.collect()
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package")
+    stages = debug.codegenStringSeq(violations._jdf.queryExecution().executedPlan())
+    assert stages.size()
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000

@@ -5,6 +5,9 @@ entities get their bit after a left join to that entity, reduced to one row per
 looked up by the same columns are put together before, so the table is shuffled once per distinct key, not
 once per rule, and only keys, the number and the columns of later rules travel. Rows whose number is zero
 are dropped before the broken rules are listed.
+
+A row's bits go along with how many there are. As both are made from the same tests, Spark finds each test
+twice and puts it into a method of its own; a single method with all tests would be too large for the JVM to compile.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ Tables = Mapping[str, DataFrame]
 Codes = Mapping[str, Sequence[str]]
 
 BROKEN = "__broken"
+COUNT = "__rules_broken"
 WORD_BITS = 63
 VIOLATION_COLUMNS = ["entity", "msr_prd_id", "rule", "key", "src_stm"]
 
@@ -136,8 +140,11 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None) -> DataFram
 
     A number holds 63 bits; further rules go on in ``__broken1``, ``__broken2`` and so on.
     """
-    codes = codes or {}
-    words = range(word_count(one.rules))
+    return _tested(tables, one, codes or {}).filter(F.col(COUNT) > 0).drop(COUNT)
+
+
+def _tested(tables: Tables, one: Pass, codes: Codes) -> DataFrame:
+    """All rows with the bits of the rules they break and their number."""
     bit = {r.code: i for i, r in enumerate(one.rules)}
     base = tables[one.entity]
     if one.where is not None:
@@ -145,7 +152,9 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None) -> DataFram
 
     joined: set[str] = set()
     own = [r for r in one.rules if not r.needs]
-    rows = base.withColumns({word(w): _bits(own, bit, Scope.of(base, codes), w) for w in words})
+    rows = base.withColumns({word(w): F.lit(0).cast("long") for w in range(word_count(one.rules))}
+                            | {COUNT: F.lit(0)})
+    rows = rows.withColumns(_marked(own, bit, Scope.of(rows, codes)))
     done = {r.code for r in own}
 
     for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on)):
@@ -158,14 +167,13 @@ def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None) -> DataFram
         joined |= {l.name for l in lookups}
         ready = [r for r in one.rules if r.code not in done and set(r.needs) <= joined]
         if ready:
-            rows = rows.withColumns({
-                word(w): F.col(word(w)).bitwiseOR(_bits(ready, bit, Scope.of(rows, codes), w)) for w in words})
+            rows = rows.withColumns(_marked(ready, bit, Scope.of(rows, codes)))
             done |= {r.code for r in ready}
 
     left = [r.code for r in one.rules if r.code not in done]
     if left:
         raise ValueError(f"rules {left} need lookups that the pass does not have")
-    return rows.filter(reduce(lambda a, b: a | b, [F.col(word(w)) != 0 for w in words]))
+    return rows
 
 
 def word(number: int) -> str:
@@ -178,21 +186,20 @@ def word_count(rules: Sequence[Rule]) -> int:
 
 def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes | None = None) -> DataFrame:
     """Long form: one row per broken rule and row of the base table."""
-    flagged = flag_rows(tables, one, codes)
-    # exploding the gaps too and dropping them stays in generated code; array functions with a
-    # lambda would not
-    listed = F.array(*[
-        F.when(F.col(word(i // WORD_BITS)).bitwiseAND(F.lit(1 << i % WORD_BITS)) != 0, F.lit(r.code))
-        for i, r in enumerate(one.rules)
-    ])
-    source = F.col("src_stm") if "src_stm" in flagged.columns else F.lit(None).cast("string")
-    return flagged.select(
-        F.lit(entity).alias("entity"),
-        F.lit(period).alias("msr_prd_id"),
-        F.explode(listed).alias("rule"),
-        key_text(one.key).alias("key"),
-        source.alias("src_stm"),
-    ).filter(F.col("rule").isNotNull())
+    rows = _tested(tables, one, codes or {})
+    names = F.array(*[F.lit(r.code) for r in one.rules])
+    source = F.col("src_stm") if "src_stm" in rows.columns else F.lit(None).cast("string")
+    words = word_count(one.rules)
+    # a filter here would move below the tests and repeat them; rows that break no rule have nothing to list
+    listed = rows.select(
+        key_text(one.key).alias("key"), source.alias("src_stm"), *[word(w) for w in range(words)],
+        F.posexplode(F.when(F.col(COUNT) > 0, names)).alias("__number", "rule"))
+    number = F.col("__number")
+    held = reduce(lambda rest, w: F.when(number < (w + 1) * WORD_BITS, F.col(word(w))).otherwise(rest),
+                  reversed(range(words - 1)), F.col(word(words - 1)))
+    broken = F.expr(f"shiftright(`__held`, __number % {WORD_BITS}) & 1 = 1")
+    return listed.withColumn("__held", held).filter(broken).select(
+        F.lit(entity).alias("entity"), F.lit(period).alias("msr_prd_id"), "rule", "key", "src_stm")
 
 
 def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None = None) -> DataFrame:
@@ -222,8 +229,13 @@ def key_text(columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.regexp_replace(p, r"([|\\])", r"\\$1") for p in parts])
 
 
-def _bits(rules: Sequence[Rule], bit: Mapping[str, int], scope: Scope, number: int) -> Column:
-    """The bits of one word that the rules set."""
-    flags = [F.when(r.broken(scope), F.lit(1 << bit[r.code] % WORD_BITS)).otherwise(F.lit(0)).cast("long")
-             for r in rules if bit[r.code] // WORD_BITS == number]
-    return reduce(lambda a, b: a.bitwiseOR(b), flags, F.lit(0).cast("long"))
+def _marked(rules: Sequence[Rule], bit: Mapping[str, int], scope: Scope) -> dict[str, Column]:
+    """The columns of bits and their number after some more rules."""
+    tests = [(bit[r.code], r.broken(scope)) for r in rules]
+    marked = {}
+    for number, test in tests:
+        name = word(number // WORD_BITS)
+        marked[name] = marked.get(name, F.col(name)).bitwiseOR(F.shiftleft(test.cast("long"), number % WORD_BITS))
+    if tests:
+        marked[COUNT] = reduce(lambda total, t: total + t[1].cast("int"), tests, F.col(COUNT))
+    return marked
