@@ -12,9 +12,10 @@ texts of their group makes up for most of these. What shares a bucket is linked
 
 Within a bucket pairs are not listed. First each text meets the bucket's smallest node: the one it shares most bands with, then the
 others it is not yet joined to. In buckets that still hold several components all texts then meet a few texts of
-the largest ones, and only what is left is compared across components, by blocks, with signatures sorting out pairs that agree on less than
-half of their places (at the threshold a chance below 1 in 10 ** 12). Links of a task are joined by union-find to a forest, and the
-forests of all tasks by alternating stars.
+the largest ones, and only what is left is compared across components, by blocks of bounded size. There a pair is
+compared in the first bucket it shares, unless signatures agree on too few places (at the threshold a chance below 1 in 10 ** 8)
+or union-find has joined it already; so a block gives fewer links than it has nodes. Links of a task are joined by
+union-find to a forest, and the forests of all tasks by alternating stars.
 
 Words are maximal runs of characters other than ASCII white space, A-Z lower-cased. Equal sets are one node, a 64-bit hash.
 Null and empty texts have no shingles, are linked with nothing and stay. Rows that repeat an id or a text are rows of
@@ -45,7 +46,7 @@ BANDS, ROWS = 32, 4
 SIZE = BANDS * ROWS
 
 #: Places in which the signatures of a pair agree at least, by one byte of each place.
-AGREEING = SIZE // 2
+AGREEING = 72
 
 #: Bits of a place's number below its rank.
 FRACTION = 25
@@ -56,8 +57,9 @@ ELEMENTS = 1 << 16
 #: Links that a task joins at once.
 LINKS = 1 << 18
 
-#: Nodes of a bucket, or of a block of a larger one, that are compared with each other at once.
+#: Nodes and shingles of a bucket, or of a block of a larger one, that are compared with each other at once.
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 20
 
 
 def _draws(elements: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,6 +165,14 @@ def _agreeing(percent: int):
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough."""
+    both = np.concatenate([x, y])
+    both.sort()
+    overlap = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * overlap >= percent * (len(x) + len(y) - overlap)
+
+
 def _linked(percent: int):
     """Of pairs with their full sets, the similar ones."""
 
@@ -171,41 +181,47 @@ def _linked(percent: int):
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             keep = np.zeros(len(a), bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                overlap = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep[i] = 100 * overlap >= percent * (len(x) + len(y) - overlap)
+                keep[i] = _similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
     return run
 
 
-def _forest(batches):
-    """Joins the links of a task by union-find: each node with the smallest one it reaches."""
-    parent: dict[int, int] = {}
+class Forest:
+    """Union-find: the smallest of the nodes that links join."""
 
-    def top(x: int) -> int:
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
         root = x
-        while parent.setdefault(root, root) != root:
-            root = parent[root]
-        while parent[x] != root:
-            parent[x], x = root, parent[x]
+        while self.parent.setdefault(root, root) != root:
+            root = self.parent[root]
+        while self.parent[x] != root:
+            self.parent[x], x = root, self.parent[x]
         return root
 
-    def table():
-        nodes = [n for n, p in parent.items() if n != p]
+    def join(self, a: int, b: int) -> None:
+        x, y = self.top(a), self.top(b)
+        self.parent[max(x, y)] = min(x, y)
+
+    def links(self) -> pa.RecordBatch:
+        """Each node with the smallest one it is joined to, but for itself."""
+        nodes = [n for n, p in self.parent.items() if n != p]
         return pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array([top(n) for n in nodes], pa.int64())], names=["a", "b"])
+            [pa.array(nodes, pa.int64()), pa.array([self.top(n) for n in nodes], pa.int64())], names=["a", "b"])
 
+
+def _forest(batches):
+    """The links of a task as a forest."""
+    forest = Forest()
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x, y = top(a), top(b)
-            parent[max(x, y)] = min(x, y)
-        if len(parent) > LINKS:
-            yield table()
-            parent.clear()
-    yield table()
+            forest.join(a, b)
+        if len(forest.parent) > LINKS:
+            yield forest.links()
+            forest = Forest()
+    yield forest.links()
 
 
 def grouped(links: DataFrame) -> DataFrame:
@@ -214,28 +230,33 @@ def grouped(links: DataFrame) -> DataFrame:
 
 
 def _across(percent: int):
-    """Of buckets sorted by key and blocks: pairs of different labels that sizes and signatures allow."""
+    """Of buckets sorted by key and blocks: the links between components, as a forest of labels."""
 
-    def pairs(held):
+    def table(held):
+        key = held[0].column(0)[0].as_py()
         node, label, block, sizes = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3, 7))
         marks = np.frombuffer(b"".join(m for b in held for m in b.column(7).to_pylist()), np.uint8).reshape(-1, SIZE)
+        bands = np.concatenate([b.column(8).flatten().to_numpy() for b in held]).reshape(-1, BANDS)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for b in held for x in b.column(9)]
+        # Bands up to the one that this bucket stands for: a pair that shares an earlier one has met there.
+        earlier = np.arange(BANDS) < (bands == key).argmax(1)[:, None]
         by = np.argsort(sizes, kind="stable")
-        node, label, block, sizes, marks = node[by], label[by], block[by], sizes[by], marks[by]
+        node, label, block, sizes, marks, bands, earlier = (x[by] for x in (node, label, block, sizes, marks, bands, earlier))
         inner = (block == block[0]).all()
         ends = np.searchsorted(sizes, sizes * 100 // percent, "right")
+        forest = Forest()
         for i in range(len(node)):
             fit = np.arange(i + 1, ends[i])
             fit = fit[label[fit] != label[i]]
             if not inner:
                 fit = fit[block[fit] != block[i]]
             fit = fit[(marks[fit] == marks[i]).sum(1) >= AGREEING]
+            fit = fit[~((bands[fit] == bands[i]) & earlier[i]).any(1)]
             for j in fit.tolist():
-                yield (node[i], node[j]) if node[i] < node[j] else (node[j], node[i])
-
-    def table(held):
-        found = sorted(set(pairs(held)))
-        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()),
-                                           pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+                a, b = int(label[i]), int(label[j])
+                if forest.top(a) != forest.top(b) and _similar(sets[by[i]], sets[by[j]], percent):
+                    forest.join(a, b)
+        return forest.links()
 
     def run(batches):
         held, group = [], None
@@ -281,10 +302,10 @@ class NearDuplicates:
         """Size, marks and shingles of each of some nodes. A text is looked for by a row that has it, so
         few other texts are taken apart again."""
         size = self.size
-        held = skew.join_parent(self.rows.filter("bands is not null").select("node", "n_shingles", "marks", "mark"), nodes,
+        held = skew.join_parent(self.rows.filter("bands is not null").select("node", "n_shingles", "marks", "bands", "mark"), nodes,
                                 [("node", "node")], "left_semi")
         one = stored(held.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("marks").alias("marks"),
-                                              F.min("mark").alias("mark")), "nodes")
+                                              F.first("bands").alias("bands"), F.min("mark").alias("mark")), "nodes")
         rows, wanted = Wanted(one, "mark"), Wanted(one, "node")
 
         def run(batches):
@@ -301,7 +322,7 @@ class NearDuplicates:
 
         whole = (self.source.select("text", "mark").mapInArrow(run, "node long, shingles binary")
                  .groupBy("node").agg(F.first("shingles").alias("shingles")))
-        return stored(one.join(whole, "node").select("node", "n", "marks", "shingles"), "sets")
+        return stored(one.join(whole, "node").select("node", "n", "marks", "bands", "shingles"), "sets")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Of distinct pairs `a`, `b` the linked ones."""
@@ -329,25 +350,24 @@ class NearDuplicates:
         labels = merged(labels, self.verified(apart(stars, labels).join(nearest, ["a", "b"], "left_anti"), sets))
         # Buckets of two nodes are done.
         tiles = buckets.select("key", "node")
-        counts = tiles.groupBy("key").agg(F.count("*").alias("nodes")).filter("nodes > 2")
+        counts = (tiles.join(sets.select("node", "n"), "node").groupBy("key")
+                  .agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles")).filter("nodes > 2"))
         tiles = stored(skew.join_parent(tiles, counts, [("key", "key")], "inner"), "tiles")
         heads = Join.to_heads(Join.mixed(tiles, labels)).withColumn("shared", F.lit(0).cast("long"))
         labels = merged(labels, self.verified(self.allowed(heads, sets).drop("shared"), sets))
         # The heads of a smaller bucket have met all of it.
         tiles = tiles.filter(F.col("nodes") > HEADS + 1)
-        pairs = stored(self.across(Join.mixed(tiles, labels), sets), "pairs")
-        return merged(labels, self.verified(pairs, sets))
+        return merged(labels, stored(self.across(Join.mixed(tiles, labels), sets), "links"))
 
     def across(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
-        """Distinct pairs of different components of a bucket that sizes and signatures allow. Each pair of a
-        bucket's blocks is work of its own."""
-        blocks = F.ceil(F.col("nodes") / BLOCK)
+        """Links between different components of a bucket. Each pair of a bucket's blocks is work of its own."""
+        blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
         both = (rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
                 .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
                 .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                         "node", "label", "block")
-                .join(sets.select("node", "n", "marks"), "node"))
-        return (both.select("key", "i", "j", "node", "label", "block", "n", "marks")
+                .join(sets, "node"))
+        return (both.select("key", "i", "j", "node", "label", "block", "n", "marks", "bands", "shingles")
                 .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
                 .mapInArrow(_across(self.percent), "a long, b long").distinct())
 
