@@ -54,6 +54,9 @@ FRACTION = 25
 #: Shingles whose permutations are held at once.
 ELEMENTS = 1 << 16
 
+#: Bytes of text that are taken apart at once.
+TEXT_BYTES = 2 << 20
+
 #: Links that a task joins at once.
 LINKS = 1 << 18
 
@@ -126,7 +129,7 @@ def _profiles(size: int):
     def run(batches):
         for whole in batches:
             seen: set[int] = set()
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, TEXT_BYTES):
                 sets = shingle_sets(batch.column(1), size)
                 nodes = [node_of(s) for s in sets]
                 fresh = _first_places(nodes, seen)
@@ -173,20 +176,6 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * overlap >= percent * (len(x) + len(y) - overlap)
 
 
-def _linked(percent: int):
-    """Of pairs with their full sets, the similar ones."""
-
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            keep = np.zeros(len(a), bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                keep[i] = _similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
-
-    return run
-
-
 class Forest:
     """Union-find: the smallest of the nodes that links join."""
 
@@ -237,7 +226,8 @@ def _across(percent: int):
         node, label, block, sizes = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3, 7))
         marks = np.frombuffer(b"".join(m for b in held for m in b.column(7).to_pylist()), np.uint8).reshape(-1, SIZE)
         bands = np.concatenate([b.column(8).flatten().to_numpy() for b in held]).reshape(-1, BANDS)
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for b in held for x in b.column(9)]
+        sets = [s for b in held for s in np.split(b.column(9).flatten().to_numpy(),
+                                                  np.cumsum(b.column(9).value_lengths().to_numpy())[:-1])]
         # Bands up to the one that this bucket stands for: a pair that shares an earlier one has met there.
         earlier = np.arange(BANDS) < (bands == key).argmax(1)[:, None]
         by = np.argsort(sizes, kind="stable")
@@ -311,25 +301,26 @@ class NearDuplicates:
         def run(batches):
             for whole in batches:
                 whole = whole.filter(pa.array(rows.may_hold(whole.column(1).to_numpy())))
-                for batch in slices(whole, 0):
+                for batch in slices(whole, 0, TEXT_BYTES):
                     sets = shingle_sets(batch.column(0), size)
                     found = {n: s for n, s in zip(map(node_of, sets), sets) if n is not None}
                     nodes = np.fromiter(found, np.int64, len(found))
                     keep = nodes[wanted.may_hold(nodes)].tolist()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keep, pa.int64()), pa.array([found[n].tobytes() for n in keep], pa.binary())],
+                        [pa.array(keep, pa.int64()), pa.array([found[n].view(np.int64) for n in keep], pa.list_(pa.int64()))],
                         names=["node", "shingles"])
 
-        whole = (self.source.select("text", "mark").mapInArrow(run, "node long, shingles binary")
+        whole = (self.source.select("text", "mark").mapInArrow(run, "node long, shingles array<long>")
                  .groupBy("node").agg(F.first("shingles").alias("shingles")))
         return stored(one.join(whole, "node").select("node", "n", "marks", "bands", "shingles"), "sets")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Of distinct pairs `a`, `b` the linked ones."""
+        """Of distinct pairs `a`, `b` the linked ones, by the intersection of their full sets."""
         own = sets.select("node", "shingles")
-        both = (pairs.join(own.toDF("a", "set_a"), "a").join(own.toDF("b", "set_b"), "b")
-                .select("a", "b", "set_a", "set_b"))
-        return stored(both.mapInArrow(_linked(self.percent), "a long, b long"), "links")
+        both = pairs.join(own.toDF("a", "set_a"), "a").join(own.toDF("b", "set_b"), "b")
+        overlap = F.size(F.array_intersect("set_a", "set_b"))
+        linked = (100 + self.percent) * overlap >= self.percent * (F.size("set_a") + F.size("set_b"))
+        return stored(both.filter(linked).select("a", "b"), "links")
 
     def allowed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Of distinct pairs `a`, `b`, with the bands they share, those that sizes and signatures allow."""
