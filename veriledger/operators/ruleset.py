@@ -135,15 +135,36 @@ class RuleSet:
         return sorted(names - views)
 
 
+@dataclass(frozen=True)
+class Parents:
+    """Looked-up entities, reduced anew for every pass. :mod:`veriledger.operators.facts` has stored ones."""
+
+    tables: Tables
+    codes: Codes
+
+    def reduced(self, lookups: Sequence[Lookup]) -> list[tuple[DataFrame, Sequence[tuple[str, str]]]]:
+        """Frames with one row per key that hold all facts of some lookups, with their (child, parent) keys."""
+        return [(l.one_row_per_key(self.tables, self.codes), l.on) for l in lookups]
+
+    def join(self, rows: DataFrame, on: Sequence[str], lookups: Sequence[Lookup]) -> DataFrame:
+        """The rows with the facts of lookups on the same columns ``on``."""
+        parents = [skew.with_key_names(frame, rows, pairs) for frame, pairs in self.reduced(lookups)]
+        # Lookups on the same columns are put together first, so the base table is shuffled once for them.
+        names = [f"__k{i}" for i in range(len(on))]
+        parent = reduce(lambda a, b: a.join(b, names, "full_outer"), parents)
+        return skew.join_named(rows, parent, on, "left")
+
+
 def flag_rows(tables: Tables, one: Pass, codes: Codes | None = None) -> DataFrame:
     """The rows that break at least one rule, with one bit per broken rule in ``__broken``.
 
     A number holds 63 bits; further rules go on in ``__broken1``, ``__broken2`` and so on.
     """
-    return _tested(tables, one, codes or {}).filter(F.col(COUNT) > 0).drop(COUNT)
+    codes = codes or {}
+    return _tested(tables, one, codes, Parents(tables, codes)).filter(F.col(COUNT) > 0).drop(COUNT)
 
 
-def _tested(tables: Tables, one: Pass, codes: Codes) -> DataFrame:
+def _tested(tables: Tables, one: Pass, codes: Codes, parents: Parents) -> DataFrame:
     """All rows with the bits of the rules they break and their number."""
     bit = {r.code: i for i, r in enumerate(one.rules)}
     base = tables[one.entity]
@@ -159,11 +180,7 @@ def _tested(tables: Tables, one: Pass, codes: Codes) -> DataFrame:
 
     for on, lookups in groupby(one.lookups, key=lambda l: tuple(c for c, _ in l.on)):
         lookups = list(lookups)
-        parents = [skew.with_key_names(l.one_row_per_key(tables, codes), rows, l.on) for l in lookups]
-        # Lookups on the same columns are put together first, so the base table is shuffled once for them.
-        names = [f"__k{i}" for i in range(len(on))]
-        parent = reduce(lambda a, b: a.join(b, names, "full_outer"), parents)
-        rows = skew.join_named(rows, parent, on, "left")
+        rows = parents.join(rows, on, lookups)
         joined |= {l.name for l in lookups}
         ready = [r for r in one.rules if r.code not in done and set(r.needs) <= joined]
         if ready:
@@ -184,9 +201,11 @@ def word_count(rules: Sequence[Rule]) -> int:
     return max(1, -(-len(rules) // WORD_BITS))
 
 
-def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes | None = None) -> DataFrame:
+def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes | None = None,
+               parents: Parents | None = None) -> DataFrame:
     """Long form: one row per broken rule and row of the base table."""
-    rows = _tested(tables, one, codes or {})
+    codes = codes or {}
+    rows = _tested(tables, one, codes, parents or Parents(tables, codes))
     names = F.array(*[F.lit(r.code) for r in one.rules])
     source = F.col("src_stm") if "src_stm" in rows.columns else F.lit(None).cast("string")
     words = word_count(one.rules)
@@ -202,12 +221,21 @@ def violations(tables: Tables, one: Pass, entity: str, period: str, codes: Codes
         F.lit(entity).alias("entity"), F.lit(period).alias("msr_prd_id"), "rule", "key", "src_stm")
 
 
-def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None = None) -> DataFrame:
-    """All violations of a rule set, one long table."""
+def with_views(tables: Tables, ruleset: RuleSet, codes: Codes | None = None) -> dict[str, DataFrame]:
+    """The tables and the views of a rule set that are not among them yet."""
     tables = dict(tables)
     for view in ruleset.views:
-        tables[view.name] = view.build(tables, codes or {})
-    parts = [violations(tables, p, ruleset.entity, period, codes) for p in ruleset.passes]
+        if view.name not in tables:
+            tables[view.name] = view.build(tables, codes or {})
+    return tables
+
+
+def evaluate(tables: Tables, ruleset: RuleSet, period: str, codes: Codes | None = None,
+             parents: Parents | None = None) -> DataFrame:
+    """All violations of a rule set, one long table. ``parents`` has the facts of looked-up entities if they
+    are stored already."""
+    tables = with_views(tables, ruleset, codes)
+    parts = [violations(tables, p, ruleset.entity, period, codes, parents) for p in ruleset.passes]
     for r in ruleset.reconciliations:
         failed = r.differences(tables, codes or {}).filter(~F.col("ok"))
         parts.append(failed.select(

@@ -7,15 +7,16 @@ where rows are materialised, so later stages restart from files and not from the
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.functions.periods import advance, data_date, load_time
-from veriledger.operators import keys, prevalidate, report, reshape, ruleset
+from veriledger.operators import facts, keys, prevalidate, report, reshape, ruleset
 from veriledger.operators.families import Rule
 from veriledger.plans import jobs as j
 from veriledger.plans.jobs import Job
@@ -142,11 +143,42 @@ def _fill_dependent(setting: Setting, job: Job, period: str, name: str, key: Seq
     tables.replace_period(tables.align(rows, schema), table, period)
 
 
-def validate(setting: Setting, job: Job, period: str) -> dict[str, int]:
+def shared_parents(setting: Setting, jobs: Sequence[Job], period: str) -> facts.SharedParents:
+    """What the rules of several jobs look up, reduced once for all of them and stored in the run's folder.
+
+    Jobs that read an entity from tables of their own have facts of their own; jobs that read the same table
+    share them, and its period is read once for each key. Views of one name are built once.
+    """
+    jobs = [job for job in jobs if job.rules is not None]
+    frames: dict[str, DataFrame] = {}
+    for job in jobs:
+        own = {e: _frame(setting, job, e, period) for e in job.rules.reads}
+        with_views = ruleset.with_views(own, job.rules, setting.codes)
+        for entity, frame in with_views.items():
+            frames.setdefault(_source(setting, job, entity), frame)
+    places = facts.plan((job.rules, partial(_source, setting, job)) for job in jobs)
+    stored = {}
+    for place, one in places.items():
+        path = f"{setting.folder}/facts/{'-'.join([place[0], *place[1]])}/{period}/{setting.run_id}"
+        rows = one.built(frames[place[0]], setting.codes)
+        rows.write.mode("overwrite").parquet(path)
+        stored[place] = setting.spark.read.schema(rows.schema).parquet(path)
+    return facts.SharedParents(frames, setting.codes, places, stored)
+
+
+def validate_all(setting: Setting, jobs: Sequence[Job], period: str) -> dict[str, dict[str, int]]:
+    """The checks of several jobs whose tables are stored, over parents that are reduced once."""
+    parents = shared_parents(setting, jobs, period)
+    return {job.name: validate(setting, job, period, parents) for job in jobs if job.rules is not None}
+
+
+def validate(setting: Setting, job: Job, period: str, parents: facts.SharedParents | None = None) -> dict[str, int]:
     """Store the violations of the run and count them per rule."""
     spark = setting.spark
     frames = {e: _frame(setting, job, e, period) for e in job.rules.reads}
-    broken = ruleset.evaluate(frames, job.rules, period, setting.codes)
+    if parents is not None:
+        parents = replace(parents, source=partial(_source, setting, job))
+    broken = ruleset.evaluate(frames, job.rules, period, setting.codes, parents)
     path = f"{setting.folder}/violations/{job.name}/{period}/{setting.run_id}"
     broken = broken.select(*[c for c in VIOLATION_SCHEMA.names if c != "run_id"])
     # violations are few and lie in many tasks: gather them, so that they become few files
@@ -178,7 +210,16 @@ def _frame(setting: Setting, job: Job, entity: str, period: str) -> DataFrame:
     """Rows the rules of a period see: the period's, or all up to it for entities stored once."""
     if entity in setting.frames:
         return setting.frames[entity]
-    names = [setting.table(n) for n in job.sources(entity)]
-    name = next((n for n in names if setting.spark.catalog.tableExists(n)), names[0])
     read = tables.read_until if ENTITIES[entity].once else tables.read_period
-    return read(setting.spark, name, period)
+    return read(setting.spark, _source(setting, job, entity), period)
+
+
+def _source(setting: Setting, job: Job, entity: str) -> str:
+    """The stored table that a job reads an entity from; a view or a given frame has its own name, and a view
+    over tables of the job's line is that line's."""
+    if entity in setting.frames:
+        return entity
+    if entity not in ENTITIES:
+        return f"{job.line}{job.cadence}_{entity}"
+    names = [setting.table(n) for n in job.sources(entity)]
+    return next((n for n in names if setting.spark.catalog.tableExists(n)), names[0])
