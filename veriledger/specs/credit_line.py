@@ -1,8 +1,11 @@
 """Rule sets of the credit line entities."""
 
+from pyspark.sql import DataFrame
+
 from veriledger.operators import conditions as c
 from veriledger.operators import families as f
-from veriledger.operators.ruleset import Pass, RuleSet
+from veriledger.operators import hierarchy
+from veriledger.operators.ruleset import Codes, Pass, RuleSet, Tables, View, latest
 from veriledger.specs.shared import PLEDGED_THAI_BUILDINGS, lookup
 
 LINE = ("credit_line_id",)
@@ -30,6 +33,26 @@ CL_MONTHLY = RuleSet("DER_CL", (Pass("DER_CL", LINE, (
     lookup("app", "DER_APP", "application_id"),
 )),))
 
+
+
+def _chains(tables: Tables, codes: Codes) -> DataFrame:
+    """Per credit line the root and level that its chain of parents really has."""
+    return hierarchy.resolved(tables["DER_CL"], "credit_line_id", "parent_credit_line_id")
+
+
+_ENDS = c.equals("chain__state", hierarchy.ENDS)
+
+# Beyond the sentences of the rules, which look one parent up: the chain as a whole. No job names these, so a
+# job's counts stay those of its own rules.
+CL_CHAINS = RuleSet("DER_CL", (Pass("DER_CL", LINE, (
+    f.hierarchy("CHAIN_ROOT", c.same("root_credit_line_id", "chain__root"), when=_ENDS, needs=("chain",)),
+    f.hierarchy("CHAIN_LEVEL", c.same("level_number", "chain__depth"), when=_ENDS, needs=("chain",)),
+    f.hierarchy("CHAIN_LOOPS", ~c.equals("chain__state", hierarchy.LOOPS), when=c.filled("credit_line_id"), needs=("chain",)),
+    f.hierarchy("CHAIN_PARENT", ~c.equals("chain__state", hierarchy.MISSING), when=c.filled("credit_line_id"),
+                needs=("chain",)),
+), (lookup("chain", "credit_line_chains", {"credit_line_id": "node"}, latest("root"), latest("depth"), latest("state")),)),
+), views=(View("credit_line_chains", _chains, ("DER_CL",)),))
+
 _LINE = lookup("cl", "DER_CL", "credit_line_id")
 
 CLLT_MONTHLY = RuleSet("DER_CLLT", (
