@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.functions.periods import advance, data_date, load_time
-from veriledger.operators import facts, keys, prevalidate, report, reshape, ruleset
+from veriledger.operators import facts, prevalidate, report, reshape, ruleset
 from veriledger.operators.families import Rule
 from veriledger.plans import jobs as j
 from veriledger.plans.jobs import Job
-from veriledger.sources import files, tables
+from veriledger.sources import files, keyindex, ordered, publish, tables
 from veriledger.specs.entities import ENTITIES, report_names
 
 # Template row of the report that is delivered without data.
@@ -122,25 +122,29 @@ def store(setting: Setting, job: Job, period: str, rows: DataFrame) -> None:
         rows = reshape.set_from(rows, other, [(key, key)], {column: column})
     if job.new_only:
         # other periods only: the period itself is replaced, so a second run stores the same rows
-        stored = spark.table(table).filter(F.col(tables.PERIOD) != period)
-        rows = keys.skip_stored(rows, stored, job.target.key)
-        # a table cannot be overwritten while it is read, so the new rows are written aside first
-        path = f"{setting.folder}/new/{job.name}/{period}/{setting.run_id}"
-        files.write_chunks(rows, path)
-        rows = files.read_chunks(spark, path, rows.schema)
-    tables.replace_period(rows, table, period)
-    for name, key in job.dependents.items():
-        _fill_dependent(setting, job, period, name, key)
-
-
-def _fill_dependent(setting: Setting, job: Job, period: str, name: str, key: Sequence[str]) -> None:
-    stored = tables.read_period(setting.spark, setting.table(job.table(job.entity)), period)
-    schema = ENTITIES[name].schema
-    table = setting.table(job.table(name))
-    tables.create_table(setting.spark, table, schema)
-    rows = stored.select("org_id", "data_dt", *key).distinct()
-    rows = reshape.with_constants(rows, {"ppn_tm": load_time(setting.moment)})
-    tables.replace_period(tables.align(rows, schema), table, period)
+        keyindex.append_new(rows, table, job.target.key, period)
+    elif job.dependents:
+        _store_together(setting, job, period, table, rows)
+    else:
+        tables.replace_period(rows, table, period)
+
+
+def _store_together(setting: Setting, job: Job, period: str, table: str, rows: DataFrame) -> None:
+    """The entity and the tables that depend on it: all are written before readers see any of them."""
+    spark = setting.spark
+    release = publish.Release(spark, f"{setting.folder}/releases")
+    try:
+        stored = release.stage(table, period, rows)
+        for name, key in job.dependents.items():
+            schema = ENTITIES[name].schema
+            dependent = setting.table(job.table(name))
+            tables.create_table(spark, dependent, schema)
+            own = stored.select("org_id", "data_dt", *key).distinct()
+            release.stage(dependent, period, reshape.with_constants(own, {"ppn_tm": load_time(setting.moment)}))
+        release.publish()
+    except Exception:
+        release.drop()
+        raise
 
 
 def shared_parents(setting: Setting, jobs: Sequence[Job], period: str) -> facts.SharedParents:
@@ -203,6 +207,7 @@ def export(setting: Setting, job: Job, period: str) -> str:
         rows = files.empty_report(setting.spark, schema, row)
     else:
         rows = tables.read_period(setting.spark, setting.table(job.table(job.entity)), period)
+        return ordered.export_ordered(rows, f"{setting.folder}/reports/{job.name}", period, names, job.target.key)
     return files.export_report(rows, f"{setting.folder}/reports/{job.name}", period, names)
 
 
