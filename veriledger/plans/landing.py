@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.functions.periods import load_time
-from veriledger.operators import reshape
+from veriledger.operators import observed, reshape
 from veriledger.plans.jobs import Landing
 from veriledger.sources import tables, text
-from veriledger.sources.control import check_counts
 from veriledger.sources.shared import remove_folder, shared_folder
 from veriledger.specs.entities import ENTITIES
 
@@ -58,31 +57,28 @@ def land_text(spark: SparkSession, landing: Landing, folder: str, file_name: str
               moment: datetime, expected: int, database: str = "default") -> Load:
     """Read the files of a period, check their number of records and replace the period.
 
-    The files are parsed once, into the shared folder; the records are counted and stored from there.
-    Rejected records go to a table beside the source's, with their file and reasons.
+    The files are parsed once, into the shared folder, and that write counts the records and the rejected ones; they
+    are stored from there. Rejected records go to a table beside the source's, with their file and reasons.
     """
     pattern = text.landed_pattern(folder, file_name, period)
     aside = shared_folder(spark, "landed")
     parsed = text.read_pipe_text(spark, pattern, delivered_schema(spark, landing, database)).records
-    parsed.write.parquet(aside)
+    counts = observed.write_parquet(parsed, aside, {
+        "records": observed.rows(), "rejected": F.count_if(F.size(text.REASONS) > 0)})
     try:
+        check(counts["records"], file_name, period, expected)
         landed = text.Landed(spark.read.schema(parsed.schema).parquet(aside))
-        check(landed.records, file_name, period, expected)
         store(landing, landed.rows, period, moment, database)
         rejects = store_rejects(landing, landed.rejects, period, database)
-        rejected = rejects.count()
-        return Load(expected - rejected, rejected, rejects)
+        return Load(expected - counts["rejected"], counts["rejected"], rejects)
     finally:
         remove_folder(spark, aside)
 
 
-def check(records: DataFrame, file_name: str, period: str, expected: int) -> None:
+def check(records: int, file_name: str, period: str, expected: int) -> None:
     """Holds the number of records, rejected ones too, against the control total."""
-    name = F.lit(file_name).alias("file_name")
-    control = records.sparkSession.range(1).select(name, F.lit(expected).cast("long").alias("expected"))
-    counts = check_counts(records.select(name), control, "file_name").head()
-    if not counts["ok"]:
-        raise CountMismatch(f"{file_name} {period}: {counts['n']} records, expected {expected}")
+    if records != expected:
+        raise CountMismatch(f"{file_name} {period}: {records} records, expected {expected}")
 
 
 def store_rejects(landing: Landing, rejects: DataFrame, period: str, database: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.functions.periods import advance, data_date, load_time
-from veriledger.operators import facts, prevalidate, report, reshape, ruleset
+from veriledger.operators import facts, observed, prevalidate, reshape, ruleset
 from veriledger.operators.families import Rule
 from veriledger.plans import jobs as j
 from veriledger.plans.jobs import Job
@@ -84,10 +84,15 @@ def run_job(setting: Setting, job: Job, period: str, source: DataFrame | None =
 
 def _prevalidated(setting: Setting, job: Job, period: str, rows: DataFrame,
                   rules: Sequence[Rule]) -> tuple[DataFrame, dict[str, int]]:
-    """Count and store the rows that break a rule; all rows go on, without the flags."""
+    """Count and store the rows that break a rule; all rows go on, without the flags.
+
+    The source is read once: its rows are written aside with their flags, which that write counts.
+    """
     names = [r.code for r in rules]
     flagged = prevalidate.add_flags(rows, rules, setting.codes)
-    bad = {r["rule"]: r["bad"] for r in prevalidate.shares(flagged, names).collect()}
+    aside = f"{setting.folder}/loaded/{job.name}/{period}/{setting.run_id}"
+    bad = observed.write_parquet(flagged, aside, {n: F.count_if(F.col(n)) for n in names})
+    flagged = setting.spark.read.schema(flagged.schema).parquet(aside)
     if any(bad.values()):
         failed = prevalidate.failures(flagged, names, job.target.key)
         by = ("rule", "src_stm") if job.prevalidation == "multiple" else ("rule",)
@@ -186,10 +191,8 @@ def validate(setting: Setting, job: Job, period: str, parents: facts.SharedParen
     path = f"{setting.folder}/violations/{job.name}/{period}/{setting.run_id}"
     broken = broken.select(*[c for c in VIOLATION_SCHEMA.names if c != "run_id"])
     # violations are few and lie in many tasks: gather them, so that they become few files
-    broken.hint("rebalance", F.col("key")).write.mode("overwrite").parquet(path)
+    counts = observed.write_parquet(broken.hint("rebalance", F.col("key")), path, observed.by_value("rule", job.rules.codes))
     stored = spark.read.schema(VIOLATION_SCHEMA).parquet(path)
-    # one row, one number per rule of the job
-    counts = report.rule_counts(stored, job.rules.codes).head().asDict()
     if any(counts.values()):
         files.write_violations(stored.drop("run_id"), f"{setting.folder}/failed/{job.name}",
                                setting.run_id)
