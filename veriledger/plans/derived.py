@@ -175,16 +175,16 @@ ENTITY_SQL = {
     "DER_RSK": _RSK,
     "DER_CL": _CL,
     "DER_BLD": _BLD,
-    "DER_CPEN": "select 'E' || cast(c_custkey as string) as ent_id, 'P' || cast(c_custkey as string) "
-                "as cntpr_id from {customer} where c_acctbal >= 0",
-    "DER_PRT": "select 'F' || cast(p_partkey as string) as portfolio_id from {part} where p_size > 5",
+    "DER_CPEN": "select case when c_acctbal >= 0 then 'E' else 'N' end || cast(c_custkey as string) as ent_id, "
+                "'P' || cast(c_custkey as string) as cntpr_id from {customer}",
+    "DER_PRT": "select case when p_size > 5 then 'F' else 'N' end || cast(p_partkey as string) as portfolio_id from {part}",
     "DER_PPG": "select 'R' || cast(n_nationkey as string) as product_program_id from {nation}",
     "DER_JCP": "select 'P' || cast(c_custkey as string) as cntpr_id from {customer} "
                "where c_mktsegment = 'BUILDING'",
     "DER_OCP": "select 'P' || cast(c_custkey as string) as cntpr_id from {customer} "
                "where c_mktsegment = 'MACHINERY'",
-    "REF_FI_CODE": "select 'B' || cast(n_nationkey as string) as fi_code from {nation} "
-                   "where n_regionkey < 3",
+    "REF_FI_CODE": "select case when n_regionkey < 3 then 'B' else 'N' end || cast(n_nationkey as string) as fi_code "
+                   "from {nation}",
     "DER_APP": "select case when c_custkey % 10 = 0 then 'M' else 'N' end || cast(c_custkey as string) as "
                "application_id, case when c_nationkey < 12 "
                "then cast('2023-10-01' as date) else cast('2023-09-30' as date) end "
@@ -214,9 +214,9 @@ ENTITY_SQL = {
               "cast(o_orderkey % 7 as string) as ast_cl_tp_id, case when o_orderkey % 5 = 0 then "
               "'960080' else '900000' end as prvn_smy_itm_tp_id, "
               "cast(o_totalprice as decimal(18,2)) as amt from {orders}",
-    "DER_COL": "select 'C' || cast(p_partkey as string) as collateral_id, case when p_brand = 'Brand#2' "
-               "then 'building_or_land_with_building' else 'other' end as collateral_type "
-               "from {part} where p_size <> 13",
+    "DER_COL": "select case when p_size = 13 then 'N' else 'C' end || cast(p_partkey as string) as collateral_id, "
+               "case when p_brand = 'Brand#2' then 'building_or_land_with_building' else 'other' end as collateral_type "
+               "from {part}",
     "DER_CLP": "select 'L' || cast(s_suppkey as string) as credit_line_id, 'G' || "
                "cast(s_suppkey as string) as protection_id from {supplier}",
     "DER_PVG": "select 'G' || cast(l_suppkey as string) as pledge_id, 'V' || cast(l_partkey as string) "

@@ -61,10 +61,10 @@ from {{part}}""",
     "DER_CVG": "select case when p_size = 11 then 'W' else 'V' end || cast(p_partkey as string) as valuation_group_id, "
                "'C' || cast(p_partkey as string) as collateral_id from {part}",
     "DER_COL": f"""
-select 'C' || cast(p_partkey as string) as collateral_id,
+select case when p_size = 13 then 'N' else 'C' end || cast(p_partkey as string) as collateral_id,
   case p_partkey % 3 when 0 then 'land_with_building' else 'other' end as collateral_type,
   {_flag("registration_flag", "p_partkey", 5, "'1'")}
-from {{part}} where p_size <> 13""",
+from {{part}}""",
     "DER_LND": f"""
 select case when p_partkey % 7 = 0 then 'Z' else 'C' end || cast(p_partkey as string) as collateral_id,
   case when p_partkey % 2 = 0 then 'TH' else 'US' end as country, {_number("land_area", "p_partkey", 9, 5, "0")},
@@ -104,7 +104,8 @@ from {{customer}}""",
     "DER_CPEN": "select 'E' || cast(c_custkey as string) as ent_id, case when c_custkey % 31 = 0 then 'none' else 'P' || "
                 "cast(c_custkey as string) end as cntpr_id from {customer}",
     "DER_CPDG": f"select 'D' || cast(c_nationkey as string) as debtor_group_id, {_party(19)} from {{customer}}",
-    "DER_DG": "select 'D' || cast(n_nationkey as string) as debtor_group_id from {nation} where n_regionkey < 4",
+    "DER_DG": "select case when n_regionkey < 4 then 'D' else 'N' end || cast(n_nationkey as string) as debtor_group_id "
+              "from {nation}",
     "DER_REV": """
 select cast(ts as date) as review_date, cast('2024-01-02' as date) as data_dt,
   case event_id % 4 when 0 then 'reference_account' when 1 then 'reference_credit_line'
@@ -119,13 +120,14 @@ select case when event_id % 9 = 0 then 'none' else 'T' || cast(event_id as strin
 from {events}""",
     "DER_RDA": "select 'T' || cast(event_id * 2 as string) as txn_id from {events}",
     "DER_CACD": """
-select 'A' || cast(l_orderkey as string) as ac_id, case l_returnflag when 'A' then 'commercial_purposes' when 'R' then
+select case when l_partkey % 50 = 0 then 'N' else 'A' end || cast(l_orderkey as string) as ac_id,
+  case l_returnflag when 'A' then 'commercial_purposes' when 'R' then
     'consumption_purposes' else 'other_purposes' end as account_purpose,
   case l_linenumber when 1 then '1' when 2 then ' ' else '0' end as interbank_flag,
   case when l_quantity < 10 then '1' else '0' end as employee_flag,
   case when l_quantity = 9 then '1' else '0' end as related_lending_flag,
   case when l_quantity < 25 then 'x' end as regulated_product
-from {lineitem} where l_partkey % 50 <> 0""",
+from {lineitem}""",
     "DER_OTDM": f"""
 select 'A' || cast(l_orderkey as string) as ac_id, case l_linenumber % 2 when 0 then 'TCB' else 'FCB' end as org_id,
   cast(l_shipdate as date) as data_dt,
