@@ -356,8 +356,8 @@ class Join:
         sought = Wanted(wanted, "node")
         # Texts that no tile holds are dropped where they are read.
         texts = extended(self.texts, "text", _FIELDS, lambda t: _profile(t, size, sought)).filter("node is not null")
-        own = join_parent(texts, wanted, [("node", "node")], "left_semi").groupBy("node").agg(
-            F.first("n_shingles").alias("n"), F.first("text").alias("text"))
+        own = texts.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("text").alias("text")).join(
+            wanted, "node", "left_semi")
         return stored(extended(own, "text", [T.StructField("bits", T.BinaryType())], _with_bits(size)), "profiles")
 
     def verified(self, pairs: DataFrame, profiles: DataFrame, bounded: bool) -> DataFrame:
@@ -367,7 +367,10 @@ class Join:
             pairs = (pairs.join(bits.toDF("a", "na", "bits_a"), "a").join(bits.toDF("b", "nb", "bits_b"), "b")
                      .select("a", "b", "na", "nb", "bits_a", "bits_b")
                      .mapInArrow(_passing(self.percent), "a long, b long"))
-        text = profiles.select("node", "text")
+        pairs = stored(pairs, "passing")
+        # In later rounds few texts are needed; the others are not shuffled.
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        text = profiles.select("node", "text").join(needed, "node", "left_semi")
         both = (pairs.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
                 .select("a", "b", "text_a", "text_b"))
         return stored(both.mapInArrow(_linked(self.size, self.percent), "a long, b long"), "links")
