@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from odd import ODD_TEXTS
 
 from veriledger.llm import chunks as c
@@ -101,17 +102,17 @@ def test_stretches_of_a_short_period(rng, turn):
 
 
 def brute(rows):
-    """Spans from the rows of chunks of all texts, in dictionaries."""
-    lowest = -(1 << 63)
+    """Spans of every text from the rows of chunks of all texts, in dictionaries. Chunks are found text by text."""
     holders, placed = {}, {}
     for i, t in rows:
-        i = lowest if i is None else i
+        if i is None:
+            i = -(1 << 63) + (xxhash.xxh64_intdigest((t or "").encode(), 42) >> 2)
         _, begins, ends, digests = c.rows_of(pa.array([t], pa.string()))
         for b, e, d in zip(begins.tolist(), ends.tolist(), digests.tolist()):
             holders.setdefault(d, set()).add(i)
-            placed.setdefault(i, set()).add((b, e, d))
+            placed.setdefault((i, t), set()).add((b, e, d))
     out = set()
-    for i, own in placed.items():
+    for (i, _), own in placed.items():
         spans = []
         for b, e, d in sorted(own):
             if min(holders[d]) < i:
@@ -119,10 +120,51 @@ def brute(rows):
                     spans[-1][1] = max(spans[-1][1], e)
                 else:
                     spans.append([b, e])
-        out |= {(i, b, e) for b, e in spans if e - b >= c.LEAST}
+        out |= {(i if i >= -(1 << 62) else None, b, e) for b, e in spans if e - b >= c.LEAST}
     return out
 
 
+def shared_ids(rng):
+    """Different texts under one id and under none, with passages of other documents at either end."""
+    words = [f"{rng.randrange(10 ** 5):x}" for _ in range(4000)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(40, 90))) for _ in range(40)]
+    passages = [" ".join(rng.choices(words, k=60)) for _ in range(6)]
+    rows = [(100 + i, t) for i, t in enumerate(texts[:6])] + [(i, p) for i, p in enumerate(passages)]
+    for n, p in enumerate(passages):
+        a, b = texts[6 + 2 * n:8 + 2 * n]
+        rows += [(7, f"{p} {a}"), (7, f"{b} {p}"), (None, f"{a} {p}"), (None, f"{p} {b}"), (None, f"{p} {b}")]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_texts_of_one_id_are_told_apart(spark, rng):
+    rows = shared_ids(rng)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r["doc_id"], r["start_byte"], r["end_byte"]) for r in c.repeats(df).collect()}
+    assert found == brute(rows)
+    left = {}
+    for r in c.removed(df).collect():
+        left.setdefault(r["doc_id"], []).append(r["text"])
+    passages = {t for i, t in rows if i is not None and i < 6}
+    for i in range(6):  # a passage stays where its id is the smallest of those that have it
+        smallest = [p for p in passages if (i, p) in rows]
+        assert not smallest or len(left[i]) == 1
+    # text that no other document has is never cut
+    for i, t in rows:
+        if i is not None and i >= 100:
+            assert left[i] == [t]
+    assert not any(p in t for p in passages for t in left[7])
+
+
+def test_a_passage_at_the_start_of_one_and_the_end_of_another(spark, rng):
+    words = [f"{rng.randrange(10 ** 5):x}" for _ in range(500)]
+    passage, a, b = (" ".join(rng.choices(words, k=60)) for _ in range(3))
+    rows = [(1, passage), (7, f"{passage} {a}"), (7, f"{b} {passage}")]
+    left = [r["text"] for r in c.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert passage in left and sum(t.endswith(a[20:]) and passage not in t for t in left) == 1
+    assert sum(t.startswith(b[:-40]) and passage not in t for t in left) == 1
+
+
 def test_against_brute_force(spark, documents):
     rows = [*documents, *[(i + 10_000, t) for i, t in documents[:20]], *ODD_TEXTS, *ODD_TEXTS]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

@@ -14,8 +14,10 @@ smallest id's row meets those of other slices; the others are known repeats and
 that a third of all documents share fills no task.
 
 Offsets are bytes of the UTF-8 text, end exclusive, and never part a character. Null and empty texts, and
-texts shorter than a row of chunks, have no spans. Rows that share an id, or have none, are one document's:
-what only they repeat is not reported.
+texts shorter than a row of chunks, have no spans. Spans are those of one text: rows that share an id are told apart by
+a mark of 22 bits of their text's hash, and what only rows of one id repeat is not reported. A row without an id
+is known by its text: equal texts are one document, others are documents of their own, all before those with
+an id. Ids are above -2 ** 62.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from veriledger.llm.frames import pieces, quoted, slices
 from veriledger.llm.words import SPREAD, spread, utf8
+from veriledger.operators.skew import join_parent
 
 #: Bytes that a hash depends on, places of which one is a cut, and bytes of the longest chunk: a text's first
 #: is longer, and a character is not parted.
@@ -36,6 +39,13 @@ LONGEST = ROLLED + WINDOW + 3
 #: Least bytes of a row of chunks, whose digest is compared, and of a span that is reported.
 ROW, LEAST = 64, 120
 
+#: Bits of a place for the row's length and for the mark of its text; where it begins takes the others.
+LENGTH_BITS, MARK_BITS = 11, 22
+_BEGIN = LENGTH_BITS + MARK_BITS
+
+#: Ids of rows without one are below this, those of others above.
+_NAMED = -(1 << 62)
+
 #: Bytes of text that are chunked at once.
 AT_ONCE = 2 << 20
 
@@ -116,13 +126,15 @@ def _rows(parts):
             if not len(text):
                 continue
             own = ids.slice(a, b - a).to_numpy(zero_copy_only=False)[text]
+            mark = batch.column(2).slice(a, b - a).to_numpy(zero_copy_only=False)[text]
+            place = begin << _BEGIN | end - begin << MARK_BITS | mark
             by = np.lexsort((own, digest))
-            digest, own, begin, end = digest[by], own[by], begin[by], end[by]
+            digest, own, place = digest[by], own[by], place[by]
             new = np.ones(len(by), bool)
             new[1:] = digest[1:] != digest[:-1]
             head = own[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest.view(np.int64)), pa.array(own), pa.array(begin << 32 | end),
+                [pa.array(digest.view(np.int64)), pa.array(own), pa.array(place),
                  pa.array(head, mask=head == own)], names=["digest", "id", "place", "first"])
 
 
@@ -149,29 +161,47 @@ def _repeats(parts):
                                          names=["id", "place", "first"])
 
 
-def spans(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """The key, `start`, `end` and `first`, a smaller key of a document that has the same there (of some
-    part of the span, the smallest), of every span. The key is a whole number; a row without one is
-    taken as the smallest."""
-    lowest = -(1 << 63)
-    texts = df.select(F.coalesce(quoted(key).cast("long"), F.lit(lowest)).alias("id"),
-                      quoted(column).cast("string").alias("text"))
+def _identity(key: str, column: str) -> dict:
+    """A row's `id` and the `mark` of its text; a row without a key has an id by its text."""
+    hashed = F.xxhash64(quoted(column).cast("string"))
+    unnamed = F.lit(-(1 << 63)) + F.shiftrightunsigned(hashed, 2)
+    return {"id": F.coalesce(quoted(key).cast("long"), unnamed),
+            "mark": hashed.bitwiseAND(F.lit((1 << MARK_BITS) - 1))}
+
+
+def _identified(df: DataFrame, key: str, column: str) -> DataFrame:
+    """`id`, `text` and `mark` of the rows."""
+    made = _identity(key, column)
+    return df.select(made["id"].alias("id"), quoted(column).cast("string").alias("text"), made["mark"].alias("mark"))
+
+
+def _spans(texts: DataFrame) -> DataFrame:
+    """`id`, `mark`, `start`, `end` and `first` of every span."""
     rows = texts.mapInArrow(_rows, "digest long, id long, place long, first long")
     dealt = F.when(F.col("first").isNull(), F.col("digest")).otherwise(F.xxhash64("digest", "id"))
     repeats = (rows.repartition(dealt).sortWithinPartitions("digest", "id")
                .mapInArrow(_repeats, "id long, place long, first long"))
-    start, end = F.shiftright("place", 32), F.col("place").bitwiseAND(0xFFFFFFFF)
-    placed = repeats.select("id", start.alias("start"), end.alias("end"), "first")
-    order = Window.partitionBy("id").orderBy("start", "end")
+    start = F.shiftrightunsigned("place", _BEGIN)
+    length = F.shiftrightunsigned("place", MARK_BITS).bitwiseAND(F.lit((1 << LENGTH_BITS) - 1))
+    placed = repeats.select("id", F.col("place").bitwiseAND(F.lit((1 << MARK_BITS) - 1)).alias("mark"),
+                            start.alias("start"), (start + length).alias("end"), "first")
+    order = Window.partitionBy("id", "mark").orderBy("start", "end")
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = placed.withColumn("opens", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
     numbered = opened.withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = numbered.groupBy("id", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                                                F.min("first").alias("first"))
-    none = F.lit(None).cast("long")
-    return joined.filter(F.col("end") - F.col("start") >= LEAST).select(
-        F.when(F.col("id") != lowest, F.col("id")).otherwise(none).alias(key), "start", "end",
-        F.when(F.col("first") != lowest, F.col("first")).otherwise(none).alias("first"))
+    joined = numbered.groupBy("id", "mark", "span").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first"))
+    return joined.filter(F.col("end") - F.col("start") >= LEAST).drop("span")
+
+
+def spans(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """The key, `start`, `end` and `first`, a smaller key of a document that has the same there (of some
+    part of the span, the smallest), of every span. The key is a whole number; null stands for rows without one."""
+    def named(c: str):
+        return F.when(F.col(c) >= F.lit(_NAMED), F.col(c))
+
+    return _spans(_identified(df, key, column)).select(
+        named("id").alias(key), "start", "end", named("first").alias("first"))
 
 
 def repeats(df: DataFrame) -> DataFrame:
@@ -199,11 +229,12 @@ def _cut(parts):
 
 def removed(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """The rows with their spans cut out of the text; each passage stays in the smallest key's row."""
-    own = spans(df, key, column).groupBy(key).agg(F.collect_list(F.struct("start", "end")).alias("s"))
+    own = (_spans(_identified(df, key, column)).groupBy("id", "mark")
+           .agg(F.collect_list(F.struct("start", "end")).alias("s")))
     others = [c for c in df.columns if c != column]
     plain = df.select(quoted(column).cast("string").alias("t"), *[quoted(c).alias(f"c{i}") for i, c in enumerate(others)])
-    at = f"c{others.index(key)}"
-    joined = plain.join(own.toDF("k", "s"), plain[at] == F.col("k"), "left").select(
+    plain = plain.withColumns(_identity(f"c{others.index(key)}", "t"))
+    joined = join_parent(plain, own, [("id", "id"), ("mark", "mark")], "left").select(
         "t", "s", *[f"c{i}" for i in range(len(others))])
     schema = joined.drop("s").schema
     done = joined.mapInArrow(_cut, schema)
