@@ -1,4 +1,5 @@
 import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -48,6 +49,11 @@ def test_layout(page, text):
      "<div id=w><p class=t>a</p><div><p class=t>b</p></div></div><p class=t data-on=1>c", "a\n\nc"),
     ("<style>.m{visibility:hidden}.m .v{visibility:visible}</style><div class=m>h<i class=v>v</i></div>", "v"),
     ("<style>.h{display:block}</style><p hidden class=h>a<p hidden>b", "a"),
+    ("<body hidden>zz</body>", ""),
+    ("<html hidden><body>zz", ""),
+    ("<body hidden style='display:block'>zz", "zz"),
+    ("<style>body{display:block}</style><body hidden>zz", "zz"),
+    ("<body style='display:none'>zz", ""),
     ("<p title=it's>one</p><p>it's two", "one\n\nit's two"),
     ("<img alt=\"5\" tall\">one<p>two", "5one\n\ntwo"),
     ("<a href=x\"y>one</a> <a href='p>q' title=\"r>s\">two</a> <b \">three", "one two three"),
@@ -56,6 +62,56 @@ def test_shown_by_rules_and_stray_quotes(page, text):
     assert h.rendered(page) == text
 
 
+def page_of(rng):
+    """Random nested elements with classes, ids and attributes, under random rules."""
+    def compound():
+        return rng.choice(["", "p", "div", "i", "*"]) + rng.choice([".a", ".b", ".a.b", "#x", "[t]", "[t='1']"])
+
+    def selector():
+        return rng.choice([" ", ">", " > "]).join(compound() for _ in range(rng.randint(1, 3)))
+
+    rules = "".join(f"{selector()},{selector()}{{{rng.choice(['display:none', 'display:block', 'visibility:hidden', 'visibility:visible'])}"
+                    f"{rng.choice(['', '!important'])}}}" for _ in range(12))
+
+    def element(depth):
+        attrs = rng.choice(["", " class=a", " class='b a'", " class=b", " id=x", " id=y t", " t=1", " t=2 class=a", " style='display:block'"])
+        inner = "".join(element(depth + 1) for _ in range(rng.randint(0, 3))) if depth < 5 else ""
+        return f"<div{attrs}>{rng.randint(0, 999)}{inner}</div>"
+
+    return f"<style>{rules}</style><body{rng.choice(['', ' class=a', ' id=x'])}>" + "".join(element(0) for _ in range(4))
+
+
+def test_styles_against_every_rule_for_every_element(rng):
+    """Elements that look alike are styled once; that changes nothing."""
+    def each(tree):
+        found, open_ = {}, [(tree.root, None)]
+        while open_:
+            node, above = open_.pop()
+            rules = [r for r in tree.rules if h._applies(r[0], node, above)]
+            found[id(node)] = h.cascaded(h.weighed(rules), node)
+            own = (node.tag, node.attrs, above)
+            open_ += [(c, ("body", node.attrs, own) if node is tree.root else own)
+                      for c in node.children if isinstance(c, h.Node)]
+        return found
+
+    for _ in range(60):
+        tree = h.Tree(page_of(rng))
+        assert tree.rules and h.styles(tree) == each(tree)
+
+
+def test_many_rules_for_many_elements():
+    """Rules are not held against every element anew."""
+    def seconds(n):
+        page = "<style>" + "".join(f"p{{display:{'none' if i % 2 else 'block'}}}" for i in range(n)) + "</style>"
+        page += "".join(f"<div title={i}><p title={i}>x</p></div>" for i in range(n))
+        start = time.perf_counter()
+        h.rendered(page)
+        return time.perf_counter() - start
+
+    seconds(200)
+    assert seconds(4000) < 12 * max(seconds(1000), 0.05)
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()

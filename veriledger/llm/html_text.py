@@ -8,7 +8,8 @@ styles or the page's own style rules hide. Rules cascade as in a browser: by imp
 selectors of tags, classes, ids, attributes, descendants and children count, others hide and show nothing. Of the
 blocks that begin with @, those count that a screen of VIEWPORT pixels surely reads.
 
-Each page is worked on alone, whole, in time proportional to its length but for cells that span. Null is a page
+Each page is worked on alone, whole, in time proportional to its length but for cells that span and for style rules, each
+of which is held against every kind of element that it may be for. Null is a page
 without text; broken markup never fails. Elements nested deeper than DEEPEST are laid out as if they were not
 nested further.
 """
@@ -81,6 +82,7 @@ class Tree:
 
     def __init__(self, page: str):
         self.root = Node("html", {})
+        self.outer = Node("html", {})  # what the html tag itself says; the root has the body's attributes
         self.open = [self.root]
         self.rules: list[Rule] = []
         self._build(page.replace("\r\n", "\n").replace("\0", ""))
@@ -147,7 +149,9 @@ class Tree:
         for m in _ATTRIBUTE.finditer(attrs):
             own.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
         if tag in ("html", "body"):
-            if tag == "body":
+            if tag == "html":
+                self.outer.attrs.update((k, v) for k, v in own.items() if k not in self.outer.attrs)
+            else:
                 if self.open[-1].tag == "head":
                     self.open.pop()
                 self.root.attrs.update((k, v) for k, v in own.items() if k not in self.root.attrs)
@@ -399,45 +403,65 @@ def _applies(chain: list, node: Node, above: tuple | None) -> bool:
     return (last if chain[-2][4] else ever)[len(chain) - 2]
 
 
-def cascaded(rules: list[Rule], node: Node) -> dict[str, str]:
-    """What the rules of an element and its own style set `display` and `visibility` to."""
+def weighed(rules: list[Rule]) -> dict[str, tuple]:
+    """What some rules set `display` and `visibility` to, with the weight of the rule that does."""
     best = {}
     for chain, nth, declared in rules:
         weight = (False, sum(len(c[2]) for c in chain), sum(len(c[1]) + len(c[3]) for c in chain),
                   sum(c[0] != "*" for c in chain), nth)
         for name, (important, value) in declared.items():
             best[name] = max(best.get(name, ((False,), "")), ((important, *weight), value))
+    return best
+
+
+def cascaded(best: dict[str, tuple], node: Node) -> dict[str, str]:
+    """What is set once an element's own style is weighed too."""
     if style := node.attrs.get("style"):
+        best = dict(best)
         for name, (important, value) in _declared(style.split(";")).items():
             best[name] = max(best.get(name, ((False,), "")), ((important, True), value))
     return {name: value for name, (_, value) in best.items()}
 
 
 def styles(tree: Tree) -> dict[int, dict[str, str]]:
-    """Of each element, by its identity, what is set; none without rules."""
+    """Of each element, by its identity, what is set; none without rules.
+
+    Elements that look alike to the rules, in their tags and in the classes, ids and attributes that rules name, and
+    whose holders do, are styled alike, so rules are held against them once.
+    """
     if not tree.rules:
         return {}
     by = {}  # rules by an id, class or tag of what they are for
     for rule in tree.rules:
         tag, classes, ids, _, _ = rule[0][-1]
         by.setdefault(("#", min(ids)) if ids else (".", min(classes)) if classes else ("", tag), []).append(rule)
-    found, open_ = {}, [(tree.root, None)]
+    compounds = [c for rule in tree.rules for c in rule[0]]
+    named_classes, named_ids = ({n for c in compounds for n in c[i]} for i in (1, 2))
+    named = sorted({a for c in compounds for a, _ in c[3]})
+    alike, found, open_ = {}, {}, [(tree.root, None, None)]
     while open_:
-        node, above = open_.pop()
+        node, above, held = open_.pop()
         a = node.attrs
-        keys = [("", "*"), ("", node.tag), ("#", a.get("id")), *((".", c) for c in set(a.get("class", "").split()))]
-        found[id(node)] = cascaded([r for k in keys for r in by.get(k, ()) if _applies(r[0], node, above)], node)
+        classes = a.get("class", "").split()
+        looks = (node.tag, frozenset(named_classes.intersection(classes)), a.get("id") if a.get("id") in named_ids else None,
+                 tuple((n, a[n]) for n in named if n in a), held)
+        if looks not in alike:
+            keys = [("", "*"), ("", node.tag), ("#", a.get("id")), *((".", c) for c in set(classes))]
+            rules = [r for k in keys for r in by.get(k, ()) if _applies(r[0], node, above)]
+            alike[looks] = len(alike), weighed(rules)
+        number, best = alike[looks]
+        found[id(node)] = cascaded(best, node)
         own = (node.tag, a, above)
         if node is tree.root:  # it stands for the body too
             own = ("body", a, own)
-        open_ += [(c, own) for c in node.children if isinstance(c, Node)]
+        open_ += [(c, own, number) for c in node.children if isinstance(c, Node)]
     return found
 
 
 class Renderer:
     def __init__(self, tree: Tree):
         self.styles = styles(tree)
-        hidden = self._style(tree.root).get("display") == "none"
+        hidden = self._hidden(tree.root) or self._hidden(tree.outer)
         self.lines = [] if hidden else self._block(tree.root, True, False)
 
     def _hidden(self, node: Node) -> bool:
@@ -455,7 +479,7 @@ class Renderer:
 
     def _style(self, node: Node) -> dict[str, str]:
         found = self.styles.get(id(node))
-        return cascaded([], node) if found is None else found
+        return cascaded({}, node) if found is None else found
 
     def _block(self, node: Node, seen: bool, kept: bool) -> list[str]:
         lines = Lines()
