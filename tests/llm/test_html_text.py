@@ -84,14 +84,13 @@ def page_of(rng):
 def test_styles_against_every_rule_for_every_element(rng):
     """Elements that look alike are styled once; that changes nothing."""
     def each(tree):
-        found, open_ = {}, [(tree.root, None)]
+        found, open_ = {}, [(tree.root, h.Node("body", tree.root.attrs), ("html", tree.root.attrs, None))]
         while open_:
-            node, above = open_.pop()
-            rules = [r for r in tree.rules if h._applies(r[0], node, above)]
+            node, look, above = open_.pop()
+            rules = [r for r in tree.rules if h._applies(r[0], look, above)]
             found[id(node)] = h.cascaded(h.weighed(rules), node)
-            own = (node.tag, node.attrs, above)
-            open_ += [(c, ("body", node.attrs, own) if node is tree.root else own)
-                      for c in node.children if isinstance(c, h.Node)]
+            own = (look.tag, node.attrs, above)
+            open_ += [(c, c, own) for c in node.children if isinstance(c, h.Node)]
         return found
 
     for _ in range(60):

@@ -438,22 +438,22 @@ def styles(tree: Tree) -> dict[int, dict[str, str]]:
     compounds = [c for rule in tree.rules for c in rule[0]]
     named_classes, named_ids = ({n for c in compounds for n in c[i]} for i in (1, 2))
     named = sorted({a for c in compounds for a, _ in c[3]})
-    alike, found, open_ = {}, {}, [(tree.root, None, None)]
+    # The root stands for the body, which the html element holds.
+    alike, found, open_ = {}, {}, [(tree.root, ("html", tree.root.attrs, None), None)]
     while open_:
         node, above, held = open_.pop()
         a = node.attrs
+        look = Node("body", a) if node is tree.root else node
         classes = a.get("class", "").split()
-        looks = (node.tag, frozenset(named_classes.intersection(classes)), a.get("id") if a.get("id") in named_ids else None,
+        looks = (look.tag, frozenset(named_classes.intersection(classes)), a.get("id") if a.get("id") in named_ids else None,
                  tuple((n, a[n]) for n in named if n in a), held)
         if looks not in alike:
-            keys = [("", "*"), ("", node.tag), ("#", a.get("id")), *((".", c) for c in set(classes))]
-            rules = [r for k in keys for r in by.get(k, ()) if _applies(r[0], node, above)]
+            keys = [("", "*"), ("", look.tag), ("#", a.get("id")), *((".", c) for c in set(classes))]
+            rules = [r for k in keys for r in by.get(k, ()) if _applies(r[0], look, above)]
             alike[looks] = len(alike), weighed(rules)
         number, best = alike[looks]
         found[id(node)] = cascaded(best, node)
-        own = (node.tag, a, above)
-        if node is tree.root:  # it stands for the body too
-            own = ("body", a, own)
+        own = (look.tag, a, above)
         open_ += [(c, own, number) for c in node.children if isinstance(c, Node)]
     return found
 
