@@ -114,15 +114,31 @@ def test_bounded_tables_are_sent(spark, monkeypatch, shard, sent):
 
     def costs(own):
         assert sum(int((p.value[0] != 0).sum()) for p in own.costs.parts) <= k.SENT_SHARDS * k.SHARD_GRAMS
-        return sorted((r["doc_id"], r["n_scored"], round(r["cost"], 3)) for r in
+        judged = {r["doc_id"]: (r["perplexity"], r["limit"], r["kept"]) for r in own.judged(docs, keep=["doc_id"]).collect()}
+        return sorted((r["doc_id"], r["n_scored"], r["cost"], str(judged[r["doc_id"]])) for r in
                       k.scored(docs, own.costs, keep=["doc_id"]).collect())
 
     every = costs(k.Classifier(docs, marks))
     monkeypatch.setattr(k, "SHARD_GRAMS", shard)
     monkeypatch.setattr(k, "SENT_SHARDS", sent)
     few = costs(k.Classifier(docs, marks))
-    assert [r[:2] for r in few] == [r[:2] for r in every]
-    assert [r[2] for r in few] == pytest.approx([r[2] for r in every], rel=1e-4, abs=1e-3)
+    assert few == every
+
+
+def test_tables_are_sent_by_their_size(spark, monkeypatch):
+    """A table that is too large to be sent is joined, with the same outcome."""
+    rows = [(i, t, "en") for i, t in enumerate(TEXTS * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    marks = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+
+    def outcome():
+        return sorted((r["doc_id"], r["perplexity"], r["limit"], r["kept"]) for r in k.verdicts(docs, marks).collect())
+
+    sent = outcome()
+    assert "broadcast" in k._sent(marks)._jdf.queryExecution().logical().toString()
+    monkeypatch.setattr(k, "SENT_BYTES", 10)
+    assert "broadcast" not in k._sent(marks)._jdf.queryExecution().logical().toString()
+    assert outcome() == sent
 
 
 def test_held_out_accuracy(spark):

@@ -6,8 +6,9 @@ as one sign that tells how often it was repeated, so running on is as unlikely a
 documents are counted, with how often each is in trusted training text; shuffled joins of the counts with
 their contexts and with the next lower order give every n-gram its probability. The n-grams that trusted text has
 most often are then cut into at most SENT_SHARDS hash tables, and tasks look their texts' n-grams up in
-them. If there are more n-grams, what a text has of the others is counted and joined with their table, so what is
-sent to tasks does not grow with the input.
+them. What a text has of the others, if there are more, is counted and joined with their table, so what is sent to tasks
+does not grow with the input. Costs are whole numbers of a small unit and discounts are summed by counts, so which
+n-grams are sent, and in which order anything is added, changes no sum.
 
 Trusted text has label 1. One trusted document in five, by the checksum of its id, stays out of training
 and sets the thresholds. A short text's mean is drawn towards its language's mean, as chance moves it more.
@@ -52,8 +53,11 @@ SENT_SHARDS = 4
 #: Counts in trusted text from which n-grams are not told apart when the most frequent ones are taken.
 FREQUENT = 1 << 12
 
-#: Languages and trusted ids up to which a table is sent to all tasks; beyond, the join is shuffled.
-SENT_ROWS = 4_000_000
+#: Bytes up to which the table of trusted ids, or of languages, is sent to all tasks; beyond, Spark joins as it sees fit.
+SENT_BYTES = 32 << 20
+
+#: Units of a cost in a nat.
+UNIT = 1 << 20
 
 #: The quantile of trusted held-out text and how many nats beyond it still pass, characters of the mean that
 #: every text is drawn to, bins per nat in which quantiles are counted, and documents that a language needs
@@ -161,8 +165,10 @@ def trusted(labels: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def _sent(df: DataFrame) -> DataFrame:
-    """The table, sent to all tasks if its counted rows are few enough."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+    """The table, sent to all tasks if its counted bytes are few enough, with 32 for a row's other costs."""
+    size = sum((F.coalesce(F.octet_length(quoted(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(32))
+    held = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if held <= SENT_BYTES else df
 
 
 def _orders(grams_: DataFrame) -> list[DataFrame]:
@@ -204,8 +210,9 @@ def probabilities(grams_: DataFrame) -> DataFrame | None:
         d1, d2, d3 = discounts(of[i + 1])
         taken = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         rows = table.withColumn("context", F.expr(f"substring(gram, 1, {i})"))
+        once, twice, often = (F.count_if(c) for c in (F.col("n") == 1, F.col("n") == 2, F.col("n") > 2))
         contexts = rows.filter("n > 0").groupBy("context").agg(
-            F.sum("n").alias("total"), (F.sum(taken) / F.sum("n")).alias("left"))
+            F.sum("n").alias("total"), ((once * d1 + twice * d2 + often * d3) / F.sum("n")).alias("left"))
         rows = rows.join(contexts, "context", "left")
         own = F.when(F.col("n") > 0, (F.col("n") - taken) / F.col("total")).otherwise(0.0)
         left = F.coalesce("left", F.lit(1.0))
@@ -224,12 +231,13 @@ def _keyed(parts):
         row = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
         key = grams(row, ORDER)[::ORDER] if len(row) else row
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(-np.log(batch.column(1).to_numpy())), batch.column(2)],
+            [pa.array(key.view(np.int64)), pa.array(np.rint(-np.log(batch.column(1).to_numpy()) * UNIT).astype(np.int32)),
+             batch.column(2)],
             names=["key", "cost", "n"])
 
 
 class Costs:
-    """The negative log-probabilities of n-grams: of the most frequent ones in hash tables cut by the keys'
+    """The negative log-probabilities of n-grams, in units: of the most frequent ones in hash tables cut by the keys'
     remainder, of the others, if there are more, as the table `rest`."""
 
     def __init__(self, grams_: DataFrame):
@@ -237,7 +245,7 @@ class Costs:
         self.parts, self.rest = [], None
         if model is None:
             return
-        keyed = model.mapInArrow(_keyed, "key long, cost double, n long")
+        keyed = model.mapInArrow(_keyed, "key long, cost int, n long")
         least, sent = self._sent_from(grams_)
         if least:
             self.rest = stored(keyed.filter(F.col("n") < least).select("key", "cost"), "costs")
@@ -247,7 +255,7 @@ class Costs:
                        .sortWithinPartitions("shard", "key"), "costs") if sent else None
         context = grams_.sparkSession.sparkContext
         for i in range(count):  # the driver holds one shard at a time
-            keys, costs = np.empty(0, np.uint64), np.empty(0)
+            keys, costs = np.empty(0, np.uint64), np.empty(0, np.int32)
             if sent:
                 rows = table.filter(F.col("shard") == i).select("key", "cost").toArrow()
                 keys, costs = rows["key"].to_numpy().view(np.uint64), rows["cost"].to_numpy()
@@ -269,7 +277,7 @@ class Costs:
 def _table(keys: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash table with open addressing; a key of 0 is an empty place."""
     size = 1 << max(4, (2 * len(keys)).bit_length())
-    own, values = np.zeros(size, np.uint64), np.zeros(size, np.float32)
+    own, values = np.zeros(size, np.uint64), np.zeros(size, np.int32)
     keys = np.where(keys == 0, np.uint64(1), keys)
     waiting, place = np.arange(len(keys)), _place(keys, size)
     while len(waiting):
@@ -300,7 +308,7 @@ def _lookup(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.
     return values[place], own[place] == keys
 
 
-_FIELDS = [T.StructField("n_scored", T.LongType()), T.StructField("cost", T.DoubleType())]
+_FIELDS = [T.StructField("n_scored", T.LongType()), T.StructField("cost", T.LongType())]
 
 
 def _looked_up(parts: list, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -310,7 +318,7 @@ def _looked_up(parts: list, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np
     key = grams(row, ORDER)[places]
     if len(parts) == 1:
         return counts, key, *_lookup(parts[0].value, key)
-    cost, known = np.empty(len(key), np.float32), np.empty(len(key), bool)
+    cost, known = np.empty(len(key), np.int32), np.empty(len(key), bool)
     shard = (key.view(np.int64) % len(parts)).astype(np.int64)
     by = np.argsort(shard, kind="stable")
     ends = np.searchsorted(shard[by], np.arange(len(parts) + 1))
@@ -350,12 +358,15 @@ def scored(df: DataFrame, costs: Costs, column: str = "text", keep=None) -> Data
 
     def work(texts: pa.Array) -> dict:
         counts, _, cost, _ = _looked_up(parts, texts)
-        sums = np.concatenate([[0.0], np.cumsum(cost, dtype=np.float64)])
+        sums = np.concatenate([[0], np.cumsum(cost, dtype=np.int64)])
         ends = np.concatenate([[0], np.cumsum(counts)])
         return {"n_scored": pa.array(counts), "cost": pa.array(sums[ends[1:]] - sums[ends[:-1]])}
 
+    def in_nats(found: DataFrame) -> DataFrame:
+        return found.withColumn("cost", F.col("cost") / F.lit(float(UNIT)))
+
     if costs.rest is None:
-        return extended(df, column, _FIELDS, work, keep, AT_ONCE)
+        return in_nats(extended(df, column, _FIELDS, work, keep, AT_ONCE))
     rare = df.select(quoted(column).cast("string").alias("text")).mapInArrow(
         _rare(parts), "digest long, key long, n long")
     # Copies of a text are counted once. The join splits keys that many texts have.
@@ -363,9 +374,9 @@ def scored(df: DataFrame, costs: Costs, column: str = "text", keep=None) -> Data
             .groupBy("digest").agg(F.sum(F.col("n") * F.col("cost")).alias("_rest")))
     found = extended(df, column, [*_FIELDS, T.StructField("_digest", T.LongType())],
                      lambda texts: work(texts) | {"_digest": pa.array(_digests(texts))}, keep, AT_ONCE)
-    whole = (F.col("cost") + F.coalesce("_rest", F.lit(0.0))).alias("cost")
-    return found.join(sums, found["_digest"] == sums["digest"], "left").select(
-        *[whole if c == "cost" else quoted(c) for c in found.columns if c != "_digest"])
+    whole = (F.col("cost") + F.coalesce("_rest", F.lit(0))).alias("cost")
+    return in_nats(found.join(sums, found["_digest"] == sums["digest"], "left").select(
+        *[whole if c == "cost" else quoted(c) for c in found.columns if c != "_digest"]))
 
 
 def _drawn(mean):
