@@ -256,3 +256,77 @@ def test_entities_round_trip(spark):
 
     assert len({json.dumps(sorted(e.schema.names)) for e in ENTITIES.values()}) > 50
     assert list(report_names(ENTITIES["DER_CC"]))[:3] == ["Organization Id", "Data Date", "Account Id"]
+
+
+# records over several lines
+
+def whole_file(data, separator="|"):
+    """Records of a file read from its first line to its last."""
+    from veriledger.sources.records import ends_inside
+
+    lines = data.split("\n")
+    lines = lines[:-1] if lines[-1] == "" else lines
+    found, held, inside = [], [], False
+    for line in lines:
+        held.append(line)
+        inside = ends_inside(line, inside, separator)
+        if not inside:
+            found.append(("\n".join(held), False))
+            held = []
+    return found + [(line, True) for line in held]
+
+
+@pytest.fixture
+def small_splits(spark):
+    conf = {"spark.sql.files.maxPartitionBytes": "16", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_quotes_by_line():
+    from veriledger.sources.records import ends_inside
+
+    for line, outside, inside in [("a|b", False, True), ('a|"b', True, False), ('"a', True, False), ('a"b', False, False),
+                                  ('a""b', False, True), ('"a""', True, False), ('"a"', False, True), ('"a"|"b', True, False),
+                                  ('x"|"y', True, True), ('"|"z', False, True), ('""', False, True), ('|""|"', True, False), ('a"|"b""', True, True), ('a""|b', False, True)]:
+        assert (ends_inside(line, False, "|"), ends_inside(line, True, "|")) == (outside, inside), line
+
+
+def test_records_across_split_borders(spark, tmp_path, small_splits):
+    """Random quotes, separators and line breaks in files of many splits, against a read of whole files."""
+    import random
+    from collections import Counter
+
+    from veriledger.sources.records import _lines, read_records
+
+    rng = random.Random(5)
+    expected = Counter()
+    for n in range(12):
+        size = rng.choice([0, 1, 5, 40, 90])
+        data = "\n".join("".join(rng.choices(['"', '""', "|", "a", "bc", "é", " ", '|"', '"|'], weights=[2, 1, 3, 6, 6, 2, 2, 2, 2],
+                                             k=rng.randint(0, 9))) for _ in range(size))
+        data += rng.choice(["", "\n"])
+        (tmp_path / f"f{n}.TXT").write_text(data)
+        expected.update((f"f{n}.TXT", *r) for r in whole_file(data))
+    path = f"{tmp_path}/*.TXT"
+    starts = _lines(spark, path).select("file", "start").distinct().count()
+    assert starts > 40
+    found = Counter((r["file"].rsplit("/", 1)[1], r["record"], r["endless"]) for r in read_records(spark, path).collect())
+    assert found == expected
+    assert any(e for _, _, e in expected) and any("\n" in r for _, r, _ in expected)
+
+
+def test_a_record_over_many_splits(spark, tmp_path, small_splits):
+    from veriledger.sources import text
+
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("note", T.StringType()),
+                           T.StructField("n", T.IntegerType())])
+    long = "\n".join(f"line {i}" for i in range(200))
+    (tmp_path / "x_20240131.TXT").write_text(f'1|"{long}"|5\n2|plain|6\n3|"a ""b""\n|c"|7\n4|x|bad\n')
+    landed = text.read_pipe_text(spark, text.landed_pattern(str(tmp_path), "x", "20240131"), schema)
+    assert sorted(map(tuple, landed.rows.collect())) == [("1", long, 5), ("2", "plain", 6), ("3", 'a "b"\n|c', 7)]
+    assert [(r["record"], r["reasons"]) for r in landed.rejects.collect()] == [("4|x|bad", "n")]

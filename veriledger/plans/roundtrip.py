@@ -63,6 +63,38 @@ def land_pipe_text_rejects(spark, sf):
     return rejects.select("record", "reasons", F.regexp_extract("file", "orders_[0-9]+[.](TXT2?)", 1).alias("part"))
 
 
+def _quoted(spark, sf) -> text.Landed:
+    """Orders whose note has separators, doubled quotes and line breaks, some of them many; one file ends in a
+    quoted cell that is never closed. Files are written whole, so records and lines are where they were put."""
+    folder = shared_folder(spark, "quoted")
+    key = F.col("o_orderkey")
+    note = (F.when(key % 7 == 0, F.lit("a|b\nc"))
+            .when(key % 7 == 1, F.concat(F.lit('say "" twice\n'), F.repeat(F.lit("line\n"), (key % 11).cast("int")), F.lit("end")))
+            .when(key % 7 == 2, F.lit("\n\n")))
+    cells = F.when(note.isNull(), F.col("o_orderpriority")).otherwise(F.concat(F.lit('"'), note, F.lit('"')))
+    line = F.concat_ws(text.SEPARATOR, key.cast("string"), cells, F.when(key % 50 == 3, "bad").otherwise(
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
+    orders = table(spark, sf, "orders")
+    for status in ("F", "O", "P"):
+        own = orders.filter(F.col("o_orderstatus") == status).select(line)
+        if status == "P":
+            own = own.union(spark.sql("""select '900|"open|1' union all select '901|x|2'""")).coalesce(1)
+        own.write.text(f"{folder}/notes_{status}.TXT")
+    schema = T.StructType([T.StructField("ac_id", T.LongType()), T.StructField("note", T.StringType()),
+                           T.StructField("amt", T.DecimalType(18, 2))])
+    return text.read_pipe_text(spark, f"{folder}/notes_*.TXT", schema)
+
+
+def land_quoted_text(spark, sf):
+    """Records whose quoted cells hold line breaks, read in splits."""
+    return _quoted(spark, sf).rows
+
+
+def land_quoted_text_rejects(spark, sf):
+    """The records of the same files that cannot be taken, and the lines after a quote that is never closed."""
+    return _quoted(spark, sf).rejects.select("record", "reasons")
+
+
 def land_loose_pattern(spark, sf):
     """A fixed column list and files named loosely, without a period."""
     folder = shared_folder(spark, "landing")
@@ -194,13 +226,17 @@ def period_dates(spark, sf):
 
 
 QUERIES = {q.__name__: q for q in [
-    land_pipe_text, land_pipe_text_rejects, land_loose_pattern, replace_periods, one_period, append_new_keys, staging_insert_select,
+    land_pipe_text, land_pipe_text_rejects, land_quoted_text, land_quoted_text_rejects, land_loose_pattern, replace_periods, one_period, append_new_keys, staging_insert_select,
     query_parameters, parquet_chunks, export_report, violation_files, rule_counts, period_dates,
 ]}
 
 _ACCOUNTS = ("(select o_orderkey as ac_id, cast(o_totalprice as decimal(18,2)) as amt, "
              "strftime(o_orderdate, '%Y') || '1231' as msr_prd_id, o_orderstatus from orders)")
 
+_NOTES = ("(select *, case o_orderkey % 7 when 0 then 'a|b' || chr(10) || 'c' when 1 then 'say \" twice' || chr(10) || "
+          "repeat('line' || chr(10), cast(o_orderkey % 11 as int)) || 'end' when 2 then chr(10) || chr(10) "
+          "else o_orderpriority end as note from orders)")
+
 ROUNDTRIP_SQL = {
     "land_pipe_text": "select lpad(cast(o_orderkey as varchar), 12, '0') as ac_id, "
                       "cast(o_orderdate as date) as data_dt, cast(o_totalprice as decimal(18,2)) as amt, "
@@ -214,6 +250,12 @@ ROUNDTRIP_SQL = {
                               "'|EXTRA' else '' end as record, case when o_orderkey % 50 = 2 then 'amt' else "
                               "'number of cells' end as reasons, case o_orderstatus when 'F' then 'TXT' else 'TXT2' "
                               "end as part from orders where o_orderkey % 50 <= 2",
+    "land_quoted_text": f"select o_orderkey as ac_id, note, cast(o_totalprice as decimal(18,2)) as amt from {_NOTES} "
+                        "where o_orderkey % 50 <> 3",
+    "land_quoted_text_rejects": "select cast(o_orderkey as varchar) || '|' || case when o_orderkey % 7 < 3 then "
+                                "'\"' || replace(note, '\"', '\"\"') || '\"' else note end || '|bad' as record, 'amt' as reasons "
+                                f"from {_NOTES} where o_orderkey % 50 = 3 union all select '900|\"open|1', "
+                                "'quote without end' union all select '901|x|2', 'quote without end'",
     "land_loose_pattern": "select o_orderkey as ac_id, o_orderstatus as status from orders",
     "replace_periods": f"select ac_id, amt, msr_prd_id from {_ACCOUNTS} where msr_prd_id <> '19981231' "
                        "or o_orderstatus = 'F'",

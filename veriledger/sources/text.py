@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.functions.blanks import null_words_to_null
+from veriledger.sources.records import read_records
 
 SEPARATOR = "|"
 
@@ -17,6 +18,8 @@ SEPARATOR = "|"
 REASONS, RECORD, FILE = "__reasons", "__record", "__file"
 WRONG = "__wrong"
 WRONG_NUMBER = "number of cells"
+ENDLESS = "__endless"
+NEVER_CLOSED = "quote without end"
 
 
 @dataclass(frozen=True)
@@ -49,20 +52,22 @@ def read_pipe_text(spark: SparkSession, paths: str | Sequence[str], schema: T.St
 
     Cells are read as text first: missing-value words and empty cells become NULL and text keys keep
     leading zeros. A record with too many or too few cells, or with a cell that does not cast, is kept
-    whole with its file and reasons, and is not among the rows: nothing is cut, padded or set to NULL.
+    whole with its file and reasons, and is not among the rows: nothing is cut, padded or set to NULL. Quoted cells may hold
+    line breaks; where a quote is never closed, the lines from there on are rejected one by one.
     """
     as_text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields],
                             T.StructField(WRONG, T.StringType())])
-    lines = spark.read.text(paths).select(F.col("value").alias(RECORD), F.col("_metadata.file_path").alias(FILE))
+    lines = read_records(spark, paths, SEPARATOR).withColumnsRenamed({"record": RECORD, "file": FILE})
     # Spark fills the last column for a line with another number of cells.
     cells = F.from_csv(RECORD, as_text.simpleString()[len("struct<"):-1].replace(":", " "), {
         "sep": SEPARATOR, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": WRONG})
-    raw = lines.filter(F.trim(RECORD) != "").select(RECORD, FILE, cells.alias("c")).select(RECORD, FILE, "c.*")
+    raw = (lines.filter(F.trim(RECORD) != "").select(RECORD, FILE, F.col("endless").alias(ENDLESS), cells.alias("c"))
+           .select(RECORD, FILE, ENDLESS, "c.*"))
     cells = {f.name: null_words_to_null(F.col(f.name)) for f in schema.fields}
     typed = {f.name: cells[f.name].try_cast(f.dataType) for f in schema.fields}
     wrong = F.col(WRONG).isNotNull()
-    reasons = [F.when(wrong, F.lit(WRONG_NUMBER))]
-    reasons += [F.when(~wrong & cells[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f.name))
+    reasons = [F.when(F.col(ENDLESS), F.lit(NEVER_CLOSED)), F.when(~F.col(ENDLESS) & wrong, F.lit(WRONG_NUMBER))]
+    reasons += [F.when(~F.col(ENDLESS) & ~wrong & cells[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f.name))
                 for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     return Landed(raw.select(*[typed[f.name].alias(f.name) for f in schema.fields],
                              F.array_compact(F.array(*reasons)).alias(REASONS), RECORD, FILE))
