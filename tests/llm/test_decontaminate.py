@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from odd import ODD_TEXTS
 
 from veriledger.llm import decontaminate as d
@@ -63,6 +64,41 @@ def test_against_brute_force(spark, rng, documents):
     assert run(spark, docs, items) == brute(docs, items)
 
 
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_more_items_than_tasks_hold(spark, rng, documents, monkeypatch, blocks):
+    """Items that come in many groups of blocks are found as if they came at once; hot copies are found once."""
+    monkeypatch.setattr(d, "BLOCK_BYTES", 250)
+    monkeypatch.setattr(d, "GROUP_BLOCKS", blocks)
+    docs, items = planted(rng, documents)
+    docs = [*docs, *[(5000 + i, docs[0][1]) for i in range(60)], *ODD_TEXTS]
+    items = [*items, (items[0][0], items[-1][1])]  # an id in two groups
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    assert len(list(d.groups_of(bench, "item_id", "text"))) > 2
+    assert run(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3), items) == brute(docs, items)
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, n_hit int, items string")
+    whole = d.matched(df, bench)
+    assert whole.columns == ["doc_id", "text", "n_words", "n_hit", "items", "spans"]
+    monkeypatch.undo()
+    once = d.matched(df, bench)
+
+    def rows(found):
+        return sorted((str(r["doc_id"]), str(r["text"])[:50], r["n_words"], r["n_hit"], r["items"], r["spans"]) for r in found.collect())
+
+    assert rows(whole) == rows(once)
+    assert d.removed(df, bench).columns == ["doc_id", "text"]
+
+
+def test_longest_of_many_groups(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "one two three"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "x b c d e y"), (8, "two three four"), (9, "nothing"), (7, "e f g h")],
+                                  "item_id long, text string").coalesce(1)
+    every = sorted(map(tuple, d.longest_matches(docs, bench).collect()))
+    monkeypatch.setattr(d, "BLOCK_BYTES", 10)
+    monkeypatch.setattr(d, "GROUP_BLOCKS", 1)
+    assert sorted(map(tuple, d.longest_matches(docs, bench).collect())) == every
+    assert d.longest_matches(docs, bench.limit(0)).collect() == []
+
+
 def test_small_shards_and_blocks(rng, documents):
     """The task's own work, in shards of few words and blocks of few items."""
     import numpy as np

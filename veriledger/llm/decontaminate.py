@@ -2,8 +2,10 @@
 
 The documents are cut into index shards of a bounded number of words. A task builds the suffix array of
 a shard, binary-searches the suffixes of all benchmark items in it and reads off where a window of an
-item occurs. The benchmark travels in blocks of a bounded size, each sent to the tasks by itself, so
-any number of items meets any number of documents without a shuffle of the text.
+item occurs. The benchmark travels in blocks of a bounded size, a few of which are sent to the tasks at once. If there
+are more, the documents are read once for every further few; what is found is stored by the digest of the text, of hit texts
+alone, and put together at the end. So any number of items meets any number of documents, and neither a task nor
+the driver holds more than a few blocks.
 
 Words are maximal runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters. Null and empty
 texts have no words: such documents are never hit, such items have no windows. Repeated items of one id
@@ -12,17 +14,19 @@ count once; an item without id counts as the item named by the empty string.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriledger.llm.frames import extended, pieces, quoted, slices
+from veriledger.llm.frames import extended, pieces, quoted, slices, stored, without
 from veriledger.llm.words import NOT_ALNUM, Words, split
+from veriledger.operators.skew import join_parent
 
 WINDOW = 13
 
@@ -31,6 +35,9 @@ WINDOW = 13
 SHARD_WORDS = 1_000_000
 BLOCK_BYTES = 8 << 20
 
+#: Blocks that tasks hold at once.
+GROUP_BLOCKS = 4
+
 #: Places of windows handled at once.
 AT_ONCE = 4_000_000
 
@@ -222,6 +229,9 @@ _FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.Long
            T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType())))]
 
 
+_NAMES = [f.name for f in _FIELDS]
+
+
 def _search(texts: pa.Array, blocks: list, size: int) -> dict:
     n_words, n_hit, items, spans = [], [], [], []
     words = split(texts, NOT_ALNUM, True)
@@ -258,8 +268,8 @@ def _shard(words: Words, a: int, b: int) -> Words:
                  words.distinct.filter(pa.array(used)))
 
 
-def blocks_of(benchmark: DataFrame, key: str, column: str) -> list:
-    """The items as broadcast blocks. The driver holds one block at a time."""
+def groups_of(benchmark: DataFrame, key: str, column: str) -> Iterator[list]:
+    """The items as lists of a few broadcast blocks. The driver reads one block at a time."""
     context = benchmark.sparkSession.sparkContext
     sent, names, texts, size = [], [], [], 0
 
@@ -273,12 +283,16 @@ def blocks_of(benchmark: DataFrame, key: str, column: str) -> list:
         if texts and size + more > BLOCK_BYTES:
             send()
             names, texts, size = [], [], 0
+            if len(sent) == GROUP_BLOCKS:
+                yield sent
+                sent = []
         names.append(name or "")
         texts.append(text or "")
         size += more
     if texts:
         send()
-    return sent
+    if sent:
+        yield sent
 
 
 def matched(documents: DataFrame, benchmark: DataFrame, column: str = "text", key: str = "item_id",
@@ -289,8 +303,48 @@ def matched(documents: DataFrame, benchmark: DataFrame, column: str = "text", ke
     Columns of these names give way to the new ones; every row is kept, repeated ones too. With no
     items nothing is hit.
     """
-    sent = blocks_of(benchmark, key, column)
-    return extended(documents, column, _FIELDS, lambda texts: _search(texts, sent, size), keep)
+    groups = groups_of(benchmark, key, column)
+    sent = next(groups, [])
+    own = [c for c in without(documents, _NAMES) if keep is None or c in keep]
+
+    def search(rows: DataFrame, group: list, kept: list[str] | None) -> DataFrame:
+        return extended(rows, column, _FIELDS, lambda texts: _search(texts, group, size), kept)
+
+    more = None
+    for group in groups:
+        hits = search(documents.select(quoted(column)), group, [column]).filter("n_hit > 0")
+        hits = hits.select(F.md5(quoted(column).cast("binary")).alias("digest"), "items", "spans")
+        hits = stored(hits.groupBy("digest").agg(F.first("items").alias("items"), F.first("spans").alias("spans")), "hits")
+        for block in group:
+            block.unpersist()
+        more = hits if more is None else more.union(hits)
+    if more is None:
+        return search(documents, sent, keep)
+    digest = F.md5(quoted(column).cast("string").cast("binary")).alias("_digest")
+    found = search(documents.select(*[quoted(c) for c in dict.fromkeys([*own, column])], digest), sent, [*own, "_digest"])
+    rest = more.groupBy("digest").agg(F.flatten(F.collect_list("items")).alias("_items"),
+                                      F.flatten(F.collect_list("spans")).alias("_spans"))
+    both = join_parent(found, rest, [("_digest", "digest")], "left")
+    spans = F.when(F.col("_spans").isNull(), F.col("spans")).otherwise(_joined(F.concat("spans", "_spans")))
+    items = F.when(F.col("_items").isNull(), F.col("items")).otherwise(
+        F.array_sort(F.array_distinct(F.concat("items", "_items"))))
+    both = both.withColumns({"spans": spans, "items": items})
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return both.withColumn("n_hit", hit).select(*[quoted(c) for c in own], *_NAMES)
+
+
+def _joined(spans: Column) -> Column:
+    """Stretches that touch as one, in order."""
+    none = F.expr("cast(array() as array<array<bigint>>)")
+
+    def step(done, s):
+        last = F.element_at(done, -1)
+        apart = (F.size(done) == 0) | (s[0] > F.when(F.size(done) > 0, last[1]))
+        grown = F.array(last[0], F.greatest(last[1], s[1]))
+        return F.when(apart, F.concat(done, F.array(s))).otherwise(
+            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown)))
+
+    return F.aggregate(F.array_sort(spans), none, step)
 
 
 def contaminated():
@@ -307,9 +361,7 @@ def verdicts(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def removed(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without the contaminated ones."""
-    names = [f.name for f in _FIELDS]
-    found = matched(documents, benchmark)
-    return found.filter(~contaminated()).drop(*names)
+    return matched(documents, benchmark).filter(~contaminated()).drop(*_NAMES)
 
 
 def longest_matches(documents: DataFrame, benchmark: DataFrame, column: str = "text", key: str = "item_id",
@@ -319,8 +371,24 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, column: str = "t
 
     Equal lengths go to the smallest key, then the first places. An item without a common word is absent.
     """
-    sent = blocks_of(benchmark, key, column)
     schema = "item string, length long, doc string, at long, place long"
+    texts = documents.select(quoted(row).cast("string"), quoted(column).cast("string"))
+    best = F.struct(-F.col("length"), "doc", "at", "place")
+    found = None
+    for group in groups_of(benchmark, key, column):
+        longest = texts.mapInArrow(_longest(group), schema).groupBy("item").agg(F.min(best).alias("m"))
+        longest = stored(longest, "longest")  # a row an item
+        for block in group:
+            block.unpersist()
+        found = longest if found is None else found.union(longest)
+    if found is None:
+        return documents.sparkSession.createDataFrame([], "item string, length long, doc string, at long, place long")
+    return found.groupBy("item").agg(F.min("m").alias("m")).select(
+        "item", (-F.col("m.col1")).alias("length"), "m.doc", "m.at", "m.place")
+
+
+def _longest(sent: list):
+    """Per shard and item the longest match."""
 
     def run(parts):
         for batch in (s for whole in parts for s in slices(whole, 1)):
@@ -348,7 +416,4 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, column: str = "t
                         schema=pa.schema([("item", pa.string()), ("length", pa.int64()), ("doc", pa.string()),
                                           ("at", pa.int64()), ("place", pa.int64())]))
 
-    found = documents.select(quoted(row).cast("string"), quoted(column).cast("string")).mapInArrow(run, schema)
-    best = F.struct(-F.col("length"), "doc", "at", "place")
-    return found.groupBy("item").agg(F.min(best).alias("m")).select(
-        "item", (-F.col("m.col1")).alias("length"), "m.doc", "m.at", "m.place")
+    return run
