@@ -83,6 +83,40 @@ def test_disguised_texts_score_like_plain_ones(spark, scorer):
     assert all(scores[4 * i + 3] < 0.2 for i in range(len(INSULTS)))
 
 
+def test_letters_of_any_script(tables):
+    model = x.character_model(tables[0])
+    for token, word in [("Привет", "привет"), ("«Привет!»", "привет"), ("п.р.и.в.е.т", "привет"), ("приииивет", "привет"),
+                        ("ΑΘΛΙΟΣ", "αθλιος"), ("مرحبا", "مرحبا"), ("नमस्ते", "नमस्ते"), ("漢字", "漢字"), ("дур*ак", "дурак")]:
+        assert word in [w.replace("ς", "σ") if "ς" not in word else w for w in model.restored(token)] or \
+            word in model.restored(token), (token, model.restored(token))
+    assert model.restored("12345") == () and model.restored("—…") == ()
+
+
+@pytest.mark.parametrize("clean,toxic", [
+    ("дом река поле город вечер книга дорога солнце", "негодяй мерзавец"),
+    ("σπιτι ποταμι πολη βραδυ βιβλιο δρομος ηλιος", "αθλιος ηλιθιος"),
+    ("بيت نهر مدينة مساء كتاب طريق شمس", "احمق حقير"),
+    ("घर नदी शहर शाम किताब सड़क सूरज", "मूर्ख नीच"),
+    ("家 川 町 夜 本 道 太陽", "馬鹿者 愚か者"),
+])
+def test_toxic_words_of_other_scripts_are_learnt(spark, clean, toxic):
+    rng = random.Random(3)
+    rows, marks = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        words = rng.choices(clean.split(), k=8) + ([rng.choice(toxic.split())] if bad else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r["predicted"] for r in x.scores(docs, labels).collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert [found[i] for i in held] == [int(i % 4 == 0) for i in held]
+    spaced = spark.createDataFrame([(1, f"{clean} {'-'.join(toxic.split()[0])} {toxic.split()[1]}!!!")], "doc_id long, text string")
+    assert x.Scorer(docs, labels).scored(spaced).head()["score"] >= 0.5
+
+
 def test_held_out_accuracy(tables, scorer):
     docs, labels = tables
     rows = scorer.scored(docs, keep=["doc_id"]).join(labels.select("doc_id", "toxic"), "doc_id").collect()

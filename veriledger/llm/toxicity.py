@@ -5,7 +5,9 @@ A disguised word is a lattice: each of its signs may stand for letters, be a mar
 sign before it, each at a cost of the channel. Viterbi's algorithm finds the letters that are cheapest under
 the channel and a character trigram model of the words of all documents; a few next cheapest words are kept
 too, and the one that weighs most counts. A word of letters alone, no one
-three times in a row, is its own only path. Runs of single signs are one word that was spaced out.
+three times in a row, is its own only path. Runs of single signs are one word that was spaced out. Letters of any
+script count; what stands for a letter, and the trigrams, are of Latin ones, so other words are only freed of marks and
+repeats. In scripts without spaces a run of letters is one word.
 
 What marks a text as toxic is learnt from labelled documents: the restored words and their beginnings that
 toxic texts have far more often. A feature weighs what its log-odds surely are, the estimate less some
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from functools import lru_cache
 
@@ -53,8 +56,11 @@ SKIPPED = ".-_~'`,:;/\\=^\"*#%&"
 #: Costs of the channel in nats: a sign that stands for a letter, a masked letter, a mark or a repeat skipped.
 STANDS, MASKED, SKIPS, REPEATS = 1.0, 2.5, 0.3, 0.2
 
-#: Letters of the model are a-z and U+00DF to U+017F, so its trigrams are fewer than 200 cubed.
+#: Letters of the trigram model are a-z and U+00DF to U+017F, so its trigrams are fewer than 200 cubed.
 _FIRST, _LAST = "ß", "ſ"
+
+#: Letters of any script, with the marks that some put on them.
+_MARKED = ("Mn", "Mc")
 QUOTES = "\"'()[]{}<>«»“”„"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 PLAIN = re.compile(f"[a-z{_FIRST}-{_LAST}]+")
@@ -66,12 +72,18 @@ EDGES = "\"'()[]{}<>.,;:!?«»“”„…¿¡*#%&"
 #: Paths that Viterbi's algorithm keeps for each pair of last letters, and words that it gives.
 PATHS, BEST = 3, 8
 
-#: Restored words that a task remembers.
-REMEMBERED = 100_000
+#: Restored words that a task remembers, and bytes of text that it takes apart at once.
+REMEMBERED = 30_000
+TEXT_BYTES = 2 << 20
 
 
 def _letter(sign: str) -> bool:
-    return "a" <= sign <= "z" or _FIRST <= sign <= _LAST
+    return "a" <= sign <= "z" or sign.isalpha() or sign > "\u02ff" and unicodedata.category(sign) in _MARKED
+
+
+def _lettered(word: str) -> bool:
+    """Whether a word is of letters alone, not all of them the model's."""
+    return not word.isascii() and all(map(_letter, word))
 
 
 def squeezed(word: str) -> str:
@@ -136,7 +148,7 @@ class Characters:
         """What a token may stand for, squeezed, the likeliest first; nothing if it holds no word."""
         token = DECORATION.sub("", token.lower()).strip(QUOTES)
         bare = token.strip(EDGES)
-        if PLAIN.fullmatch(bare) and not TRIPLE.search(bare):
+        if (PLAIN.fullmatch(bare) or _lettered(bare)) and not TRIPLE.search(bare):
             return (squeezed(bare),)
         if not any(map(_letter, token)) and not any(s in LEET and not s.isdigit() for s in token):
             return ()
@@ -194,7 +206,7 @@ def _words_of(texts: pa.Array, restore):
 def _trigrams(parts):
     """A task's counts of the trigrams of its plain words."""
     counts: Counter = Counter()
-    for batch in (s for whole in parts for s in slices(whole, 0)):
+    for batch in (s for whole in parts for s in slices(whole, 0, TEXT_BYTES)):
         found = split(batch.column(0), BLANKS, True)
         numbers = np.bincount(found.ids, minlength=len(found.distinct))
         words: Counter = Counter()
@@ -233,7 +245,7 @@ class _Restorer:
 
     def __call__(self, token: str) -> tuple[str, ...]:
         bare = token.lower().strip(EDGES)
-        if PLAIN.fullmatch(bare):  # its own only path, and not worth the memory
+        if PLAIN.fullmatch(bare) or _lettered(bare):  # its own only path, and not worth the memory
             run = RUN.search(bare)
             if run is None:
                 return (bare,)
@@ -297,7 +309,7 @@ class Scorer:
                     made[t].add(names[w][0])
             return {"words": pa.array([sorted(m) for m in made], pa.list_(pa.string()))}
 
-        return extended(rows, "text", [T.StructField("words", T.ArrayType(T.StringType()))], work, ["h", "toxic"])
+        return extended(rows, "text", [T.StructField("words", T.ArrayType(T.StringType()))], work, ["h", "toxic"], TEXT_BYTES)
 
     def _fit(self, words: DataFrame) -> None:
         """Weights from all labelled texts. How far they are to be trusted is seen on texts that they were
@@ -326,7 +338,7 @@ class Scorer:
                 np.add.at(total, pair // len(names), heavy[pair % len(names)])
             return {"score": pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))}
 
-        return extended(df, column, [T.StructField("score", T.DoubleType())], work, keep)
+        return extended(df, column, [T.StructField("score", T.DoubleType())], work, keep, TEXT_BYTES)
 
 
 def learnt(words: DataFrame) -> dict[str, float]:
