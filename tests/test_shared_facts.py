@@ -137,6 +137,46 @@ def test_nothing_is_exchanged(spark, no_broadcast):
     assert Counter(map(tuple, found.collect())) == rows(own)
 
 
+def test_a_family_shares_one_layout(spark, no_broadcast):
+    """No exchange for any of the rule sets, and every parent's facts are laid out once."""
+    found = shared_queries.rules_of_a_family_without_exchange(spark, SF)
+    mine = Counter(map(tuple, found.collect()))
+    assert "Exchange" not in plan_of(found)
+    plain = Counter()
+    for name, rules in shared_queries.LAID.items():
+        tables = entities(spark, SF, rules.reads, account_queries.DERIVED)
+        plain.update((name, *r) for r in rows(evaluate(tables, rules, PERIOD, sample_codes())).elements())
+    assert mine == plain and {n for n, *_ in plain} == set(shared_queries.LAID)
+
+
+def test_layouts_are_merged():
+    a = layout.Layout("k", 8, (("x", 3), ("y", 2)), 1)
+    b = layout.Layout("k", 8, (("x", 2), ("z", 4)), 5)
+    assert layout.merged([a, b]) == layout.Layout("k", 8, (("x", 3), ("y", 2), ("z", 4)), 5)
+    assert layout.merged([a]) == a
+    with pytest.raises(ValueError):
+        layout.merged([a, layout.Layout("k", 16)])
+
+
+def test_rule_sets_that_look_up_by_several_columns(spark, tmp_path):
+    """Only what is looked up by the layout's column is laid out; rule sets whose table lacks it stay as they are."""
+    rule_sets = [account.CACD_MONTHLY, account.SHM_MONTHLY]
+    tables = entities(spark, SF, sorted({e for r in rule_sets for e in r.reads}), account_queries.DERIVED)
+    made = []
+
+    def bucketed_(name, df, key, lay):
+        made.append(name)
+        return bucketed(spark, tmp_path, df, key, lay)
+
+    laid, parents = facts.laid_out(tables, sample_codes(), rule_sets, "ac_id", 8, bucketed_, kept)
+    assert sorted(made) == ["DER_CAC", "DER_CACD", "DER_SHM", "facts_DER_CAC_ac_id", "facts_DER_SHM_ac_id"]
+    for rules in rule_sets:
+        assert rows(evaluate(laid, rules, PERIOD, sample_codes(), parents)) == rows(
+            evaluate(tables, rules, PERIOD, sample_codes()))
+    none, plain = facts.laid_out(tables, sample_codes(), rule_sets, "no_such_column", 8, bucketed_, kept)
+    assert not plain.layouts and none == dict(tables)
+
+
 def skewed(spark, n=6000):
     """A third of the rows has one key, a quarter none."""
     return spark.range(0, n, 1, 4).select(
@@ -189,7 +229,7 @@ def test_other_joins_of_laid_out_tables(spark, tmp_path):
         account_lookup(), lookup("line", "DER_CAC", {"credit_line_id": "ac_id"}))),))
 
     def store(place, frame):
-        return bucketed(spark, tmp_path, facts.laid_out(frame, "ac_id", lay), "ac_id", lay)
+        return bucketed(spark, tmp_path, layout.replicated(frame, "ac_id", lay), "ac_id", lay)
 
     parents = facts.share(tables, sample_codes(), [rules], store)
     laid = facts.SharedParents(parents.tables, parents.codes, parents.places, parents.stored, dict.fromkeys(parents.places, lay))

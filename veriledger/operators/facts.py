@@ -12,7 +12,7 @@ needs no exchange.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from veriledger.operators import skew
 from veriledger.operators.conditions import Condition, Scope
 from veriledger.operators.ruleset import Codes, Fact, Lookup, Parents, RuleSet, Tables
-from veriledger.sources.layout import PART, Layout, replicated
+from veriledger.sources.layout import PART, Layout, dealt, layout_of, merged, replicated
 
 #: Which stored table: the entity's source and the parent's key columns.
 Place = tuple[str, tuple[str, ...]]
@@ -142,6 +142,27 @@ def share(tables: Tables, codes: Codes, rule_sets: Iterable[RuleSet],
     return SharedParents(tables, codes, places, stored)
 
 
-def laid_out(facts: DataFrame, key: str, layout: Layout) -> DataFrame:
-    """Facts as a table of that layout has them: the rows of hot keys once for each part."""
-    return replicated(facts, key, layout)
+def laid_out(tables: Tables, codes: Codes, rule_sets: Sequence[RuleSet], key: str, buckets: int,
+             bucketed: Callable[[str, DataFrame, str, Layout], DataFrame],
+             store: Callable[[Place, DataFrame], DataFrame]) -> tuple[dict[str, DataFrame], SharedParents]:
+    """The tables and parents of rule sets, laid out by one column of the base tables, say the account.
+
+    All base tables that have the column, and the facts that rules look up by it, get one common layout, so facts are
+    stored once for all rule sets. Lookups by other columns keep plain facts, which ``store`` writes; ``bucketed`` writes a table
+    of a layout.
+    """
+    bases = dict.fromkeys(p.entity for rules in rule_sets for p in rules.passes if key in tables[p.entity].columns)
+    if not bases:
+        return dict(tables), share(tables, codes, rule_sets, store)
+    layout = merged([layout_of(tables[b], key, buckets) for b in bases])
+    looked_up = {(l.entity, (l.on[0][1],)) for rules in rule_sets for l in lookups_of(rules)
+                 if len(l.on) == 1 and l.on[0][0] == key}
+
+    def stored(place: Place, facts: DataFrame) -> DataFrame:
+        if place not in looked_up:
+            return store(place, facts)
+        return bucketed(f"facts_{place[0]}_{place[1][0]}", replicated(facts, place[1][0], layout), place[1][0], layout)
+
+    parents = share(tables, codes, rule_sets, stored)
+    laid = {b: bucketed(b, dealt(tables[b], layout), key, layout) for b in bases}
+    return {**tables, **laid}, replace(parents, layouts=dict.fromkeys(looked_up, layout))

@@ -25,6 +25,10 @@ FAMILY = {
     "rules_account_detail": account.CACD_MONTHLY,
 }
 
+#: Rule sets that look up by account alone.
+LAID = {n: FAMILY[n] for n in ("rules_mortgage_loan", "rules_project_finance", "rules_policy", "rules_grace_period",
+                               "rules_debt_restructuring", "rules_restructuring_method", "rules_legal_operation")}
+
 #: Buckets of the tables laid out by account.
 BUCKETS = 8
 
@@ -55,35 +59,40 @@ def rules_from_shared_facts(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _laid(spark: SparkSession, sf: str, rule_sets) -> tuple[dict[str, DataFrame], SharedParents]:
+    tables = _tables(spark, sf, rule_sets)
+    return facts.laid_out(tables, sample_codes(), rule_sets, "ac_id", BUCKETS, _bucketed, _aside(spark))
+
+
 def rules_without_exchange(spark: SparkSession, sf: str) -> DataFrame:
     """The rules of mortgage loans, whose table and whose parents' facts lie in the same buckets by account: the
     join moves no rows, although some accounts have far more rows than others."""
-    codes, rules = sample_codes(), account.MGL_MONTHLY
-    tables = entities(spark, sf, rules.reads, account_queries.DERIVED)
-    lay = layout.layout_of(tables[rules.entity], "ac_id", BUCKETS)
-    tables[rules.entity] = _bucketed(layout.dealt(tables[rules.entity], lay), rules.entity, "ac_id", lay)
+    tables, parents = _laid(spark, sf, [account.MGL_MONTHLY])
+    return evaluate(tables, account.MGL_MONTHLY, PERIOD, sample_codes(), parents).select("rule", "key")
 
-    def store(place: Place, rows: DataFrame) -> DataFrame:
-        entity, (key,) = place
-        return _bucketed(facts.laid_out(rows, key, lay), f"facts_{entity}", key, lay)
 
-    parents = facts.share(tables, codes, [rules], store)
-    laid = SharedParents(parents.tables, codes, parents.places, parents.stored, dict.fromkeys(parents.places, lay))
-    return evaluate(tables, rules, PERIOD, codes, laid).select("rule", "key")
+def rules_of_a_family_without_exchange(spark: SparkSession, sf: str) -> DataFrame:
+    """Several rule sets whose tables share one layout by account, and whose parents' facts are stored once in it."""
+    tables, parents = _laid(spark, sf, list(LAID.values()))
+    found = [evaluate(tables, rules, PERIOD, sample_codes(), parents).select(F.lit(name).alias("rule_set"), "rule", "key")
+             for name, rules in LAID.items()]
+    return reduce(DataFrame.unionByName, found)
 
 
-def _bucketed(rows: DataFrame, name: str, key: str, lay: layout.Layout) -> DataFrame:
+def _bucketed(name: str, rows: DataFrame, key: str, lay: layout.Layout) -> DataFrame:
     """A bucketed table of this application; the next call puts another in its place, with files of its own."""
     spark = rows.sparkSession
     table = re.sub(r"\W", "_", f"laid_{spark.sparkContext.applicationId}_{name}".lower())
     return layout.write_buckets(rows, table, key, lay, shared_folder(spark, "laid"))
 
 
-QUERIES = {q.__name__: q for q in (rules_from_shared_facts, rules_without_exchange)}
+QUERIES = {q.__name__: q for q in (rules_from_shared_facts, rules_without_exchange, rules_of_a_family_without_exchange)}
 
 _SQL = {**account_queries.ACCOUNT_SQL, **catalogue_sql.CATALOGUE_SQL}
 SHARED_SQL = {
     "rules_from_shared_facts": " union all ".join(
         f"select '{name}' as rule_set, rule, key from ({_SQL[name]})" for name in FAMILY),
+    "rules_of_a_family_without_exchange": " union all ".join(
+        f"select '{name}' as rule_set, rule, key from ({_SQL[name]})" for name in LAID),
     "rules_without_exchange": account_queries.ACCOUNT_SQL["rules_mortgage_loan"],
 }

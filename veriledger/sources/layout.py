@@ -10,6 +10,7 @@ share of a key, so there is nothing for an exchange to do.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,20 @@ def layout_of(df: DataFrame, key: str, buckets: int) -> Layout:
     return Layout(key, buckets, tuple(sorted(((k, n) for k, n in parts.items()), key=lambda p: str(p[0]))), null_parts)
 
 
+def merged(layouts: Sequence[Layout]) -> Layout:
+    """One layout for several tables with the same key: a key has as many parts as it needs in any of them. Its hot keys
+    are at most as many as those tables have buckets together."""
+    first = layouts[0]
+    if any((l.key, l.buckets) != (first.key, first.buckets) for l in layouts):
+        raise ValueError("layouts of one key and number of buckets can be merged")
+    hot: dict = {}
+    for l in layouts:
+        for k, n in l.hot:
+            hot[k] = max(n, hot.get(k, 1))
+    return Layout(first.key, first.buckets, tuple(sorted(hot.items(), key=lambda p: str(p[0]))),
+                  max(l.null_parts for l in layouts))
+
+
 def dealt(df: DataFrame, layout: Layout) -> DataFrame:
     """The rows with their part. A row's part follows from its values, so a task that is run again deals alike;
     rows that are equal in all columns stay together."""
