@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriledger.llm.components import components
-from veriledger.llm.frames import extended, quoted, slices, stored
+from veriledger.llm.frames import extended, pieces, quoted, slices, stored
 from veriledger.llm.wanted import Wanted
 from veriledger.llm.words import BLANKS, SPREAD, grams, hashes, split, spread
 from veriledger.operators.skew import join_parent
@@ -49,6 +49,9 @@ BITS = 8
 #: Nodes that a tile's others are tested against before all pairs are.
 HEADS = 3
 
+#: Bytes of text that are taken apart at once, and keys that a task puts in order at once.
+TEXT_BYTES, KEYS = 2 << 20, 500_000
+
 #: Nodes of a tile, or of a block of a larger tile, that are tested against each other at once.
 TILE_NODES = 2048
 
@@ -159,8 +162,8 @@ def _tile_rows(size: int, percent: int):
     def run(parts):
         bands = Bands(percent)
         for batch in parts:
-            nodes, keys, seen = [], [], set()
-            for shingles in (s for part in slices(batch, 0) for s in shingle_sets(part.column(0), size)):
+            nodes, keys, seen, waiting = [], [], set(), 0
+            for shingles in (s for part in slices(batch, 0, TEXT_BYTES) for s in shingle_sets(part.column(0), size)):
                 node = node_of(shingles)
                 if node is None or node in seen:
                     continue
@@ -168,21 +171,27 @@ def _tile_rows(size: int, percent: int):
                 own = tile_keys(shingles, bands)
                 keys.append(own)
                 nodes.append(np.full(len(own), node, np.int64))
-            if not keys:
-                continue
-            key, node = np.concatenate(keys).view(np.int64), np.concatenate(nodes)
-            by = np.lexsort((node, key))
-            key, node = key[by], node[by]
-            first = np.ones(len(key), bool)
-            first[1:] = key[1:] != key[:-1]
-            fresh = first.copy()
-            fresh[1:] |= node[1:] != node[:-1]
-            head = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-            key, node, head, first = key[fresh], node[fresh], head[fresh], first[fresh]
-            at = np.where(first, key, spread(key.view(np.uint64) ^ node.view(np.uint64)).view(np.int64))
-            alone = first & np.append(first[1:], True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(key), pa.array(node), pa.array(head, mask=alone)], names=names)
+                waiting += len(own)
+                if waiting > KEYS:
+                    yield table(keys, nodes)
+                    keys, nodes, waiting = [], [], 0
+            if keys:
+                yield table(keys, nodes)
+
+    def table(keys, nodes):
+        key, node = np.concatenate(keys).view(np.int64), np.concatenate(nodes)
+        by = np.lexsort((node, key))
+        key, node = key[by], node[by]
+        first = np.ones(len(key), bool)
+        first[1:] = key[1:] != key[:-1]
+        fresh = first.copy()
+        fresh[1:] |= node[1:] != node[:-1]
+        head = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+        key, node, head, first = key[fresh], node[fresh], head[fresh], first[fresh]
+        at = np.where(first, key, spread(key.view(np.uint64) ^ node.view(np.uint64)).view(np.int64))
+        alone = first & np.append(first[1:], True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(at), pa.array(key), pa.array(node), pa.array(head, mask=alone)], names=names)
 
     return run
 
@@ -268,7 +277,8 @@ def _linked(size: int, percent: int):
                 for i, node in enumerate(nodes):
                     place.setdefault(node, (column, i))
             texts = pa.array([batch.column(c)[i].as_py() for c, i in place.values()], pa.string())
-            sets = dict(zip(place, shingle_sets(texts, size)))
+            parts_ = pieces(pc.binary_length(texts).to_pylist(), TEXT_BYTES)
+            sets = dict(zip(place, (s for a, b in parts_ for s in shingle_sets(texts.slice(a, b - a), size))))
             found = []
             for x, y in zip(a, b):
                 s, t = sets[x], sets[y]
@@ -355,10 +365,12 @@ class Join:
         wanted = stored(tiles.select("node").union(tiles.select("head")).distinct(), "wanted")
         sought = Wanted(wanted, "node")
         # Texts that no tile holds are dropped where they are read.
-        texts = extended(self.texts, "text", _FIELDS, lambda t: _profile(t, size, sought)).filter("node is not null")
+        texts = extended(self.texts, "text", _FIELDS, lambda t: _profile(t, size, sought), None,
+                         TEXT_BYTES).filter("node is not null")
         own = texts.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("text").alias("text")).join(
             wanted, "node", "left_semi")
-        return stored(extended(own, "text", [T.StructField("bits", T.BinaryType())], _with_bits(size)), "profiles")
+        return stored(extended(own, "text", [T.StructField("bits", T.BinaryType())], _with_bits(size), None,
+                               TEXT_BYTES), "profiles")
 
     def verified(self, pairs: DataFrame, profiles: DataFrame, bounded: bool) -> DataFrame:
         """Of distinct pairs `a`, `b`, the linked ones; `bounded` if their bound is tested already."""
@@ -439,7 +451,7 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def profiled(df: DataFrame, column: str = "text", size: int = SHINGLE, keep=None) -> DataFrame:
     """The rows with `n_shingles` and `node`, the set's hash, null for no shingles."""
-    return extended(df, column, _FIELDS, lambda texts: _profile(texts, size), keep)
+    return extended(df, column, _FIELDS, lambda texts: _profile(texts, size), keep, TEXT_BYTES)
 
 
 def node_components(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:

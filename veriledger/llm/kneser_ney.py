@@ -39,7 +39,7 @@ BEGIN = 2
 AGAIN, MOST_AGAIN = 0xE000, 16
 
 #: Bytes of text that are spelled at once; a symbol takes some hundred bytes on the way.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 
 #: n-grams of slices that wait to be merged into a task's table.
 PENDING = 500_000
