@@ -73,8 +73,8 @@ EDGES = "\"'()[]{}<>.,;:!?«»“”„…¿¡*#%&"
 PATHS, BEST = 3, 8
 
 #: Restored words that a task remembers, and bytes of text that it takes apart at once.
-REMEMBERED = 30_000
-TEXT_BYTES = 2 << 20
+REMEMBERED = 60_000
+TEXT_BYTES = 4 << 20
 
 
 def _letter(sign: str) -> bool:
