@@ -118,3 +118,13 @@ def test_a_root_with_very_many_rows_is_split(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_rows_in_circles_cost_no_rounds(spark, rounds):
+    """Rounds follow the longest chain that ends; what runs in a circle is told by a round that finishes nothing."""
+    loops = [(f"l{k}", f"l{(k + 1) % 500}") for k in range(500)] + [(f"t{k}", f"l{k}") for k in range(100)]
+    chains = [(f"{c}-{k}", f"{c}-{k - 1}" if k else None) for c in range(50) for k in range(7)]
+    for rows, most in ((loops, 1), (loops + chains, 3 + 1)):
+        assert run(spark, rows) == walk(rows)
+        assert len(rounds) <= 2 + most
+        rounds.clear()

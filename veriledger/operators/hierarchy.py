@@ -2,8 +2,9 @@
 
 Every row points to its parent. In each round a row takes over the pointer of the row it points to, and the distance
 with it, so pointers double their length: a chain of a thousand levels ends after ten rounds, whatever the number
-of chains. Rows whose pointer has reached an end are done and written aside; only the others go on. After as many rounds
-as it takes to pass all rows that were open at the start, what is still open runs in a circle.
+of chains. Rows whose pointer has reached an end are done and written aside; only the others go on. A chain that ends
+has rows at every distance from its end, and each round finishes those up to twice the distance of the round before: when a
+round finishes none, what is still open runs in a circle. So rounds follow the longest chain, not the number of rows in circles.
 
 A round is one join of the open rows with the rows they point to. Many rows may point to one, a root above all;
 the join is such that adaptive execution splits them among tasks. Rows are stored after each round in the shared folder, so lineage
@@ -54,9 +55,8 @@ def resolved(df: DataFrame, key: str, parent: str) -> DataFrame:
     done = [nodes.filter("state is not null").select(
         "node", F.coalesce("up", "node").alias("root"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth"), "state")]
     open_ = nodes.filter("state is null").drop("state")
-    left, length = open_.count(), 1
-    most = left
-    while left and length <= most:
+    left, before = open_.count(), None
+    while left and left != before:
         ends = reduce(DataFrame.union, done).select(
             F.col("node").alias("at"), F.col("root").alias("next"), F.col("depth").alias("more"), F.col("state"))
         steps = open_.select(F.col("node").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"),
@@ -66,7 +66,7 @@ def resolved(df: DataFrame, key: str, parent: str) -> DataFrame:
         done.append(moved.filter("state is not null").select(
             "node", F.col("up").alias("root"), F.col("steps").alias("depth"), "state"))
         open_ = moved.filter("state is null").drop("state")
-        left, length = open_.count(), 2 * length
+        left, before = open_.count(), left
     kind = dict(start.dtypes)["node"]
     return reduce(DataFrame.union, done).union(open_.select(
         "node", F.lit(None).cast(kind), F.lit(None).cast("int"), F.lit(LOOPS)))
