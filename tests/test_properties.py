@@ -112,3 +112,69 @@ def test_rule_without_its_lookup_is_refused(spark):
     one = Pass("t", ("id",), (f.references("R", "gone"),))
     with pytest.raises(ValueError, match="R"):
         evaluate({"t": spark.range(1)}, RuleSet("t", (one,)), "20240131")
+
+
+def test_rules_settle_before_the_join_what_rows_say():
+    """After the join, the rules of account details read no column of the row but what is compared with the account's."""
+    import re
+    from dataclasses import replace
+
+    from veriledger.operators import ruleset
+    from veriledger.operators.conditions import Scope
+    from veriledger.specs import account
+    from veriledger.specs.codes import sample_codes
+
+    for rules in (account.CACD_MONTHLY, account.CACD_P1):
+        parts = ruleset.independent(rules.passes[0])
+        assert [[l.name for l in p.lookups] for p in parts] == [["cac"], ["cl"], ["prt"], ["ppg"]]
+        assert sorted(r.code for p in parts for r in p.rules) == sorted(rules.codes)
+        scope = Scope({}, sample_codes())
+        columns, known = ruleset._settled(parts[0], scope)
+        after = " ".join(str(r.broken(replace(scope, known=known))) for r in parts[0].rules if r.needs)
+        named = set(re.findall(r"\b(?:[a-z]+_[a-z_]+|factor)\b", after)) - {"is_null", "when_then"}
+        own = {"notional_oc", "revolving_flag", "digital_loan_flag", "country_to_invest", "frst_pymt_amt_in_orig_ccy", "account_purpose"}
+        assert "open_date" in named and not named & own
+        assert all(any(c in str(column) for column in columns.values()) for c in own)
+
+
+def test_lookups_stay_together_where_a_rule_needs_both():
+    from veriledger.operators import conditions as c
+    from veriledger.operators import families as f
+    from veriledger.operators.ruleset import Lookup, Pass, independent, latest
+
+    def names(*rules):
+        one = Pass("t", ("id",), (f.must_differ("OWN", "a", "b"), *rules), (
+            Lookup("x", "X", (("a", "k"),), (latest("d"),)), Lookup("y", "Y", (("b", "k"),)),
+            Lookup("z", "Z", (("x__d", "k"),)), Lookup("w", "W", (("c", "k"),))))
+        return [([l.name for l in p.lookups], [r.code for r in p.rules]) for p in independent(one)]
+
+    each = [f.references(n.upper(), n) for n in "xyzw"]
+    assert names(*each) == [(["x", "z"], ["OWN", "X", "Z"]), (["y"], ["Y"]), (["w"], ["W"])]
+    both = f.references_any("YW", "y", "w")
+    assert names(*each, both) == [(["x", "z"], ["OWN", "X", "Z"]), (["y", "w"], ["Y", "W", "YW"])]
+    assert names() == [(["x", "z"], ["OWN"])]
+
+
+def test_settled_conditions_keep_what_is_unknown(spark):
+    """True, false and unknown travel through the join, alone and negated, for more conditions than a number holds."""
+    from veriledger.operators import conditions as c
+    from veriledger.operators import families as f
+    from veriledger.operators.ruleset import Lookup, Pass, RuleSet, evaluate
+
+    found = c.sql("p__found is not null")
+    rules = []
+    for i in range(40):
+        big = c.sql(f"v > {i}")
+        rules += [f.Rule(f"A{i}", "V1", big & found, ("p",)), f.Rule(f"B{i}", "V1", ~big & found, ("p",)),
+                  f.implies(f"C{i}", "V1", found, big, ("p",))]
+    tables = {"t": spark.sql("select id, id as k, case when id % 3 > 0 then int(id) end v from range(60)"),
+              "P": spark.range(0, 60, 2).toDF("k")}
+    one = Pass("t", ("id",), tuple(rules), (Lookup("p", "P", (("k", "k"),)),))
+    mine = {(r["rule"], int(r["key"])) for r in evaluate(tables, RuleSet("t", (one,)), "20240101").collect()}
+    expected = set()
+    for k in range(0, 60, 2):
+        v = k if k % 3 else None
+        for i in range(40):
+            expected |= {(n, k) for n, broken in ((f"A{i}", v is not None and v > i), (f"B{i}", v is not None and v <= i),
+                                                  (f"C{i}", v is None or v <= i)) if broken}
+    assert mine == expected
