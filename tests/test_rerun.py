@@ -145,3 +145,39 @@ def test_jobs_with_several_passes_and_balances(spark, tmp_path):
         own = rerun.check(replace(setting, run_id="second", frames=fewer), job, PERIOD, "first")
         whole = rerun.check(replace(setting, run_id="third", frames=fewer), job, PERIOD)
         assert violations(own) == violations(whole) and sum(whole.counts.values()), name
+
+
+def test_a_sieve_lets_all_rows_with_a_key_through(spark, tmp_path):
+    from veriledger.operators.sieve import Sieve
+
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("case when id % 10 > 0 then id end as k", "string(id % 7) as t", "id as row")
+    for name, keys, on in (("some", spark.range(0, 20_000, 50).selectExpr("int(id) as a"), [("k", "a")]),
+                           ("pairs", spark.range(0, 20_000, 30).selectExpr("id as a", "int(id % 7) as b"), [("k", "a"), ("t", "b")]),
+                           ("none", spark.range(0).selectExpr("id as a"), [("k", "a")])):
+        may, cannot = Sieve.of(keys, rows, on, f"{tmp_path}/{name}").parted(rows)
+        assert may.columns == cannot.columns == rows.columns
+        parts = Counter(map(tuple, may.collect())) + Counter(map(tuple, cannot.collect()))
+        assert parts == Counter(map(tuple, rows.collect()))
+        plain = [F.col(c) == F.col(k) for c, k in on]
+        with_key = rows.join(keys, plain, "left_semi").select("row")
+        assert with_key.exceptAll(may.select("row")).count() == 0
+        assert may.count() <= with_key.count() + 20_000 / 10
+
+
+def test_rows_that_did_not_change_are_not_shuffled(spark, world, monkeypatch):
+    """Of a whole table and its violations, joins see little more than what changed."""
+    setting, job, tables = world
+    rerun.check(setting, job, PERIOD)
+    seen, plain = Counter(), rerun.join_parent
+
+    def watched(child, parent, on, how):
+        seen[how, on[0][0]] += child.count()
+        return plain(child, parent, on, how)
+
+    monkeypatch.setattr(rerun, "join_parent", watched)
+    mix = F.pmod(F.xxhash64("ac_id", "open_date"), F.lit(100))
+    details = tables["DER_CACD"].withColumn("regulated_product", F.when(mix == 1, "x").otherwise(F.col("regulated_product")))
+    own = rerun.check(replace(setting, run_id="second", frames={**tables, "DER_CACD": details}), job, PERIOD, "first")
+    assert 0 < own.checked and seen["left_semi", "__key"] < own.rows / 2
+    assert sum(n for (how, c), n in seen.items() if how == "left_semi" and c != "__key") < own.rows / 20
+    assert seen["left_anti", "key"] < sum(own.counts.values()) / 2

@@ -6,7 +6,8 @@ for those that look up a parent whose facts changed; the other keys keep their v
 its row and the facts it looks up, the outcome is that of a whole run. Balances compare sums and are always
 taken anew.
 
-Digests are compared by key with hot keys split; no more than keys and digests is shuffled for rows that did not change.
+Digests are compared by key with hot keys split. Of rows and violations that did not change, only those are shuffled that
+a filter of the changed keys cannot tell from changed ones (:mod:`veriledger.operators.sieve`).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from veriledger.operators import facts, observed
 from veriledger.operators.ruleset import Pass, RuleSet, evaluate, key_text, with_views
+from veriledger.operators.sieve import Sieve
 from veriledger.operators.skew import join_parent
 from veriledger.plans.jobs import Job
 from veriledger.plans.run import VIOLATION_SCHEMA, Setting, _frame, _source, shared_parents
@@ -79,13 +81,16 @@ def check(setting: Setting, job: Job, period: str, before: str | None = None) ->
             keys.write.mode("overwrite").parquet(f"{state}/{setting.run_id}/keys-{number}")
             keys = spark.read.schema(keys.schema).parquet(f"{state}/{setting.run_id}/keys-{number}")
             base = tables[one.entity].withColumn("__key", key_text(one.key))
-            rows = join_parent(base, keys, [("__key", "key")], "left_semi").drop("__key")
+            sieve = Sieve.of(keys, base, [("__key", "key")], f"{state}/{setting.run_id}/sieve-{number}")
+            rows = join_parent(sieve.parted(base)[0], keys, [("__key", "key")], "left_semi").drop("__key")
             path = f"{state}/{setting.run_id}/checked-{number}"
             checked_rows += observed.write_parquet(rows, path, {"rows": observed.rows()})["rows"]
             rows = spark.read.schema(rows.schema).parquet(path)
             parts.append(evaluate({**tables, one.entity: rows}, RuleSet(rules.entity, (one,)), period, setting.codes, parents))
             own = kept.filter(F.col("rule").isin([r.code for r in one.rules]))
-            parts.append(join_parent(own, keys, [("key", "key")], "left_anti"))
+            sieve = replace(sieve, columns=("key",))
+            may, cannot = sieve.parted(own)
+            parts += [cannot, join_parent(may, keys, [("key", "key")], "left_anti")]
         if rules.reconciliations:
             balances = RuleSet(rules.entity, (), rules.reconciliations, rules.views)
             parts.append(evaluate(tables, balances, period, setting.codes, parents))
@@ -112,7 +117,11 @@ def _keys_to_check(setting: Setting, job: Job, period: str, before: str, parents
         facts_now = parents.stored[place]
         facts_old = spark.read.schema(facts_now.schema).parquet(
             f"{setting.folder}/facts/{'-'.join([place[0], *place[1]])}/{period}/{before}")
+        aside = f"{state}/{setting.run_id}/moved-{number}-{'-'.join([place[0], *place[1], *(c for c, _ in pairs)])}"
         moved = changed(facts_now, facts_old, list(place[1]))
-        hit = join_parent(base, moved, list(pairs), "left_semi")
+        moved.write.mode("overwrite").parquet(aside)
+        moved = spark.read.schema(moved.schema).parquet(aside)
+        may, _ = Sieve.of(moved, base, list(pairs), f"{aside}-sieve").parted(base)
+        hit = join_parent(may, moved, list(pairs), "left_semi")
         keys.append(hit.select(F.col("__key").alias("key")))
     return reduce(DataFrame.union, keys).distinct()
