@@ -149,3 +149,21 @@ def test_components(spark, rng):
     found = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {x: top(x) for x in linked}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_texts_go_through_python_once_for_their_profiles(spark, odd, monkeypatch):
+    """The tasks that sort texts by node run no Python; each node's bitmap is that of its own set."""
+    import pyarrow as pa
+
+    frame = type(odd)
+    seen, plain = [], frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda df, *a, **k: seen.append(df) or plain(df, *a, **k))
+    join = jaccard.Join(odd.select("text").union(odd.selectExpr("concat(text, ' more')")))
+    tiles = join.tiles()
+    seen.clear()
+    rows = join.profiles(tiles).collect()
+    assert len(seen) == 1 and rows
+    for r in rows:
+        found, = jaccard.shingle_sets(pa.array([r["text"]]), jaccard.SHINGLE)
+        assert (r["node"], r["n"], r["bits"]) == (jaccard.node_of(found), len(found), jaccard.bitmap(found).tobytes())
+    assert {r["node"] for r in rows} >= {r["node"] for r in tiles.select("node").collect()}

@@ -143,14 +143,22 @@ def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values).view(np.int64))
 
 
-def _profile(texts: pa.Array, size: int, sought: Wanted | None = None) -> dict:
-    """Each set's size and node; no node for one that is not sought."""
+def _profile(texts: pa.Array, size: int) -> dict:
+    """Each set's size and node."""
     sets = shingle_sets(texts, size)
-    nodes = pa.array([node_of(s) for s in sets], pa.int64())
-    if sought:
-        found = sought.may_hold(nodes.fill_null(0).to_numpy())
-        nodes = pc.if_else(pa.array(found), nodes, None)
-    return {"n_shingles": pa.array([len(s) for s in sets], pa.int64()), "node": nodes}
+    return {"n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            "node": pa.array([node_of(s) for s in sets], pa.int64())}
+
+
+def _sought(size: int, sought: Wanted):
+    """Size, node and bitmap of each set; no node and bitmap for one that is not sought."""
+    def work(texts: pa.Array) -> dict:
+        sets = shingle_sets(texts, size)
+        nodes = pa.array([node_of(s) for s in sets], pa.int64())
+        nodes = pc.if_else(pa.array(sought.may_hold(nodes.fill_null(0).to_numpy())), nodes, None)
+        maps = [bitmap(s).tobytes() if known else None for s, known in zip(sets, nodes.is_valid().to_pylist())]
+        return {"n_shingles": pa.array([len(s) for s in sets], pa.int64()), "node": nodes, "bits": pa.array(maps, pa.binary())}
+    return work
 
 
 def _tile_rows(size: int, percent: int):
@@ -235,13 +243,6 @@ def _live(parts):
                                          names=["key", "node", "head"])
 
 
-def _with_bits(size: int):
-    def work(texts: pa.Array) -> dict:
-        maps = [bitmap(s).tobytes() for s in shingle_sets(texts, size)]
-        return {"bits": pa.array(maps, pa.binary())}
-    return work
-
-
 def _bound(n, bits, sizes, maps, percent):
     """Which of several sets can be similar to one, by their sizes and bitmaps of one length."""
     overlap = np.minimum(n - np.bitwise_count(bits & ~maps).sum(1, dtype=np.int64),
@@ -361,16 +362,14 @@ class Join:
 
     def profiles(self, tiles: DataFrame) -> DataFrame:
         """Text, size and bitmap of each node of a tile."""
-        size = self.size
         wanted = stored(tiles.select("node").union(tiles.select("head")).distinct(), "wanted")
         sought = Wanted(wanted, "node")
-        # Texts that no tile holds are dropped where they are read.
-        texts = extended(self.texts, "text", _FIELDS, lambda t: _profile(t, size, sought), None,
-                         TEXT_BYTES).filter("node is not null")
-        own = texts.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("text").alias("text")).join(
-            wanted, "node", "left_semi")
-        return stored(extended(own, "text", [T.StructField("bits", T.BinaryType())], _with_bits(size), None,
-                               TEXT_BYTES), "profiles")
+        # Texts that no tile holds are dropped where they are read. Bitmaps are made there too: texts go through Python once, and
+        # the tasks that sort them hold no Python worker beside.
+        fields = [*_FIELDS, T.StructField("bits", T.BinaryType())]
+        texts = extended(self.texts, "text", fields, _sought(self.size, sought), None, TEXT_BYTES).filter("node is not null")
+        own = texts.groupBy("node").agg(*[F.first(c).alias(n) for c, n in (("n_shingles", "n"), ("text", "text"), ("bits", "bits"))])
+        return stored(own.join(wanted, "node", "left_semi"), "profiles")
 
     def verified(self, pairs: DataFrame, profiles: DataFrame, bounded: bool) -> DataFrame:
         """Of distinct pairs `a`, `b`, the linked ones; `bounded` if their bound is tested already."""
