@@ -151,18 +151,20 @@ def test_components(spark, rng):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def test_texts_go_through_python_once_for_their_profiles(spark, odd, monkeypatch):
+def test_texts_go_through_python_once_for_their_profiles(spark, odd, rng, monkeypatch):
     """The tasks that sort texts by node run no Python; each node's bitmap is that of its own set."""
     import pyarrow as pa
 
+    long = [" ".join(f"w{rng.randrange(1000)}" for _ in range(60)) for _ in range(20)]
+    texts = spark.createDataFrame([(t + end,) for t in long for end in ("", " more", " other", "")], "text string")
     frame = type(odd)
     seen, plain = [], frame.mapInArrow
     monkeypatch.setattr(frame, "mapInArrow", lambda df, *a, **k: seen.append(df) or plain(df, *a, **k))
-    join = jaccard.Join(odd.select("text").union(odd.selectExpr("concat(text, ' more')")))
+    join = jaccard.Join(texts.union(odd.select("text")))
     tiles = join.tiles()
     seen.clear()
     rows = join.profiles(tiles).collect()
-    assert len(seen) == 1 and rows
+    assert len(seen) == 1 and len(rows) >= 60
     for r in rows:
         found, = jaccard.shingle_sets(pa.array([r["text"]]), jaccard.SHINGLE)
         assert (r["node"], r["n"], r["bits"]) == (jaccard.node_of(found), len(found), jaccard.bitmap(found).tobytes())
