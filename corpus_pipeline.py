@@ -10,21 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriledger.llm import bpe, decontaminate, jaccard, kneser_ney, secrets
-from veriledger.llm.frames import stored, table
+from veriledger.llm.frames import SLICE_BYTES, in_batches, stored, table
+
+#: Bytes of an Arrow batch for stages that take smaller slices of text than SLICE_BYTES.
+BATCH_BYTES = 2 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is beyond their language's quantile go, and those without text."""
+    in_batches(spark, BATCH_BYTES)
     return kneser_ney.filtered(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
+    in_batches(spark, BATCH_BYTES)
     return jaccard.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
+    in_batches(spark, SLICE_BYTES)
     return decontaminate.removed(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -35,6 +41,7 @@ def secret_marks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their tokens as little-endian 32-bit numbers, and how many there are."""
+    in_batches(spark, BATCH_BYTES)
     return bpe.encode(docs).withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
 
 

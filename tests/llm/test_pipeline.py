@@ -1,6 +1,7 @@
 """The stages one by one, each against a plain version on its own input."""
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -95,3 +96,39 @@ def test_odd_rows(spark, odd, nothing):
             rows = stored(stage(spark, rows, SF), "odd")
         texts = [r["text"] for r in rows.collect()]
         assert all(texts) and len(set(texts)) == len(texts)
+
+
+def test_batches_are_bounded(spark):
+    """Rows go to Python in a few MB at once, whatever a row's size: a batch of 10,000 texts had tens of MB."""
+    docs = table(spark, SF, "documents")
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    wide = spark.range(6000, numPartitions=1).selectExpr("repeat('x', 4000) as text")
+
+    def sizes(parts):
+        for batch in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    before = spark.conf.get(limit)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "secret scans":
+                continue  # it runs without Python
+            spark.conf.unset(limit)
+            stage(spark, docs.limit(20), SF)
+            largest = max(r["bytes"] for r in wide.mapInArrow(sizes, "bytes long").collect())
+            assert largest <= (9 << 20), name
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_workers_forget_pieces(spark, stages):
+    """What a task remembers of pieces does not stay in its worker for the steps that follow."""
+    corpus_pipeline.encoding(spark, table(spark, SF, "documents"), SF).write.format("noop").mode("overwrite").save()
+
+    def held(parts):
+        for _ in parts:
+            kept = [len(x) for v in bpe._OPEN.values() for x in (v._last, v._pairs, v._pieces)]
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe._OPEN)]), pa.array([sum(kept)])], names=["open", "kept"])
+
+    rows = spark.range(64, numPartitions=32).mapInArrow(held, "open long, kept long").collect()
+    assert any(r["open"] for r in rows) and not any(r["kept"] for r in rows)

@@ -29,6 +29,9 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: to SHARED_BYTES share the last tokens of their common prefixes; longer ones have tables of their own.
 REMEMBERED, SHARED_BYTES = 300_000, 64
 
+#: Bytes of text that are encoded at once.
+AT_ONCE = 1 << 20
+
 _PACKED = T.StructField("token_ids", T.BinaryType())
 _BYTES = T.StructField("decoded", T.BinaryType())
 
@@ -187,6 +190,11 @@ class Vocabulary:
             end -= len(self.tokens[token])
         return found[::-1]
 
+    def forget(self) -> None:
+        """Gives up what was remembered of pieces, prefixes and pairs."""
+        for known in (self._left, self._right, self._last, self._pairs, self._pieces):
+            known.clear()
+
     def encode(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self.pattern.findall(text)))
 
@@ -289,7 +297,8 @@ def encode(df: DataFrame, column: str = "text", path: str | None = None, keep=No
     """Adds `token_ids`, the tokens of a text as little-endian unsigned 32-bit numbers.
 
     `path` names the rank file on every machine. Null is the empty text; every row is kept, and a
-    column of the new one's name gives way to it.
+    column of the new one's name gives way to it. What a task remembers of pieces goes with it, as its worker may
+    live on for other steps.
     """
     path = path or public_tokenizers.path(VOCABULARY)
 
@@ -297,7 +306,7 @@ def encode(df: DataFrame, column: str = "text", path: str | None = None, keep=No
         v = vocabulary(path)
         return {"token_ids": pa.array([v.encode(t or "") for t in texts.to_pylist()], pa.binary())}
 
-    return extended(df, column, [_PACKED], work, keep)
+    return extended(df, column, [_PACKED], work, keep, AT_ONCE, lambda: vocabulary(path).forget())
 
 
 def decode(df: DataFrame, column: str = "token_ids", path: str | None = None, keep=None) -> DataFrame:
@@ -326,7 +335,7 @@ def round_trip(df: DataFrame, column: str = "text", path: str | None = None, kee
         ids = [v.encode(t or "") for t in texts.to_pylist()]
         return {"token_ids": pa.array(ids, pa.binary()), "decoded": pa.array(map(v.decode, ids), pa.binary())}
 
-    return extended(df, column, [_PACKED, _BYTES], work, keep)
+    return extended(df, column, [_PACKED, _BYTES], work, keep, AT_ONCE)
 
 
 def digests(df: DataFrame, column: str = "text", path: str | None = None) -> DataFrame:

@@ -141,6 +141,7 @@ def _count(parts):
     if not found:
         return
     _, numbers, words = _merged(found)
+    found.clear()
     for a in range(0, len(numbers), 100_000):
         text = words[a:a + 100_000].tobytes().decode("utf-32-le")
         yield pa.RecordBatch.from_arrays(
